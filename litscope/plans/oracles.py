@@ -165,12 +165,12 @@ def _scored(scope: str, counts: str, name: str) -> str:
     """Word and phrase scores of a count table, per scope."""
     return f"""
 {name}_each AS (SELECT {scope}, phrase, n, unnest(string_split(phrase, ' ')) AS word,
-                       unnest(range(len(string_split(phrase, ' ')))) AS at, len(string_split(phrase, ' ')) AS length
+                       unnest(range(len(string_split(phrase, ' ')))) AS place, len(string_split(phrase, ' ')) AS length
                 FROM {counts}),
 {name}_words AS (SELECT {scope}, word, CAST(sum(n * length) AS BIGINT) AS degree, CAST(sum(n) AS BIGINT) AS freq,
                         CAST(sum(n * length) AS DOUBLE) / CAST(sum(n) AS DOUBLE) AS word_score
                  FROM {name}_each GROUP BY {scope}, word),
-{name}_phrases AS (SELECT {scope}, phrase, n, list_reduce(list(word_score ORDER BY at), lambda a, b: a + b) AS score
+{name}_phrases AS (SELECT {scope}, phrase, n, list_reduce(list(word_score ORDER BY place), lambda a, b: a + b) AS score
                    FROM {name}_each JOIN {name}_words USING ({scope}, word) GROUP BY {scope}, phrase, n)"""
 
 
@@ -205,12 +205,19 @@ answer AS (SELECT query_id, doc_id, CAST(1 AS DOUBLE) AS score FROM spans JOIN c
         + _RANK.format(limit="WHERE rank <= 20"),
         "search_term": _search(_values(*_single("must", "eriner"))),
         "search_should": _search(_values(*_single("should", "eriner", "thanea", "heed"))),
-        "search_must": _search(_values(*_single("must", "heed", "eash"), (0, "should", "extra", "title", "atine", 0, 1))),
+        "search_must": _search(_values(*_single("must", "er", "re"), (0, "should", "extra", "title", "thanea", 0, 1))),
         "search_must_not": _search(_values(*_single("must", "heed"), (0, "must_not", "bar", "title", "eash", 0, 1))),
         "search_phrase": _search(_values(*_phrase("p", ("eriner", 0), ("thanea", 1)))),
-        "search_phrase_gap": _search(
-            _values(*_phrase("p", ("thntblere", 0)), (0, "should", "e", "title", "edtioner", 0, 2), (0, "should", "e", "title", "inea", 2, 2))
-        ),
+        "search_phrase_gap": _search(_values(*_phrase("p", ("attion", 0), ("thanedble", 2), ("anea", 4)))),
+        "search_phrase_slop": f"""WITH {_tokens('title')},
+near AS (SELECT doc_id, min(abs(b.pos - 1 - a.pos)) AS width FROM tok a JOIN tok b USING (doc_id)
+         WHERE a.term = 'thanedble' AND b.term = 'eriner' AND abs(b.pos - 1 - a.pos) <= 3 GROUP BY doc_id),
+weight AS (SELECT sum(ln(1 + (docs - df + 0.5) / (df + 0.5))) AS weight, any_value(mean_length) AS mean_length
+           FROM df JOIN fs USING (field) WHERE term IN ('thanedble', 'eriner')),
+answer AS (SELECT 'q' AS query_id, doc_id, round(weight / (1 + width)
+                  / (1 / (1 + width) + 1.2 * (1 - 0.75 + 0.75 * length / mean_length)), 9) AS score
+           FROM near JOIN dl USING (doc_id) CROSS JOIN weight)"""
+        + _RANK.format(limit="WHERE rank <= 20"),
         "search_boost": _search(
             _values((0, "should", "a", "title", "eriner", 0, 1, 1.0), (0, "should", "b", "title", "thanea", 0, 1, 2.5))
         ),
@@ -219,7 +226,7 @@ answer AS (SELECT query_id, doc_id, CAST(1 AS DOUBLE) AS score FROM spans JOIN c
         "search_return_all": _search(_values(*_venue("src3", raw="src3")), limit=""),
         "search_multi": _search(
             _values(
-                *_single("must", "heed"),
+                *_single("must", "er"),
                 *_single("should", "a3", "a5", "b7", "b9", "b11", field="author", grp=1),
                 *_venue("src3", "src7", "src11", raw="src3 src7 src11"),
             ),
@@ -232,7 +239,7 @@ answer AS (SELECT query_id, doc_id, CAST(1 AS DOUBLE) AS score FROM spans JOIN c
         "search_wildcard": _patterns("regexp_full_match(term, '(?s)er.n.*sh')"),
         "search_regex": _patterns("regexp_full_match(term, 'th(an|in)e[ae]')"),
         "search_fuzzy": _patterns("damerau_levenshtein(term, 'eriner') <= 2"),
-        "search_term_range": _patterns("term BETWEEN 'zz' AND 'zzz'", "term BETWEEN 'heea' AND 'heed'"),
+        "search_term_range": _patterns("term BETWEEN 'thana' AND 'thanz'", "term BETWEEN 'heea' AND 'heed'"),
         "phrases": f"WITH {_COUNTS} SELECT venue, year, phrase, n FROM counts",
         "word_scores": f"WITH {_COUNTS}, {yearly} SELECT venue, year, word, degree, freq, round(word_score, 6) AS word_score FROM y_words",
         "phrase_scores": f"WITH {_COUNTS}, {yearly} SELECT venue, year, phrase, n, round(score, 6) AS score FROM y_phrases",

@@ -110,8 +110,8 @@ def search_should(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def search_must(spark: SparkSession, folder: str) -> DataFrame:
-    rows = [("q", 0, 0, "title", "must", "text", "heed"), ("q", 0, 1, "title", "must", "text", "eash"),
-            ("q", 0, 2, "title", "should", "text", "atine")]
+    rows = [("q", 0, 0, "title", "must", "text", "er"), ("q", 0, 1, "title", "must", "text", "re"),
+            ("q", 0, 2, "title", "should", "text", "thanea")]
     return _answer(spark, folder, _clauses(spark, *rows))
 
 
@@ -126,11 +126,11 @@ def search_phrase(spark: SparkSession, folder: str) -> DataFrame:
 
 def search_phrase_gap(spark: SparkSession, folder: str) -> DataFrame:
     """A phrase with a stop word inside keeps the word's place open."""
-    return _answer(spark, folder, C.keyword_clauses(S.one_query(spark, "thntblere of then, edtioner in inea")))
+    return _answer(spark, folder, C.keyword_clauses(S.one_query(spark, "attion to thanedble the anea")))
 
 
 def search_phrase_slop(spark: SparkSession, folder: str) -> DataFrame:
-    clauses = _clauses(spark, ("q", 0, 0, "title", "must", "text", "thntblere edtioner")).withColumn("slop", F.lit(4))
+    clauses = _clauses(spark, ("q", 0, 0, "title", "must", "text", "thanedble eriner")).withColumn("slop", F.lit(3))
     return _answer(spark, folder, clauses, sloppy=True)
 
 
@@ -154,7 +154,7 @@ def search_return_all(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def search_multi(spark: SparkSession, folder: str) -> DataFrame:
-    hits = S.Library(index_for(spark, folder)).hits(2014, 2016, venue="src3 src7 src11", keyword="heed", author="a3 a5 b7 b9 b11")
+    hits = S.Library(index_for(spark, folder)).hits(2014, 2016, venue="src3 src7 src11", keyword="er", author="a3 a5 b7 b9 b11")
     return _rounded(S.ranked(hits))
 
 
@@ -202,7 +202,7 @@ def search_fuzzy(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def search_term_range(spark: SparkSession, folder: str) -> DataFrame:
-    return _pattern(spark, folder, Pattern("range", "zz", upper="zzz"), Pattern("range", "heea", upper="heed", clause_id=1))
+    return _pattern(spark, folder, Pattern("range", "thana", upper="thanz"), Pattern("range", "heea", upper="heed", clause_id=1))
 
 
 def _scope(spark: SparkSession, folder: str) -> DataFrame:
