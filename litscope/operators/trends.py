@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from litscope.operators.phrases import phrase_counts, phrase_order, scored_within, top_phrases
@@ -10,13 +10,15 @@ from litscope.operators.ranking import top_k
 from litscope.session import durable
 
 
-def venue_titles(corpus: DataFrame, start: int, end: int, venue: str | None = None) -> DataFrame:
-    """(venue, year, title) of a span, both ends included.
+def venue_name() -> Column:
+    """Where a record appeared: its book title, else its journal."""
+    return F.coalesce("booktitle", "journal")
+
 
-    The venue is where the record appeared: its book title, else its journal.
-    """
+def venue_titles(corpus: DataFrame, start: int, end: int, venue: str | None = None) -> DataFrame:
+    """(venue, year, title) of a span, both ends included."""
     rows = corpus.where(F.col("year").between(start, end) & F.col("title").isNotNull())
-    rows = rows.select(F.coalesce("booktitle", "journal").alias("venue"), "year", "title")
+    rows = rows.select(venue_name().alias("venue"), "year", "title")
     rows = rows.where(F.col("venue").isNotNull())
     return rows.where(F.col("venue") == venue) if venue is not None else rows
 
@@ -27,9 +29,10 @@ def hotspots_by_year(titles: DataFrame, k: int = 5) -> DataFrame:
     return top_phrases(durable(phrase_counts(titles, scope)), scope, k)
 
 
-def fill_years(ranked: DataFrame, titles: DataFrame, start: int, end: int) -> DataFrame:
+def fill_years(ranked: DataFrame, corpus: DataFrame, start: int, end: int, venue: str | None = None) -> DataFrame:
     """Add a row without phrase for each year of the span a venue has none in."""
-    venues = titles.select("venue").distinct()
+    venues = corpus.where(F.col("year").between(start, end)).select(venue_name().alias("venue"))
+    venues = venues.where(F.col("venue").isNotNull() if venue is None else F.col("venue") == venue).distinct()
     years = venues.select("venue", F.explode(F.sequence(F.lit(start), F.lit(end))).alias("year"))
     return years.join(ranked, ["venue", "year"], "left")
 

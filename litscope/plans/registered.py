@@ -35,12 +35,17 @@ def index_for(spark: SparkSession, folder: str) -> Index:
     if key not in _indexes:
         name = folder.strip("/").replace("/", "_")
         path = f"{shared_folder(spark)}/litscope-index-{key[0]}/{name}"
-        _indexes[key] = build_index(documents_corpus(spark, folder), path, analysis=PLAIN, keep_corpus=False)
+        _indexes[key] = build_index(_texts(spark, folder), path, analysis=PLAIN, keep_corpus=False)
     return _indexes[key]
 
 
+def _texts(spark: SparkSession, folder: str) -> DataFrame:
+    """The corpus laid out for work on its text."""
+    return spread(documents_corpus(spark, folder), "doc_id")
+
+
 def _title_terms(spark: SparkSession, folder: str) -> DataFrame:
-    return P.document_terms(documents_corpus(spark, folder), ["title"], PLAIN)
+    return P.document_terms(_texts(spark, folder), ["title"], PLAIN)
 
 
 def _rounded(hits: DataFrame) -> DataFrame:
@@ -69,7 +74,7 @@ def doc_lengths(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def field_stats(spark: SparkSession, folder: str) -> DataFrame:
-    terms = P.document_terms(documents_corpus(spark, folder), ["title", "author", "key", "booktitle"], PLAIN)
+    terms = P.document_terms(_texts(spark, folder), ["title", "author", "key", "booktitle"], PLAIN)
     return P.field_stats(terms).withColumn("mean_length", F.round("mean_length", 6))
 
 
@@ -206,7 +211,7 @@ def search_term_range(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _scope(spark: SparkSession, folder: str) -> DataFrame:
-    return trends.venue_titles(documents_corpus(spark, folder), START, END)
+    return trends.venue_titles(_texts(spark, folder), START, END)
 
 
 def _counts(spark: SparkSession, folder: str) -> DataFrame:
@@ -236,8 +241,8 @@ def hotspots_by_year(spark: SparkSession, folder: str) -> DataFrame:
 
 def hotspots_filled(spark: SparkSession, folder: str) -> DataFrame:
     """A span wider than the data: years without phrases appear empty."""
-    titles = _scope(spark, folder)
-    return _score6(trends.fill_years(trends.hotspots_by_year(titles, 1), titles, START - 1, END + 1))
+    ranked = trends.hotspots_by_year(_scope(spark, folder), 1)
+    return _score6(trends.fill_years(ranked, documents_corpus(spark, folder), START - 1, END + 1))
 
 
 def hotspot_evolution(spark: SparkSession, folder: str) -> DataFrame:
@@ -250,11 +255,11 @@ def hotspot_series(spark: SparkSession, folder: str) -> DataFrame:
 
 def pivot_authors_exact(spark: SparkSession, folder: str) -> DataFrame:
     """Only full matches: all words of the topic, or of the phrase, are shared."""
-    return topics.pivot_authors(documents_corpus(spark, folder), ["eriner thanea"], START, END, threshold=100)
+    return topics.pivot_authors(_texts(spark, folder), ["eriner thanea"], START, END, threshold=100)
 
 
 def pivot_authors_fuzzy(spark: SparkSession, folder: str) -> DataFrame:
-    return topics.pivot_authors(documents_corpus(spark, folder), ["eriner thanea", "heed thhend"], START, END)
+    return topics.pivot_authors(_texts(spark, folder), ["eriner thanea", "heed thhend"], START, END)
 
 
 def page_key_tokens(spark: SparkSession, folder: str) -> DataFrame:
@@ -278,7 +283,7 @@ def record_parse(spark: SparkSession, folder: str) -> DataFrame:
             text = F.replace(text, F.lit(plain), F.lit(entity))
         return text
 
-    rows = documents_corpus(spark, folder)
+    rows = _texts(spark, folder)
     chunk = F.concat(
         F.lit('2020-01-01" key="'), "key", F.lit('">\n'),
         F.array_join(F.transform("author", lambda a: F.concat(F.lit("<author>"), a, F.lit("</author>"))), "\n"),

@@ -25,7 +25,7 @@ def conference_hotspots(
     in one job unless one is named. ``fill`` adds years without any."""
     titles = R.venue_titles(corpus, start, end, venue)
     ranked = R.hotspots_by_year(titles, top_k)
-    return R.fill_years(ranked, titles, start, end) if fill else ranked
+    return R.fill_years(ranked, corpus, start, end, venue) if fill else ranked
 
 
 def hotspot_evolution(

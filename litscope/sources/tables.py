@@ -26,7 +26,7 @@ def documents_corpus(spark: SparkSession, folder: str) -> DataFrame:
     """
     doc_id = F.col("doc_id")
     authors = [F.concat(F.lit(p), (doc_id % m).cast("string")) for p, m in (("a", 37), ("b", 101))]
-    return spread(read_table(spark, folder, "documents"), "doc_id").select(
+    return read_table(spark, folder, "documents").select(
         "doc_id",
         F.lit("article").alias("type"),
         F.concat(F.lit("conf/"), "source", F.lit("/D"), doc_id.cast("string")).alias("key"),
