@@ -11,11 +11,12 @@ from litscope.functions.stem import stem_terms
 from litscope.functions.words import PHRASE_STOP_WORDS, PUNCTUATION, SEARCH_STOP_WORDS
 
 # Word boundaries close to UAX #29 for alphabetic scripts: letters keep inner
-# apostrophes, dots and colons, digits keep inner separators.
+# apostrophes, dots and colons, digits keep inner separators. The last repeat is
+# possessive, so a chain of any length needs no deep recursion.
 WORD = (
     r"[\p{L}\p{M}\p{N}_]+"
     r"(?:(?:(?<=[\p{L}\p{M}])['’.:](?=\p{L})|(?<=\p{N})['’.,;](?=\p{N}))"
-    r"[\p{L}\p{M}\p{N}_]+)*"
+    r"[\p{L}\p{M}\p{N}_]+)*+"
 )
 # Plain runs of letters and digits, for engines whose regex has no look-around.
 SIMPLE_WORD = r"[\p{L}\p{N}_]+"
@@ -45,6 +46,15 @@ def words(text: Column, pattern: str) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(pattern), F.lit(0))
 
 
+def held(df: DataFrame, name: str, column: Column) -> DataFrame:
+    """Add a costly column that later filters and columns read without redoing it.
+
+    The optimizer copies a plain column into every expression that uses it; it
+    does not look through a generator.
+    """
+    return df.select("*", F.explode_outer(F.array(column)).alias(name))
+
+
 def analyse(df: DataFrame, text: str, analysis: Analysis, field: str = "field") -> DataFrame:
     """Add ``terms array<struct<term, pos>>``: stop words leave position gaps.
 
@@ -52,15 +62,13 @@ def analyse(df: DataFrame, text: str, analysis: Analysis, field: str = "field")
     distinct words of each Arrow batch.
     """
     simple = F.col(field).isin(list(analysis.simple_fields)) if analysis.simple_fields else F.lit(False)
-    out = df.withColumn("_words", words(F.col(text), analysis.word))
+    found = words(F.col(text), analysis.word)
     if analysis.possessive:
-        trimmed = F.transform("_words", lambda w: F.regexp_replace(w, POSSESSIVE, ""))
-        out = out.withColumn("_words", F.when(simple, F.col("_words")).otherwise(trimmed))
-    stemmed = F.col("_words")
+        trimmed = F.transform(found, lambda w: F.regexp_replace(w, POSSESSIVE, ""))
+        found = F.when(simple, found).otherwise(trimmed) if analysis.simple_fields else trimmed
+    out = held(df, "_words", found)
     if analysis.stem:
-        out = out.withColumn("_stems", stem_terms("_words"))
-        stemmed = F.when(simple, F.col("_words")).otherwise(F.col("_stems"))
-        out = out.withColumn("_stems", stemmed)
+        out = held(out, "_stems", F.when(simple, F.col("_words")).otherwise(stem_terms("_words")))
         placed = F.transform(
             "_words",
             lambda w, i: F.struct(F.get("_stems", i).alias("term"), i.alias("pos"), w.alias("word")),
@@ -69,7 +77,7 @@ def analyse(df: DataFrame, text: str, analysis: Analysis, field: str = "field")
         placed = F.transform("_words", lambda w, i: F.struct(w.alias("term"), i.alias("pos"), w.alias("word")))
     kept = F.filter(placed, lambda t: simple | ~t.word.isin(list(analysis.stop_words)))
     terms = F.transform(kept, lambda t: F.struct(t.term.alias("term"), t.pos.alias("pos")))
-    return out.withColumn("terms", terms).drop("_words", "_stems")
+    return held(out, "terms", terms).drop("_words", "_stems")
 
 
 def candidate_phrases(text: Column, min_words: int = 2, max_words: int = 4) -> Column:

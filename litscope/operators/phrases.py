@@ -14,7 +14,8 @@ from litscope.session import durable
 def phrase_occurrences(df: DataFrame, keep: list[str], text: str = "title") -> DataFrame:
     """One row per candidate phrase occurrence. Narrow: no shuffle."""
     found = df.where(F.col(text).isNotNull())
-    return found.select(*keep, F.explode(candidate_phrases(F.col(text))).alias("phrase"))
+    rows = found.select(*keep, F.explode_outer(candidate_phrases(F.col(text))).alias("phrase"))
+    return rows.where(F.col("phrase").isNotNull())
 
 
 def phrase_counts(df: DataFrame, scope: list[str], text: str = "title") -> DataFrame:

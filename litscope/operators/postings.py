@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from litscope.functions.grouping import group_terms
-from litscope.functions.text import Analysis, analyse
+from litscope.functions.text import Analysis, analyse, held
 
 
 def field_texts(corpus: DataFrame, fields: list[str]) -> DataFrame:
@@ -40,7 +40,7 @@ def document_terms(corpus: DataFrame, fields: list[str], analysis: Analysis) ->
 
 def document_postings(doc_terms: DataFrame) -> DataFrame:
     """(doc_id, year, field, length, postings): terms grouped inside their row."""
-    return doc_terms.withColumn("postings", group_terms("terms")).drop("terms")
+    return held(doc_terms, "postings", group_terms("terms")).drop("terms")
 
 
 def term_bucket(term: Column | str, buckets: int) -> Column:
@@ -49,7 +49,7 @@ def term_bucket(term: Column | str, buckets: int) -> Column:
 
 def occurrences(doc_terms: DataFrame) -> DataFrame:
     """One row per term occurrence: (field, doc_id, year, length, term, pos)."""
-    return doc_terms.select("field", "doc_id", "year", "length", F.inline("terms"))
+    return doc_terms.select("field", "doc_id", "year", "length", F.inline_outer("terms"))
 
 
 def postings(doc_postings: DataFrame) -> DataFrame:
@@ -58,7 +58,7 @@ def postings(doc_postings: DataFrame) -> DataFrame:
     Year and field length travel along, so a search never has to join a
     per-document table of the whole corpus.
     """
-    return doc_postings.select("field", "doc_id", "year", "length", F.inline("postings"))
+    return doc_postings.select("field", "doc_id", "year", "length", F.inline_outer("postings"))
 
 
 def document_lengths(doc_terms: DataFrame) -> DataFrame:
@@ -67,7 +67,7 @@ def document_lengths(doc_terms: DataFrame) -> DataFrame:
 
 def term_stats(doc_postings: DataFrame) -> DataFrame:
     """Documents per (field, term), added up within each task before the shuffle."""
-    terms = doc_postings.select("field", F.explode("postings.term").alias("term"))
+    terms = doc_postings.select("field", F.explode_outer("postings.term").alias("term"))
     return terms.groupBy("field", "term").agg(F.count("*").alias("df"))
 
 

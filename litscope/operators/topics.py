@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from litscope.functions.similarity import MATCH_THRESHOLD, topic_matcher
-from litscope.functions.text import candidate_phrases
+from litscope.functions.text import candidate_phrases, held
 
 
 def topic_matches(records: DataFrame, topics: list[str], threshold: int = MATCH_THRESHOLD) -> DataFrame:
@@ -16,9 +16,10 @@ def topic_matches(records: DataFrame, topics: list[str], threshold: int = MATCH_
     shuffle. A title without a match yields no row.
     """
     rows = records.where(F.col("title").isNotNull())
-    rows = rows.withColumn("phrases", candidate_phrases(F.col("title"))).where(F.size("phrases") > 0)
-    rows = rows.withColumn("hits", topic_matcher(topics, threshold)("phrases"))
-    rows = rows.withColumn("topic_id", F.explode(F.array_distinct(F.flatten("hits"))))
+    rows = held(rows, "phrases", candidate_phrases(F.col("title")))
+    rows = held(rows, "hits", topic_matcher(topics, threshold)("phrases"))
+    rows = rows.withColumn("topic_id", F.explode_outer(F.array_distinct(F.flatten("hits"))))
+    rows = rows.where(F.col("topic_id").isNotNull())
     matching = F.filter("hits", lambda h: F.array_contains(h, F.col("topic_id")))
     names = F.array(*[F.lit(t) for t in topics])
     rows = rows.withColumn("matches", F.size(matching)).withColumn("topic", F.get(names, F.col("topic_id")))

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from litscope.functions.text import held
 from litscope.schema import FIELDS, LIST_FIELDS, RECORD_KINDS, corpus_schema
 
 # Every record carries this attribute first, so splitting there cuts the dump
@@ -77,11 +78,11 @@ def parsed_records(chunks: DataFrame, separator: str = SEPARATOR, legacy_text: b
         F.regexp_extract("value", body, 2).alias("type"),
     )
     raw = F.concat(F.lit(f"<rec {separator}"), _without_markup(F.col("inner"), legacy_text), F.lit("</rec>"))
-    rows = rows.withColumn("raw", raw)
+    rows = held(rows, "raw", raw)
     named = F.col("raw").rlike(r"&(?!(?:amp|lt|gt|quot|apos);)[A-Za-z][A-Za-z0-9]*;")
     # Python gets the text of rows with a named entity, and nulls for the others.
-    rows = rows.withColumn("raw", F.coalesce(_decoded(F.when(named, F.col("raw"))), F.col("raw")))
-    return rows.withColumn("rec", F.from_xml("raw", _record_schema(), {"mode": "PERMISSIVE"}))
+    decoded = F.coalesce(_decoded(F.when(named, F.col("raw"))), F.col("raw"))
+    return held(rows, "rec", F.from_xml(decoded, _record_schema(), {"mode": "PERMISSIVE"})).drop("raw")
 
 
 def _rejection() -> Column:

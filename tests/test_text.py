@@ -15,6 +15,7 @@ from litscope.operators import postings as P
         ("1,000 v1.2 x:y", ["1,000", "v1.2", "x:y"]),
         ("a.1 k-means", ["a", "1", "k", "means"]),
         ("conf/aaai/AmirSS15", ["conf", "aaai", "amirss15"]),
+        ("1." * 100_000 + "1", ["1." * 100_000 + "1"]),
     ],
 )
 def test_words(spark, text, expected):
