@@ -28,12 +28,14 @@ CONNECTORS = "(?i)( AND | OR | NOT |, )"
 
 
 def _with_defaults(df: DataFrame) -> DataFrame:
+    defaults = {"boost": F.lit(1.0), "slop": F.lit(0), "occur": F.lit("must")}
+    columns = []
     for item in CLAUSE_COLUMNS.split(", "):
         name, kind = item.split(" ")
-        default = {"boost": F.lit(1.0), "slop": F.lit(0), "occur": F.lit("must")}.get(name, F.lit(None))
+        default = defaults.get(name, F.lit(None))
         column = F.coalesce(F.col(name), default) if name in df.columns else default
-        df = df.withColumn(name, column.cast(kind))
-    return df.select(*[item.split(" ")[0] for item in CLAUSE_COLUMNS.split(", ")])
+        columns.append(column.cast(kind).alias(name))
+    return df.select(*columns)
 
 
 def clause_table(df: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from litscope.operators.clauses import group_bit, requirements
-from litscope.session import durable, settled
+from litscope.session import settled
 from litscope.sources.store import Index
 
 # Term saturation and length normalisation of the ranking.
@@ -15,8 +15,8 @@ K1, B = 1.2, 0.75
 # Scores are rounded so that the order of additions cannot change a rank.
 SCORE_DIGITS = 9
 
-# Up to this many distinct terms are named to the file scan one by one.
-LISTED_TERMS = 200
+# Up to this many clause terms are named to the file scan one by one.
+LISTED_TERMS = 1000
 
 CLAUSE = ["query_id", "clause_id", "sub"]
 
@@ -26,13 +26,16 @@ def pruned(table: DataFrame, terms: DataFrame) -> DataFrame:
 
     There are at most fields x buckets pairs to list, whatever the number of terms.
     """
-    places = terms.select("field", "bucket").distinct().collect()
-    fields, buckets = {p["field"] for p in places}, {p["bucket"] for p in places}
-    table = table.where(F.col("field").isin(fields) & F.col("bucket").isin(buckets))
-    few = terms.select("term").distinct().limit(LISTED_TERMS + 1).collect()
-    if len(few) <= LISTED_TERMS:
-        table = table.where(F.col("term").isin([t["term"] for t in few]))
-    return table
+    few = terms.select("field", "bucket", "term").limit(LISTED_TERMS + 1).collect()
+    listed = len(few) <= LISTED_TERMS
+    places = few if listed else terms.select("field", "bucket").distinct().collect()
+    for column in ("field", "bucket"):
+        table = table.where(F.col(column).isin(sorted({p[column] for p in places})))
+    return table.where(F.col("term").isin(list({t["term"] for t in few}))) if listed else table
+
+
+def _any(df: DataFrame, condition: Column) -> bool:
+    return bool(df.where(condition).limit(1).collect())
 
 
 def weighted_terms(index: Index, terms: DataFrame) -> DataFrame:
@@ -95,7 +98,7 @@ def phrase_hits(index: Index, weighted: DataFrame, sloppy: bool = False) -> Data
     one shuffle, which the next two groupings share.
     """
     phrases = weighted.where((F.col("size") > 1) & ~F.col("constant"))
-    leads = durable(term_matches(index, phrases.where("lead")).select(*CLAUSE, "doc_id"))
+    leads = settled(term_matches(index, phrases.where("lead")).select(*CLAUSE, "doc_id"))
     rows = term_matches(index, phrases).join(leads, [*CLAUSE, "doc_id"], "left_semi")
     clause = [*CLAUSE, "doc_id", "grp", "occur", "size", "constant", "weight", "norm"]
     rows = rows.select(*clause, "off", "slop", F.explode("positions").alias("pos"))
@@ -154,19 +157,15 @@ def search(index: Index, terms: DataFrame, sloppy: bool = False) -> DataFrame:
     """All hits of all queries: (query_id, doc_id, score)."""
     terms = settled(terms)
     weighted = settled(weighted_terms(index, terms))
-    kinds = weighted.agg(
-        F.bool_or((F.col("size") == 1) & ~F.col("constant")),
-        F.bool_or((F.col("size") > 1) & ~F.col("constant")),
-        F.bool_or("constant"),
-    ).first()
+    alone, constant = F.col("size") == 1, F.col("constant")
     parts = []
-    if kinds[1]:
+    if _any(weighted, ~alone & ~constant):
         parts.append(phrase_hits(index, weighted, sloppy))
-    if kinds[2]:
+    if _any(weighted, constant):
         parts.append(constant_hits(index, weighted))
-    if kinds[0] or not parts:
+    if not parts or _any(weighted, alone & ~constant):
         parts.append(single_hits(index, weighted))
     hits = parts[0]
     for more in parts[1:]:
         hits = hits.unionByName(more)
-    return document_scores(hits, settled(requirements(terms)))
+    return document_scores(hits, requirements(terms))

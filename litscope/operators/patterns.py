@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from litscope.session import local_table
 from litscope.sources.store import Index
 
 
@@ -71,7 +72,6 @@ def pattern_terms(index: Index, patterns: list[Pattern]) -> DataFrame:
     each term is kept with the patterns it meets. A pattern no term meets still
     yields one row, without a term, so that a required clause stays required.
     """
-    spark = index.spark
     anywhere = F.lit(False)
     marks = []
     for number, p in enumerate(patterns):
@@ -88,7 +88,8 @@ def pattern_terms(index: Index, patterns: list[Pattern]) -> DataFrame:
         most = F.element_at(F.create_map(*[F.lit(v) for i, p in limits.items() for v in (i, p.edits)]), F.col("number"))
         near = rows.where(F.col("number").isin(fuzzy)).where(_distance("term", text) <= most)
         rows = rows.where(~F.col("number").isin(fuzzy)).unionByName(near)
-    described = spark.createDataFrame(
+    described = local_table(
+        index.spark,
         [(i, p.query_id, p.group, p.clause_id, p.occur, p.field, p.boost) for i, p in enumerate(patterns)],
         "number int, query_id string, grp int, clause_id int, occur string, field string, boost double",
     )

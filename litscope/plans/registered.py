@@ -16,7 +16,7 @@ from litscope.operators import topics, trends
 from litscope.operators.patterns import Pattern, pattern_terms
 from litscope.operators.matching import search
 from litscope.plans import search as S
-from litscope.session import durable, shared_folder, ship_package
+from litscope.session import durable, local_table, shared_folder, ship_package
 from litscope.sources.records import parsed_records, split_records
 from litscope.sources.store import Index, build_index
 from litscope.sources.tables import documents_corpus, read_table, spread
@@ -98,7 +98,7 @@ def year_batch(spark: SparkSession, folder: str) -> DataFrame:
 
 def _clauses(spark: SparkSession, *rows: tuple) -> DataFrame:
     names = "query_id string, grp int, clause_id int, field string, occur string, kind string, text string"
-    return C.clause_table(spark.createDataFrame(list(rows), names))
+    return C.clause_table(local_table(spark, list(rows), names))
 
 
 def _answer(spark: SparkSession, folder: str, clauses: DataFrame, **options) -> DataFrame:

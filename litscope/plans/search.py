@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from litscope.operators import clauses as C
 from litscope.operators.matching import search
 from litscope.operators.ranking import rank_all, top_k
-from litscope.session import settled
+from litscope.session import local_table, settled
 from litscope.sources.store import Index
 
 DEFAULT_TOP_K = 20
@@ -30,7 +30,7 @@ def with_records(hits: DataFrame, corpus: DataFrame) -> DataFrame:
 
 
 def one_query(spark: SparkSession, text: str) -> DataFrame:
-    return spark.createDataFrame([("q", text)], "query_id string, text string")
+    return local_table(spark, [("q", text)], "query_id string, text string")
 
 
 def search_clauses(

@@ -7,7 +7,11 @@ import shutil
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+
+_ARROW = {"string": pa.string(), "int": pa.int32(), "bigint": pa.int64(), "double": pa.float64()}
 
 _shipped: set[str] = set()
 
@@ -70,6 +74,14 @@ def durable(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def local_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A few rows as a local table, which the planner sees in full."""
+    kinds = T.DataType.fromDDL(schema)
+    columns = zip(*rows) if rows else [[] for _ in kinds.fields]
+    arrays = [pa.array(list(c), _ARROW[f.dataType.simpleString()]) for c, f in zip(columns, kinds.fields)]
+    return spark.createDataFrame(pa.Table.from_arrays(arrays, names=kinds.names), kinds)
+
+
 # Up to this many rows a small table is handed around by the driver.
 LOCAL_ROWS = 10_000
 
