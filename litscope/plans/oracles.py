@@ -193,6 +193,8 @@ def oracles() -> dict[str, str]:
     sql = {
         "record_count_by_type": f"WITH {_CORPUS} SELECT type, count(*) AS records FROM corpus GROUP BY type",
         "tokens_title": f"{plain} SELECT doc_id, pos, term FROM tok",
+        "tokens_simple": f"WITH {_tokens('author', 'key')} SELECT field, doc_id, CAST(pos AS INTEGER) AS pos, term FROM listed",
+        "exact_field": f"WITH {_CORPUS} SELECT doc_id, CAST(1 AS DOUBLE) AS score FROM corpus WHERE type = 'article'",
         "postings_title": f"{plain} SELECT term, doc_id, tf, array_to_string(positions, ',') AS positions FROM tf",
         "term_stats": f"{plain} SELECT term, df FROM df",
         "doc_lengths": f"{plain} SELECT doc_id, length FROM dl",
@@ -266,6 +268,12 @@ SELECT page_id, unnest(w) AS term, CAST(unnest(range(len(w))) AS INTEGER) AS pos
         "record_parse": f"""WITH {_CORPUS} SELECT key, 'inproceedings' AS type, year, booktitle,
 array_to_string(author, ', ') AS authors, regexp_replace(title, '\\s+', '', 'g') AS title FROM corpus""",
     }
+    columns = ", ".join(f"CAST(sum(n) FILTER (WHERE year = {y}) AS BIGINT) AS y{y}" for y in range(2014, 2019))
+    sql["hotspot_table"] = f"WITH series AS ({sql['hotspot_series']}) SELECT venue, phrase, {columns} FROM series GROUP BY ALL"
+    merged = _COUNTS.replace("SELECT booktitle AS venue", "SELECT 'src3 src7' AS venue").replace(
+        "FROM corpus WHERE", "FROM corpus WHERE booktitle IN ('src3', 'src7') AND"
+    )
+    sql["searched_hotspots"] = f"WITH {merged}, {yearly} {_SHOW} ({_leaders('venue, year', 'y_phrases', 5)})"
     batch = sql["search_batch"]
     sql["hits_with_records"] = f"""WITH hits AS ({batch}), {_CORPUS}
 SELECT h.query_id, h.rank, h.doc_id, h.score, c.key, c.year, array_to_string(c.author, ', ') AS authors, l.quality, l.toxic

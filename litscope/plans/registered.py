@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from litscope.operators import topics, trends
 from litscope.operators.patterns import Pattern, pattern_terms
 from litscope.operators.matching import search
 from litscope.plans import search as S
+from litscope.plans.trends import searched_titles
 from litscope.session import durable, local_table, shared_folder, ship_package
 from litscope.sources.records import parsed_records, split_records
 from litscope.sources.store import Index, build_index
@@ -60,6 +62,13 @@ def tokens_title(spark: SparkSession, folder: str) -> DataFrame:
     return P.occurrences(_title_terms(spark, folder)).select("doc_id", "pos", "term")
 
 
+def tokens_simple(spark: SparkSession, folder: str) -> DataFrame:
+    """Authors under the chain that keeps stop words and skips stemming."""
+    analysis = replace(PLAIN, stem=True, simple_fields=("author", "key"))
+    terms = P.document_terms(documents_corpus(spark, folder), ["author", "key"], analysis)
+    return P.occurrences(terms).select("field", "doc_id", "pos", "term")
+
+
 def postings_title(spark: SparkSession, folder: str) -> DataFrame:
     rows = P.postings(P.document_postings(_title_terms(spark, folder)))
     return rows.select("term", "doc_id", "tf", F.array_join("positions", ",").alias("positions"))
@@ -86,6 +95,10 @@ def year_single(spark: SparkSession, folder: str) -> DataFrame:
     return S.year_hits(documents_corpus(spark, folder), 2016).select("doc_id", "score")
 
 
+def exact_field(spark: SparkSession, folder: str) -> DataFrame:
+    return S.exact_hits(documents_corpus(spark, folder), "type", "article").select("doc_id", "score")
+
+
 def year_batch(spark: SparkSession, folder: str) -> DataFrame:
     spans = read_table(spark, folder, "benchmark").select(
         F.col("item_id").cast("string").alias("query_id"),
@@ -253,6 +266,18 @@ def hotspot_series(spark: SparkSession, folder: str) -> DataFrame:
     return trends.hotspot_series(_scope(spark, folder), START, END)
 
 
+def hotspot_table(spark: SparkSession, folder: str) -> DataFrame:
+    """The series with a column per year."""
+    table = trends.series_table(hotspot_series(spark, folder), START, END)
+    return table.withColumnsRenamed({str(y): f"y{y}" for y in range(START, END + 1)})
+
+
+def searched_hotspots(spark: SparkSession, folder: str) -> DataFrame:
+    """Hotspots of whatever a venue search finds, as one scope per year."""
+    titles = searched_titles(S.Library(index_for(spark, folder)), "src3 src7", START, END)
+    return _score6(trends.hotspots_by_year(titles))
+
+
 def pivot_authors_exact(spark: SparkSession, folder: str) -> DataFrame:
     """Only full matches: all words of the topic, or of the phrase, are shared."""
     return topics.pivot_authors(_texts(spark, folder), ["eriner thanea"], START, END, threshold=100)
@@ -298,13 +323,14 @@ def record_parse(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        record_count_by_type, tokens_title, postings_title, term_stats, doc_lengths, field_stats,
-        year_range, year_single, year_batch,
+        record_count_by_type, tokens_title, tokens_simple, postings_title, term_stats, doc_lengths, field_stats,
+        year_range, year_single, year_batch, exact_field,
         search_term, search_should, search_must, search_must_not, search_phrase, search_phrase_gap,
         search_phrase_slop, search_boost, search_author_any, search_venue, search_return_all, search_multi,
         search_batch, search_batch_keywords, hits_with_records,
         search_prefix, search_wildcard, search_regex, search_fuzzy, search_term_range,
         phrases, word_scores, phrase_scores, hotspots_by_year, hotspots_filled, hotspot_evolution, hotspot_series,
+        hotspot_table, searched_hotspots,
         pivot_authors_exact, pivot_authors_fuzzy, page_key_tokens, stemmed_vocabulary, record_parse,
     )
 }

@@ -13,7 +13,8 @@ from litscope.sources.store import Index
 
 DEFAULT_TOP_K = 20
 
-HIT_ORDER = ("score", "doc_id")
+# Up to this many hits are named to the scan of their records one by one.
+LISTED_DOCUMENTS = 500
 
 
 def ranked(hits: DataFrame, k: int | None = DEFAULT_TOP_K) -> DataFrame:
@@ -25,8 +26,13 @@ def ranked(hits: DataFrame, k: int | None = DEFAULT_TOP_K) -> DataFrame:
 
 
 def with_records(hits: DataFrame, corpus: DataFrame) -> DataFrame:
-    """Add the stored fields. Few hits are broadcast, so the corpus stays put."""
-    return settled(hits).join(corpus, "doc_id")
+    """Add the stored fields. The hits' true size decides how they are joined; a
+    few documents are also named to the scan, which then skips other row groups."""
+    hits = settled(hits)
+    few = hits.select("doc_id").limit(LISTED_DOCUMENTS + 1).collect()
+    if len(few) <= LISTED_DOCUMENTS:
+        corpus = corpus.where(F.col("doc_id").isin(sorted({h["doc_id"] for h in few})))
+    return hits.join(corpus, "doc_id")
 
 
 def one_query(spark: SparkSession, text: str) -> DataFrame:
@@ -58,6 +64,12 @@ def year_hits(corpus: DataFrame, start: int, end: int | None = None) -> DataFram
     return rows.select(F.lit("q").alias("query_id"), "doc_id", F.lit(1.0).alias("score"))
 
 
+def exact_hits(corpus: DataFrame, field: str, value: str) -> DataFrame:
+    """Records whose type, isbn or volume is this very string."""
+    rows = corpus.where(F.col(field) == value)
+    return rows.select(F.lit("q").alias("query_id"), "doc_id", F.lit(1.0).alias("score"))
+
+
 def year_hits_batch(corpus: DataFrame, spans: DataFrame) -> DataFrame:
     """(query_id, year_from, year_to) -> hits, as an equality join on the year.
 

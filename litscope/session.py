@@ -23,6 +23,9 @@ def get_spark(app: str = "litscope", master: str | None = None, **settings: str)
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.parquet.compression.codec", "zstd")
+        # Name up to this many terms or documents to the Parquet reader one by
+        # one, instead of only their range.
+        .config("spark.sql.parquet.pushdown.inFilterThreshold", "500")
     )
     if master:
         builder = builder.master(master)

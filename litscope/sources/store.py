@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from litscope.functions.text import Analysis
 from litscope.operators import postings as P
-from litscope.schema import DEFAULT_FIELDS
+from litscope.schema import DEFAULT_FIELDS, LIST_FIELDS
 
 # A term bucket holds the terms of about this many words, within the limits below.
 BUCKET_TOKENS = 20_000_000
@@ -90,6 +90,12 @@ def open_index(spark: SparkSession, path: str, corpus: DataFrame | None = None)
     )
 
 
+def flat_records(records: DataFrame) -> DataFrame:
+    """One value per field: of several, the last one. Authors stay a list."""
+    lists = [f for f in LIST_FIELDS if f != "author" and f in records.columns]
+    return records.withColumns({f: F.get(f, F.size(f) - 1) for f in lists})
+
+
 def write_hits(hits: DataFrame, path: str) -> None:
     """One JSON object per line; a missing value leaves its key out."""
     hits.write.mode("overwrite").json(path)
