@@ -19,7 +19,7 @@ from litscope.operators.matching import search
 from litscope.plans import search as S
 from litscope.plans.trends import searched_titles
 from litscope.session import durable, local_table, shared_folder, ship_package
-from litscope.sources.records import parsed_records, split_records
+from litscope.sources.records import judged_records, parsed_records, split_records
 from litscope.sources.store import Index, build_index
 from litscope.sources.tables import documents_corpus, read_table, spread
 
@@ -315,7 +315,7 @@ def record_parse(spark: SparkSession, folder: str) -> DataFrame:
         F.lit("<title><i>"), escaped("title"), F.lit("</i></title>\n<year>"), F.col("year").cast("string"),
         F.lit("</year><booktitle>"), "booktitle", F.lit("</booktitle>\n</inproceedings>\n<inproceedings "),
     )
-    corpus, _ = split_records(parsed_records(rows.select(chunk.alias("value"))))
+    corpus, _ = split_records(judged_records(parsed_records(rows.select(chunk.alias("value")))))
     return corpus.select("key", "type", "year", "booktitle", F.array_join("author", ", ").alias("authors"),
                          F.regexp_replace("title", r"\s+", "").alias("title"))
 

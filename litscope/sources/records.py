@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from litscope.functions.text import held
 from litscope.schema import FIELDS, LIST_FIELDS, RECORD_KINDS, corpus_schema
+from litscope.session import durable
 
 # Every record carries this attribute first, so splitting there cuts the dump
 # between records. Each chunk starts right after it.
@@ -25,6 +26,8 @@ XML_ENTITIES = frozenset({"amp", "lt", "gt", "quot", "apos"})
 
 NAMED_ENTITY = "&([A-Za-z][A-Za-z0-9]*);"
 
+BAD_YEAR = "year is not a number"
+
 _KINDS = "|".join(RECORD_KINDS)
 
 
@@ -72,7 +75,7 @@ def _without_markup(text: Column, legacy_text: bool) -> Column:
 def parsed_records(chunks: DataFrame, separator: str = SEPARATOR, legacy_text: bool = False) -> DataFrame:
     """One row per chunk: its kind, the parsed record and the reason to reject it."""
     body = rf"(?s)^(.*?)</({_KINDS})>"
-    rows = chunks.where(F.col("value").rlike(rf"</(?:{_KINDS})>|[^\s]")).select(
+    rows = chunks.where(F.col("value").rlike(r"\S")).select(
         "value",
         F.regexp_extract("value", body, 1).alias("inner"),
         F.regexp_extract("value", body, 2).alias("type"),
@@ -93,7 +96,7 @@ def _rejection() -> Column:
         .when(F.col("inner").rlike(kinds), F.lit("second record inside"))
         .when(F.col("rec").isNull() | F.col("rec._corrupt_record").isNotNull(), F.lit("not well formed"))
         .when(F.col("rec._key").isNull(), F.lit("no key"))
-        .when(year.isNotNull() & year.try_cast("int").isNull(), F.lit("year is not a number"))
+        .when(year.isNotNull() & year.try_cast("int").isNull(), F.lit(BAD_YEAR))
     )
 
 
@@ -105,16 +108,38 @@ def read_dump(
     legacy_text: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """(corpus, quarantine) of a dump. A record whose year is no number is in both:
-    it is kept with a null year and reported."""
-    return split_records(parsed_records(dump_chunks(spark, path, encoding, separator), separator, legacy_text))
+    it is kept with a null year and reported. Each of the two parses the dump."""
+    chunks = dump_chunks(spark, path, encoding, separator)
+    return split_records(judged_records(parsed_records(chunks, separator, legacy_text)))
+
+
+def ingest_dump(
+    spark: SparkSession,
+    path: str | list[str],
+    out: str,
+    encoding: str = "UTF-8",
+    separator: str = SEPARATOR,
+    legacy_text: bool = False,
+) -> tuple[DataFrame, DataFrame]:
+    """Write ``out/corpus`` and ``out/quarantine``, parsing the dump once."""
+    chunks = dump_chunks(spark, path, encoding, separator)
+    judged = durable(judged_records(parsed_records(chunks, separator, legacy_text)))
+    for name, rows in zip(("corpus", "quarantine"), split_records(judged)):
+        rows.write.mode("overwrite").parquet(f"{out}/{name}")
+    return spark.read.parquet(f"{out}/corpus"), spark.read.parquet(f"{out}/quarantine")
+
+
+def judged_records(parsed: DataFrame) -> DataFrame:
+    """(type, rec, reason, record): the raw text only of what is rejected."""
+    # What precedes the first record is no record at all.
+    preamble = (F.col("type") == "") & F.col("value").rlike(r"^\s*<")
+    judged = held(parsed.where(~preamble), "reason", _rejection())
+    return judged.select("type", "rec", "reason", F.when(F.col("reason").isNotNull(), F.col("value")).alias("record"))
 
 
-def split_records(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
-    # What precedes the first record, and follows the last, is no record at all.
-    preamble = (F.col("type") == "") & ~F.col("value").rlike(r"^[0-9][0-9-]*\"")
-    judged = parsed.where(~preamble).withColumn("reason", _rejection())
-    kept = F.col("reason").isNull() | (F.col("reason") == "year is not a number")
-    quarantine = judged.where(F.col("reason").isNotNull()).select("reason", F.col("value").alias("record"))
+def split_records(judged: DataFrame) -> tuple[DataFrame, DataFrame]:
+    kept = F.col("reason").isNull() | (F.col("reason") == BAD_YEAR)
+    quarantine = judged.where(F.col("reason").isNotNull()).select("reason", "record")
     return _as_corpus(judged.where(kept)), quarantine
 
 

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from litscope.sources.records import SEPARATOR, chunk_text, parsed_records, split_records
+from litscope.session import durable
+from litscope.sources.records import SEPARATOR, chunk_text, judged_records, parsed_records, split_records
 
 
 def _first_free_id(spark: SparkSession, path: str, batch: int) -> int:
@@ -35,7 +36,8 @@ def follow_dumps(
 
     def append(chunks: DataFrame, batch: int) -> None:
         session = chunks.sparkSession
-        corpus, quarantine = split_records(parsed_records(chunk_text(chunks, encoding), separator))
+        parsed = parsed_records(chunk_text(chunks, encoding), separator)
+        corpus, quarantine = split_records(durable(judged_records(parsed)))
         base = _first_free_id(session, f"{out}/corpus", batch)
         corpus = corpus.withColumn("doc_id", F.col("doc_id") + F.lit(base))
         corpus.write.mode("overwrite").parquet(f"{out}/corpus/batch={batch}")

@@ -5,16 +5,19 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
+from litscope.plans.search import exact_hits
 from litscope.schema import RECORD_KINDS
 from litscope.sources.records import (
     count_by_kind,
     decode_entities,
     dump_chunks,
+    ingest_dump,
+    judged_records,
     newer_than,
     parsed_records,
     read_dump,
 )
-from litscope.sources.store import write_hits
+from litscope.sources.store import flat_records, write_hits
 from litscope.streaming.arrivals import follow_dumps
 
 
@@ -119,6 +122,25 @@ def test_stream_reads_each_file_once(spark, dump, tmp_path):
     assert spark.read.parquet(f"{out}/quarantine").count() == 6
 
 
-def test_parse_plan_calls_python_only_for_entities(spark, dump):
-    plan = parsed_records(dump_chunks(spark, dump))._jdf.queryExecution().toString()
-    assert plan.count("Scan text") <= 2
+def test_ingest_writes_what_read_gives(spark, dump, records, tmp_path):
+    corpus, quarantine = ingest_dump(spark, dump, str(tmp_path / "out"))
+    drop = [c for c in corpus.columns if c != "doc_id"]
+    assert sorted(map(str, corpus.select(drop).collect())) == sorted(map(str, records[0].select(drop).collect()))
+    assert quarantine.count() == 3
+    assert corpus.select("doc_id").distinct().count() == 12
+
+
+def test_dump_is_scanned_once_and_parsed_once(spark, dump):
+    plan = judged_records(parsed_records(dump_chunks(spark, dump)))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan text") == 1 and plan.count("from_xml(") == 1
+
+
+def test_one_value_per_field_keeps_the_last(records):
+    flat = flat_records(records[0].where("publtype = 'informal'")).first()
+    assert flat["ee"] == "https://two.example" and flat["author"] == ["Jürgen Möller", "Ann Lee"]
+    assert flat["editor"] is None
+
+
+def test_exact_fields(records):
+    assert exact_hits(records[0], "isbn", "978-1").count() == 1
+    assert exact_hits(records[0], "volume", "1").count() == 0
