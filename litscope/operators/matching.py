@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from litscope.operators.clauses import group_bit, requirements
-from litscope.session import settled
+from litscope.session import LOCAL_ROWS, durable, known_rows, settled
 from litscope.sources.store import Index
 
 # Term saturation and length normalisation of the ranking.
@@ -59,7 +59,7 @@ def weighted_terms(index: Index, terms: DataFrame) -> DataFrame:
     usable = F.col("constant") | (F.col("found") == F.col("size"))
     return rows.where(usable).select(
         "field", "bucket", "term", *CLAUSE, "grp", "occur", "off", "size", "slop",
-        "year_from", "year_to", "constant", "weight", "mean_length", "lead",
+        "year_from", "year_to", "constant", "weight", "mean_length", "df", "lead",
     )
 
 
@@ -98,7 +98,12 @@ def phrase_hits(index: Index, weighted: DataFrame, sloppy: bool = False) -> Data
     one shuffle, which the next two groupings share.
     """
     phrases = weighted.where((F.col("size") > 1) & ~F.col("constant"))
-    leads = settled(term_matches(index, phrases.where("lead")).select(*CLAUSE, "doc_id"))
+    rarest = phrases.where("lead")
+    # A term has as many postings as documents, so the number to expect is known.
+    frequencies = known_rows(rarest, "df")
+    expected = sum(frequencies) if len(frequencies) <= LOCAL_ROWS else None
+    leads = term_matches(index, rarest).select(*CLAUSE, "doc_id")
+    leads = durable(leads) if expected is None else settled(leads, expected)
     rows = term_matches(index, phrases).join(leads, [*CLAUSE, "doc_id"], "left_semi")
     clause = [*CLAUSE, "doc_id", "grp", "occur", "size", "constant", "weight", "norm"]
     rows = rows.select(*clause, "off", "slop", F.explode("positions").alias("pos"))
@@ -156,7 +161,8 @@ def document_scores(hits: DataFrame, needs: DataFrame) -> DataFrame:
 def search(index: Index, terms: DataFrame, sloppy: bool = False) -> DataFrame:
     """All hits of all queries: (query_id, doc_id, score)."""
     terms = settled(terms)
-    weighted = settled(weighted_terms(index, terms))
+    # A clause term has at most one entry in the statistics.
+    weighted = settled(weighted_terms(index, terms), len(known_rows(terms, "clause_id")))
     alone, constant = F.col("size") == 1, F.col("constant")
     parts = []
     if _any(weighted, ~alone & ~constant):

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from litscope.operators import clauses as C
 from litscope.operators.matching import search
 from litscope.operators.ranking import rank_all, top_k
-from litscope.session import local_table, settled
+from litscope.session import durable, local_table
 from litscope.sources.store import Index
 
 DEFAULT_TOP_K = 20
@@ -28,7 +28,7 @@ def ranked(hits: DataFrame, k: int | None = DEFAULT_TOP_K) -> DataFrame:
 def with_records(hits: DataFrame, corpus: DataFrame) -> DataFrame:
     """Add the stored fields. The hits' true size decides how they are joined; a
     few documents are also named to the scan, which then skips other row groups."""
-    hits = settled(hits)
+    hits = durable(hits)
     few = hits.select("doc_id").limit(LISTED_DOCUMENTS + 1).collect()
     if len(few) <= LISTED_DOCUMENTS:
         corpus = corpus.where(F.col("doc_id").isin(sorted({h["doc_id"] for h in few})))

@@ -89,14 +89,22 @@ def local_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFram
 LOCAL_ROWS = 10_000
 
 
-def settled(df: DataFrame) -> DataFrame:
+def settled(df: DataFrame, bound: int | None = None) -> DataFrame:
     """Compute a table that is usually small, such as the terms of a query.
 
     At most LOCAL_ROWS rows come back as a local table; anything larger is
     written to the shared folder instead. Either way its size is known to the
-    planner from then on.
+    planner from then on. ``bound`` is how many rows there can be, if known: a
+    table that may be large is written at once, rather than tried first.
     """
+    if bound is not None and bound > LOCAL_ROWS:
+        return durable(df)
     rows = df.limit(LOCAL_ROWS + 1).toArrow()
     if rows.num_rows > LOCAL_ROWS:
         return durable(df)
     return df.sparkSession.createDataFrame(rows, df.schema)
+
+
+def known_rows(settled_table: DataFrame, column: str) -> list:
+    """Values of a settled table's column, up to one more than LOCAL_ROWS."""
+    return [r[0] for r in settled_table.select(column).limit(LOCAL_ROWS + 1).collect()]
