@@ -25,6 +25,9 @@ PHRASE_TOKEN = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s\p{Z}\x1c-\x1f\x85]+"
 
 POSSESSIVE = "['’]s$"
 
+# How many words a key phrase may have.
+MIN_WORDS, MAX_WORDS = 2, 4
+
 
 @dataclass(frozen=True)
 class Analysis:
@@ -80,7 +83,7 @@ def analyse(df: DataFrame, text: str, analysis: Analysis, field: str = "field")
     return held(out, "terms", terms).drop("_words", "_stems")
 
 
-def candidate_phrases(text: Column, min_words: int = 2, max_words: int = 4) -> Column:
+def candidate_phrases(text: Column, min_words: int = MIN_WORDS, max_words: int = MAX_WORDS) -> Column:
     """Maximal runs free of stop words and punctuation, as ``array<string>``.
 
     Runs longer than ``max_words`` are left out whole. Punctuation of more than

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from litscope.functions.text import candidate_phrases, holds_any
+from litscope.functions.text import MAX_WORDS, candidate_phrases, holds_any
 from litscope.functions.words import TREND_BLOCK_LIST
 from litscope.operators.ranking import top_k
 from litscope.session import durable
@@ -44,18 +44,24 @@ def phrase_words(phrases: DataFrame, scope: list[str]) -> DataFrame:
     return phrases.select(*scope, "phrase", "n", F.posexplode(F.split("phrase", " ")).alias("at", "word"))
 
 
-def phrase_scores(phrases: DataFrame, scores: DataFrame, scope: list[str]) -> DataFrame:
+def phrase_scores(phrases: DataFrame, scores: DataFrame, scope: list[str], max_words: int = MAX_WORDS) -> DataFrame:
     """Add ``score``: the sum of the word scores, added in word order.
 
-    ``phrases`` holds (scope, phrase, n). At most a handful of rows meet per
-    phrase; a word common to many phrases of one scope is a skewed join key and
-    is split by adaptive execution (the word side has one row per key).
+    ``phrases`` holds (scope, phrase, n). At most ``max_words`` rows meet per
+    phrase, and each fills the slot of its place, so the sum does not depend on
+    the order they arrive in. A word common to many phrases of one scope is a
+    skewed join key and is split by adaptive execution (the word side has one row
+    per key).
     """
     each = phrase_words(phrases, scope)
     parts = each.join(scores.select(*scope, "word", "word_score"), [*scope, "word"])
-    ordered = F.sort_array(F.collect_list(F.struct("at", "word_score")))
-    added = F.aggregate(ordered, F.lit(0.0), lambda acc, s: acc + s.word_score)
-    return parts.groupBy(*scope, "phrase", "n").agg(added.alias("score"))
+    slots = [f"_at{i}" for i in range(max_words)]
+    placed = [F.max(F.when(F.col("at") == i, F.col("word_score"))).alias(slot) for i, slot in enumerate(slots)]
+    score = F.lit(0.0)
+    for slot in slots:
+        score = score + F.coalesce(F.col(slot), F.lit(0.0))
+    summed = parts.groupBy(*scope, "phrase", "n").agg(*placed)
+    return summed.select(*scope, "phrase", "n", score.alias("score"))
 
 
 def scored_within(phrases: DataFrame, counts: DataFrame, scope: list[str]) -> DataFrame:
