@@ -185,6 +185,15 @@ _SPAN = "span AS (SELECT venue, phrase, CAST(sum(n) AS BIGINT) AS n FROM counts
 _SHOW = "SELECT venue, year, phrase, n, round(score, 6) AS score, rank FROM"
 
 
+_KNOWN_ITEMS = f"""
+firsts AS (SELECT CAST(doc_id AS VARCHAR) AS query_id, regexp_extract_all(lower({_RUNS}[1]), '{SIMPLE_WORD}') AS w FROM corpus),
+ft AS (SELECT query_id, unnest(w) AS term, unnest(range(len(w))) AS pos FROM firsts),
+kept AS (SELECT * FROM ft WHERE term NOT IN ({_STOP})),
+clauses AS (SELECT query_id, 0 AS grp, 'must' AS occur, '0' AS clause, 'title' AS field, term,
+                   pos - min(pos) OVER (PARTITION BY query_id) AS off,
+                   count(*) OVER (PARTITION BY query_id) AS size, 1.0 AS boost FROM kept)"""
+
+
 def oracles() -> dict[str, str]:
     yearly = _scored("venue, year", "counts", "y")
     overall = _scored("venue", "span", "s")
@@ -237,6 +246,7 @@ answer AS (SELECT 'q' AS query_id, doc_id, round(weight / (1 + width)
         ),
         "search_batch": _search(_BENCHMARK_WORDS),
         "search_batch_keywords": _search(_BENCHMARK_KEYWORDS),
+        "search_known_items": _search(_KNOWN_ITEMS),
         "search_prefix": _patterns("starts_with(term, 'erine')"),
         "search_wildcard": _patterns("regexp_full_match(term, '(?s)er.n.*sh')"),
         "search_regex": _patterns("regexp_full_match(term, 'th(an|in)e[ae]')"),

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from litscope.functions.stem import stem_terms
-from litscope.functions.text import SIMPLE_WORD, Analysis, words
+from litscope.functions.text import SIMPLE_WORD, Analysis, candidate_phrases, words
 from litscope.operators import clauses as C
 from litscope.operators import phrases as K
 from litscope.operators import postings as P
@@ -190,6 +190,18 @@ def search_batch_keywords(spark: SparkSession, folder: str) -> DataFrame:
     return _answer(spark, folder, C.keyword_clauses(_benchmark_queries(spark, folder)))
 
 
+def search_known_items(spark: SparkSession, folder: str) -> DataFrame:
+    """As many queries as documents: each one's first key phrase, searched for."""
+    rows = _texts(spark, folder).select(
+        F.col("doc_id").cast("string").alias("query_id"),
+        F.get(candidate_phrases(F.col("title")), F.lit(0)).alias("text"),
+    )
+    clauses = rows.where(F.col("text").isNotNull()).withColumns(
+        {"grp": F.lit(C.TITLE), "clause_id": F.lit(0), "field": F.lit("title"), "kind": F.lit("text")}
+    )
+    return _answer(spark, folder, C.clause_table(clauses))
+
+
 def hits_with_records(spark: SparkSession, folder: str) -> DataFrame:
     """Hits of the batch with stored fields and the labels of their documents."""
     hits = search_batch(spark, folder)
@@ -327,7 +339,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         year_range, year_single, year_batch, exact_field,
         search_term, search_should, search_must, search_must_not, search_phrase, search_phrase_gap,
         search_phrase_slop, search_boost, search_author_any, search_venue, search_return_all, search_multi,
-        search_batch, search_batch_keywords, hits_with_records,
+        search_batch, search_batch_keywords, search_known_items, hits_with_records,
         search_prefix, search_wildcard, search_regex, search_fuzzy, search_term_range,
         phrases, word_scores, phrase_scores, hotspots_by_year, hotspots_filled, hotspot_evolution, hotspot_series,
         hotspot_table, searched_hotspots,
