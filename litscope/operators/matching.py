@@ -158,9 +158,10 @@ def document_scores(hits: DataFrame, needs: DataFrame) -> DataFrame:
     return joined.select("query_id", "doc_id", F.round(score, SCORE_DIGITS).alias("score"))
 
 
-def search(index: Index, terms: DataFrame, sloppy: bool = False) -> DataFrame:
-    """All hits of all queries: (query_id, doc_id, score)."""
-    terms = settled(terms)
+def search(index: Index, terms: DataFrame, sloppy: bool = False, many: bool = False) -> DataFrame:
+    """All hits of all queries: (query_id, doc_id, score). ``many`` says that the
+    clause terms are a large table of their own and are written straight away."""
+    terms = durable(terms) if many else settled(terms)
     # A clause term has at most one entry in the statistics.
     weighted = settled(weighted_terms(index, terms), len(known_rows(terms, "clause_id")))
     alone, constant = F.col("size") == 1, F.col("constant")

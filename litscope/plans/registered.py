@@ -199,7 +199,7 @@ def search_known_items(spark: SparkSession, folder: str) -> DataFrame:
     clauses = rows.where(F.col("text").isNotNull()).withColumns(
         {"grp": F.lit(C.TITLE), "clause_id": F.lit(0), "field": F.lit("title"), "kind": F.lit("text")}
     )
-    return _answer(spark, folder, C.clause_table(clauses))
+    return _answer(spark, folder, C.clause_table(clauses), many=True)
 
 
 def hits_with_records(spark: SparkSession, folder: str) -> DataFrame:

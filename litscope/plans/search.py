@@ -46,16 +46,18 @@ def search_clauses(
     strict_gaps: bool = True,
     sloppy: bool = False,
     patterns: DataFrame | None = None,
+    many: bool = False,
 ) -> DataFrame:
     """Answer a whole table of queries in one job: (query_id, rank, doc_id, score).
 
     ``patterns`` adds clauses already resolved to terms (see ``pattern_terms``).
-    ``sloppy`` honours the ``slop`` column of phrase clauses.
+    ``sloppy`` honours the ``slop`` column of phrase clauses. ``many`` is for query
+    tables of tens of thousands of clauses and more.
     """
     terms = C.clause_terms(clauses, index.analysis, index.buckets, strict_gaps)
     if patterns is not None:
         terms = terms.unionByName(patterns)
-    return ranked(search(index, terms, sloppy), k)
+    return ranked(search(index, terms, sloppy, many), k)
 
 
 def year_hits(corpus: DataFrame, start: int, end: int | None = None) -> DataFrame:
