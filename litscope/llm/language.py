@@ -89,9 +89,16 @@ class Model:
 
 
 def _chosen(labelled: DataFrame, count: int) -> DataFrame:
-    """So many rows of each language, by a hash of the text: an order no column biases."""
-    order = [F.xxhash64("text").asc(), F.col("text").asc()]
-    return top_k(labelled.select("text", "lang").distinct(), ["lang"], order, count)
+    """So many distinct texts of each language: those with the least hashes.
+
+    Of a language with many rows, only those go into the ranking whose hash is
+    below a share that leaves eight times as many as are wanted.
+    """
+    rows = labelled.select("text", "lang", F.pmod(F.xxhash64("text"), F.lit(2**31)).alias("hash"))
+    # One row for each language.
+    shares = rows.groupBy("lang").agg((8 * count * 2.0**31 / F.count("*")).alias("below"))
+    few = rows.join(F.broadcast(shares), "lang").where(F.col("hash") < F.col("below"))
+    return top_k(few.select("text", "lang", "hash").distinct(), ["lang"], [F.col("hash").asc(), F.col("text").asc()], count)
 
 
 def train(labelled: DataFrame, landmarks: int = 16, samples: int = 400, ridge: float = 1e-3) -> Model:

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import importlib.util
+import pathlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from litscope.llm import kd_shards, language, minhash_forest, mixing, tiling, url_rules
+from litscope.llm import embedding_pairs, html_text, kd_shards, language, minhash_forest, mixing, pii, tiling, token_counts, url_rules
 from litscope.session import ship_package
 from litscope.sources.tables import read_table
 
@@ -29,6 +31,13 @@ TOPICS = [
 ROUNDS = 8
 
 
+def vocabulary() -> str:
+    """The installed file of GPT-2-like ranks."""
+    found = importlib.util.find_spec("public_tokenizers")
+    folder = pathlib.Path(found.origin).parent if found else pathlib.Path("/opt/tokenizers")
+    return str(folder / "byte_bpe_50k.tiktoken")
+
+
 def mixture(docs: DataFrame) -> DataFrame:
     """The production mix: source, language and topic, tempered towards equal shares."""
     dimensions = {"source": F.col("source"), "lang": F.col("lang"), "topic": mixing.keyword_topic(F.col("text"), TOPICS)}
@@ -43,6 +52,15 @@ def sharded(docs: DataFrame, shards: int) -> DataFrame:
     return kd_shards.kd_shards(docs, dimensions, shards=shards)
 
 
+def op1_pigeonhole_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return embedding_pairs.near_vectors(read_table(spark, folder, "embeddings"), cosine=0.98)
+
+
+def op2_html_layout(spark: SparkSession, folder: str) -> DataFrame:
+    pages = read_table(spark, folder, "pages").select("page_id", "html")
+    return html_text.extract_text(pages).withColumn("n_chars", F.coalesce(F.length("text"), F.lit(0)).cast("bigint"))
+
+
 def op3_ipf_mixing(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents").select("doc_id", "text", "source", "lang")
     mixed = mixture(docs)
@@ -88,6 +106,26 @@ def op7_kd_sharding(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_edit_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Tokens of every document before and after its personal data is written over."""
+    docs = read_table(spark, folder, "documents").select("doc_id", "text")
+    trees = token_counts.segment_trees(docs, vocabulary())
+    trees = pii.with_redactions(trees.withColumnRenamed("n_tokens", "tokens_before").withColumn("n_tokens", F.col("tokens_before")))
+    counted = token_counts.apply_edits(trees, vocabulary())
+    return counted.select(
+        "doc_id",
+        "tokens_before",
+        F.col("n_tokens").alias("tokens_after"),
+        F.size("edits").cast("bigint").alias("n_edits"),
+        "encoded_chars",
+        F.length("text").cast("bigint").alias("chars_after"),
+    )
+
+
+def op9_bootstrapped_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.digest(pii.personal_data(read_table(spark, folder, "documents").select("doc_id", "text")))
+
+
 def op10_url_rules(spark: SparkSession, folder: str) -> DataFrame:
     rules = spark.sql(f"SELECT * FROM VALUES {', '.join(map(repr, URL_RULES))} AS t(host, path, verdict)")
     judged = url_rules.judge_urls(read_table(spark, folder, "pages").select("page_id", "url"), rules)
@@ -96,7 +134,10 @@ def op10_url_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op3_ipf_mixing, op4_kernel_language, op5_lsh_forest, op6_string_tiling, op7_kd_sharding, op10_url_rules)
+    for f in (
+        op1_pigeonhole_vectors, op2_html_layout, op3_ipf_mixing, op4_kernel_language, op5_lsh_forest,
+        op6_string_tiling, op7_kd_sharding, op8_edit_counts, op9_bootstrapped_pii, op10_url_rules,
+    )
 }
 
 
