@@ -6,6 +6,12 @@ groups of a query (title, author, venue) must all hold. Kinds:
 ``text``   analysed; one term, or an exact phrase if there are several
 ``any``    analysed; every term becomes a clause of its own
 ``exact``  the text as it stands is the term
+
+and, over the terms of the index (see ``operators/patterns.py``), ``prefix``,
+``wildcard``, ``regex``, ``range`` (up to ``upper``) and ``fuzzy`` (``edits``).
+
+A clause is known by query, group, field, kind and clause_id; two rows must not
+share all five.
 """
 
 from __future__ import annotations
@@ -20,22 +26,40 @@ TITLE, AUTHOR, VENUE = 0, 1, 2
 
 CLAUSE_COLUMNS = (
     "query_id string, grp int, field string, occur string, clause_id int, kind string, "
-    "text string, boost double, slop int, year_from int, year_to int"
+    "text string, boost double, slop int, year_from int, year_to int, upper string, edits int"
 )
 
+# What a clause is known by; ``sub`` tells the words of an ``any`` clause apart.
+IDENTITY = ["query_id", "grp", "field", "kind", "clause_id"]
+CLAUSE = [*IDENTITY, "sub"]
+
+# Groups are bits of one number.
+MAX_GROUP = 63
+
+PATTERNS = ("prefix", "wildcard", "regex", "range", "fuzzy")
+
 # The words that link keyword clauses, in any letter case.
 CONNECTORS = "(?i)( AND | OR | NOT |, )"
 
 
 def _with_defaults(df: DataFrame) -> DataFrame:
-    defaults = {"boost": F.lit(1.0), "slop": F.lit(0), "occur": F.lit("must")}
+    defaults = {
+        "boost": F.lit(1.0), "slop": F.lit(0), "occur": F.lit("must"), "grp": F.lit(0), "clause_id": F.lit(0), "edits": F.lit(2),
+    }
     columns = []
     for item in CLAUSE_COLUMNS.split(", "):
         name, kind = item.split(" ")
         default = defaults.get(name, F.lit(None))
         column = F.coalesce(F.col(name), default) if name in df.columns else default
         columns.append(column.cast(kind).alias(name))
-    return df.select(*columns)
+    fitting = F.col("grp").between(0, MAX_GROUP)
+    wrong = F.raise_error(F.concat(F.lit(f"groups are numbered 0 to {MAX_GROUP}, not "), F.col("grp").cast("string")))
+    return df.select(*columns).withColumn("grp", F.when(fitting, F.col("grp")).otherwise(wrong.cast("int")))
+
+
+def repeated(clauses: DataFrame) -> DataFrame:
+    """Identities that more than one clause has."""
+    return clauses.groupBy(*IDENTITY).agg(F.count("*").alias("n")).where("n > 1")
 
 
 def clause_table(df: DataFrame) -> DataFrame:
@@ -73,7 +97,6 @@ def any_clauses(queries: DataFrame, field: str, group: int) -> DataFrame:
                 "grp": F.lit(group),
                 "kind": F.lit("any"),
                 "occur": F.lit("should"),
-                "clause_id": F.lit(1000 * (group + 1)),
             }
         )
     )
@@ -89,9 +112,9 @@ def venue_clauses(queries: DataFrame) -> DataFrame:
     The key is compared with the text as it stands, without analysis.
     """
     places = F.array(
-        F.struct(F.lit("key").alias("field"), F.lit("exact").alias("kind"), F.lit(3000).alias("clause_id")),
-        F.struct(F.lit("booktitle").alias("field"), F.lit("any").alias("kind"), F.lit(3001).alias("clause_id")),
-        F.struct(F.lit("journal").alias("field"), F.lit("any").alias("kind"), F.lit(3002).alias("clause_id")),
+        F.struct(F.lit("key").alias("field"), F.lit("exact").alias("kind")),
+        F.struct(F.lit("booktitle").alias("field"), F.lit("any").alias("kind")),
+        F.struct(F.lit("journal").alias("field"), F.lit("any").alias("kind")),
     )
     rows = queries.select("*", F.inline(places))
     return _with_defaults(rows.withColumns({"grp": F.lit(VENUE), "occur": F.lit("should")}))
@@ -102,9 +125,10 @@ def clause_terms(clauses: DataFrame, analysis: Analysis, buckets: int, strict_ga
 
     ``strict_gaps`` keeps the gap a stop word leaves inside a phrase; without it
     the terms close up, so "internet of things" asks for adjacent words.
-    A clause left without terms yields no row (see ``empty_clauses``).
+    A clause left without terms yields no row (see ``empty_clauses``). Pattern
+    clauses are not looked at.
     """
-    analysed = analyse(clauses, "text", analysis)
+    analysed = analyse(clauses.where(~F.col("kind").isin(*PATTERNS)), "text", analysis)
     exact = F.array(F.struct(F.col("text").alias("term"), F.lit(0).alias("pos")))
     terms = F.when(F.col("kind") == "exact", exact).otherwise(F.col("terms"))
     rows = analysed.withColumn("terms", terms).select(
@@ -116,9 +140,9 @@ def clause_terms(clauses: DataFrame, analysis: Analysis, buckets: int, strict_ga
     alone = F.col("kind") == "any"
     offset = F.col("t.pos") - F.col("first") if strict_gaps else F.col("at")
     return rows.select(
-        "query_id", "grp", "clause_id",
+        *IDENTITY,
         F.when(alone, F.col("at")).otherwise(0).alias("sub"),
-        "occur", "field",
+        "occur",
         term_bucket(F.col("t.term"), buckets).alias("bucket"),
         F.col("t.term").alias("term"),
         F.when(alone, 0).otherwise(offset).alias("off"),
@@ -131,7 +155,7 @@ def clause_terms(clauses: DataFrame, analysis: Analysis, buckets: int, strict_ga
 def empty_clauses(clauses: DataFrame, analysis: Analysis) -> DataFrame:
     """Clauses that analysis leaves without any term; searches ignore them."""
     rows = analyse(clauses, "text", analysis)
-    return rows.where((F.col("kind") != "exact") & (F.size("terms") == 0)).drop("terms")
+    return rows.where(~F.col("kind").isin("exact", *PATTERNS) & (F.size("terms") == 0)).drop("terms")
 
 
 def requirements(rows: DataFrame) -> DataFrame:
@@ -140,7 +164,7 @@ def requirements(rows: DataFrame) -> DataFrame:
     ``groups`` has one bit for each group that has no must clause of its own; such
     a group needs at least one of its optional clauses.
     """
-    distinct = rows.select("query_id", "grp", "clause_id", "sub", "occur", "year_from", "year_to").distinct()
+    distinct = rows.select(*CLAUSE, "occur", "year_from", "year_to").distinct()
     per_group = distinct.groupBy("query_id", "grp").agg(
         F.count_if(F.col("occur") == "must").alias("musts"),
         F.max("year_from").alias("year_from"),

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from litscope.operators.clauses import group_bit, requirements
-from litscope.session import LOCAL_ROWS, durable, known_rows, settled
+from litscope.operators.clauses import CLAUSE, PATTERNS, clause_terms, group_bit, repeated, requirements
+from litscope.operators.patterns import pattern_terms
+from litscope.session import durable
 from litscope.sources.store import Index
 
 # Term saturation and length normalisation of the ranking.
@@ -15,52 +18,45 @@ K1, B = 1.2, 0.75
 # Scores are rounded so that the order of additions cannot change a rank.
 SCORE_DIGITS = 9
 
-# Up to this many clause terms are named to the file scan one by one.
-LISTED_TERMS = 1000
-
-CLAUSE = ["query_id", "clause_id", "sub"]
-
 
 def pruned(table: DataFrame, terms: DataFrame) -> DataFrame:
-    """Limit an index table to the partitions, and if few to the terms, asked for.
+    """Limit an index table to the partitions asked for, and to the span of the terms.
 
-    There are at most fields x buckets pairs to list, whatever the number of terms.
+    There are at most fields x buckets places to list, whatever the number of terms.
     """
-    few = terms.select("field", "bucket", "term").limit(LISTED_TERMS + 1).collect()
-    listed = len(few) <= LISTED_TERMS
-    places = few if listed else terms.select("field", "bucket").distinct().collect()
+    places = terms.groupBy("field", "bucket").agg(F.min("term").alias("least"), F.max("term").alias("most")).collect()
     for column in ("field", "bucket"):
         table = table.where(F.col(column).isin(sorted({p[column] for p in places})))
-    return table.where(F.col("term").isin(list({t["term"] for t in few}))) if listed else table
-
-
-def _any(df: DataFrame, condition: Column) -> bool:
-    return bool(df.where(condition).limit(1).collect())
+    bounds = [v for p in places for v in (p["least"], p["most"]) if v is not None]
+    return table.where(F.col("term").between(min(bounds), max(bounds))) if bounds else table.where(F.lit(False))
 
 
 def weighted_terms(index: Index, terms: DataFrame) -> DataFrame:
     """Clause terms with their rarity; clauses that cannot match are gone.
 
     A phrase weighs the sum of its terms' rarities. ``lead`` marks its rarest
-    term. The result grows with the queries, not with the corpus.
+    term. The result grows with the queries, not with the corpus. Terms of a
+    pattern only need the mean length: however many they are, they meet no window.
     """
-    looked_up = pruned(index.term_stats, terms).join(terms, ["field", "bucket", "term"])
-    rows = looked_up.join(F.broadcast(index.field_stats), "field")  # one row per field
+    fields = F.broadcast(index.field_stats)  # one row per field
+    out = [
+        "field", "bucket", "term", *(c for c in CLAUSE if c != "field"), "occur", "off", "size", "slop",
+        "year_from", "year_to", "constant", "weight", "mean_length", "lead",
+    ]
+    plain = terms.where(~F.col("constant"))
+    rows = pruned(index.term_stats, plain).join(plain, ["field", "bucket", "term"]).join(fields, "field")
     idf = F.log(1 + (F.col("docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))
     window = Window.partitionBy(*CLAUSE)
-    weight = F.when(F.col("constant"), F.col("boost")).otherwise(F.col("boost") * F.sum("idf").over(window))
     rows = rows.withColumn("idf", idf).withColumns(
         {
-            "weight": weight,
+            "weight": F.col("boost") * F.sum("idf").over(window),
             "found": F.count("*").over(window),
             "lead": F.row_number().over(window.orderBy("df", "off")) == 1,
         }
     )
-    usable = F.col("constant") | (F.col("found") == F.col("size"))
-    return rows.where(usable).select(
-        "field", "bucket", "term", *CLAUSE, "grp", "occur", "off", "size", "slop",
-        "year_from", "year_to", "constant", "weight", "mean_length", "df", "lead",
-    )
+    scored = rows.where(F.col("found") == F.col("size")).select(*out)
+    fixed = terms.where(F.col("constant") & F.col("term").isNotNull()).join(fields, "field")
+    return scored.unionByName(fixed.withColumns({"weight": F.col("boost"), "lead": F.lit(True)}).select(*out))
 
 
 def term_matches(index: Index, weighted: DataFrame) -> DataFrame:
@@ -84,9 +80,10 @@ def single_hits(index: Index, weighted: DataFrame) -> DataFrame:
 
 
 def constant_hits(index: Index, weighted: DataFrame) -> DataFrame:
-    """Clauses that stand for many terms: a document counts once per clause."""
+    """Clauses that stand for many terms: a document counts once per clause, by its best term."""
     rows = term_matches(index, weighted.where("constant"))
-    return rows.select("query_id", "doc_id", "clause_id", "grp", "occur", F.col("weight").alias("part")).distinct().drop("clause_id")
+    best = rows.groupBy(*CLAUSE, "doc_id", "occur").agg(F.max("weight").alias("part"))
+    return best.select("query_id", "doc_id", "grp", "occur", "part")
 
 
 def phrase_hits(index: Index, weighted: DataFrame, sloppy: bool = False) -> DataFrame:
@@ -99,13 +96,9 @@ def phrase_hits(index: Index, weighted: DataFrame, sloppy: bool = False) -> Data
     """
     phrases = weighted.where((F.col("size") > 1) & ~F.col("constant"))
     rarest = phrases.where("lead")
-    # A term has as many postings as documents, so the number to expect is known.
-    frequencies = known_rows(rarest, "df")
-    expected = sum(frequencies) if len(frequencies) <= LOCAL_ROWS else None
-    leads = term_matches(index, rarest).select(*CLAUSE, "doc_id")
-    leads = durable(leads) if expected is None else settled(leads, expected)
+    leads = durable(term_matches(index, rarest).select(*CLAUSE, "doc_id"))
     rows = term_matches(index, phrases).join(leads, [*CLAUSE, "doc_id"], "left_semi")
-    clause = [*CLAUSE, "doc_id", "grp", "occur", "size", "constant", "weight", "norm"]
+    clause = [*CLAUSE, "doc_id", "occur", "size", "constant", "weight", "norm"]
     rows = rows.select(*clause, "off", "slop", F.explode("positions").alias("pos"))
     rows = rows.repartition("query_id", "doc_id").withColumn("start", F.col("pos") - F.col("off"))
     if sloppy:
@@ -116,19 +109,42 @@ def phrase_hits(index: Index, weighted: DataFrame, sloppy: bool = False) -> Data
     return hits.select("query_id", "doc_id", "grp", "occur", _part(F.col("freq")).alias("part"))
 
 
+def sloppy_sum(places: list[dict], size: int, slop: int) -> float:
+    """The sum of 1 / (1 + width) over the windows of up to ``slop`` that hold a phrase.
+
+    ``places`` are (start, off) in order of start. A window ends at a place and
+    begins as late as it can; no window holds another that ends where it ends.
+    """
+    latest: dict[int, int] = {}
+    total, before = 0.0, None
+    for k, place in enumerate(places):
+        latest[place["off"]] = place["start"]
+        more = k + 1 < len(places) and places[k + 1]["start"] == place["start"]
+        if len(latest) == size and not more:
+            begin = min(latest.values())
+            width = place["start"] - begin
+            # The same beginning belongs to the window that ended first.
+            if width <= slop and begin != before:
+                total += 1 / (1 + width)
+                before = begin
+    return total
+
+
+@F.arrow_udf(T.DoubleType())
+def _sloppy(places, size, slop):
+    rows = zip(places.to_pylist(), size.to_pylist(), slop.to_pylist())
+    return pa.array([sloppy_sum(*row) for row in rows], pa.float64())
+
+
 def _sloppy_frequency(rows: DataFrame, clause: list[str]) -> DataFrame:
     """Phrases whose offset-adjusted positions lie up to ``slop`` apart.
 
-    Each term is offered to all windows of each width that hold it; the narrowest
-    window with all terms gives 1 / (1 + width). Slop 0 counts exact phrases.
+    Positions of one phrase in one document meet, in order, and one window slides
+    over them. Exact occurrences have width 0 and count 1 each.
     """
-    wide = rows.withColumn("width", F.explode(F.sequence(F.lit(0), "slop")))
-    wide = wide.withColumn("start", F.explode(F.sequence(F.col("start") - F.col("width"), F.col("start"))))
-    terms = wide.groupBy(*clause, "slop", "width", "start", "off").agg(F.lit(1).alias("n"))
-    starts = terms.groupBy(*clause, "slop", "width", "start").agg(F.count("*").alias("n"))
-    whole = starts.where(F.col("n") == F.col("size"))
-    near, exact = 1 / (1 + F.min("width")), F.count("*").cast("double")
-    return whole.groupBy(*clause, "slop").agg(F.when(F.col("slop") == 0, exact).otherwise(near).alias("freq"))
+    placed = rows.groupBy(*clause, "slop").agg(F.sort_array(F.collect_list(F.struct("start", "off"))).alias("places"))
+    found = placed.withColumn("freq", _sloppy("places", "size", "slop"))
+    return found.where("freq > 0")
 
 
 def document_scores(hits: DataFrame, needs: DataFrame) -> DataFrame:
@@ -158,21 +174,34 @@ def document_scores(hits: DataFrame, needs: DataFrame) -> DataFrame:
     return joined.select("query_id", "doc_id", F.round(score, SCORE_DIGITS).alias("score"))
 
 
-def search(index: Index, terms: DataFrame, sloppy: bool = False, many: bool = False) -> DataFrame:
-    """All hits of all queries: (query_id, doc_id, score). ``many`` says that the
-    clause terms are a large table of their own and are written straight away."""
-    terms = durable(terms) if many else settled(terms)
-    # A clause term has at most one entry in the statistics.
-    weighted = settled(weighted_terms(index, terms), len(known_rows(terms, "clause_id")))
+def search(index: Index, terms: DataFrame, sloppy: bool = False) -> DataFrame:
+    """All hits of all queries: (query_id, doc_id, score)."""
+    terms = durable(terms)
+    weighted = durable(weighted_terms(index, terms))
     alone, constant = F.col("size") == 1, F.col("constant")
+    has = weighted.agg(
+        *(F.coalesce(F.bool_or(c), F.lit(False)).alias(n) for n, c in (("phrase", ~alone & ~constant), ("pattern", constant), ("single", alone & ~constant)))
+    ).first()
     parts = []
-    if _any(weighted, ~alone & ~constant):
+    if has["phrase"]:
         parts.append(phrase_hits(index, weighted, sloppy))
-    if _any(weighted, constant):
+    if has["pattern"]:
         parts.append(constant_hits(index, weighted))
-    if not parts or _any(weighted, alone & ~constant):
+    if not parts or has["single"]:
         parts.append(single_hits(index, weighted))
     hits = parts[0]
     for more in parts[1:]:
         hits = hits.unionByName(more)
     return document_scores(hits, requirements(terms))
+
+
+def answer_clauses(index: Index, clauses: DataFrame, strict_gaps: bool = True, sloppy: bool = False) -> DataFrame:
+    """Hits of a clause table, patterns included. Clauses that cannot be told apart are an error."""
+    clauses = durable(clauses)
+    twice = repeated(clauses).limit(1).collect()
+    if twice:
+        raise ValueError(f"two clauses share {twice[0].asDict()}: give them clause_ids of their own")
+    terms = clause_terms(clauses, index.analysis, index.buckets, strict_gaps)
+    if not clauses.where(F.col("kind").isin(*PATTERNS)).isEmpty():
+        terms = terms.unionByName(pattern_terms(index, clauses))
+    return search(index, terms, sloppy)

@@ -2,23 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from litscope.session import durable
 
-# Beyond this many rows per group a window over one task is replaced by a
-# range-partitioned numbering.
-WINDOW_LIMIT = 10_000
+
+def _cut_per_task(spark: SparkSession) -> int:
+    """Up to which k Spark cuts every task's rows to k before a ranking window."""
+    return int(spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
 
 
 def top_k(df: DataFrame, by: list[str], order: list[Column], k: int, rank: str = "rank") -> DataFrame:
     """The k best rows of each group, numbered from 1.
 
-    Small k: each task first cuts its own rows to k (WindowGroupLimit), so a hot
-    group never travels whole. Large k: number all rows by range, then filter.
+    As far as Spark cuts each task's own rows to k first, a hot group never
+    travels whole. For a larger k all rows are numbered by range, then filtered.
     """
-    if k <= WINDOW_LIMIT:
+    if k <= _cut_per_task(df.sparkSession):
         window = Window.partitionBy(*by).orderBy(*order)
         return df.withColumn(rank, F.row_number().over(window)).where(F.col(rank) <= k)
     return rank_all(df, by, order, rank).where(F.col(rank) <= k)
@@ -29,9 +30,11 @@ def rank_all(df: DataFrame, by: list[str], order: list[Column], rank: str = "ran
 
     One range shuffle sorts by group and order, so a large group spans many
     tasks. Row ids follow that order; each (task, group) run starts at the number
-    of rows the group has in earlier tasks. The sorted rows are kept durably
-    first, since the run lengths must describe exactly the rows they number.
+    of rows the group has in earlier tasks. The rows are kept durably before the
+    sort, which reads them twice, and after it, since the run lengths must describe
+    exactly the rows they number.
     """
+    df = durable(df)
     keys = [F.col(c).asc_nulls_first() for c in by]
     ordered = df.orderBy(*keys, *order).withColumn("_row", F.monotonically_increasing_id())
     ordered = durable(ordered).withColumn("_task", F.shiftright("_row", 33))

@@ -148,6 +148,43 @@ def _patterns(*conditions: str) -> str:
     )
 
 
+# Edits with swaps, no letter edited twice: the table of distances, cell by cell, of
+# the pairs that the engine's own distance, which counts bytes, leaves. From ``asked``
+# (query_id, text, edits) to ``near`` (query_id, term, weight).
+_FUZZY = """
+pairs AS (SELECT DISTINCT term AS a, text AS b FROM (SELECT DISTINCT term FROM df WHERE field = 'title'), asked
+          WHERE abs(length(term) - length(text)) <= edits AND damerau_levenshtein(term, text) <= 4 * edits),
+cells AS (
+  SELECT a, b, 0 AS k, [0] AS d FROM pairs
+  UNION ALL
+  SELECT a, b, k + 1, list_append(d, CASE WHEN i = 0 THEN j WHEN j = 0 THEN i ELSE least(
+      d[(i - 1) * w + j + 1] + 1, d[i * w + j] + 1, d[(i - 1) * w + j] + CASE WHEN a[i] = b[j] THEN 0 ELSE 1 END,
+      CASE WHEN i > 1 AND j > 1 AND a[i] = b[j - 1] AND a[i - 1] = b[j] THEN d[(i - 2) * w + j - 1] + 1 ELSE 1000 END) END)
+  FROM (SELECT *, length(b) + 1 AS w, CAST((k + 1) // (length(b) + 1) AS BIGINT) AS i, CAST((k + 1) % (length(b) + 1) AS BIGINT) AS j
+        FROM cells WHERE k + 1 < (length(a) + 1) * (length(b) + 1))),
+distances AS (SELECT a, b, list_last(d) AS apart FROM cells WHERE k + 1 = (length(a) + 1) * (length(b) + 1)),
+near AS (SELECT query_id, a AS term, greatest(0, 1 - apart / greatest(1, least(length(a), length(b)))) AS weight
+         FROM asked JOIN distances ON text = b WHERE apart <= edits)"""
+
+_PATTERN_BATCH = f"""
+bw AS (SELECT CAST(item_id AS VARCHAR) AS query_id, regexp_extract_all(lower(text), '{SIMPLE_WORD}') AS w FROM benchmark),
+bp AS (SELECT query_id, coalesce(w[2], 'the') AS w1, coalesce(w[3], 'the') AS w2, coalesce(w[4], 'the') AS w3,
+              coalesce(w[5], 'the') AS w4, coalesce(w[6], 'the') AS w5 FROM bw),
+asked AS (SELECT query_id, w3 AS text, 1 AS edits FROM bp),
+vocabulary AS (SELECT DISTINCT term FROM df WHERE field = 'title'),
+{_FUZZY.strip()},
+met AS (SELECT query_id, 'fuzzy' AS kind, term, weight FROM near
+  UNION ALL SELECT query_id, 'prefix', term, 1 FROM bp JOIN vocabulary ON starts_with(term, substr(w1, 1, 4))
+  UNION ALL SELECT query_id, 'wildcard', term, 1 FROM bp JOIN vocabulary
+            ON length(term) >= 4 AND starts_with(term, substr(w2, 1, 2)) AND length(term) >= length(substr(w2, 1, 2)) + 2
+            AND ends_with(term, right(w2, 1))
+  UNION ALL SELECT query_id, 'range', term, 1 FROM bp JOIN vocabulary
+            ON term BETWEEN substr(w4, 1, 3) AND substr(w4, 1, 3) || 'c'
+  UNION ALL SELECT query_id, 'regex', term, 1 FROM bp JOIN vocabulary
+            ON regexp_full_match(term, substr(w5, 1, 2) || '(th|er)+')),
+parts AS (SELECT query_id, kind, doc_id, max(weight) AS part FROM met JOIN tf USING (term) WHERE field = 'title' GROUP BY ALL),
+answer AS (SELECT query_id, doc_id, round(sum(part), 9) AS score FROM parts GROUP BY ALL)"""
+
 _BLOCKED = " OR ".join(f"contains(phrase, '{b}')" for b in TREND_BLOCK_LIST)
 
 _RUNS = f"""list_filter(list_transform(string_split(array_to_string(list_transform(
@@ -186,7 +223,9 @@ _SHOW = "SELECT venue, year, phrase, n, round(score, 6) AS score, rank FROM"
 
 
 _KNOWN_ITEMS = f"""
-firsts AS (SELECT CAST(doc_id AS VARCHAR) AS query_id, regexp_extract_all(lower({_RUNS}[1]), '{SIMPLE_WORD}') AS w FROM corpus),
+runs AS (SELECT doc_id, unnest({_RUNS}) AS p FROM corpus),
+firsts AS (SELECT CAST(doc_id AS VARCHAR) AS query_id,
+                  regexp_extract_all(lower(max_by(p, {{'n': length(p), 'p': p}})), '{SIMPLE_WORD}') AS w FROM runs GROUP BY doc_id),
 ft AS (SELECT query_id, unnest(w) AS term, unnest(range(len(w))) AS pos FROM firsts),
 kept AS (SELECT * FROM ft WHERE term NOT IN ({_STOP})),
 clauses AS (SELECT query_id, 0 AS grp, 'must' AS occur, '0' AS clause, 'title' AS field, term,
@@ -221,12 +260,16 @@ answer AS (SELECT query_id, doc_id, CAST(1 AS DOUBLE) AS score FROM spans JOIN c
         "search_phrase": _search(_values(*_phrase("p", ("eriner", 0), ("thanea", 1)))),
         "search_phrase_gap": _search(_values(*_phrase("p", ("attion", 0), ("thanedble", 2), ("anea", 4)))),
         "search_phrase_slop": f"""WITH {_tokens('title')},
-near AS (SELECT doc_id, min(abs(b.pos - 1 - a.pos)) AS width FROM tok a JOIN tok b USING (doc_id)
-         WHERE a.term = 'thanedble' AND b.term = 'eriner' AND abs(b.pos - 1 - a.pos) <= 3 GROUP BY doc_id),
+placed AS (SELECT doc_id, pos AS start, 0 AS off FROM tok WHERE term = 'thanedble'
+           UNION ALL SELECT doc_id, pos - 1, 1 FROM tok WHERE term = 'eriner'),
+ends AS (SELECT p.doc_id, p.start AS ending, max(q.start) FILTER (WHERE q.off = 0) AS one, max(q.start) FILTER (WHERE q.off = 1) AS two
+         FROM placed p JOIN placed q ON p.doc_id = q.doc_id AND q.start <= p.start GROUP BY p.doc_id, p.start),
+windows AS (SELECT doc_id, least(one, two) AS begin, min(ending) - least(one, two) AS width FROM ends
+            WHERE one IS NOT NULL AND two IS NOT NULL GROUP BY doc_id, least(one, two)),
+near AS (SELECT doc_id, sum(1 / (1 + width)) AS freq FROM windows WHERE width <= 3 GROUP BY doc_id),
 weight AS (SELECT sum(ln(1 + (docs - df + 0.5) / (df + 0.5))) AS weight, any_value(mean_length) AS mean_length
            FROM df JOIN fs USING (field) WHERE term IN ('thanedble', 'eriner')),
-answer AS (SELECT 'q' AS query_id, doc_id, round(weight / (1 + width)
-                  / (1 / (1 + width) + 1.2 * (1 - 0.75 + 0.75 * length / mean_length)), 9) AS score
+answer AS (SELECT 'q' AS query_id, doc_id, round(weight * freq / (freq + 1.2 * (1 - 0.75 + 0.75 * length / mean_length)), 9) AS score
            FROM near JOIN dl USING (doc_id) CROSS JOIN weight)"""
         + _RANK.format(limit="WHERE rank <= 20"),
         "search_boost": _search(
@@ -250,7 +293,18 @@ answer AS (SELECT 'q' AS query_id, doc_id, round(weight / (1 + width)
         "search_prefix": _patterns("starts_with(term, 'erine')"),
         "search_wildcard": _patterns("regexp_full_match(term, '(?s)er.n.*sh')"),
         "search_regex": _patterns("regexp_full_match(term, 'th(an|in)e[ae]')"),
-        "search_fuzzy": _patterns("damerau_levenshtein(term, 'eriner') <= 2"),
+        "search_fuzzy": f"""WITH RECURSIVE {_tokens('title')}, asked AS (SELECT 'q' AS query_id, 'eriner' AS text, 2 AS edits), {_FUZZY.strip()},
+answer AS (SELECT query_id, doc_id, round(max(weight), 9) AS score FROM near JOIN tf USING (term) GROUP BY ALL)"""
+        + _RANK.format(limit="WHERE rank <= 20"),
+        "search_pattern_batch": f"WITH RECURSIVE {_tokens('title')}, {_PATTERN_BATCH.strip()}" + _RANK.format(limit="WHERE rank <= 20"),
+        "search_author_or_venue": _search(
+            _values(*_single("should", "a3", "src7", field="author", grp=1), *_single("should", "a3", "src7", field="booktitle", grp=1))
+        ),
+        "search_keyword_and_prefix": _search(
+            _values(*_single("must", "heed")),
+            constant=" + 1",
+            years="h.doc_id IN (SELECT doc_id FROM tf WHERE field = 'title' AND starts_with(term, 'erine'))",
+        ),
         "search_term_range": _patterns("term BETWEEN 'thana' AND 'thanz'", "term BETWEEN 'heea' AND 'heed'"),
         "phrases": f"WITH {_COUNTS} SELECT venue, year, phrase, n FROM counts",
         "word_scores": f"WITH {_COUNTS}, {yearly} SELECT venue, year, word, degree, freq, round(word_score, 6) AS word_score FROM y_words",

@@ -14,8 +14,7 @@ from litscope.operators import clauses as C
 from litscope.operators import phrases as K
 from litscope.operators import postings as P
 from litscope.operators import topics, trends
-from litscope.operators.patterns import Pattern, pattern_terms
-from litscope.operators.matching import search
+from litscope.operators.patterns import Pattern, pattern_clauses
 from litscope.plans import search as S
 from litscope.plans.trends import searched_titles
 from litscope.session import durable, local_table, shared_folder, ship_package
@@ -105,7 +104,7 @@ def year_batch(spark: SparkSession, folder: str) -> DataFrame:
         (F.lit(2012) + F.col("item_id") % 7).cast("int").alias("year_from"),
         (F.lit(2012) + F.col("item_id") % 11).cast("int").alias("year_to"),
     )
-    hits = S.year_hits_batch(documents_corpus(spark, folder), spans)
+    hits = S.year_hits_batch(documents_corpus(spark, folder), spans, S.DEFAULT_TOP_K)
     return _rounded(S.ranked(hits, S.DEFAULT_TOP_K))
 
 
@@ -191,15 +190,14 @@ def search_batch_keywords(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def search_known_items(spark: SparkSession, folder: str) -> DataFrame:
-    """As many queries as documents: each one's first key phrase, searched for."""
-    rows = _texts(spark, folder).select(
-        F.col("doc_id").cast("string").alias("query_id"),
-        F.get(candidate_phrases(F.col("title")), F.lit(0)).alias("text"),
-    )
+    """As many queries as documents: each one's longest key phrase, searched for."""
+    phrases = candidate_phrases(F.col("title"))
+    longest = F.array_max(F.transform(phrases, lambda p: F.struct(F.length(p).alias("n"), p.alias("text"))))
+    rows = _texts(spark, folder).select(F.col("doc_id").cast("string").alias("query_id"), longest["text"].alias("text"))
     clauses = rows.where(F.col("text").isNotNull()).withColumns(
         {"grp": F.lit(C.TITLE), "clause_id": F.lit(0), "field": F.lit("title"), "kind": F.lit("text")}
     )
-    return _answer(spark, folder, C.clause_table(clauses), many=True)
+    return _answer(spark, folder, C.clause_table(clauses))
 
 
 def hits_with_records(spark: SparkSession, folder: str) -> DataFrame:
@@ -211,8 +209,7 @@ def hits_with_records(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _pattern(spark: SparkSession, folder: str, *patterns: Pattern) -> DataFrame:
-    index = index_for(spark, folder)
-    return _rounded(S.ranked(search(index, pattern_terms(index, list(patterns)))))
+    return _answer(spark, folder, pattern_clauses(spark, list(patterns)))
 
 
 def search_prefix(spark: SparkSession, folder: str) -> DataFrame:
@@ -232,7 +229,43 @@ def search_fuzzy(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def search_term_range(spark: SparkSession, folder: str) -> DataFrame:
-    return _pattern(spark, folder, Pattern("range", "thana", upper="thanz"), Pattern("range", "heea", upper="heed", clause_id=1))
+    return _pattern(spark, folder, Pattern("range", "thana", upper="thanz"), Pattern("range", "heea", upper="heed"))
+
+
+def search_author_or_venue(spark: SparkSession, folder: str) -> DataFrame:
+    """Any-word clauses over two fields of one group."""
+    query = S.one_query(spark, "a3 src7")
+    return _answer(spark, folder, C.any_clauses(query, "author", C.AUTHOR).unionByName(C.any_clauses(query, "booktitle", C.AUTHOR)))
+
+
+def search_keyword_and_prefix(spark: SparkSession, folder: str) -> DataFrame:
+    """A keyword and a pattern, both required, with the ids they come with."""
+    keyword = C.keyword_clauses(S.one_query(spark, "heed"))
+    return _answer(spark, folder, keyword.unionByName(pattern_clauses(spark, [Pattern("prefix", "erine", clause_id=0)])))
+
+
+def search_pattern_batch(spark: SparkSession, folder: str) -> DataFrame:
+    """Patterns made of every benchmark text's words, all kinds, any of which may match."""
+    found = words(F.col("text"), SIMPLE_WORD)
+
+    def word(i: int) -> Column:
+        return F.coalesce(F.get(found, F.lit(i)), F.lit("the"))
+
+    def kind(name: str, text: Column, upper: Column | None = None) -> Column:
+        bound = F.lit(None).cast("string") if upper is None else upper
+        return F.struct(F.lit(name).alias("kind"), text.alias("text"), bound.alias("upper"))
+
+    start = F.substring(word(4), 1, 3)
+    kinds = F.array(
+        kind("prefix", F.substring(word(1), 1, 4)),
+        kind("wildcard", F.concat(F.substring(word(2), 1, 2), F.lit("?*"), F.right(word(2), F.lit(1)))),
+        kind("fuzzy", word(3)),
+        kind("range", start, F.concat(start, F.lit("c"))),
+        kind("regex", F.concat(F.substring(word(5), 1, 2), F.lit("(th|er)+"))),
+    )
+    rows = read_table(spark, folder, "benchmark").select(F.col("item_id").cast("string").alias("query_id"), F.inline(kinds))
+    clauses = rows.withColumns({"field": F.lit("title"), "occur": F.lit("should"), "edits": F.lit(1)})
+    return _answer(spark, folder, C.clause_table(clauses))
 
 
 def _scope(spark: SparkSession, folder: str) -> DataFrame:
@@ -340,6 +373,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         search_term, search_should, search_must, search_must_not, search_phrase, search_phrase_gap,
         search_phrase_slop, search_boost, search_author_any, search_venue, search_return_all, search_multi,
         search_batch, search_batch_keywords, search_known_items, hits_with_records,
+        search_author_or_venue, search_keyword_and_prefix, search_pattern_batch,
         search_prefix, search_wildcard, search_regex, search_fuzzy, search_term_range,
         phrases, word_scores, phrase_scores, hotspots_by_year, hotspots_filled, hotspot_evolution, hotspot_series,
         hotspot_table, searched_hotspots,

@@ -6,16 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from litscope.operators import clauses as C
-from litscope.operators.matching import search
+from litscope.operators.matching import answer_clauses
+from litscope.operators.patterns import Pattern, pattern_clauses
 from litscope.operators.ranking import rank_all, top_k
 from litscope.session import durable, local_table
 from litscope.sources.store import Index
 
 DEFAULT_TOP_K = 20
 
-# Up to this many hits are named to the scan of their records one by one.
-LISTED_DOCUMENTS = 500
-
 
 def ranked(hits: DataFrame, k: int | None = DEFAULT_TOP_K) -> DataFrame:
     """Number the hits of each query, best first; ``k=None`` keeps them all."""
@@ -26,13 +24,8 @@ def ranked(hits: DataFrame, k: int | None = DEFAULT_TOP_K) -> DataFrame:
 
 
 def with_records(hits: DataFrame, corpus: DataFrame) -> DataFrame:
-    """Add the stored fields. The hits' true size decides how they are joined; a
-    few documents are also named to the scan, which then skips other row groups."""
-    hits = durable(hits)
-    few = hits.select("doc_id").limit(LISTED_DOCUMENTS + 1).collect()
-    if len(few) <= LISTED_DOCUMENTS:
-        corpus = corpus.where(F.col("doc_id").isin(sorted({h["doc_id"] for h in few})))
-    return hits.join(corpus, "doc_id")
+    """Add the stored fields. The hits' true size decides how they are joined."""
+    return durable(hits).join(corpus, "doc_id")
 
 
 def one_query(spark: SparkSession, text: str) -> DataFrame:
@@ -45,19 +38,12 @@ def search_clauses(
     k: int | None = DEFAULT_TOP_K,
     strict_gaps: bool = True,
     sloppy: bool = False,
-    patterns: DataFrame | None = None,
-    many: bool = False,
 ) -> DataFrame:
     """Answer a whole table of queries in one job: (query_id, rank, doc_id, score).
 
-    ``patterns`` adds clauses already resolved to terms (see ``pattern_terms``).
-    ``sloppy`` honours the ``slop`` column of phrase clauses. ``many`` is for query
-    tables of tens of thousands of clauses and more.
+    ``sloppy`` honours the ``slop`` column of phrase clauses.
     """
-    terms = C.clause_terms(clauses, index.analysis, index.buckets, strict_gaps)
-    if patterns is not None:
-        terms = terms.unionByName(patterns)
-    return ranked(search(index, terms, sloppy, many), k)
+    return ranked(answer_clauses(index, clauses, strict_gaps, sloppy), k)
 
 
 def year_hits(corpus: DataFrame, start: int, end: int | None = None) -> DataFrame:
@@ -72,10 +58,12 @@ def exact_hits(corpus: DataFrame, field: str, value: str) -> DataFrame:
     return rows.select(F.lit("q").alias("query_id"), "doc_id", F.lit(1.0).alias("score"))
 
 
-def year_hits_batch(corpus: DataFrame, spans: DataFrame) -> DataFrame:
+def year_hits_batch(corpus: DataFrame, spans: DataFrame, k: int | None = None) -> DataFrame:
     """(query_id, year_from, year_to) -> hits, as an equality join on the year.
 
-    Spans are clipped to the years there are, then listed year by year.
+    Spans are clipped to the years there are, then listed year by year. All scores
+    are equal and ties go by doc_id, so the k best of a span are among the k least
+    ids of its years: with ``k``, only those are joined.
     """
     known = corpus.agg(F.min("year").alias("lo"), F.max("year").alias("hi")).first()
     if known["lo"] is None:
@@ -84,9 +72,10 @@ def year_hits_batch(corpus: DataFrame, spans: DataFrame) -> DataFrame:
     last = F.least(F.coalesce("year_to", "year_from"), F.lit(known["hi"]))
     listed = spans.withColumns({"first": first, "last": last}).where("first <= last")
     listed = listed.select("query_id", F.explode(F.sequence("first", "last")).alias("year"))
-    return corpus.select("doc_id", "year").join(listed, "year").select(
-        "query_id", "doc_id", F.lit(1.0).alias("score")
-    )
+    records = corpus.select("doc_id", "year")
+    if k is not None:
+        records = top_k(records, ["year"], [F.col("doc_id").asc()], k).drop("rank")
+    return records.join(listed, "year").select("query_id", "doc_id", F.lit(1.0).alias("score"))
 
 
 class Library:
@@ -101,8 +90,7 @@ class Library:
         return with_records(answer.drop("query_id"), self.index.corpus).orderBy("rank")
 
     def _search(self, clauses: DataFrame, top_k: int | None, return_all: bool) -> DataFrame:
-        terms = C.clause_terms(clauses, self.index.analysis, self.index.buckets)
-        return self._finish(search(self.index, terms), top_k, return_all)
+        return self._finish(answer_clauses(self.index, clauses), top_k, return_all)
 
     def by_year(self, start: int, end: int | None = None, top_k: int | None = None, return_all: bool = False) -> DataFrame:
         return self._finish(year_hits(self.index.corpus, start, end), top_k, return_all)
@@ -114,6 +102,10 @@ class Library:
         """Keywords linked by AND, OR, NOT or commas; several words form a phrase."""
         return self._search(C.keyword_clauses(one_query(self.index.spark, keyword)), top_k, return_all)
 
+    def by_pattern(self, kind: str, text: str, top_k: int | None = None, return_all: bool = False, **options) -> DataFrame:
+        """A prefix, wildcard, regex, fuzzy or range search (see ``Pattern``)."""
+        return self._search(pattern_clauses(self.index.spark, [Pattern(kind, text, **options)]), top_k, return_all)
+
     def by_author(self, author: str, top_k: int | None = None, return_all: bool = False) -> DataFrame:
         return self._search(C.author_clauses(one_query(self.index.spark, author)), top_k, return_all)
 
@@ -142,7 +134,7 @@ class Library:
             clauses = clauses.unionByName(more)
         if start:
             clauses = clauses.withColumns({"year_from": F.lit(start), "year_to": F.lit(end or start)})
-        return search(self.index, C.clause_terms(clauses, self.index.analysis, self.index.buckets))
+        return answer_clauses(self.index, clauses)
 
     def multi_field(
         self,

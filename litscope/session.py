@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import pathlib
 import shutil
 import tempfile
@@ -23,9 +24,6 @@ def get_spark(app: str = "litscope", master: str | None = None, **settings: str)
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.parquet.compression.codec", "zstd")
-        # Name up to this many terms or documents to the Parquet reader one by
-        # one, instead of only their range.
-        .config("spark.sql.parquet.pushdown.inFilterThreshold", "500")
     )
     if master:
         builder = builder.master(master)
@@ -66,15 +64,40 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+# Folders of the open ``scratch`` scopes, innermost last.
+_scopes: list[list[str]] = []
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Write to the shared folder and read back.
 
     Cuts the lineage, so a lost executor costs no recomputation, and gives the
     planner the true size: a join then broadcasts this table only if it is small.
+    The folder goes when the application ends, or with the ``scratch`` around it.
     """
-    path = f"{shared_folder(df.sparkSession)}/litscope-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/litscope-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    if _scopes:
+        _scopes[-1].append(path)
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession):
+    """Drop the intermediate tables written inside when the block ends.
+
+    What the block computes must be read or written before that.
+    """
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def local_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
@@ -83,28 +106,3 @@ def local_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFram
     columns = zip(*rows) if rows else [[] for _ in kinds.fields]
     arrays = [pa.array(list(c), _ARROW[f.dataType.simpleString()]) for c, f in zip(columns, kinds.fields)]
     return spark.createDataFrame(pa.Table.from_arrays(arrays, names=kinds.names), kinds)
-
-
-# Up to this many rows a small table is handed around by the driver.
-LOCAL_ROWS = 10_000
-
-
-def settled(df: DataFrame, bound: int | None = None) -> DataFrame:
-    """Compute a table that is usually small, such as the terms of a query.
-
-    At most LOCAL_ROWS rows come back as a local table; anything larger is
-    written to the shared folder instead. Either way its size is known to the
-    planner from then on. ``bound`` is how many rows there can be, if known: a
-    table that may be large is written at once, rather than tried first.
-    """
-    if bound is not None and bound > LOCAL_ROWS:
-        return durable(df)
-    rows = df.limit(LOCAL_ROWS + 1).toArrow()
-    if rows.num_rows > LOCAL_ROWS:
-        return durable(df)
-    return df.sparkSession.createDataFrame(rows, df.schema)
-
-
-def known_rows(settled_table: DataFrame, column: str) -> list:
-    """Values of a settled table's column, up to one more than LOCAL_ROWS."""
-    return [r[0] for r in settled_table.select(column).limit(LOCAL_ROWS + 1).collect()]

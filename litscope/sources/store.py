@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 from litscope.functions.text import Analysis
 from litscope.operators import postings as P
 from litscope.schema import DEFAULT_FIELDS, LIST_FIELDS
+from litscope.session import durable, scratch
 
-# A term bucket holds the terms of about this many words, within the limits below.
+# A term bucket holds the terms of about this many words.
 BUCKET_TOKENS = 20_000_000
-MIN_BUCKETS, MAX_BUCKETS = 8, 4096
+MIN_BUCKETS = 8
 
 
 @dataclass(frozen=True)
@@ -22,7 +23,6 @@ class Index:
     """Tables of one index, and how its text was analysed."""
 
     corpus: DataFrame
-    doc_postings: DataFrame
     postings: DataFrame
     term_stats: DataFrame
     field_stats: DataFrame
@@ -44,7 +44,7 @@ def build_index(
 ) -> Index:
     """Write all tables under ``path``, replacing what was there, and open them.
 
-    Text is analysed once, into ``doc_postings``; the other tables derive from it.
+    Text is analysed once, into an intermediate table; the others derive from it.
     Postings are laid out by (field, term bucket) and sorted by term, so a
     search reads a few partitions and row groups. The rebalance splits a term
     that fills far more than its share over several files. ``keep_corpus=False``
@@ -56,14 +56,20 @@ def build_index(
         corpus.sortWithinPartitions("year", "doc_id").write.mode("overwrite").parquet(f"{path}/corpus")
         corpus = spark.read.parquet(f"{path}/corpus")
     terms = P.document_terms(corpus, list(fields), analysis)
-    P.document_postings(terms).write.mode("overwrite").parquet(f"{path}/doc_postings")
-    doc_postings = spark.read.parquet(f"{path}/doc_postings")
+    with scratch(spark):
+        buckets = _write_tables(spark, durable(P.document_postings(terms)), path, buckets)
+    meta = {"analysis": asdict(analysis), "buckets": buckets}
+    spark.createDataFrame([(json.dumps(meta),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/meta")
+    return open_index(spark, path, None if keep_corpus else corpus)
+
 
+def _write_tables(spark: SparkSession, doc_postings: DataFrame, path: str, buckets: int | None) -> int:
+    """Write statistics and postings; returns the number of term buckets."""
     P.field_stats(doc_postings).coalesce(1).write.mode("overwrite").parquet(f"{path}/field_stats")
     if buckets is None:
         # One row per field.
         tokens = spark.read.parquet(f"{path}/field_stats").agg(F.sum("tokens")).first()[0] or 0
-        buckets = min(MAX_BUCKETS, max(MIN_BUCKETS, tokens // BUCKET_TOKENS))
+        buckets = max(MIN_BUCKETS, tokens // BUCKET_TOKENS)
     for name, rows, order in (
         ("postings", P.postings(doc_postings), ["field", "bucket", "term", "doc_id"]),
         ("term_stats", P.term_stats(doc_postings), ["field", "bucket", "term"]),
@@ -71,9 +77,7 @@ def build_index(
         rows = rows.withColumn("bucket", P.term_bucket("term", buckets))
         rows = rows.hint("rebalance", "field", "bucket").sortWithinPartitions(*order)
         rows.write.mode("overwrite").partitionBy("field", "bucket").parquet(f"{path}/{name}")
-    meta = {"analysis": asdict(analysis), "buckets": buckets}
-    spark.createDataFrame([(json.dumps(meta),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/meta")
-    return open_index(spark, path, None if keep_corpus else corpus)
+    return buckets
 
 
 def open_index(spark: SparkSession, path: str, corpus: DataFrame | None = None) -> Index:
@@ -81,7 +85,6 @@ def open_index(spark: SparkSession, path: str, corpus: DataFrame | None = None)
     settings = {k: tuple(v) if isinstance(v, list) else v for k, v in meta["analysis"].items()}
     return Index(
         corpus=corpus if corpus is not None else spark.read.parquet(f"{path}/corpus"),
-        doc_postings=spark.read.parquet(f"{path}/doc_postings"),
         postings=spark.read.parquet(f"{path}/postings"),
         term_stats=spark.read.parquet(f"{path}/term_stats"),
         field_stats=spark.read.parquet(f"{path}/field_stats"),

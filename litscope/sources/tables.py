@@ -10,13 +10,17 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+# A table of fewer splits than this is small enough to be dealt out anew.
+FEW_SPLITS = 8
+
+
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Share a table with few file splits over the cores before text work.
+    """Share a table of a few file splits over the cores before text work.
 
-    A large table already has more splits than cores and is never shuffled whole.
+    A table of more splits is read as it is, however many cores there are.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < 2 * cores else df
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < min(FEW_SPLITS, cores) else df
 
 
 def documents_corpus(spark: SparkSession, folder: str) -> DataFrame:

@@ -6,8 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from litscope.operators import clauses as C
-from litscope.operators.matching import search
-from litscope.operators.patterns import Pattern, edit_distance, pattern_terms
+from litscope.operators.matching import search, sloppy_sum
+from litscope.operators.patterns import Pattern, edit_distance, pattern_clauses, pattern_terms
 from litscope.operators.ranking import rank_all, top_k
 from litscope.plans.search import ranked, search_clauses, year_hits_batch
 from litscope.sources.store import open_index
@@ -42,7 +42,7 @@ def test_phrase_over_a_stop_word(spark, library):
 def test_score_is_the_published_formula(library):
     row = library.by_keyword("neural").first()
     stats = {r.field: r for r in library.index.field_stats.collect()}["title"]
-    length = library.index.doc_postings.where((F.col("doc_id") == row.doc_id) & (F.col("field") == "title")).first().length
+    length = library.index.postings.where((F.col("doc_id") == row.doc_id) & (F.col("field") == "title")).first().length
     idf = math.log(1 + (stats.docs - 1 + 0.5) / (1 + 0.5))
     expected = idf * 1 / (1 + 1.2 * (1 - 0.75 + 0.75 * length / stats.mean_length))
     assert row.score == pytest.approx(expected, abs=1e-8)
@@ -172,15 +172,47 @@ def test_a_batch_answers_each_query_as_if_alone(spark, library):
 )
 def test_patterns(library, pattern, count):
     hits = search(library.index, pattern_terms(library.index, [pattern])).collect()
-    assert len(hits) == count and all(h.score == 1.0 for h in hits)
+    assert len(hits) == count and all(h.score == 1.0 or pattern.kind == "fuzzy" for h in hits)
+
+
+def test_nearer_words_come_first(spark, library):
+    rows = library.by_pattern("fuzzy", "networks").select("score", "title").collect()
+    assert rows and rows[0]["score"] == max(r["score"] for r in rows)
+    exact, apart = (library.by_pattern("fuzzy", t).first()["score"] for t in ("thing", "thong"))
+    assert exact == 1.0 and apart == pytest.approx(0.8)
 
 
 def test_patterns_join_other_clauses(spark, library):
     rows = clause_frame(spark, ("q", 0, 0, "title", "must", "text", "things"))
-    extra = pattern_terms(library.index, [Pattern("prefix", "inter", clause_id=1), Pattern("prefix", "zz", clause_id=2)])
-    assert search_clauses(library.index, rows, patterns=extra).count() == 0
-    extra = pattern_terms(library.index, [Pattern("prefix", "inter", clause_id=1, boost=3.0)])
-    assert titles_of(library, search_clauses(library.index, rows, patterns=extra)) == {"Internet of things"}
+
+    def found(*patterns):
+        return titles_of(library, search_clauses(library.index, rows.unionByName(pattern_clauses(spark, list(patterns)))))
+
+    assert found(Pattern("prefix", "inter"), Pattern("prefix", "zz")) == set()
+    assert found(Pattern("prefix", "inter", boost=3.0)) == {"Internet of things"}
+    # The keyword has the same id; what kind of clause it is tells them apart.
+    assert found(Pattern("prefix", "inter", clause_id=0)) == {"Internet of things"}
+
+
+def test_clauses_of_one_group_over_two_fields(spark, library):
+    query = spark.createDataFrame([("q", "brown aaai")], "query_id string, text string")
+    parts = [C.any_clauses(query, f, C.AUTHOR) for f in ("author", "booktitle")]
+    alone = [titles_of(library, search_clauses(library.index, p)) for p in parts]
+    both = titles_of(library, search_clauses(library.index, parts[0].unionByName(parts[1])))
+    assert all(alone) and both == alone[0] | alone[1]
+
+
+def test_clauses_that_cannot_be_told_apart(spark, library):
+    rows = clause_frame(spark, ("q", 0, 0, "title", "must", "text", "things"), ("q", 0, 0, "title", "must", "text", "graph"))
+    with pytest.raises(ValueError, match="clause_id"):
+        search_clauses(library.index, rows)
+    with pytest.raises(Exception, match="groups are numbered 0 to 63"):
+        search_clauses(library.index, clause_frame(spark, ("q", 64, 0, "title", "must", "text", "things"))).collect()
+
+
+def test_long_keyword_text_meets_no_other_clause(spark, library):
+    many = ", ".join(["things"] * 2100)
+    assert len(keys(library.multi_field(keyword=many, author="brown", top_k=50))) == 1
 
 
 def test_edit_distance():
@@ -199,6 +231,19 @@ def test_slop(spark, library):
     assert search_clauses(library.index, exact, sloppy=True).collect() == plain
 
 
+def test_slop_adds_up_all_windows():
+    def freq(*places, size=2, slop=3):
+        return sloppy_sum([{"start": s, "off": o} for s, o in sorted(places)], size, slop)
+
+    assert freq((4, 0), (4, 1)) == 1
+    assert freq((4, 0), (4, 1), (9, 0), (9, 1)) == 2
+    assert freq((4, 0), (6, 1)) == pytest.approx(1 / 3)
+    assert freq((4, 0), (9, 1)) == 0
+    # 4-6, 6-7 and 7-8: each begins later than the one before.
+    assert freq((4, 0), (6, 1), (7, 0), (8, 1)) == pytest.approx(1 / 3 + 1 / 2 + 1 / 2)
+    assert freq((1, 0), (1, 1), (1, 2), (3, 0), size=3) == pytest.approx(1)
+
+
 def test_index_opens_again_with_its_analysis(spark, library):
     path = library.index.postings.inputFiles()[0].split("/postings/")[0]
     index = open_index(spark, path)
@@ -213,7 +258,7 @@ def test_search_reads_only_the_asked_buckets(spark, library):
     scan = [line for line in plan.splitlines() if "FileScan" in line and "postings" in line]
     filters = [line.split("PartitionFilters")[1].split("PushedFilters")[0] for line in scan]
     assert filters and all("field" in f and "bucket" in f for f in filters)
-    assert all("EqualTo(term,neural)" in line for line in scan)
+    assert all("GreaterThanOrEqual(term,neural)" in line and "LessThanOrEqual(term,neural)" in line for line in scan)
     assert all("positions" not in line.split("ReadSchema")[1] for line in scan)
     assert "SortMergeJoin" not in plan
 
@@ -223,6 +268,8 @@ def test_year_batch(spark, library):
         [("a", 2014, 2015), ("b", 2016, None), ("c", 0, 2_000_000), ("d", 2016, 2012)],
         "query_id string, year_from int, year_to int",
     )
+    best = ranked(year_hits_batch(library.index.corpus, spans), 2).collect()
+    assert sorted(best) == sorted(ranked(year_hits_batch(library.index.corpus, spans, 2), 2).collect())
     counts = {r["query_id"]: r["count"] for r in year_hits_batch(library.index.corpus, spans).groupBy("query_id").count().collect()}
     assert counts == {"a": 4, "b": 2, "c": 9}
 
@@ -235,3 +282,11 @@ def test_rank_all_equals_a_window(spark):
     assert sorted(map(str, rank_all(frame, ["query_id"], order).collect())) == sorted(map(str, window))
     cut = ranked(frame, 3).collect()
     assert sorted(map(str, top_k(frame, ["query_id"], order, 20_000).where("rank <= 3").collect())) == sorted(map(str, cut))
+
+
+@pytest.mark.parametrize("k", [1000, 1001, 10_000])
+def test_no_group_is_sorted_whole_in_one_task(spark, k):
+    frame = spark.range(3000).selectExpr("'q' AS query_id", "id AS doc_id", "double(id % 7) AS score")
+    plan = ranked(frame, k)._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan or "rowsBetween" in plan or "Sort [query_id" not in plan
+    assert [r["rank"] for r in ranked(frame, k).orderBy("rank").collect()] == list(range(1, min(k, 3000) + 1))

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import pathlib
+
 from pyspark.sql import functions as F
 
 from litscope import session
@@ -7,16 +9,29 @@ from litscope.operators import clauses as C
 from litscope.plans.search import search_clauses, with_records
 
 
-def test_small_tables_stay_local_and_large_ones_are_written(spark, monkeypatch):
+def folders(spark):
+    return {p.name for p in pathlib.Path(session.shared_folder(spark).removeprefix("file:")).glob("litscope-*")}
+
+
+def test_durable_tables_are_written_and_go_with_their_scope(spark):
     frame = spark.range(30).withColumn("x", F.array(F.struct("id")))
-    assert sorted(map(str, session.settled(frame).collect())) == sorted(map(str, frame.collect()))
-    assert not session.settled(frame).inputFiles()
-    monkeypatch.setattr(session, "LOCAL_ROWS", 10)
-    for written in (session.settled(frame), session.settled(frame, 30)):
-        assert written.inputFiles() and written.count() == 30
+    before = folders(spark)
+    with session.scratch(spark):
+        written = session.durable(frame)
+        assert written.inputFiles() and sorted(map(str, written.collect())) == sorted(map(str, frame.collect()))
+        assert len(folders(spark) - before) == 1
+    assert folders(spark) == before
+
+
+def test_a_search_leaves_nothing_behind(spark, library):
+    before = folders(spark)
+    with session.scratch(spark):
+        assert library.by_keyword("things").collect()
+        assert folders(spark) - before
+    assert folders(spark) == before
 
 
-def test_search_is_the_same_with_written_tables(spark, library, monkeypatch):
+def test_search_is_the_same_without_broadcasts(spark, library):
     texts = ["things", "neural network", "graph OR deep networks, thesis NOT practice"]
     queries = spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], "query_id string, text string")
     clauses = C.keyword_clauses(queries)
@@ -25,13 +40,9 @@ def test_search_is_the_same_with_written_tables(spark, library, monkeypatch):
         hits = search_clauses(library.index, clauses)
         return sorted(map(str, with_records(hits, library.index.corpus).collect()))
 
-    local = answer()
-    monkeypatch.setattr(session, "LOCAL_ROWS", 1)
-    monkeypatch.setattr("litscope.operators.matching.LOCAL_ROWS", 1)
-    monkeypatch.setattr("litscope.operators.matching.LISTED_TERMS", 1)
-    monkeypatch.setattr("litscope.plans.search.LISTED_DOCUMENTS", 1)
+    usual = answer()
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        assert answer() == local and len(local) > 4
+        assert answer() == usual and len(usual) > 4
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
