@@ -329,6 +329,16 @@ SELECT 'eriner thanea' AS topic, author, count(*) AS n
 FROM (SELECT unnest(c.author) AS author FROM full_matches JOIN corpus c USING (doc_id)) GROUP BY author""",
         "page_key_tokens": f"""WITH w AS (SELECT page_id, regexp_extract_all(lower(url), '{SIMPLE_WORD}') AS w FROM pages)
 SELECT page_id, unnest(w) AS term, CAST(unnest(range(len(w))) AS INTEGER) AS pos FROM w""",
+        "record_dump_scan": f"""WITH {_CORPUS} SELECT file, key, 'inproceedings' AS type, year, booktitle, CAST(NULL AS VARCHAR) AS journal,
+array_to_string(author, ', ') AS authors, regexp_replace(title, '^\\s+|\\s+$', '', 'g') AS title
+FROM corpus, (VALUES ('plain'), ('gzip')) AS f(file)""",
+        "page_entities_decoded": """WITH texts AS (SELECT page_id, regexp_extract_all(html, '[^<>]*&(?:middot|copy);[^<>]*') AS t FROM pages),
+placed AS (SELECT page_id, unnest(t) AS text, unnest(range(len(t))) AS i FROM texts),
+firsts AS (SELECT page_id, text, min(i) AS i FROM placed GROUP BY ALL),
+numbered AS (SELECT page_id, text, row_number() OVER (PARTITION BY page_id ORDER BY i) - 1 AS n FROM firsts)
+SELECT concat(page_id, '/', n) AS key, regexp_replace(replace(replace(replace(replace(replace(replace(text,
+  '&middot;', chr(183)), '&copy;', chr(169)), '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&'), '^\\s+|\\s+$', '', 'g') AS title
+FROM numbered""",
         "record_parse": f"""WITH {_CORPUS} SELECT key, 'inproceedings' AS type, year, booktitle,
 array_to_string(author, ', ') AS authors, regexp_replace(title, '\\s+', '', 'g') AS title FROM corpus""",
     }

@@ -18,8 +18,8 @@ from litscope.operators.patterns import Pattern, pattern_clauses
 from litscope.plans import search as S
 from litscope.plans.trends import searched_titles
 from litscope.session import durable, local_table, shared_folder, ship_package
-from litscope.sources.records import judged_records, parsed_records, split_records
-from litscope.sources.store import Index, build_index
+from litscope.sources.records import judged_records, parsed_records, read_dump, split_records
+from litscope.sources.store import Index, build_index, flat_records
 from litscope.sources.tables import documents_corpus, read_table, spread
 
 # SQL engines without look-around or a stemmer can follow this chain exactly.
@@ -347,17 +347,11 @@ def stemmed_vocabulary(spark: SparkSession, folder: str) -> DataFrame:
 def record_parse(spark: SparkSession, folder: str) -> DataFrame:
     """The documents as XML chunks of a dump, read back into records."""
 
-    def escaped(column: str) -> Column:
-        text = F.col(column)
-        for plain, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
-            text = F.replace(text, F.lit(plain), F.lit(entity))
-        return text
-
     rows = _texts(spark, folder)
     chunk = F.concat(
         F.lit('2020-01-01" key="'), "key", F.lit('">\n'),
         F.array_join(F.transform("author", lambda a: F.concat(F.lit("<author>"), a, F.lit("</author>"))), "\n"),
-        F.lit("<title><i>"), escaped("title"), F.lit("</i></title>\n<year>"), F.col("year").cast("string"),
+        F.lit("<title><i>"), _escaped(F.col("title")), F.lit("</i></title>\n<year>"), F.col("year").cast("string"),
         F.lit("</year><booktitle>"), "booktitle", F.lit("</booktitle>\n</inproceedings>\n<inproceedings "),
     )
     corpus, _ = split_records(judged_records(parsed_records(rows.select(chunk.alias("value")))))
@@ -365,6 +359,47 @@ def record_parse(spark: SparkSession, folder: str) -> DataFrame:
                          F.regexp_replace("title", r"\s+", "").alias("title"))
 
 
+def _escaped(text: Column) -> Column:
+    for plain, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+        text = F.replace(text, F.lit(plain), F.lit(entity))
+    return text
+
+
+def record_dump_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents written as dumps, plain and gzipped, and read back from the files."""
+    rows = documents_corpus(spark, folder)
+    # Every second title has markup within, every third record an empty child.
+    title = F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit("<i>"), _escaped(F.substring("title", 1, 3)), F.lit("</i>"), _escaped(F.substr("title", F.lit(4)))))
+    record = F.concat(
+        F.lit('<inproceedings mdate="2020-01-01" key="'), "key", F.lit('">\n'),
+        F.array_join(F.transform("author", lambda a: F.concat(F.lit("<author>"), a, F.lit("</author>"))), "\n"),
+        F.lit("<title>"), F.coalesce(title, _escaped(F.col("title"))), F.lit("</title>\n<year>"), F.col("year").cast("string"),
+        F.when(F.col("doc_id") % 3 == 0, "</year><journal></journal><booktitle>").otherwise("</year><booktitle>"),
+        "booktitle", F.lit("</booktitle>\n</inproceedings>"),
+    )
+    found = []
+    for name, codec in (("plain", "none"), ("gzip", "gzip")):
+        path = f"{shared_folder(spark)}/litscope-dump-{spark.sparkContext.applicationId}/{folder.strip('/').replace('/', '_').replace(':', '_')}/{name}"
+        rows.select(record.alias("value")).write.mode("overwrite").option("compression", codec).text(path)
+        corpus, _ = read_dump(spark, path)
+        found.append(flat_records(corpus).select(F.lit(name).alias("file"), "key", "type", "year", "booktitle", "journal",
+                                                 F.array_join("author", ", ").alias("authors"), "title"))
+    return found[0].unionByName(found[1])
+
+
+def page_entities_decoded(spark: SparkSession, folder: str) -> DataFrame:
+    """Texts of pages that hold named entities, as titles of records."""
+    pages = spread(read_table(spark, folder, "pages").select("page_id", "html"), "page_id")
+    texts = F.array_distinct(F.regexp_extract_all("html", F.lit("[^<>]*&(?:middot|copy);[^<>]*"), F.lit(0)))
+    rows = pages.select("page_id", F.posexplode(texts).alias("at", "text"))
+    chunk = F.concat(
+        F.lit('2020-01-01" key="'), F.col("page_id").cast("string"), F.lit("/"), F.col("at").cast("string"),
+        F.lit('">\n<title>'), "text", F.lit("</title></www>\n<www "),
+    )
+    corpus, _ = split_records(judged_records(parsed_records(rows.select(chunk.alias("value")))))
+    return corpus.select("key", "title")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -378,6 +413,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         phrases, word_scores, phrase_scores, hotspots_by_year, hotspots_filled, hotspot_evolution, hotspot_series,
         hotspot_table, searched_hotspots,
         pivot_authors_exact, pivot_authors_fuzzy, page_key_tokens, stemmed_vocabulary, record_parse,
+        record_dump_scan, page_entities_decoded,
     )
 }
 

@@ -45,9 +45,24 @@ def _decoded(texts):
     return texts.map(decode_entities, na_action="ignore")
 
 
-def dump_chunks(spark: SparkSession, path: str | list[str], encoding: str = "UTF-8", separator: str = SEPARATOR) -> DataFrame:
-    """(value): pieces of the dump between separators. Gzip is read as it is."""
-    return chunk_text(spark.read.option("lineSep", separator).text(path), encoding)
+def dump_chunks(
+    spark: SparkSession,
+    path: str | list[str],
+    encoding: str = "UTF-8",
+    separator: str = SEPARATOR,
+    since: datetime | None = None,
+) -> DataFrame:
+    """(value, place): pieces of the dump between separators, numbered in file order.
+
+    Only files that changed after ``since`` are read, if given. A gzipped file is
+    read by one task; its pieces are dealt out to others before they are parsed.
+    """
+    lines = spark.read.option("lineSep", separator).text(path)
+    zipped = any(f.endswith(".gz") for f in lines.inputFiles())
+    if since is not None:
+        lines = lines.where(F.col("_metadata.file_modification_time") > F.lit(since))
+    lines = lines.select("value", F.monotonically_increasing_id().alias("place"))
+    return chunk_text(lines.hint("rebalance") if zipped else lines, encoding)
 
 
 def chunk_text(lines: DataFrame, encoding: str) -> DataFrame:
@@ -75,8 +90,11 @@ def _without_markup(text: Column, legacy_text: bool) -> Column:
 def parsed_records(chunks: DataFrame, separator: str = SEPARATOR, legacy_text: bool = False) -> DataFrame:
     """One row per chunk: its kind, the parsed record and the reason to reject it."""
     body = rf"(?s)^(.*?)</({_KINDS})>"
+    if "place" not in chunks.columns:
+        chunks = chunks.withColumn("place", F.monotonically_increasing_id())
     rows = chunks.where(F.col("value").rlike(r"\S")).select(
         "value",
+        "place",
         F.regexp_extract("value", body, 1).alias("inner"),
         F.regexp_extract("value", body, 2).alias("type"),
     )
@@ -106,10 +124,11 @@ def read_dump(
     encoding: str = "UTF-8",
     separator: str = SEPARATOR,
     legacy_text: bool = False,
+    since: datetime | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(corpus, quarantine) of a dump. A record whose year is no number is in both:
     it is kept with a null year and reported. Each of the two parses the dump."""
-    chunks = dump_chunks(spark, path, encoding, separator)
+    chunks = dump_chunks(spark, path, encoding, separator, since)
     return split_records(judged_records(parsed_records(chunks, separator, legacy_text)))
 
 
@@ -120,9 +139,10 @@ def ingest_dump(
     encoding: str = "UTF-8",
     separator: str = SEPARATOR,
     legacy_text: bool = False,
+    since: datetime | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Write ``out/corpus`` and ``out/quarantine``, parsing the dump once."""
-    chunks = dump_chunks(spark, path, encoding, separator)
+    chunks = dump_chunks(spark, path, encoding, separator, since)
     judged = durable(judged_records(parsed_records(chunks, separator, legacy_text)))
     for name, rows in zip(("corpus", "quarantine"), split_records(judged)):
         rows.write.mode("overwrite").parquet(f"{out}/{name}")
@@ -134,7 +154,7 @@ def judged_records(parsed: DataFrame) -> DataFrame:
     # What precedes the first record is no record at all.
     preamble = (F.col("type") == "") & F.col("value").rlike(r"^\s*<")
     judged = held(parsed.where(~preamble), "reason", _rejection())
-    return judged.select("type", "rec", "reason", F.when(F.col("reason").isNotNull(), F.col("value")).alias("record"))
+    return judged.select("place", "type", "rec", "reason", F.when(F.col("reason").isNotNull(), F.col("value")).alias("record"))
 
 
 def split_records(judged: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -151,7 +171,7 @@ def _as_corpus(rows: DataFrame) -> DataFrame:
     for field in corpus_schema():
         name = field.name
         if name == "doc_id":
-            column = F.monotonically_increasing_id()
+            column = F.col("place")
         elif name == "type":
             column = F.col("type")
         elif name in ("key", "publtype", "mdate"):
@@ -167,9 +187,3 @@ def _as_corpus(rows: DataFrame) -> DataFrame:
 
 def count_by_kind(corpus: DataFrame) -> DataFrame:
     return corpus.groupBy("type").agg(F.count("*").alias("records"))
-
-
-def newer_than(spark: SparkSession, path: str, since: datetime, separator: str = SEPARATOR) -> DataFrame:
-    """Chunks of only those files that changed after ``since``."""
-    lines = spark.read.option("lineSep", separator).text(path)
-    return lines.where(F.col("_metadata.file_modification_time") > F.lit(since)).select("value")

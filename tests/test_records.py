@@ -13,7 +13,6 @@ from litscope.sources.records import (
     dump_chunks,
     ingest_dump,
     judged_records,
-    newer_than,
     parsed_records,
     read_dump,
 )
@@ -96,8 +95,23 @@ def test_decode_leaves_xml_entities():
 
 def test_only_newer_files(spark, dump):
     now = datetime.now()
-    assert newer_than(spark, dump, now - timedelta(days=36500)).count() == 15
-    assert newer_than(spark, dump, now + timedelta(days=1)).count() == 0
+    assert dump_chunks(spark, dump, since=now - timedelta(days=36500)).count() == 15
+    old, _ = read_dump(spark, dump, since=now - timedelta(days=36500))
+    new, quarantine = read_dump(spark, dump, since=now + timedelta(days=1))
+    assert old.count() > 10 and new.count() == 0 and quarantine.count() == 0
+
+
+def test_a_gzipped_dump_is_parsed_by_many_tasks(spark, zipped, dump):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        chunks = dump_chunks(spark, zipped)
+        parts = chunks.select(F.spark_partition_id().alias("p")).distinct().count()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert parts > 1
+    # Ids follow the file, whatever task parses a piece.
+    ordered = [r["key"] for r in read_dump(spark, zipped)[0].orderBy("doc_id").collect()]
+    assert ordered == [r["key"] for r in read_dump(spark, dump)[0].orderBy("doc_id").collect()]
 
 
 def test_hits_as_json_lines(library, tmp_path):
