@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from litscope.functions.stem import STEP_2, STEP_3, STEP_4
 from litscope.functions.text import PHRASE_TOKEN, SIMPLE_WORD
 from litscope.functions.words import (
     PHRASE_STOP_WORDS,
@@ -222,6 +223,93 @@ _SPAN = "span AS (SELECT venue, phrase, CAST(sum(n) AS BIGINT) AS n FROM counts
 _SHOW = "SELECT venue, year, phrase, n, round(score, 6) AS score, rank FROM"
 
 
+_TOPICS = ("eriner thanea", "heed thhend")
+
+_PLAIN = "regexp_replace(lower(regexp_replace({}, '[\\x{{80}}-\\x{{ff}}]', '', 'g')), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')"
+
+# Token-set ratio: the longest common subsequence of the two remainders is found
+# with one bit for each character of the first, character by character of the second.
+# A ratio counts from 79.5, which rounds to the even 80.
+_FUZZY_TOPICS = f"""
+listed AS (SELECT doc_id, unnest({_RUNS}) AS phrase FROM corpus WHERE year BETWEEN 2014 AND 2018),
+pairs AS (SELECT phrase, topic, list_distinct(list_filter(string_split({_PLAIN.format('phrase')}, ' '), lambda w: w <> '')) AS a,
+                 list_distinct(string_split(topic, ' ')) AS b
+          FROM (SELECT DISTINCT phrase FROM listed), (VALUES {', '.join(f"('{t}')" for t in _TOPICS)}) AS t(topic)),
+parts AS (SELECT phrase, topic, array_to_string(list_sort(list_intersect(a, b)), ' ') AS shared,
+                 array_to_string(list_sort(list_filter(a, lambda w: NOT list_contains(b, w))), ' ') AS x,
+                 array_to_string(list_sort(list_filter(b, lambda w: NOT list_contains(a, w))), ' ') AS y FROM pairs WHERE len(a) > 0),
+bits AS (SELECT *, (CAST(1 AS HUGEINT) << length(x)) - 1 AS whole, list_transform(range(1, length(y) + 1), lambda j: coalesce(
+           list_sum(list_transform(range(0, length(x)), lambda i: CASE WHEN x[i + 1] = y[j] THEN CAST(1 AS HUGEINT) << CAST(i AS INTEGER)
+             ELSE CAST(0 AS HUGEINT) END)), 0)) AS places FROM parts),
+common AS (SELECT *, length(x) - bit_count(list_reduce(list_prepend(whole, list_transform(places, lambda m: CAST(m AS HUGEINT))),
+             lambda r, m: ((r + (r & m)) | (r - (r & m))) & whole)) AS lcs,
+             CASE WHEN shared = '' THEN 0 ELSE length(shared) + 1 END AS joint FROM bits),
+good AS (SELECT phrase, topic FROM common WHERE CASE
+           WHEN shared <> '' AND (x = '' OR y = '') THEN 100
+           WHEN shared <> '' THEN greatest(
+             100 - 100.0 * (length(x) + length(y) - 2 * lcs) / (2 * joint + length(x) + length(y)),
+             100 - 100.0 * (1 + length(x)) / (length(shared) + joint + length(x)),
+             100 - 100.0 * (1 + length(y)) / (length(shared) + joint + length(y)))
+           ELSE 100 - 100.0 * (length(x) + length(y) - 2 * lcs) / (length(x) + length(y)) END >= 79.5)"""
+
+
+def _shape(word: str) -> str:
+    """V or C for every letter; a y is a vowel after a consonant."""
+    shape = f"regexp_replace(regexp_replace(regexp_replace({word}, '[aeiou]', 'V', 'g'), '[^Vy]', 'C', 'g'), '^y', 'C')"
+    for _ in range(3):
+        shape = f"replace(replace({shape}, 'Cy', 'CV'), 'Vy', 'VC')"
+    return shape
+
+
+def _measure(shape: str) -> str:
+    return f"((length({shape}) - length(replace({shape}, 'VC', ''))) // 2)"
+
+
+def _stemmed() -> str:
+    """Porter's steps as common tables, from ``vocabulary`` (word, df) to ``stemmed``."""
+    short = "regexp_matches(shape, 'CVC$') AND length(root) > 2 AND right(root, 1) NOT IN ('w', 'x', 'y')"
+    double = "length(root) > 1 AND right(root, 1) = substr(root, length(root) - 1, 1) AND right(shape, 1) = 'C'"
+    parts = [
+        """s0 AS (SELECT word, df, CASE WHEN ends_with(word, 'sses') OR ends_with(word, 'ies') THEN left(word, length(word) - 2)
+  WHEN ends_with(word, 's') AND NOT ends_with(word, 'ss') THEN left(word, length(word) - 1) ELSE word END AS w FROM vocabulary)""",
+        f"""e1 AS (SELECT *, CASE WHEN ends_with(w, 'eed') THEN 'eed'
+  WHEN ends_with(w, 'ed') AND contains({_shape("left(w, length(w) - 2)")}, 'V') THEN 'ed'
+  WHEN ends_with(w, 'ing') AND contains({_shape("left(w, length(w) - 3)")}, 'V') THEN 'ing' ELSE '' END AS ending FROM s0)""",
+        "r1 AS (SELECT *, left(w, length(w) - length(ending)) AS root FROM e1)",
+        f"h1 AS (SELECT *, {_shape('root')} AS shape FROM r1)",
+        f"""s1 AS (SELECT word, df, CASE WHEN ending = '' THEN w
+  WHEN ending = 'eed' THEN CASE WHEN {_measure('shape')} > 0 THEN left(w, length(w) - 1) ELSE w END
+  WHEN ends_with(root, 'at') OR ends_with(root, 'bl') OR ends_with(root, 'iz') THEN root || 'e'
+  WHEN {double} THEN CASE WHEN right(root, 1) IN ('l', 's', 'z') THEN root ELSE left(root, length(root) - 1) END
+  WHEN {_measure('shape')} = 1 AND {short} THEN root || 'e' ELSE root END AS w FROM h1)""",
+        f"""z1 AS (SELECT word, df, CASE WHEN ends_with(w, 'y') AND contains({_shape("left(w, length(w) - 1)")}, 'V')
+  THEN left(w, length(w) - 1) || 'i' ELSE w END AS w FROM s1)""",
+    ]
+    last = "z1"
+    for n, (table, least) in enumerate(((STEP_2, 0), (STEP_3, 0), (STEP_4, 1)), 2):
+        ordered = sorted(table, key=len, reverse=True)
+        found = " ".join(f"WHEN ends_with(w, '{e}') THEN '{e}'" for e in ordered)
+        new = " ".join(f"WHEN '{e}' THEN '{table[e]}'" for e in ordered)
+        parts += [
+            f"e{n} AS (SELECT *, CASE {found} ELSE '' END AS ending FROM {last})",
+            f"r{n} AS (SELECT *, left(w, length(w) - length(ending)) AS root FROM e{n})",
+            f"h{n} AS (SELECT *, {_shape('root')} AS shape FROM r{n})",
+            f"""s{n} AS (SELECT word, df, CASE WHEN ending = '' OR {_measure('shape')} <= {least}
+  OR (ending = 'ion' AND right(root, 1) NOT IN ('s', 't')) THEN w ELSE root || CASE ending {new} END END AS w FROM h{n})""",
+        ]
+        last = f"s{n}"
+    parts += [
+        f"r5 AS (SELECT *, left(w, length(w) - 1) AS root FROM {last})",
+        f"h5 AS (SELECT *, {_shape('root')} AS shape FROM r5)",
+        f"""s5 AS (SELECT word, df, CASE WHEN ends_with(w, 'e') AND ({_measure('shape')} > 1
+  OR ({_measure('shape')} = 1 AND NOT ({short}))) THEN root ELSE w END AS w FROM h5)""",
+        f"h6 AS (SELECT *, {_shape('w')} AS shape FROM s5)",
+        f"""stemmed AS (SELECT word, CASE WHEN length(word) < 3 THEN word
+  WHEN ends_with(w, 'll') AND {_measure('shape')} > 1 THEN left(w, length(w) - 1) ELSE w END AS stem, df FROM h6)""",
+    ]
+    return ",\n".join(parts)
+
+
 _KNOWN_ITEMS = f"""
 runs AS (SELECT doc_id, unnest({_RUNS}) AS p FROM corpus),
 firsts AS (SELECT CAST(doc_id AS VARCHAR) AS query_id,
@@ -327,6 +415,14 @@ full_matches AS (SELECT doc_id FROM sets WHERE len(w) > 0 AND list_has_any(w, ['
                  AND (list_has_all(w, ['eriner', 'thanea']) OR list_has_all(['eriner', 'thanea'], w)))
 SELECT 'eriner thanea' AS topic, author, count(*) AS n
 FROM (SELECT unnest(c.author) AS author FROM full_matches JOIN corpus c USING (doc_id)) GROUP BY author""",
+        "pivot_authors_fuzzy": f"""WITH {_CORPUS}, {_FUZZY_TOPICS.strip()}
+SELECT topic, author, count(*) AS n FROM (
+  SELECT g.topic, unnest(c.author) AS author FROM listed l JOIN good g USING (phrase) JOIN corpus c USING (doc_id))
+GROUP BY topic, author""",
+        "stemmed_vocabulary": f"""WITH listed AS (SELECT unnest(list_distinct(regexp_extract_all(lower(text), '{SIMPLE_WORD}'))) AS word FROM documents),
+vocabulary AS (SELECT word, count(*) AS df FROM listed GROUP BY word),
+{_stemmed()}
+SELECT word, stem, df FROM stemmed""",
         "page_key_tokens": f"""WITH w AS (SELECT page_id, regexp_extract_all(lower(url), '{SIMPLE_WORD}') AS w FROM pages)
 SELECT page_id, unnest(w) AS term, CAST(unnest(range(len(w))) AS INTEGER) AS pos FROM w""",
         "record_dump_scan": f"""WITH {_CORPUS} SELECT file, key, 'inproceedings' AS type, year, booktitle, CAST(NULL AS VARCHAR) AS journal,

@@ -338,10 +338,11 @@ def page_key_tokens(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stemmed_vocabulary(spark: SparkSession, folder: str) -> DataFrame:
+    """Every word with its stem; words are counted first, so each is stemmed once."""
     documents = spread(read_table(spark, folder, "documents").select("doc_id", "text"), "doc_id")
-    rows = documents.select(F.array_distinct(words(F.col("text"), SIMPLE_WORD)).alias("words"))
-    paired = rows.withColumn("stems", stem_terms("words")).select(F.inline(F.arrays_zip("words", "stems")))
-    return paired.groupBy(F.col("words").alias("word"), F.col("stems").alias("stem")).agg(F.count("*").alias("df"))
+    rows = documents.select(F.explode(F.array_distinct(words(F.col("text"), SIMPLE_WORD))).alias("word"))
+    counted = rows.groupBy("word").agg(F.count("*").alias("df"))
+    return counted.withColumn("stem", F.get(stem_terms(F.array("word")), F.lit(0))).select("word", "stem", "df")
 
 
 def record_parse(spark: SparkSession, folder: str) -> DataFrame:
