@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from litscope.functions.similarity import MATCH_THRESHOLD, topic_matcher
 from litscope.functions.text import candidate_phrases, held
+from litscope.operators.ranking import rank_all
 
 
 def topic_matches(records: DataFrame, topics: list[str], threshold: int = MATCH_THRESHOLD) -> DataFrame:
@@ -47,4 +48,5 @@ def pivot_authors(
 
 
 def by_rank(authors: DataFrame) -> DataFrame:
-    return authors.orderBy("topic", F.col("n").desc(), "author")
+    """Add each author's rank within a topic, and sort by it."""
+    return rank_all(authors, ["topic"], [F.col("n").desc(), F.col("author").asc()]).orderBy("topic", "rank")

@@ -444,6 +444,18 @@ array_to_string(author, ', ') AS authors, regexp_replace(title, '\\s+', '', 'g')
         "FROM corpus WHERE", "FROM corpus WHERE booktitle IN ('src3', 'src7') AND"
     )
     sql["searched_hotspots"] = f"WITH {merged}, {yearly} {_SHOW} ({_leaders('venue, year', 'y_phrases', 5)})"
+    lower = merged.replace("'src3 src7'", "'SRC3 src7'")
+    sql["searched_evolution"] = f"""WITH {lower}, {yearly}, {_SPAN}, {overall}, top AS ({top_span}),
+kept AS (SELECT * FROM y_phrases WHERE (venue, phrase) IN (SELECT (venue, phrase) FROM top)),
+shown AS ({_SHOW} ({_leaders('venue, year', 'kept', 5)}))
+SELECT 'SRC3 src7' AS venue, CAST(y AS INTEGER) AS year, phrase, n, score, rank
+FROM (SELECT unnest(range(2013, 2019)) AS y) LEFT JOIN shown ON year = y"""
+    topic = _FUZZY_TOPICS.replace("FROM corpus WHERE", "FROM corpus WHERE booktitle IN ('src3', 'src7', 'src11', 'src12') AND")
+    sql["searched_authors"] = f"""WITH {_CORPUS}, {topic.strip()},
+counted AS (SELECT topic, author, count(*) AS n FROM (
+  SELECT g.topic, unnest(c.author) AS author FROM listed l JOIN good g USING (phrase) JOIN corpus c USING (doc_id)
+  WHERE topic = 'eriner thanea') GROUP BY topic, author)
+SELECT topic, author, n, CAST(row_number() OVER (ORDER BY n DESC, author) AS INTEGER) AS rank FROM counted"""
     batch = sql["search_batch"]
     sql["hits_with_records"] = f"""WITH hits AS ({batch}), {_CORPUS}
 SELECT h.query_id, h.rank, h.doc_id, h.score, c.key, c.year, array_to_string(c.author, ', ') AS authors, l.quality, l.toxic

@@ -16,6 +16,7 @@ from litscope.operators import postings as P
 from litscope.operators import topics, trends
 from litscope.operators.patterns import Pattern, pattern_clauses
 from litscope.plans import search as S
+from litscope.plans import trends as R
 from litscope.plans.trends import searched_titles
 from litscope.session import durable, local_table, shared_folder, ship_package
 from litscope.sources.records import judged_records, parsed_records, read_dump, split_records
@@ -323,6 +324,18 @@ def searched_hotspots(spark: SparkSession, folder: str) -> DataFrame:
     return _score6(trends.hotspots_by_year(titles))
 
 
+def searched_evolution(spark: SparkSession, folder: str) -> DataFrame:
+    """Evolution of whatever a venue search finds, in another letter case, over a span wider than the data."""
+    library = S.Library(index_for(spark, folder))
+    return _score6(R.hotspot_evolution(library, START - 1, END, "SRC3 src7", fill=True))
+
+
+def searched_authors(spark: SparkSession, folder: str) -> DataFrame:
+    """Leading authors of a topic among the records a venue search finds, in order."""
+    library = S.Library(index_for(spark, folder))
+    return R.leading_authors(library, "eriner thanea", START, END, venue="src3 src7 src11 src12")
+
+
 def pivot_authors_exact(spark: SparkSession, folder: str) -> DataFrame:
     """Only full matches: all words of the topic, or of the phrase, are shared."""
     return topics.pivot_authors(_texts(spark, folder), ["eriner thanea"], START, END, threshold=100)
@@ -412,7 +425,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         search_author_or_venue, search_keyword_and_prefix, search_pattern_batch,
         search_prefix, search_wildcard, search_regex, search_fuzzy, search_term_range,
         phrases, word_scores, phrase_scores, hotspots_by_year, hotspots_filled, hotspot_evolution, hotspot_series,
-        hotspot_table, searched_hotspots,
+        hotspot_table, searched_hotspots, searched_evolution, searched_authors,
         pivot_authors_exact, pivot_authors_fuzzy, page_key_tokens, stemmed_vocabulary, record_parse,
         record_dump_scan, page_entities_decoded,
     )

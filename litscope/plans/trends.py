@@ -13,8 +13,26 @@ DEFAULT_END = 2023
 DEFAULT_TOP_K = 5
 
 
+def _titles(records: DataFrame | Library, start: int, end: int, venue: str | None) -> DataFrame:
+    """Titles of a span. With a library a venue is what a venue search finds, in any
+    letter case; with a corpus it is the very name."""
+    if not isinstance(records, Library):
+        return R.venue_titles(records, start, end, venue)
+    return R.venue_titles(records.index.corpus, start, end) if venue is None else searched_titles(records, venue, start, end)
+
+
+def _filled(ranked: DataFrame, records: DataFrame | Library, start: int, end: int, venue: str | None) -> DataFrame:
+    """Add a row without phrase for each year that has none."""
+    if not isinstance(records, Library):
+        return R.fill_years(ranked, records, start, end, venue)
+    if venue is None:
+        return R.fill_years(ranked, records.index.corpus, start, end)
+    years = records.index.spark.range(start, end + 1).select(F.lit(venue).alias("venue"), F.col("id").cast("int").alias("year"))
+    return years.join(ranked, ["venue", "year"], "left")
+
+
 def conference_hotspots(
-    corpus: DataFrame,
+    records: DataFrame | Library,
     start: int,
     end: int = DEFAULT_END,
     venue: str | None = None,
@@ -23,22 +41,28 @@ def conference_hotspots(
 ) -> DataFrame:
     """(venue, year, phrase, n, score, rank): top phrases of each year; all venues
     in one job unless one is named. ``fill`` adds years without any."""
-    titles = R.venue_titles(corpus, start, end, venue)
-    ranked = R.hotspots_by_year(titles, top_k)
-    return R.fill_years(ranked, corpus, start, end, venue) if fill else ranked
+    ranked = R.hotspots_by_year(_titles(records, start, end, venue), top_k)
+    return _filled(ranked, records, start, end, venue) if fill else ranked
 
 
 def hotspot_evolution(
-    corpus: DataFrame, start: int, end: int = DEFAULT_END, venue: str | None = None, top_k: int = DEFAULT_TOP_K
+    records: DataFrame | Library,
+    start: int,
+    end: int = DEFAULT_END,
+    venue: str | None = None,
+    top_k: int = DEFAULT_TOP_K,
+    fill: bool = False,
 ) -> DataFrame:
-    return R.hotspot_evolution(R.venue_titles(corpus, start, end, venue), top_k)
+    """Each year's counts of the phrases that lead over the whole span."""
+    ranked = R.hotspot_evolution(_titles(records, start, end, venue), top_k)
+    return _filled(ranked, records, start, end, venue) if fill else ranked
 
 
 def hotspot_series(
-    corpus: DataFrame, start: int, end: int = DEFAULT_END, venue: str | None = None, top_k: int = DEFAULT_TOP_K
+    records: DataFrame | Library, start: int, end: int = DEFAULT_END, venue: str | None = None, top_k: int = DEFAULT_TOP_K
 ) -> DataFrame:
     """Year by phrase counts for plotting, with zeros."""
-    return R.hotspot_series(R.venue_titles(corpus, start, end, venue), start, end, top_k)
+    return R.hotspot_series(_titles(records, start, end, venue), start, end, top_k)
 
 
 def searched_titles(library: Library, venue: str, start: int, end: int = DEFAULT_END) -> DataFrame:
@@ -53,14 +77,22 @@ def searched_titles(library: Library, venue: str, start: int, end: int = DEFAULT
 
 
 def leading_authors(
-    corpus: DataFrame,
+    records: DataFrame | Library,
     topic: str,
     start: int,
     end: int = DEFAULT_END,
+    venue: str | None = None,
     venue_hits: DataFrame | None = None,
     count: str = "phrases",
 ) -> DataFrame:
-    """(topic, author, n), most first. ``venue_hits`` (doc_id) narrows the records."""
+    """(topic, author, n, rank), most first. With a library, ``venue`` narrows the
+    records to what a venue search finds; ``venue_hits`` (doc_id) to any hits."""
+    corpus = records.index.corpus if isinstance(records, Library) else records
+    if venue is not None:
+        if isinstance(records, Library):
+            venue_hits = records.hits(start, end, venue=venue)
+        else:
+            corpus = corpus.where(R.venue_name() == venue)
     if venue_hits is not None:
         corpus = corpus.join(venue_hits.select("doc_id"), "doc_id", "left_semi")
     return T.by_rank(T.pivot_authors(corpus, [topic], start, end, count))
