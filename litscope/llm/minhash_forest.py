@@ -5,18 +5,19 @@ starts at values of its own and goes on cyclically through the others, so it is
 tree of prefixes: two sets share a region of an order where their first values
 agree, and the longer their common prefix, the closer they stand.
 
-1. Chains: some orders are sorted, over all tasks, by ever longer prefixes.
-   Neighbours with a common prefix are candidates; how deep that prefix goes
-   follows the density of the region, so a group of thousands of variants yields
-   as many candidates as members, not pairs.
+1. Candidates: some orders are sorted, over all tasks, by ever longer prefixes, and
+   neighbours with a common prefix are candidates; how deep that prefix goes follows
+   the density of the region. The texts of a region also meet its most copied one. A
+   group of thousands of variants so yields a few candidates for each, not pairs.
 2. Links confirmed on full sets give components.
 3. Regions of all orders that still hold different components give the pairs
-   across those components, until every pair that shares a region is either
-   compared or already in one component. So nothing is lost within a region, and
-   a group that hangs together costs no pairs.
+   across those components. A text can share no more shingles with another
+   component than occur there at all; where that is too few for a link, it is left
+   out, and so are pairs of which either has too few. What remains is compared.
 
-Two sets of similarity s share no region with probability
-``(1 - s ** depth) ** orders``: 5e-8 at 0.8 with 32 orders of depth 4.
+So every pair that shares a region is compared, or in one component, or cannot
+link. Two sets of similarity s share no region with probability
+``(1 - s ** DEPTHS[0]) ** orders``: 5e-7 at 0.8 with 48 orders.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from litscope.llm.components import components
@@ -33,13 +34,15 @@ from litscope.llm.shingles import mix, shingle_set
 from litscope.session import durable, ship_package
 
 # Prefix lengths that an order tells apart; the first bounds a region.
-DEPTHS = (4, 8, 16)
+DEPTHS = (6, 12, 24)
+# MinHash values that screen candidates.
+SKETCH = 128
 
 _PRINTS = "id bigint, n_shingles bigint, key_a bigint, key_b bigint, regions array<bigint>, middles array<int>, deeps array<int>, sketch array<tinyint>"
 
 
-def _signer(orders: int):
-    """Values, and the hashes of every order's prefixes, of a shingle set."""
+def _signer(orders: int, chains: int):
+    """Values, hashes of every order's shortest prefix, and of the chains' longer ones."""
     count = orders * DEPTHS[0]
     factors = np.random.default_rng(7).integers(1, 2**32, count, dtype=np.uint32)[:, None] | np.uint32(1)
     places = (np.arange(orders)[:, None] * DEPTHS[0] + np.arange(DEPTHS[-1])) % count
@@ -52,7 +55,9 @@ def _signer(orders: int):
             np.minimum(values, (factors * short[i : i + 4096]).min(axis=1), out=values)
         prefix, hashes = seeds, []
         for depth in range(DEPTHS[-1]):
-            prefix = mix(prefix + values[places[:, depth]])
+            if depth == DEPTHS[0]:
+                prefix = prefix[:chains]
+            prefix = mix(prefix + values[places[: len(prefix), depth]])
             if depth + 1 in DEPTHS:
                 hashes.append(prefix)
         return values, hashes
@@ -60,11 +65,11 @@ def _signer(orders: int):
     return sign
 
 
-def _prints(docs: DataFrame, size: int, orders: int) -> DataFrame:
+def _prints(docs: DataFrame, size: int, orders: int, chains: int) -> DataFrame:
     """Set size, a 128-bit key of the set, prefixes and a sketch for every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sign = _signer(orders)
+        sign = _signer(orders, chains)
         for batch in batches:
             rows = []
             for text in batch.column("text"):
@@ -82,7 +87,7 @@ def _prints(docs: DataFrame, size: int, orders: int) -> DataFrame:
                         regions.view(np.int64),
                         middles.astype(np.uint32).view(np.int32),
                         deeps.astype(np.uint32).view(np.int32),
-                        (values & np.uint32(255)).astype(np.uint8).view(np.int8),
+                        (values[:SKETCH] & np.uint32(255)).astype(np.uint8).view(np.int8),
                     )
                 )
             kinds = (pa.int64(), pa.int64(), pa.int64(), *(pa.list_(t) for t in (pa.int64(), pa.int32(), pa.int32(), pa.int8())))
@@ -122,28 +127,61 @@ def _screened(pairs: DataFrame, sketches: DataFrame, least: float) -> DataFrame:
     return pairs.where(equal >= least * F.size("sa")).select("a", "b")
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """Pairs whose full sets reach the similarity."""
+def _sets(docs: DataFrame, named: DataFrame, size: int) -> DataFrame:
+    """(id, shingles) of the documents that ``named`` names."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [shingle_set(t.as_py(), size).view(np.int64) for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(sets, pa.list_(pa.int64()))], names=["id", "shingles"])
 
-    named = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    sets = durable(docs.join(named, "id", "left_semi").mapInArrow(run, "id bigint, shingles array<bigint>"))
+    return durable(docs.join(named, "id", "left_semi").mapInArrow(run, "id bigint, shingles array<bigint>"))
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs whose full sets reach the similarity."""
     for c in "ab":
         pairs = pairs.join(sets.select(F.col("id").alias(c), F.col("shingles").alias(f"s{c}")), c)
     shared = F.size(F.array_intersect("sa", "sb"))
-    enough = 100 * shared >= percent * (F.size("sa") + F.size("sb") - shared)
-    return pairs.where(enough).select("a", "b")
+    return durable(pairs.where(_reaches(shared, F.size("sa"), F.size("sb"), percent)).select("a", "b").distinct())
+
+
+def _reaches(shared: Column, one: Column, other: Column, percent: int) -> Column:
+    return 100 * shared >= percent * (one + other - shared)
+
+
+def _across(places: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs of different components in one region that may link.
+
+    ``places`` has region, entity and component, and ``sets`` the entities' shingles.
+    """
+    members = places.select(F.col("entity").alias("id"), "component").distinct()
+    held = sets.join(members, "id").select("id", "component", F.explode("shingles").alias("shingle"))
+    # Shingles that more than one component holds, and how many of them a text has.
+    several = held.groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
+    covered = held.join(durable(several.select("shingle")), "shingle", "left_semi").groupBy("id").agg(F.count("*").alias("cover"))
+    known = durable(sets.select("id", F.size("shingles").alias("n")).join(covered, "id").withColumnRenamed("id", "entity"))
+    places = durable(places.join(known, "entity"))
+    least = places.groupBy("region").agg(F.min("n").alias("least"))
+    places = durable(places.join(least, "region").where(_reaches(F.col("cover"), F.col("n"), F.col("least"), percent)).drop("least"))
+    parts = places.select("region", "component").distinct()
+    met = parts.join(parts.select("region", F.col("component").alias("other")), "region").where("component < other")
+    one = places.select("region", "component", *(F.col(c).alias(f"{c}_a") for c in ("entity", "n", "cover")))
+    two = places.select("region", F.col("component").alias("other"), *(F.col(c).alias(f"{c}_b") for c in ("entity", "n", "cover")))
+    may = _reaches(F.least("cover_a", "cover_b"), F.col("n_a"), F.col("n_b"), percent)
+    pairs = met.join(one, ["region", "component"]).join(two, ["region", "other"]).where(may)
+    return _pairs(pairs.select(F.col("entity_a").alias("a"), F.col("entity_b").alias("b")))
 
 
 def near_duplicates(
     docs: DataFrame,
     size: int = 5,
     percent: int = 80,
-    orders: int = 32,
+    orders: int = 48,
     chains: int = 3,
     screen: float = 0.6,
     id_column: str = "doc_id",
@@ -153,8 +191,8 @@ def near_duplicates(
 
     ``size`` words make a shingle; texts with fewer words are one shingle.
     ``percent`` is the least 100 * intersection / union of linked sets. Pairs with
-    under ``screen`` of their ``4 * orders`` MinHash values equal skip the full
-    comparison (5.5 standard deviations below 0.8 for 128 values).
+    under ``screen`` of their SKETCH MinHash values equal skip the full comparison
+    (5.5 standard deviations below 0.8 for 128 values).
 
     Null, empty and blank texts have no shingles and link with nothing. Equal sets
     are one entity under its smallest id, so copies cost nothing. Rows that share
@@ -163,40 +201,39 @@ def near_duplicates(
     """
     ship_package(docs.sparkSession)
     docs = docs.select(F.col(id_column).cast("bigint").alias("id"), F.col(text_column).cast("string").alias("text"))
-    prints = durable(_prints(docs, size, orders))
+    prints = durable(_prints(docs, size, orders, chains))
     whole = prints.where("n_shingles > 0 AND id IS NOT NULL")
     key = ["key_a", "key_b", "n_shingles"]
     entities = durable(
         whole.groupBy(*key).agg(
             F.min("id").alias("entity"),
+            F.count("*").alias("copies"),
             *(F.first(c).alias(c) for c in ("regions", "middles", "deeps", "sketch")),
         )
     )
-    places = entities.select("entity", F.explode(F.arrays_zip("regions", "middles", "deeps")).alias("z"))
-    rows = places.select("entity", *(F.col(f"z.{c}s").alias(c) for c in ("region", "middle", "deep")))
-    some = F.slice(F.arrays_zip("regions", "middles", "deeps"), 1, chains)
-    sorted_rows = entities.select("entity", F.explode(some).alias("z"))
-    sorted_rows = sorted_rows.select("entity", *(F.col(f"z.{c}s").alias(c) for c in ("region", "middle", "deep")))
     sketches = entities.select("entity", "sketch")
     # Copies hang on their entity; an id with several sets ties their entities together.
     copies = whole.join(entities.select(*key, "entity"), key).where("id <> entity").select(F.col("id").alias("a"), F.col("entity").alias("b"))
 
-    tried = durable(_screened(_neighbours(sorted_rows), sketches, screen))
-    links = durable(_confirmed(tried, docs, size, percent))
+    rows = entities.select("entity", "copies", F.explode("regions").alias("region"))
+    first = F.max_by("entity", F.struct("copies", -F.col("entity"))).alias("hub")
+    crowded = rows.groupBy("region").agg(F.count("*").alias("n"), first).where("n > 1").select("region", "hub")
+    rows = durable(rows.select("region", "entity").join(durable(crowded), "region"))
+    hubs = rows.where("entity <> hub").select(F.col("entity").alias("a"), F.col("hub").alias("b"))
+    some = F.arrays_zip(F.slice("regions", 1, chains).alias("regions"), "middles", "deeps")
+    sorted_rows = entities.select("entity", F.explode(some).alias("z"))
+    sorted_rows = sorted_rows.select("entity", *(F.col(f"z.{c}s").alias(c) for c in ("region", "middle", "deep")))
+    tried = durable(_screened(_pairs(hubs.unionByName(_neighbours(sorted_rows))), sketches, screen))
+    links = _confirmed(tried, _sets(docs, _ends(tried), size), percent)
     groups = components(links)
 
     member = F.coalesce("component", "entity").alias("component")
-    placed = rows.select("region", "entity").join(groups.withColumnRenamed("id", "entity"), "entity", "left")
-    placed = placed.select("region", "entity", member)
+    placed = rows.join(groups.withColumnRenamed("id", "entity"), "entity", "left").select("region", "entity", member)
     several = placed.groupBy("region").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
     mixed = durable(placed.join(several.select("region"), "region", "left_semi"))
-    parts = mixed.select("region", "component").distinct()
-    other = parts.select("region", F.col("component").alias("other"))
-    across = parts.join(other, "region").where("component < other")
-    across = across.join(mixed.select("region", "component", F.col("entity").alias("a")), ["region", "component"])
-    across = across.join(mixed.select("region", F.col("component").alias("other"), F.col("entity").alias("b")), ["region", "other"])
-    untried = _pairs(across).join(tried, ["a", "b"], "left_anti")
-    more = durable(_confirmed(durable(_screened(untried, sketches, screen)), docs, size, percent))
+    sets = _sets(docs, mixed.select(F.col("entity").alias("id")).distinct(), size)
+    untried = durable(_across(mixed, sets, percent).join(tried, ["a", "b"], "left_anti"))
+    more = _confirmed(durable(_screened(untried, sketches, screen)), sets, percent)
 
     groups = components(links.unionByName(more).unionByName(copies))
     named = prints.select("id", "n_shingles").join(groups, "id", "left")
