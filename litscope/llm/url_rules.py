@@ -15,6 +15,8 @@ from litscope.session import durable
 
 # Hexadecimal digits of the hash prefix.
 SHORT = 8
+# Longer than any path of a rule.
+WIDE = 2**24
 
 
 def url_parts(url: Column) -> tuple[Column, Column]:
@@ -50,22 +52,24 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url_column: str = "url", defa
     rules = durable(
         rules.select(
             F.concat("host", "path").alias("rule"),
-            F.size(F.split("host", r"\.", -1)).alias("labels"),
+            F.size(F.split("host", r"\.", -1)).cast("bigint").alias("labels"),
             F.length("path").alias("letters"),
             F.length("host").alias("host_letters"),
             "verdict",
             _digest(F.col("host"), F.col("path")).alias("digest"),
         ).withColumn("short", F.substring("digest", 1, SHORT))
     )
-    # Lengths that rules have: at most one row for each label count and path length.
-    lengths = rules.select("labels", "letters").distinct().agg(F.collect_list(F.struct("labels", "letters")).alias("lengths"))
+    # The shapes that rules have: one number for each label count and path length.
+    shapes = [r["shape"] for r in rules.select((F.col("labels") * WIDE + F.col("letters")).alias("shape")).distinct().collect()]
 
     placed = pages.select(host.alias("host"), path.alias("path")).distinct().where("host <> ''")
-    labels = placed.crossJoin(F.broadcast(lengths)).withColumn("parts", F.split("host", r"\.", -1))
-    fitting = F.filter("lengths", lambda n: (n.labels <= F.size("parts")) & (n.letters <= F.length("path")))
-    expanded = labels.select("host", "path", "parts", F.explode(fitting).alias("n"))
-    suffix = F.array_join(F.slice("parts", F.size("parts") - F.col("n.labels") + 1, F.col("n.labels")), ".")
-    prefix = F.substring("path", F.lit(1), F.col("n.letters"))
+    placed = placed.withColumn("parts", F.split("host", r"\.", -1))
+    known = F.lit(sorted(shapes)) if shapes else F.array().cast("array<bigint>")
+    fitting = F.filter(known, lambda n: (F.floor(n / WIDE) <= F.size("parts")) & (n % WIDE <= F.length("path")))
+    expanded = placed.select("host", "path", "parts", F.explode(fitting).alias("n"))
+    labels, letters = F.floor(F.col("n") / WIDE).cast("int"), (F.col("n") % WIDE).cast("int")
+    suffix = F.array_join(F.slice("parts", F.size("parts") - labels + 1, labels), ".")
+    prefix = F.substring("path", F.lit(1), letters)
     expanded = expanded.select("host", "path", _digest(suffix, prefix).alias("full"))
     met = expanded.join(rules, F.substring("full", 1, SHORT) == F.col("short")).where("full = digest")
     rank = F.struct(F.length("rule"), "host_letters", F.col("verdict") == "block", "rule", "verdict")
