@@ -11,9 +11,10 @@ agree, and the longer their common prefix, the closer they stand.
    group of thousands of variants so yields a few candidates for each, not pairs.
 2. Links confirmed on full sets give components.
 3. Regions of all orders that still hold different components give the pairs
-   across those components. A text can share no more shingles with another
-   component than occur there at all; where that is too few for a link, it is left
-   out, and so are pairs of which either has too few. What remains is compared.
+   across those components. How much a text can share with another component is
+   bounded by what it shares with the region's most copied text and with the
+   others around that one; where that is too little for a link, it is left out, and
+   so are pairs of which either has too little. What remains is compared.
 
 So every pair that shares a region is compared, or in one component, or cannot
 link. Two sets of similarity s share no region with probability
@@ -157,15 +158,34 @@ def _reaches(shared: Column, one: Column, other: Column, percent: int) -> Column
 def _across(places: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs of different components in one region that may link.
 
-    ``places`` has region, entity and component, and ``sets`` the entities' shingles.
+    ``places`` has region, hub, entity and component, and ``sets`` the shingles. What
+    a text shares with one of another component in its region it shares with the
+    hub, or it is one of its extra shingles that another component near that hub
+    has too. Their number, the cover, bounds the intersection.
     """
-    members = places.select(F.col("entity").alias("id"), "component").distinct()
-    held = sets.join(members, "id").select("id", "component", F.explode("shingles").alias("shingle"))
-    # Shingles that more than one component holds, and how many of them a text has.
-    several = held.groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
-    covered = held.join(durable(several.select("shingle")), "shingle", "left_semi").groupBy("id").agg(F.count("*").alias("cover"))
-    known = durable(sets.select("id", F.size("shingles").alias("n")).join(covered, "id").withColumnRenamed("id", "entity"))
-    places = durable(places.join(known, "entity"))
+    near = places.select("entity", "hub", "component").distinct()
+    pairs = near.where("entity <> hub")
+    for c in ("entity", "hub"):
+        pairs = pairs.join(sets.select(F.col("id").alias(c), F.col("shingles").alias(f"s_{c}")), c)
+    pairs = durable(
+        pairs.select(
+            "entity",
+            "hub",
+            "component",
+            F.size("s_entity").alias("n"),
+            F.size(F.array_intersect("s_entity", "s_hub")).alias("shared"),
+            F.array_except("s_entity", "s_hub").alias("extras"),
+        )
+    )
+    extras = pairs.select("entity", "hub", "component", F.explode("extras").alias("shingle"))
+    several = extras.groupBy("hub", "shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
+    common = extras.join(durable(several.select("hub", "shingle")), ["hub", "shingle"], "left_semi")
+    common = common.groupBy("entity", "hub").agg(F.count("*").alias("common"))
+    cover = F.col("shared") + F.coalesce("common", F.lit(0))
+    known = pairs.join(common, ["entity", "hub"], "left").select("entity", "hub", "n", cover.alias("cover"))
+    own = sets.join(near.where("entity = hub").select(F.col("hub").alias("id")), "id")
+    own = own.select(F.col("id").alias("entity"), F.col("id").alias("hub"), F.size("shingles").alias("n"), F.size("shingles").cast("bigint").alias("cover"))
+    places = durable(places.join(durable(known.unionByName(own)), ["entity", "hub"]).drop("hub"))
     least = places.groupBy("region").agg(F.min("n").alias("least"))
     places = durable(places.join(least, "region").where(_reaches(F.col("cover"), F.col("n"), F.col("least"), percent)).drop("least"))
     parts = places.select("region", "component").distinct()
@@ -217,7 +237,7 @@ def near_duplicates(
 
     rows = entities.select("entity", "copies", F.explode("regions").alias("region"))
     first = F.max_by("entity", F.struct("copies", -F.col("entity"))).alias("hub")
-    crowded = rows.groupBy("region").agg(F.count("*").alias("n"), first).where("n > 1").select("region", "hub")
+    crowded = rows.groupBy("region").agg(F.count("*").alias("n"), first).where("n > 1").select("region", "hub", "n")
     rows = durable(rows.select("region", "entity").join(durable(crowded), "region"))
     hubs = rows.where("entity <> hub").select(F.col("entity").alias("a"), F.col("hub").alias("b"))
     some = F.arrays_zip(F.slice("regions", 1, chains).alias("regions"), "middles", "deeps")
@@ -228,7 +248,8 @@ def near_duplicates(
     groups = components(links)
 
     member = F.coalesce("component", "entity").alias("component")
-    placed = rows.join(groups.withColumnRenamed("id", "entity"), "entity", "left").select("region", "entity", member)
+    # Two in a region have met as text and hub.
+    placed = rows.where("n > 2").join(groups.withColumnRenamed("id", "entity"), "entity", "left").select("region", "hub", "entity", member)
     several = placed.groupBy("region").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
     mixed = durable(placed.join(several.select("region"), "region", "left_semi"))
     sets = _sets(docs, mixed.select(F.col("entity").alias("id")).distinct(), size)

@@ -41,9 +41,11 @@ def _windows(words: np.ndarray, free: np.ndarray, size: int) -> tuple[np.ndarray
     starts = np.flatnonzero(sums[size:] - sums[:-size] == size)
     if not len(starts):
         return starts, np.empty(0, np.uint64)
-    base = np.uint64(0x9E3779B97F4A7C15)
-    powers = np.cumprod(np.concatenate([[1], np.full(len(words), base)]).astype(np.uint64))
-    rolled = np.concatenate([[0], np.cumsum(words * powers[:-1], dtype=np.uint64)]).astype(np.uint64)
+    powers = np.full(len(words) + 1, 0x9E3779B97F4A7C15, np.uint64)
+    powers[0] = 1
+    powers = np.cumprod(powers, dtype=np.uint64)
+    rolled = np.zeros(len(words) + 1, np.uint64)
+    np.cumsum(words * powers[:-1], dtype=np.uint64, out=rolled[1:])
     # Moved to a common power, so that equal windows are equal numbers.
     return starts, (rolled[starts + size] - rolled[starts]) * powers[len(words) - starts]
 
