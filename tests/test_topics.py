@@ -74,7 +74,7 @@ def test_many_topics_and_a_narrowed_corpus(spark):
         ("something else", "cid", 1),
     }
     hits = spark.createDataFrame([(2,)], "doc_id long")
-    assert leading_authors(papers(spark), "graph learning", 2014, venue_hits=hits).collect() == [("graph learning", "ann", 1)]
+    assert leading_authors(papers(spark), "graph learning", 2014, venue_hits=hits).collect() == [("graph learning", "ann", 1, 1)]
 
 
 def test_titles_of_a_venue_search(library):
