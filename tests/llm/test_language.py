@@ -35,7 +35,7 @@ def test_held_out_accuracy(spark):
 def test_edges(spark):
     schema = "doc_id bigint, text string, lang string, score string"
     known = [(i, t, lang, "x") for i, (t, lang) in enumerate([("the house and the dog", "en"), ("das Haus und der Hund", "de"), ("the cat is in the house", "en"), ("die Katze ist in dem Haus", "de")] * 3)]
-    rows = known + [(None, "the dog", None, None), (90, None, "en", "x"), (91, "", "en", "x"), (92, "12 !?", "de", "x"), (93, "der Hund " * 20_000, "en", "x"), (93, "der Hund " * 20_000, "en", "x")]
+    rows = known + [(None, "the dog", None, None), (90, None, "en", "x"), (91, "", "en", "x"), (92, "12 !?", "de", "x"), (93, "der Hund " * 20_000, None, "x"), (93, "der Hund " * 20_000, None, "x")]
     docs = spark.createDataFrame(rows, schema)
     model = language.train(docs.select("text", "lang"), landmarks=4, samples=10)
     found = language.classify(docs, model)
