@@ -91,14 +91,14 @@ class Model:
 def _chosen(labelled: DataFrame, count: int) -> DataFrame:
     """So many distinct texts of each language: those with the least hashes.
 
-    Of a language with many rows, only those go into the ranking whose hash is
-    below a share that leaves eight times as many as are wanted.
+    Hashes are made distinct before they are ranked, so copies count once; the texts
+    of the least hashes are fetched afterwards. Each task's own hashes are cut first.
     """
     rows = labelled.select("text", "lang", F.pmod(F.xxhash64("text"), F.lit(2**31)).alias("hash"))
-    # One row for each language.
-    shares = rows.groupBy("lang").agg((8 * count * 2.0**31 / F.count("*")).alias("below"))
-    few = rows.join(F.broadcast(shares), "lang").where(F.col("hash") < F.col("below"))
-    return top_k(few.select("text", "lang", "hash").distinct(), ["lang"], [F.col("hash").asc(), F.col("text").asc()], count)
+    least = durable(top_k(rows.select("lang", "hash").distinct(), ["lang"], [F.col("hash").asc()], count).select("lang", "hash"))
+    # As many rows of each language as are wanted; texts that share a hash all come, and are ranked.
+    few = rows.join(F.broadcast(least), ["lang", "hash"]).select("text", "lang", "hash").distinct()
+    return top_k(few, ["lang"], [F.col("hash").asc(), F.col("text").asc()], count)
 
 
 def train(labelled: DataFrame, landmarks: int = 16, samples: int = 400, ridge: float = 1e-3) -> Model:

@@ -58,3 +58,15 @@ def test_only_rows_not_held_out_are_learnt_from(spark):
     docs = spark.createDataFrame([(i, f"text {i}", "en" if i % 2 else None) for i in range(50)] + [(None, "t", "en")], "doc_id bigint, text string, lang string")
     learnt = {r["text"] for r in language.known_rows(docs).collect()}
     assert learnt == {f"text {i}" for i in range(50) if zlib.crc32(str(i).encode()) % 4 != 2}
+
+
+def test_copies_do_not_crowd_out_a_language(spark):
+    copies = spark.range(50_000).select(F.lit("one text copied many times").alias("text"), F.lit("en").alias("lang"))
+    others = spark.range(15).select(F.concat(F.lit("other text "), "id").alias("text"), F.lit("en").alias("lang"))
+    labelled = copies.union(others).union(spark.createDataFrame([("ein Haus", "de")], "text string, lang string"))
+    hashed = labelled.distinct().where("lang = 'en'").select("text", F.pmod(F.xxhash64("text"), F.lit(2**31)).alias("hash")).collect()
+    least = [r["text"] for r in sorted(hashed, key=lambda r: (r["hash"], r["text"]))]
+    for count, wanted in ((10, least[:10]), (100, least)):
+        chosen = language._chosen(labelled, count).where("lang = 'en'").orderBy("rank").collect()
+        assert [r["text"] for r in chosen] == wanted
+    assert language.train(labelled, landmarks=4, samples=10).languages == ["de", "en"]
