@@ -20,7 +20,7 @@ from litscope.session import ship_package
 
 # Element classes of the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-UNSEEN = frozenset("head title script style template noscript datalist iframe object svg math audio video canvas select textarea".split())
+UNSEEN = frozenset("head title script style template noscript datalist iframe object audio video canvas select textarea".split())
 PARAGRAPHS = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl menu pre blockquote table figure fieldset hr".split())
 BLOCKS = PARAGRAPHS | frozenset(
     "address article aside body caption center dd details dialog div dt figcaption footer form header hgroup html legend li main nav section summary tbody td tfoot th thead tr".split()
@@ -39,6 +39,18 @@ IMPLIED = {
     "tfoot": ({"thead", "tbody", "tfoot", "caption"}, {"table"}),
     "body": ({"head"}, set()),
 }
+# What may stand in a head; any other tag, and text, ends it.
+HEAD = frozenset("base basefont bgsound link meta title noscript noframes style script template head".split())
+# Parts of a drawing or formula that are not shown, and those that hold HTML.
+UNDRAWN = {
+    "svg": frozenset("title desc metadata defs symbol clippath mask pattern marker lineargradient radialgradient filter".split()),
+    "math": frozenset("annotation annotation-xml".split()),
+}
+HOLDS_HTML = {"svg": frozenset("foreignobject desc title".split()), "math": frozenset("mi mo mn ms mtext annotation-xml".split())}
+# HTML tags that end an open drawing or formula.
+BREAKOUT = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p pre ruby s small span strong strike sub sup table tt u ul var".split()
+)
 _HIDING = re.compile(r"(?i)(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))")
 _BLANK = re.compile(r"[ \t\n\r\f]+")
 # Wider cells are written whole, but no other cell is padded to their width.
@@ -108,9 +120,33 @@ class _Layout(HTMLParser):
         self.stack: list[tuple[str, _Box | None]] = []
         self.boxes = [_Box("")]
         self.open: dict[str, int] = {}
+        # Whether anything but <html> has come; a <head> after that is ignored.
+        self.seen = False
+        # Open drawings and formulas and what holds HTML or text in them: place in the stack, kind.
+        self.foreign: list[tuple[int, str]] = []
+
+    def _inside(self) -> str:
+        """svg, text (of a drawing) or math where those rules hold, else html."""
+        return self.foreign[-1][1] if self.foreign else "html"
+
+    def _end_head(self) -> None:
+        if self.stack and self.stack[-1][0] == "head":
+            self._close_to(len(self.stack) - 1)
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         own = dict(attrs)
+        if tag == "head" and (self.seen or self.open.get("head")):
+            return
+        if tag not in HEAD:
+            self._end_head()
+        self.seen = self.seen or tag != "html"
+        if tag in BREAKOUT and self._inside() != "html":
+            k = len(self.foreign) - 1
+            while k and self.foreign[k - 1][1] != "html":
+                k -= 1
+            self._close_to(self.foreign[k][0])
+        inside = self._inside()
+        drawing = "svg" if inside == "text" else inside
         if tag in IMPLIED:
             self._close_nearest(*IMPLIED[tag])
         if tag in BLOCKS and self.open.get("p"):
@@ -122,7 +158,7 @@ class _Layout(HTMLParser):
             else:
                 box.end_line()
             return
-        hidden = tag in UNSEEN or "hidden" in own or bool(_HIDING.search(own.get("style") or ""))
+        hidden = tag in UNSEEN or tag in UNDRAWN.get(drawing, ()) or "hidden" in own or bool(_HIDING.search(own.get("style") or ""))
         hidden = hidden or tag == "dialog" and "open" not in own
         if tag in VOID:
             if tag == "hr":
@@ -133,7 +169,8 @@ class _Layout(HTMLParser):
         # What a closed <details> holds, but for its summary, is not seen.
         hidden = hidden or parent.tag == "details" and parent.kind == "closed" and tag != "summary"
         box = None
-        if hidden or tag in BLOCKS:
+        # Browsers lay out each text of a drawing as a block.
+        if hidden or tag in BLOCKS or drawing == "svg" and tag in ("text", "foreignobject"):
             if not hidden:
                 parent.end_line()
             start = own.get("start") or "1"
@@ -141,23 +178,42 @@ class _Layout(HTMLParser):
             span = own.get("colspan") or "1"
             box.span = min(100, max(1, int(span))) if re.fullmatch(r"[0-9]{1,4}", span) else 1
             self.boxes.append(box)
+        if tag in ("svg", "math"):
+            self.foreign.append((len(self.stack), tag))
+        elif tag in HOLDS_HTML.get(drawing, ()):
+            self.foreign.append((len(self.stack), "html"))
+        elif drawing == "svg" and tag == "text":
+            self.foreign.append((len(self.stack), "text"))
         self.stack.append((tag, box))
         self.open[tag] = self.open.get(tag, 0) + 1
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
-        # In HTML a slash does not close an element.
+        # In HTML a slash does not close an element, but in drawings and formulas it does.
+        if tag in BREAKOUT or self._inside() == "html" and tag not in ("svg", "math"):
+            self.handle_starttag(tag, attrs)
+            return
+        depth = len(self.stack)
         self.handle_starttag(tag, attrs)
+        self._close_to(depth)
 
     def handle_endtag(self, tag: str) -> None:
         if tag == "br":
             self.handle_starttag("br", [])
         elif tag in ("td", "th", "tr", "li", "dt", "dd", "p"):
             self._close_nearest({tag}, {"table"} if tag[0] == "t" else {"table", "td", "th"})
-        elif tag != "html" and tag != "body":
+        elif tag == "html" or tag == "body":
+            self._end_head()
+        else:
             self._close_nearest({tag}, set() if tag in BLOCKS else {"td", "th", "table"})
 
     def handle_data(self, data: str) -> None:
+        if data.strip(" \t\n\r\f"):
+            self._end_head()
+            self.seen = True
         box = self.boxes[-1]
+        # In a drawing only its texts are seen.
+        if self._inside() == "svg":
+            return
         # Between the cells and items of a structure only blanks are expected.
         if not (box.hidden or box.tag == "details" and box.kind == "closed"):
             box.pieces.append(data)
@@ -176,6 +232,8 @@ class _Layout(HTMLParser):
         while len(self.stack) > k:
             tag, box = self.stack.pop()
             self.open[tag] -= 1
+            if self.foreign and self.foreign[-1][0] == len(self.stack):
+                self.foreign.pop()
             if box is not None:
                 self.boxes.pop()
                 if not box.hidden:
@@ -232,8 +290,9 @@ def extract_text(pages: DataFrame, html_column: str = "html", out: str = "text")
     Blocks stand on lines of their own, paragraphs, headings, lists and tables a
     blank line apart; items carry a dash or their number and nested lists are set
     in; cells of a table are padded to their columns; text in ``pre`` keeps its
-    blanks. Scripts, styles, the head, form fields, hidden elements and closed
-    details are not seen. Broken markup is read as HTML reads it: unclosed elements
+    blanks. Texts of drawings stand on lines of their own; a formula's text is
+    written as it comes. Scripts, styles, the head, form fields (select, textarea),
+    hidden elements and closed details are not seen. Broken markup is read as HTML reads it: unclosed elements
     end with their parent, stray end tags are ignored.
 
     A null or empty page gives an empty text. Rows are kept as they are, repeated

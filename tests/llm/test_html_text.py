@@ -36,6 +36,30 @@ def test_layout(html, text):
     assert visible_text(html) == text
 
 
+FOREIGN_AND_HEADS = [
+    ("<html><head><title>T</title><h1>Hi</h1><p>text", "Hi\n\ntext"),
+    ("<head><meta charset=x><title>T</title>plain", "plain"),
+    ("<head><noscript><img src=x></noscript><style>p{}</style><link rel=x><p>a", "a"),
+    ("<head><title>T</title></html>a", "a"),
+    ("<p>a<head><p>b", "a\n\nb"),
+    ("<body>a<svg/>b<math/>c", "abc"),
+    ("<head><title>t</title><svg width=1 /><body>a", "a"),
+    ("a<svg><title>no</title><path d=x /><g>no<text x=1>one</text><text>two <tspan>three</tspan></text></g></svg>b", "a\none\ntwo three\nb"),
+    ("<svg><foreignObject><p>a<p>b<b/>c</foreignObject>no</svg>d", "a\n\nbc\nd"),
+    ("<svg><defs/><style/><text>a</text></svg>b", "a\nb"),
+    ("<svg><path d=x><p>a</p>b", "a\n\nb"),
+    ("<svg><text>a<div>b</div>c", "a\nb\nc"),
+    ("so <math><mi>x</mi><mo>=</mo><mspace/><mn>2</mn><annotation>no</annotation></math> holds", "so x=2 holds"),
+    ("<svg hidden><text>no</text></svg>a", "a"),
+    ("<svg><desc><p>no</p></desc><text>a</text></svg>", "a"),
+]
+
+
+@pytest.mark.parametrize(("html", "text"), FOREIGN_AND_HEADS)
+def test_heads_drawings_and_formulas(html, text):
+    assert visible_text(html) == text
+
+
 def test_deep_and_long_pages():
     assert visible_text("<div>" * 20_000 + "x").strip() == "x"
     assert visible_text("<ul><li>" * 5_000 + "x").endswith("x")
@@ -43,6 +67,11 @@ def test_deep_and_long_pages():
     assert "x" in visible_text("<b><i>" * 20_000 + "x")
 
 
+def test_deep_drawings():
+    assert visible_text("<svg><foreignobject>" * 3_000 + "<p>x").strip() == "x"
+    assert "x" in visible_text("<svg><g>" * 20_000 + "<text>x")
+
+
 def test_rows(spark):
     rows = [(1, None, "k"), (2, "", "k"), (3, "<p>a", "k"), (3, "<p>a", "k"), (None, "<b>z", None)]
     pages = spark.createDataFrame(rows, "page_id bigint, html string, text string")
