@@ -13,7 +13,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,11 +28,17 @@ _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz01234567
 _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-_DIGITS = re.compile(r"[0-9]++")
+# What makes a token look like an identifier, and a group of a number written in groups.
+_SIGN = re.compile(r"[0-9@]|(?<=[A-Za-z])\.(?=[A-Za-z])|(?i:[(\[{<](?:at|dot)[)\]}>])")
+_END = re.compile(r"\s")
+_GROUP = re.compile(r"[(+]*[0-9][0-9()./-]*")
+_JOINT = re.compile(r"[ \u00a0-]{1,3}")
 _EDGE = "\"'`.,;:!?()[]{}<>|*#%&$"
 
 # Longest token that can be an instance, and the stretches that hold its context.
 LONGEST, BEFORE, AFTER = 64, 80, 40
+# Digits of the longest number written in groups, those of a card.
+MOST_DIGITS = 19
 
 _SCAN = "row bigint, id bigint, spans array<struct<kind:string,start:int,end:int>>, slots array<struct<start:int,end:int,kind:string,instance:string,patterns:array<string>>>"
 
@@ -83,29 +89,64 @@ def _patterns(text: str, start: int, end: int) -> list[str]:
     return found
 
 
+def _tokens(text: str) -> Iterator[tuple[int, int]]:
+    """Blank-free tokens that hold a digit or a sign of an address."""
+    end = 0
+    while sign := _SIGN.search(text, end):
+        start = sign.start()
+        while start > end and not text[start - 1].isspace():
+            start -= 1
+        blank = _END.search(text, sign.end())
+        end = blank.start() if blank else len(text)
+        yield start, end
+
+
+def _trimmed(text: str, start: int, end: int) -> tuple[int, int]:
+    """A stretch without the punctuation around it; brackets that close inside it stay."""
+    a, b = start, end
+    while a < b and text[a] in _EDGE:
+        a += 1
+    while b > a and text[b - 1] in _EDGE:
+        b -= 1
+    if b - a <= LONGEST:
+        if a > start and text[a - 1] == "(" and text.count(")", a, b) > text.count("(", a, b):
+            a -= 1
+        if b < end and text[b] == ")" and text.count("(", a, b) > text.count(")", a, b):
+            b += 1
+    return a, b
+
+
 def _slots(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[int, int, str | None, str, list[str]]]:
-    """Seeds, and other tokens that look like identifiers: six signs and two digits at least."""
+    """Seeds, and what else looks like identifiers: tokens and numbers written in groups.
+
+    A number goes from each of its groups to its last one, as a group before it may
+    be another number.
+    """
     found = [(a, b, kind, text[a:b].lower(), _patterns(text, a, b)) for kind, a, b in spans if b - a <= LONGEST]
     taken = sorted((a, b) for _, a, b in spans)
-    done, k = 0, 0
-    for digits in _DIGITS.finditer(text):
-        if digits.start() < done:
-            continue
-        start, end = digits.span()
-        while start > done and not text[start - 1].isspace():
-            start -= 1
-        while end < len(text) and not text[end].isspace():
-            end += 1
-        done = end
-        while start < end and text[start] in _EDGE:
-            start += 1
-        while end > start and text[end - 1] in _EDGE:
-            end -= 1
-        while k < len(taken) and taken[k][1] <= start:
+    tokens, k = [], 0
+    for start, end in _tokens(text):
+        a, b = _trimmed(text, start, end)
+        while k < len(taken) and taken[k][1] <= a:
             k += 1
-        token = text[start:end]
-        if 6 <= len(token) <= LONGEST and sum(c.isdigit() for c in token) >= 2 and not (k < len(taken) and taken[k][0] < end):
-            found.append((start, end, None, token.lower(), _patterns(text, start, end)))
+        if 0 < b - a <= LONGEST and not (k < len(taken) and taken[k][0] < b):
+            digits = sum(c.isdigit() for c in text[a:b]) if _GROUP.fullmatch(text, a, b) else 0
+            tokens.append((start, end, a, b, digits))
+    for i, (start, _, a, b, digits) in enumerate(tokens):
+        j, last = i, b
+        while digits and j + 1 < len(tokens):
+            before, after = tokens[j], tokens[j + 1]
+            digits += after[4]
+            # Other punctuation than brackets parts numbers.
+            joined = text[before[3] : before[1]].strip(")") == "" and text[after[0] : after[2]].strip("(") == "" and _JOINT.fullmatch(text, before[1], after[0])
+            if not joined or not after[4] or digits > MOST_DIGITS or after[3] - a > LONGEST:
+                break
+            j, last = j + 1, after[3]
+        if j > i:
+            a, last = _trimmed(text, start, tokens[j][1])
+            if last - a > LONGEST:
+                a, last = tokens[i][2], tokens[j][3]
+        found.append((a, last, None, text[a:last].lower(), _patterns(text, a, last)))
     return found
 
 
@@ -178,7 +219,9 @@ def personal_data(
 
     Spans are (kind, start, end) in code points, end exclusive. Added spans never
     touch a base span, and have the kind of the seeds whose patterns led to them.
-    ``support`` is how many different seeds of a kind a pattern needs.
+    ``support`` is how many different seeds of a kind a pattern needs. What can be found are blank-free tokens with a
+    digit, @, (at), (dot) or a dot between letters, and numbers of up to 19 digits in
+    groups joined by blanks or dashes.
 
     A null text counts as empty: no spans. Repeated rows each get their spans; rows
     are told apart by a number of their own, so ids may be null or repeat. An
@@ -194,6 +237,9 @@ def personal_data(
     certainly = discovered(scanned, rounds, support, certain).select("instance", F.col("kind").alias("of"))
     slots = scanned.select("row", F.explode("slots").alias("s")).where("s.kind IS NULL")
     added = slots.select("row", "s.start", "s.end", "s.instance").join(certainly, "instance")
+    # Of a number and its last groups, the whole.
+    earlier = Window.partitionBy("row").orderBy("start", F.desc("end")).rowsBetween(Window.unboundedPreceding, -1)
+    added = added.withColumn("_reach", F.coalesce(F.max("end").over(earlier), F.lit(-1))).where(F.col("end") > F.col("_reach"))
     added = added.groupBy("row").agg(F.collect_list(F.struct(F.col("of").alias("kind"), "start", "end")).alias("found"))
     none = F.array().cast("array<struct<kind:string,start:int,end:int>>")
     joined = scanned.select("row", "id", "spans").join(added, "row", "left")

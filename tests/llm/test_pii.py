@@ -83,6 +83,16 @@ def test_contexts_find_unseen_identifiers(spark):
     assert pii.digest(pii.personal_data(docs.limit(0))).count() == 0
 
 
+def test_slots_of_unseen_forms():
+    def unseen(text):
+        return [text[a:b] for a, b, kind, _, _ in pii._slots(text, pii.base_spans(text)) if kind is None]
+
+    assert unseen("ask jane(at)host.org, or jo@x.") == ["jane(at)host.org", "jo@x"]
+    assert unseen("call (017) 555 7713, (or 22-33).") == ["(017) 555 7713", "555 7713", "7713", "22-33"]
+    assert unseen("card 4111 1111 1111 1112 now")[0] == "4111 1111 1111 1112"
+    assert unseen("mail a@b.cd and +1 234 555 0123 only") == []
+
+
 def test_query_against_brute_force(spark):
     from litscope.llm.queries import QUERIES
 
