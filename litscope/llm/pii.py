@@ -4,7 +4,8 @@ Four base forms are found in every text. They are the seeds: the words around th
 are lexical patterns, and tokens of an identifier's shape that stand in the same
 places are instances. Patterns and instances form a graph, over the whole table;
 in each round patterns are scored by the instances they hold, and instances by
-their patterns. Instances that end up nearly certain are found wherever they stand.
+their patterns. Instances that end up nearly certain become seeds of further
+patterns, until none is added; they are found wherever they stand.
 """
 
 from __future__ import annotations
@@ -178,16 +179,36 @@ def discovered(scanned: DataFrame, rounds: int, support: int, certain: float) ->
     seeds. A pattern's score for a kind is the belief in its instances over their
     number plus one; an instance's score is the chance that one of its patterns is
     right, were they independent. Seeds are believed fully for their own kind.
+
+    Scores settle in ``rounds`` rounds. Instances that then are certain join the
+    seeds, patterns are counted anew, and so on until no instance is added.
     """
     slots = scanned.select(F.explode("slots").alias("s")).select("s.*")
     edges = slots.select("instance", "kind", F.explode("patterns").alias("pattern"))
     edges = durable(edges.groupBy("instance", "kind", "pattern").agg(F.count("*").alias("times")))
-    seeds = edges.where("kind IS NOT NULL")
-    # Only patterns with enough different seeds of one kind go on; a pattern's edges count once.
-    strong = durable(seeds.groupBy("pattern", "kind").agg(F.count("*").alias("seeds")).where(F.col("seeds") >= support))
-    sizes = edges.groupBy("pattern").agg(F.count("*").alias("held"))
-    strong = durable(strong.join(sizes, "pattern").select("pattern", F.col("kind").alias("of"), "seeds", "held"))
+    labelled, found = edges.select("instance", "kind", "pattern"), None
+    while True:
+        new = _certain(labelled, rounds, support, certain)
+        if new is None:
+            break
+        found = new if found is None else durable(found.unionByName(new))
+        known = found.select("instance", F.col("kind").alias("_of"))
+        labelled = durable(
+            edges.join(known, "instance", "left").select("instance", F.coalesce("kind", "_of").alias("kind"), "pattern").distinct()
+        )
+    return edges.sparkSession.createDataFrame([], "instance string, kind string, score double") if found is None else found
+
+
+def _certain(edges: DataFrame, rounds: int, support: int, certain: float) -> DataFrame | None:
+    """(instance, kind, score) of the instances without a kind that become certain, or None."""
+    # A pattern's edges count once. Only patterns with enough different seeds of one kind go on.
+    counts = [F.count_if(F.col("kind") == k).alias(k) for k in KINDS]
+    sizes = edges.groupBy("pattern").agg(F.count("*").alias("held"), *counts)
+    kinds = F.explode(F.array(*(F.struct(F.lit(k).alias("of"), F.col(k).alias("seeds")) for k in KINDS))).alias("k")
+    strong = durable(sizes.select("pattern", "held", kinds).select("pattern", "k.of", "k.seeds", "held").where(F.col("seeds") >= support))
     others = durable(edges.where("kind IS NULL").select("instance", "pattern").join(strong.select("pattern", "of"), "pattern"))
+    if others.isEmpty():
+        return None
     scores = None
     for _ in range(rounds):
         belief = strong.select("pattern", "of", "held", F.col("seeds").cast("double").alias("sum"))
@@ -198,7 +219,8 @@ def discovered(scanned: DataFrame, rounds: int, support: int, certain: float) ->
         doubt = F.exp(F.sum(F.log(F.greatest(F.lit(1e-9), 1 - F.col("p")))))
         scores = durable(others.join(rated, ["pattern", "of"]).groupBy("instance", F.col("of").alias("kind")).agg((1 - doubt).alias("score")))
     best = scores.groupBy("instance").agg(F.max(F.struct("score", "kind")).alias("b"))
-    return best.select("instance", "b.kind", "b.score").where(F.col("score") >= certain)
+    new = durable(best.select("instance", "b.kind", "b.score").where(F.col("score") >= certain))
+    return None if new.isEmpty() else new
 
 
 def _listed(spans: Column) -> Column:
@@ -219,7 +241,8 @@ def personal_data(
 
     Spans are (kind, start, end) in code points, end exclusive. Added spans never
     touch a base span, and have the kind of the seeds whose patterns led to them.
-    ``support`` is how many different seeds of a kind a pattern needs. What can be found are blank-free tokens with a
+    ``support`` is how many different seeds of a kind a pattern needs, instances
+    that were found before included. What can be found are blank-free tokens with a
     digit, @, (at), (dot) or a dot between letters, and numbers of up to 19 digits in
     groups joined by blanks or dashes.
 

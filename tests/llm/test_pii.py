@@ -93,6 +93,23 @@ def test_slots_of_unseen_forms():
     assert unseen("mail a@b.cd and +1 234 555 0123 only") == []
 
 
+def test_found_identifiers_become_seeds(spark):
+    rows = [f"please write to n{i}@mail.example.org for help" for i in range(40)]
+    rows += [f"please call us +1 234 555 {1000 + i} any day" for i in range(40)]
+    direct = [("please write to jane(at)host.org for help", "email", "jane(at)host.org"), ("please call us (017) 555 7713 any day", "phone", "(017) 555 7713")]
+    names = [f"{c}ee(at)host.org" for c in "abcdefghijkl"]
+    rows += [t for t, _, _ in direct] + [f"please write to {n} for help" for n in names] + [f"kindly ask {n} about it" for n in names]
+    # Its context holds no seed, only what was found by the context of seeds.
+    late = ("kindly ask zoe(at)host.org about it", "email", "zoe(at)host.org")
+    docs = spark.createDataFrame(list(enumerate([*rows, late[0]])), "doc_id bigint, text string")
+    added = {docs_text: [(s["kind"], docs_text[s["start"] : s["end"]]) for s in found] for docs_text, found in (
+        ([*rows, late[0]][r["doc_id"]], r["found"]) for r in pii.personal_data(docs).collect()
+    )}
+    for text, kind, instance in (*direct, late):
+        assert added[text] == [(kind, instance)]
+    assert all(added[f"kindly ask {n} about it"] == [("email", n)] for n in names)
+
+
 def test_query_against_brute_force(spark):
     from litscope.llm.queries import QUERIES
 
