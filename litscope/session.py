@@ -68,18 +68,20 @@ def shared_folder(spark: SparkSession) -> str:
 _scopes: list[list[str]] = []
 
 
-def durable(df: DataFrame) -> DataFrame:
+def durable(df: DataFrame, outlive: bool = False) -> DataFrame:
     """Write to the shared folder and read back.
 
     Cuts the lineage, so a lost executor costs no recomputation, and gives the
     planner the true size: a join then broadcasts this table only if it is small.
-    The folder goes when the application ends, or with the ``scratch`` around it.
+    The folder goes when the application ends, or with the ``scratch`` around it;
+    with ``outlive``, with the one around that.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/litscope-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    if _scopes:
-        _scopes[-1].append(path)
+    scopes = _scopes[:-1] if outlive else _scopes
+    if scopes:
+        scopes[-1].append(path)
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
     return spark.read.schema(df.schema).parquet(path)
