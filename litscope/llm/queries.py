@@ -9,7 +9,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from litscope.llm import embedding_pairs, html_text, kd_shards, language, minhash_forest, mixing, pii, tiling, token_counts, url_rules
+from litscope.llm import embedding_pairs, hard_negatives, html_text, kd_shards, language, minhash_forest, mixing, pii, repeats, tiling
+from litscope.llm import token_alignment, token_counts, url_rules
 from litscope.session import ship_package
 from litscope.sources.tables import read_table
 
@@ -31,11 +32,20 @@ TOPICS = [
 ROUNDS = 8
 
 
-def vocabulary() -> str:
-    """The installed file of GPT-2-like ranks."""
+# Words of a passage that must not occur twice.
+PASSAGE = 35
+
+
+def tokenizer_file(name: str) -> str:
+    """The place of an installed tokenizer file."""
     found = importlib.util.find_spec("public_tokenizers")
     folder = pathlib.Path(found.origin).parent if found else pathlib.Path("/opt/tokenizers")
-    return str(folder / "byte_bpe_50k.tiktoken")
+    return str(folder / name)
+
+
+def vocabulary() -> str:
+    """The installed file of GPT-2-like ranks."""
+    return tokenizer_file("byte_bpe_50k.tiktoken")
 
 
 def mixture(docs: DataFrame) -> DataFrame:
@@ -132,11 +142,30 @@ def op10_url_rules(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op11_span_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents").select("doc_id", "text")
+    return token_alignment.align_tokens(docs, tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model"))
+
+
+def op12_level_doubling(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents").select("doc_id", "text")
+    found = repeats.drop_repeats(docs, length=PASSAGE)
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op13_threshold_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = read_table(spark, folder, "embeddings")
+    # Every seventh row is given another label, so that near rows differ in theirs.
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine_negatives(vectors.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_pigeonhole_vectors, op2_html_layout, op3_ipf_mixing, op4_kernel_language, op5_lsh_forest,
         op6_string_tiling, op7_kd_sharding, op8_edit_counts, op9_bootstrapped_pii, op10_url_rules,
+        op11_span_alignment, op12_level_doubling, op13_threshold_negatives,
     )
 }
 
@@ -202,5 +231,39 @@ SELECT doc_id, source, lang, topic, tokens, round({chance.format('weight')}, 6)
 FROM marked LEFT JOIN chances USING (source, lang, topic)"""
 
 
+def _repeats_sql() -> str:
+    return rf"""WITH listed AS (SELECT row_number() OVER () AS r, doc_id,
+  list_filter(string_split_regex(coalesce(text, ''), '[ \t-\r]+'), lambda w: w <> '') AS w FROM documents),
+windows AS (SELECT r, unnest(list_transform(range(1, len(w) - {PASSAGE} + 2), lambda i: md5(array_to_string(w[i : i + {PASSAGE - 1}], ' ')))) AS h,
+  unnest(range(1, len(w) - {PASSAGE} + 2)) AS p FROM listed WHERE len(w) >= {PASSAGE}),
+twice AS (SELECT h FROM windows GROUP BY h HAVING count(*) > 1),
+gone AS (SELECT DISTINCT r, p + k AS p FROM windows JOIN twice USING (h), range(0, {PASSAGE}) AS t(k)),
+words AS (SELECT r, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM listed),
+kept AS (SELECT r, string_agg(word, ' ' ORDER BY p) AS text, count(*) AS n FROM words ANTI JOIN gone USING (r, p) GROUP BY r)
+SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM listed LEFT JOIN kept USING (r)"""
+
+
+def _negatives_sql() -> str:
+    return """WITH usable AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+  list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS alike,
+  CAST(list_sum(list_transform(list_zip(a.v, b.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM usable a JOIN usable b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) AS place FROM scores WHERE alike),
+positives AS (SELECT anchor_id, other AS positive_id, score AS positive_score FROM ranked WHERE place <= 5),
+windows AS (SELECT anchor_id, positive_id, other AS negative_id, positive_score, score AS negative_score,
+  CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other) AS INTEGER) AS rank
+  FROM positives JOIN (SELECT * FROM scores WHERE NOT alike) USING (anchor_id)
+  WHERE 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM windows WHERE rank <= 10"""
+
+
 def oracles() -> dict[str, str]:
-    return {"op3_ipf_mixing": _mix_sql(), "op10_url_rules": _url_sql()}
+    return {
+        "op3_ipf_mixing": _mix_sql(),
+        "op10_url_rules": _url_sql(),
+        "op12_level_doubling": _repeats_sql(),
+        "op13_threshold_negatives": _negatives_sql(),
+    }
