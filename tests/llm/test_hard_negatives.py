@@ -63,7 +63,7 @@ def test_edges(spark):
 
 def test_thousands_of_copies(spark):
     rows = [(i, [1.0, 0.0, 0.25] if i % 3 == 0 else [1.0, i / 3000, -0.5], i % 2) for i in range(3000)]
-    check(spark, [r for r in rows if r[0] % 10 or r[0] < 200], every=10)
+    check(spark, [r for r in rows if r[0] % 10 or r[0] < 200])
 
 
 def test_pairs_are_a_superset(spark):
