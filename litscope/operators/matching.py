@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from litscope.operators.clauses import CLAUSE, PATTERNS, clause_terms, group_bit, repeated, requirements
 from litscope.operators.patterns import pattern_terms
+from litscope.operators.vocabulary import Vocabulary, dictionary_terms
 from litscope.session import durable
 from litscope.sources.store import Index
 
@@ -195,13 +196,19 @@ def search(index: Index, terms: DataFrame, sloppy: bool = False) -> DataFrame:
     return document_scores(hits, requirements(terms))
 
 
-def answer_clauses(index: Index, clauses: DataFrame, strict_gaps: bool = True, sloppy: bool = False) -> DataFrame:
-    """Hits of a clause table, patterns included. Clauses that cannot be told apart are an error."""
+def answer_clauses(
+    index: Index, clauses: DataFrame, strict_gaps: bool = True, sloppy: bool = False, vocabulary: Vocabulary | None = None
+) -> DataFrame:
+    """Hits of a clause table, patterns included. Clauses that cannot be told apart are an error.
+
+    Patterns are looked up in ``vocabulary`` if there is one.
+    """
     clauses = durable(clauses)
     twice = repeated(clauses).limit(1).collect()
     if twice:
         raise ValueError(f"two clauses share {twice[0].asDict()}: give them clause_ids of their own")
     terms = clause_terms(clauses, index.analysis, index.buckets, strict_gaps)
     if not clauses.where(F.col("kind").isin(*PATTERNS)).isEmpty():
-        terms = terms.unionByName(pattern_terms(index, clauses))
+        found = dictionary_terms(vocabulary, clauses) if vocabulary else pattern_terms(index, clauses)
+        terms = terms.unionByName(found)
     return search(index, terms, sloppy)

@@ -186,6 +186,24 @@ met AS (SELECT query_id, 'fuzzy' AS kind, term, weight FROM near
 parts AS (SELECT query_id, kind, doc_id, max(weight) AS part FROM met JOIN tf USING (term) WHERE field = 'title' GROUP BY ALL),
 answer AS (SELECT query_id, doc_id, round(sum(part), 9) AS score FROM parts GROUP BY ALL)"""
 
+_BENCHMARK_VOCABULARY = f"""
+asked AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '{SIMPLE_WORD}')) AS word FROM benchmark),
+vocabulary AS (SELECT term FROM df WHERE field = 'title')"""
+
+# Distances of the pairs that plain letters' own distance leaves, cell by cell; it is
+# never above the exact one, and counts the bytes of other letters one by one.
+_FUZZY_WORDS = f"""{_BENCHMARK_VOCABULARY.strip()},
+pairs AS (SELECT term AS a, word AS b FROM vocabulary, asked WHERE abs(length(term) - length(word)) <= 2 AND damerau_levenshtein(term, word) <=
+          CASE WHEN strlen(term) = length(term) AND strlen(word) = length(word) THEN 2 ELSE 8 END),
+{_FUZZY.strip()[_FUZZY.strip().index("cells AS"):_FUZZY.strip().index("near AS")].rstrip().rstrip(",")}"""
+
+_THREE_MUSTS = f"""
+bw AS (SELECT DISTINCT CAST(item_id AS VARCHAR) AS query_id, unnest(regexp_extract_all(lower(text), '{SIMPLE_WORD}')) AS term FROM benchmark),
+rated AS (SELECT query_id, term, row_number() OVER (PARTITION BY query_id ORDER BY df, term) - 1 AS place,
+                 count(*) OVER (PARTITION BY query_id) AS n FROM bw JOIN df USING (term) WHERE field = 'title'),
+clauses AS (SELECT query_id, 0 AS grp, 'must' AS occur, CAST(place AS VARCHAR) AS clause, 'title' AS field, term, 0 AS off, 1 AS size, 1.0 AS boost
+            FROM rated WHERE place IN (0, (n - 1) // 2, n - 1))"""
+
 _BLOCKED = " OR ".join(f"contains(phrase, '{b}')" for b in TREND_BLOCK_LIST)
 
 _RUNS = f"""list_filter(list_transform(string_split(array_to_string(list_transform(
@@ -377,6 +395,23 @@ answer AS (SELECT 'q' AS query_id, doc_id, round(weight * freq / (freq + 1.2 * (
         ),
         "search_batch": _search(_BENCHMARK_WORDS),
         "search_batch_keywords": _search(_BENCHMARK_KEYWORDS),
+        "search_top_bounded": _search(_BENCHMARK_WORDS),
+        "search_three_musts": _search(_THREE_MUSTS),
+        "posting_bounds": f"""{plain} SELECT term, doc_id // 128 AS block, count(*) AS docs,
+  round(max(tf / (tf + 1.2 * (1 - 0.75 + 0.75 * length / mean_length))), 6) AS bound
+FROM tf JOIN df USING (field, term) JOIN dl USING (field, doc_id) JOIN fs USING (field) WHERE df >= 512 GROUP BY ALL""",
+        "posting_bitmaps": f"""{plain} SELECT term, CASE WHEN doc_id > 0 THEN 1 + (doc_id - 1) // 32768 ELSE doc_id // 32768 END AS run,
+  CAST(count(*) AS INTEGER) AS docs, min(doc_id) AS first, max(doc_id) AS last, CAST(sum(doc_id) AS BIGINT) AS total
+FROM tf JOIN df USING (field, term) WHERE df >= 512 GROUP BY ALL""",
+        "fuzzy_vocabulary": f"WITH RECURSIVE {_tokens('title')}, {_FUZZY_WORDS} SELECT b AS word, a AS term, apart FROM distances WHERE apart <= 2",
+        "shaped_vocabulary": f"""{plain}, {_BENCHMARK_VOCABULARY}
+SELECT 'wildcard' AS kind, word, term FROM asked JOIN vocabulary ON contains(term, substr(word, 2, 3)) WHERE length(word) >= 4
+UNION ALL SELECT 'regex', word, term FROM asked JOIN vocabulary
+  ON regexp_full_match(term, left(word, 2) || '[a-z]*' || right(word, 3)) WHERE length(word) >= 4""",
+        "ranged_vocabulary": f"""{plain}, {_BENCHMARK_VOCABULARY},
+met AS (SELECT 'range' AS kind, word, term FROM asked JOIN vocabulary ON term BETWEEN word AND word || 'z'
+        UNION ALL SELECT 'prefix', word, term FROM asked JOIN vocabulary ON starts_with(term, substr(word, 1, 4)))
+SELECT kind, word, count(*) AS terms, min(term) AS first, max(term) AS last FROM met GROUP BY ALL""",
         "search_known_items": _search(_KNOWN_ITEMS),
         "search_prefix": _patterns("starts_with(term, 'erine')"),
         "search_wildcard": _patterns("regexp_full_match(term, '(?s)er.n.*sh')"),

@@ -14,7 +14,10 @@ from litscope.operators import clauses as C
 from litscope.operators import phrases as K
 from litscope.operators import postings as P
 from litscope.operators import topics, trends
+from litscope.operators.bitmaps import documents_in, write_bitmaps
+from litscope.operators.bounds import Bounds, write_bounds
 from litscope.operators.patterns import Pattern, pattern_clauses
+from litscope.operators.vocabulary import MOST_EDITS, Vocabulary, fuzzy_terms, ranged_terms, shaped_terms, write_vocabulary
 from litscope.plans import search as S
 from litscope.plans import trends as R
 from litscope.plans.trends import searched_titles
@@ -41,6 +44,39 @@ def index_for(spark: SparkSession, folder: str) -> Index:
     return _indexes[key]
 
 
+_made: dict[tuple, object] = {}
+
+
+def _once(spark: SparkSession, folder: str, kind: str, make: Callable[[str], object]):
+    """What ``make`` stores at a path of its own in the shared folder, made on first use."""
+    key = (spark.sparkContext.applicationId, folder, kind)
+    if key not in _made:
+        name = folder.strip("/").replace("/", "_").replace(":", "_")
+        _made[key] = make(f"{shared_folder(spark)}/litscope-{kind}-{key[0]}/{name}")
+    return _made[key]
+
+
+def title_index(spark: SparkSession, folder: str) -> Index:
+    """An index of the texts alone, without positions."""
+
+    def make(path: str) -> Index:
+        return build_index(_texts(spark, folder), path, fields=("title",), analysis=PLAIN, keep_corpus=False, positions=False)
+
+    return _once(spark, folder, "titles", make)
+
+
+def bounds_for(spark: SparkSession, folder: str) -> Bounds:
+    return _once(spark, folder, "bounds", lambda path: write_bounds(title_index(spark, folder), path))
+
+
+def bitmaps_for(spark: SparkSession, folder: str) -> DataFrame:
+    return _once(spark, folder, "bitmaps", lambda path: write_bitmaps(title_index(spark, folder), path))
+
+
+def vocabulary_for(spark: SparkSession, folder: str) -> Vocabulary:
+    return _once(spark, folder, "vocabulary", lambda path: write_vocabulary(title_index(spark, folder), path, stored=False))
+
+
 def _texts(spark: SparkSession, folder: str) -> DataFrame:
     """The corpus laid out for work on its text."""
     return spread(documents_corpus(spark, folder), "doc_id")
@@ -201,6 +237,71 @@ def search_known_items(spark: SparkSession, folder: str) -> DataFrame:
     return _answer(spark, folder, C.clause_table(clauses))
 
 
+def posting_bounds(spark: SparkSession, folder: str) -> DataFrame:
+    """The most that a frequent word adds to a document's score, block by block."""
+    return bounds_for(spark, folder).table.select("term", "block", "docs", F.round("bound", 6).alias("bound"))
+
+
+def search_top_bounded(spark: SparkSession, folder: str) -> DataFrame:
+    """All benchmark texts as queries of any of their words, scoring only what bounds leave."""
+    clauses = C.any_clauses(_benchmark_queries(spark, folder), "title", C.TITLE)
+    return _rounded(S.search_best(title_index(spark, folder), bounds_for(spark, folder), clauses))
+
+
+def posting_bitmaps(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents of frequent words, from bitmaps."""
+    rows = bitmaps_for(spark, folder).select("term", "run", documents_in("run", "bits").alias("ids"))
+    total = F.aggregate("ids", F.lit(0).cast("bigint"), lambda s, x: s + x)
+    return rows.select("term", "run", F.size("ids").alias("docs"), F.array_min("ids").alias("first"), F.array_max("ids").alias("last"), total.alias("total"))
+
+
+def search_three_musts(spark: SparkSession, folder: str) -> DataFrame:
+    """Of each benchmark text, the rarest, the middle and the commonest word: all three must occur."""
+    found = _benchmark_queries(spark, folder).select("query_id", F.explode(F.array_distinct(words(F.col("text"), SIMPLE_WORD))).alias("text"))
+    index = title_index(spark, folder)
+    rated = found.join(index.term_stats.select(F.col("term").alias("text"), "df"), "text")
+    rated = rated.groupBy("query_id").agg(F.array_sort(F.collect_list(F.struct("df", "text"))).alias("w"))
+    places = F.array_distinct(F.array(F.lit(0), F.floor((F.size("w") - 1) / 2).cast("int"), F.size("w") - 1))
+    rows = rated.select("query_id", F.explode(F.transform(places, lambda i: F.struct(i.alias("clause_id"), F.get("w", i).text.alias("text")))).alias("c"))
+    clauses = rows.select("query_id", "c.clause_id", "c.text").withColumns({"grp": F.lit(C.TITLE), "field": F.lit("title"), "kind": F.lit("exact")})
+    return _rounded(S.search_conjunctions(index, bitmaps_for(spark, folder), C.clause_table(clauses)))
+
+
+def _benchmark_words(spark: SparkSession, folder: str) -> DataFrame:
+    texts = read_table(spark, folder, "benchmark").select(F.explode(words(F.col("text"), SIMPLE_WORD)).alias("word"))
+    return texts.distinct()
+
+
+def _word_patterns(spark: SparkSession, folder: str, *kinds: tuple) -> DataFrame:
+    """(kind, text, upper) of every benchmark word, as clauses of queries of their own."""
+    listed = F.array(*(F.struct(F.lit(k).alias("kind"), t.alias("text"), (F.lit(None).cast("string") if u is None else u).alias("upper")) for k, t, u in kinds))
+    rows = _benchmark_words(spark, folder).select(F.col("word").alias("query_id"), F.inline(listed))
+    return C.clause_table(rows.withColumns({"field": F.lit("title"), "edits": F.lit(MOST_EDITS)}))
+
+
+def fuzzy_vocabulary(spark: SparkSession, folder: str) -> DataFrame:
+    """Every benchmark word with the words of the documents up to two edits from it."""
+    found = fuzzy_terms(vocabulary_for(spark, folder), _word_patterns(spark, folder, ("fuzzy", F.col("word"), None)))
+    return found.select(F.col("query_id").alias("word"), "term", "apart")
+
+
+def shaped_vocabulary(spark: SparkSession, folder: str) -> DataFrame:
+    """Words that hold a benchmark word's inner letters, or share its start and its ending."""
+    inner = F.concat(F.lit("*"), F.substring("word", 2, 3), F.lit("*"))
+    outer = F.concat(F.substring("word", 1, 2), F.lit("[a-z]*"), F.right("word", F.lit(3)))
+    clauses = _word_patterns(spark, folder, ("wildcard", inner, None), ("regex", outer, None)).where(F.length("query_id") >= 4)
+    return shaped_terms(vocabulary_for(spark, folder), clauses).select("kind", F.col("query_id").alias("word"), "term")
+
+
+def ranged_vocabulary(spark: SparkSession, folder: str) -> DataFrame:
+    """How many words lie between a benchmark word and its last continuation, or share its first four letters."""
+    clauses = _word_patterns(
+        spark, folder, ("range", F.col("word"), F.concat("word", F.lit("z"))), ("prefix", F.substring("word", 1, 4), None)
+    )
+    found = ranged_terms(vocabulary_for(spark, folder), clauses).groupBy("kind", F.col("query_id").alias("word"))
+    return found.agg(F.count("*").alias("terms"), F.min("term").alias("first"), F.max("term").alias("last"))
+
+
 def hits_with_records(spark: SparkSession, folder: str) -> DataFrame:
     """Hits of the batch with stored fields and the labels of their documents."""
     hits = search_batch(spark, folder)
@@ -422,6 +523,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         search_term, search_should, search_must, search_must_not, search_phrase, search_phrase_gap,
         search_phrase_slop, search_boost, search_author_any, search_venue, search_return_all, search_multi,
         search_batch, search_batch_keywords, search_known_items, hits_with_records,
+        posting_bounds, search_top_bounded, posting_bitmaps, search_three_musts,
+        fuzzy_vocabulary, shaped_vocabulary, ranged_vocabulary,
         search_author_or_venue, search_keyword_and_prefix, search_pattern_batch,
         search_prefix, search_wildcard, search_regex, search_fuzzy, search_term_range,
         phrases, word_scores, phrase_scores, hotspots_by_year, hotspots_filled, hotspot_evolution, hotspot_series,

@@ -6,9 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from litscope.operators import clauses as C
+from litscope.operators.bitmaps import conjunction_hits
+from litscope.operators.bounds import Bounds, best_hits
 from litscope.operators.matching import answer_clauses
 from litscope.operators.patterns import Pattern, pattern_clauses
 from litscope.operators.ranking import rank_all, top_k
+from litscope.operators.vocabulary import Vocabulary
 from litscope.session import durable, local_table
 from litscope.sources.store import Index
 
@@ -38,12 +41,24 @@ def search_clauses(
     k: int | None = DEFAULT_TOP_K,
     strict_gaps: bool = True,
     sloppy: bool = False,
+    vocabulary: Vocabulary | None = None,
 ) -> DataFrame:
     """Answer a whole table of queries in one job: (query_id, rank, doc_id, score).
 
-    ``sloppy`` honours the ``slop`` column of phrase clauses.
+    ``sloppy`` honours the ``slop`` column of phrase clauses. Patterns are looked up
+    in ``vocabulary`` if there is one.
     """
-    return ranked(answer_clauses(index, clauses, strict_gaps, sloppy), k)
+    return ranked(answer_clauses(index, clauses, strict_gaps, sloppy, vocabulary), k)
+
+
+def search_best(index: Index, bounds: Bounds, clauses: DataFrame, k: int = DEFAULT_TOP_K) -> DataFrame:
+    """The first k hits of queries of single words, without scoring what cannot be among them."""
+    return ranked(best_hits(index, bounds, clauses, k), k)
+
+
+def search_conjunctions(index: Index, bitmaps: DataFrame, clauses: DataFrame, k: int | None = DEFAULT_TOP_K) -> DataFrame:
+    """Queries that require words: documents that hold them all are found before any is scored."""
+    return ranked(conjunction_hits(index, bitmaps, clauses), k)
 
 
 def year_hits(corpus: DataFrame, start: int, end: int | None = None) -> DataFrame:
