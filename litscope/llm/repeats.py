@@ -12,6 +12,7 @@ half windows stand for all: where an anchor occurs once, no window above it repe
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -150,9 +151,16 @@ def _repeated(level: DataFrame) -> DataFrame:
     windows = level.select(*KEYS, "copied", F.explode(F.arrays_zip("places", "a", "b")).alias("w"))
     windows = windows.select(*KEYS, "copied", F.col("w.places").alias("place"), F.col("w.a").alias("a"), F.col("w.b").alias("b"))
     counted = windows.groupBy("a", "b").agg(F.sum(F.when(F.col("copied"), 2).otherwise(1)).alias("n"), F.bool_or(~F.col("copied")).alias("open"))
-    shared = durable(counted.where("n > 1 AND open").select("a", "b"))
-    met = windows.join(shared, ["a", "b"])
-    return durable(met.groupBy(*KEYS, "copied").agg(F.collect_list(F.struct("place", "a", "b")).alias("windows")))
+    with scratch(level.sparkSession):
+        shared = durable(counted.where("n > 1 AND open").select("a", "b"))
+        met = windows.join(shared, ["a", "b"])
+        return durable(met.groupBy(*KEYS, "copied").agg(F.collect_list(F.struct("place", "a", "b")).alias("windows")), outlive=True)
+
+
+def _release(df: DataFrame) -> None:
+    """Let Spark remove the shuffle files of finished steps, which it does as their plans are collected."""
+    gc.collect()
+    df.sparkSession._jvm.System.gc()
 
 
 def _repeats(keyed: DataFrame, length: int) -> DataFrame:
@@ -166,6 +174,7 @@ def _repeats(keyed: DataFrame, length: int) -> DataFrame:
     counted = texts.groupBy("anchor").agg(F.sum(F.when(F.col("copied"), 2).otherwise(1)).alias("n"), F.bool_or(~F.col("copied")).alias("open"))
     shared = durable(counted.where("n > 1 AND open").select("anchor"))
     wanted = durable(texts.join(shared, "anchor").groupBy(*KEYS, "copied").agg(F.collect_set("anchor").alias("anchors")))
+    _release(wanted)
 
     # One row stands for the copies of a text: the one with the least id.
     least = keyed.groupBy(*KEYS).agg(F.min("id").alias("least"))
@@ -173,6 +182,7 @@ def _repeats(keyed: DataFrame, length: int) -> DataFrame:
     same = (F.col("key_a") == F.col("w_key_a")) & (F.col("key_b") == F.col("w_key_b")) & F.col("id").eqNullSafe(F.col("least"))
     met = keyed.join(durable(chosen), same).select(*KEYS, "text", "copied", "anchors")
     level, places, longest, size = durable(met.mapInArrow(_window_rows(length), _LEVEL_SCHEMA)), None, [], length
+    _release(level)
     while not level.isEmpty():
         found = _repeated(level)
         if places is None:
@@ -180,6 +190,7 @@ def _repeats(keyed: DataFrame, length: int) -> DataFrame:
         longest.append(found.where("NOT copied").select(*KEYS, F.lit(size).alias("longest")))
         level = durable(found.select(*KEYS, "copied", "windows").mapInArrow(_longer_rows(size), _LEVEL_SCHEMA))
         size *= 2
+        _release(level)
     whole = anchors.groupBy(*KEYS).agg(F.count("*").alias("n")).where("n > 1")
     whole = whole.select(*KEYS, F.lit(True).alias("copied"), F.lit(None).cast("array<int>").alias("places"), F.lit(None).cast("int").alias("longest"))
     if places is None:
