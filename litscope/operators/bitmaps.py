@@ -9,6 +9,8 @@ bitmaps; theirs are made from their few postings.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -26,6 +28,14 @@ LEAST_DF = 512
 RUN = 1 << 15
 
 
+@dataclass(frozen=True)
+class Bitmaps:
+    """Bitmaps of frequent terms, and from how many documents on a term has them."""
+
+    table: DataFrame
+    least_df: int
+
+
 def _bitmap() -> Column:
     return F.bitmap_construct_agg(F.bitmap_bit_position("doc_id")).alias("bits")
 
@@ -37,11 +47,11 @@ def term_bitmaps(index: Index, least_df: int = LEAST_DF) -> DataFrame:
     return rows.groupBy("field", "bucket", "term", F.bitmap_bucket_number("doc_id").alias("run")).agg(_bitmap())
 
 
-def write_bitmaps(index: Index, path: str, least_df: int = LEAST_DF) -> DataFrame:
+def write_bitmaps(index: Index, path: str, least_df: int = LEAST_DF) -> Bitmaps:
     """Store the bitmaps like postings: by field and bucket, sorted by term."""
     rows = term_bitmaps(index, least_df).hint("rebalance", "field", "bucket").sortWithinPartitions("field", "bucket", "term", "run")
     rows.write.mode("overwrite").partitionBy("field", "bucket").parquet(path)
-    return index.spark.read.schema(rows.schema).parquet(path)
+    return Bitmaps(index.spark.read.schema(rows.schema).parquet(path), least_df)
 
 
 @F.arrow_udf(T.ArrayType(T.LongType()))
@@ -54,7 +64,7 @@ def documents_in(run, bits):
     return pa.array(found, pa.list_(pa.int64()))
 
 
-def required_documents(index: Index, bitmaps: DataFrame, weighted: DataFrame, terms: DataFrame, least_df: int = LEAST_DF) -> DataFrame:
+def required_documents(index: Index, bitmaps: Bitmaps, weighted: DataFrame, terms: DataFrame) -> DataFrame:
     """(query_id, doc_id) of documents that hold every required word of a query.
 
     Queries that require nothing have no rows here. A required word that is in no
@@ -64,10 +74,10 @@ def required_documents(index: Index, bitmaps: DataFrame, weighted: DataFrame, te
     needed = terms.where("occur = 'must'").groupBy("query_id").agg(F.countDistinct(*CLAUSE).alias("needed"))
     musts = weighted.where("occur = 'must'")
     musts = musts.join(pruned(index.term_stats, musts).select(*key, "df"), key)
-    musts = durable(musts.join(needed, "query_id").withColumn("stored", F.col("df") >= least_df))
+    musts = durable(musts.join(needed, "query_id").withColumn("stored", F.col("df") >= bitmaps.least_df))
     stored, rare = musts.where("stored").drop("stored"), musts.where("NOT stored").drop("stored")
     columns = ["query_id", "needed", *CLAUSE[1:], "df", "run", "bits"]
-    known = pruned(bitmaps, stored).join(stored, key).select(*columns)
+    known = pruned(bitmaps.table, stored).join(stored, key).select(*columns)
     run = F.bitmap_bucket_number("doc_id").alias("run")
     # One row of ``weighted`` per word: its postings become a bitmap for each run.
     made = term_matches(index, rare.drop("df", "needed")).groupBy(*CLAUSE, run).agg(_bitmap())
@@ -83,7 +93,7 @@ def required_documents(index: Index, bitmaps: DataFrame, weighted: DataFrame, te
     return met.select("query_id", F.explode(documents_in("run", "bits")).alias("doc_id"))
 
 
-def conjunction_hits(index: Index, bitmaps: DataFrame, clauses: DataFrame, strict_gaps: bool = True, least_df: int = LEAST_DF) -> DataFrame:
+def conjunction_hits(index: Index, bitmaps: Bitmaps, clauses: DataFrame, strict_gaps: bool = True) -> DataFrame:
     """Hits of queries that require words: (query_id, doc_id, score).
 
     Other roles, groups, years and boosts hold as in any search. Every query must
@@ -102,7 +112,7 @@ def conjunction_hits(index: Index, bitmaps: DataFrame, clauses: DataFrame, stric
     if not wrong.isEmpty():
         raise ValueError("a conjunction takes clauses of single words, and requires one of them")
     weighted = durable(weighted_terms(index, terms))
-    chosen = durable(required_documents(index, bitmaps, weighted, terms, least_df))
+    chosen = durable(required_documents(index, bitmaps, weighted, terms))
     rows = term_matches(index, weighted).join(chosen, ["query_id", "doc_id"], "left_semi")
     hits = rows.select("query_id", "doc_id", "grp", "occur", _part(F.col("tf")).alias("part"))
     return document_scores(hits, requirements(terms))

@@ -14,7 +14,7 @@ from litscope.operators import clauses as C
 from litscope.operators import phrases as K
 from litscope.operators import postings as P
 from litscope.operators import topics, trends
-from litscope.operators.bitmaps import documents_in, write_bitmaps
+from litscope.operators.bitmaps import Bitmaps, documents_in, write_bitmaps
 from litscope.operators.bounds import Bounds, write_bounds
 from litscope.operators.patterns import Pattern, pattern_clauses
 from litscope.operators.vocabulary import MOST_EDITS, Vocabulary, fuzzy_terms, ranged_terms, shaped_terms, write_vocabulary
@@ -69,7 +69,7 @@ def bounds_for(spark: SparkSession, folder: str) -> Bounds:
     return _once(spark, folder, "bounds", lambda path: write_bounds(title_index(spark, folder), path))
 
 
-def bitmaps_for(spark: SparkSession, folder: str) -> DataFrame:
+def bitmaps_for(spark: SparkSession, folder: str) -> Bitmaps:
     return _once(spark, folder, "bitmaps", lambda path: write_bitmaps(title_index(spark, folder), path))
 
 
@@ -250,7 +250,7 @@ def search_top_bounded(spark: SparkSession, folder: str) -> DataFrame:
 
 def posting_bitmaps(spark: SparkSession, folder: str) -> DataFrame:
     """The documents of frequent words, from bitmaps."""
-    rows = bitmaps_for(spark, folder).select("term", "run", documents_in("run", "bits").alias("ids"))
+    rows = bitmaps_for(spark, folder).table.select("term", "run", documents_in("run", "bits").alias("ids"))
     total = F.aggregate("ids", F.lit(0).cast("bigint"), lambda s, x: s + x)
     return rows.select("term", "run", F.size("ids").alias("docs"), F.array_min("ids").alias("first"), F.array_max("ids").alias("last"), total.alias("total"))
 

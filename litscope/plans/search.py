@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from litscope.operators import clauses as C
-from litscope.operators.bitmaps import conjunction_hits
+from litscope.operators.bitmaps import Bitmaps, conjunction_hits
 from litscope.operators.bounds import Bounds, best_hits
 from litscope.operators.matching import answer_clauses
 from litscope.operators.patterns import Pattern, pattern_clauses
@@ -56,7 +56,7 @@ def search_best(index: Index, bounds: Bounds, clauses: DataFrame, k: int = DEFAU
     return ranked(best_hits(index, bounds, clauses, k), k)
 
 
-def search_conjunctions(index: Index, bitmaps: DataFrame, clauses: DataFrame, k: int | None = DEFAULT_TOP_K) -> DataFrame:
+def search_conjunctions(index: Index, bitmaps: Bitmaps, clauses: DataFrame, k: int | None = DEFAULT_TOP_K) -> DataFrame:
     """Queries that require words: documents that hold them all are found before any is scored."""
     return ranked(conjunction_hits(index, bitmaps, clauses), k)
 
