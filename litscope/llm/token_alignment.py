@@ -16,8 +16,8 @@ from __future__ import annotations
 import hashlib
 import os
 from collections.abc import Iterator
-from dataclasses import dataclass, field
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -68,6 +68,8 @@ class Tokenizers:
         self.b_bytes = [
             bytes([int(p[3:5], 16)]) if single else p.replace(MARK, " ").encode("utf-8", "surrogatepass") for p, single in zip(pieces, self.b_single)
         ]
+        # Ids as texts.
+        self.a_names, self.b_names = (pa.array([str(i) for i in range(len(x))], pa.large_string()) for x in (self.a_bytes, self.b_bytes))
         self.a_sizes = np.array([len(x) for x in self.a_bytes], np.int64)
         self.b_sizes = np.array([len(x) for x in self.b_bytes], np.int64)
         # Chunks are sound if no piece runs from a sign into a blank, and byte-level words start at blanks.
@@ -77,10 +79,11 @@ class Tokenizers:
     def a_tokens(self, text: str, data: bytes) -> tuple[np.ndarray, np.ndarray] | None:
         """Ids and byte ends of the byte-level tokens; None if they decode to something else."""
         encoding = self.a.encode(text, add_special_tokens=False)
-        ids = np.array(encoding.ids, np.int64)
-        if b"".join([self.a_bytes[i] for i in encoding.ids]) != data:
+        numbers = encoding.ids
+        if b"".join([self.a_bytes[i] for i in numbers]) != data:
             return None
-        offsets = np.array(encoding.offsets, np.int64).reshape(-1, 2)
+        ids = np.array(numbers, np.int64)
+        offsets = np.fromiter(chain.from_iterable(encoding.offsets), np.int64, 2 * len(ids)).reshape(-1, 2)
         # A character's first byte, from the bytes that do not continue one.
         if len(data) == len(text):
             ends = offsets[:, 1]
@@ -93,12 +96,12 @@ class Tokenizers:
 
     def b_tokens(self, text: str, data: bytes) -> tuple[np.ndarray, np.ndarray] | None:
         """Ids and byte ends of the pieces. The text starts with a blank, which the pieces' own blank stands for."""
-        proto = self.b.encode(text[1:], return_type="proto", num_threads=1)
-        numbers = [p.id for p in proto.pieces]
+        pieces = list(self.b.encode(text[1:], return_type="proto", num_threads=1).pieces)
+        numbers = [p.id for p in pieces]
         if b"".join([self.b_bytes[i] for i in numbers]) != data:
             return None
         ids = np.array(numbers, np.int64)
-        ends = np.array([p.end for p in proto.pieces], np.int64) + 1
+        ends = np.fromiter((p.end for p in pieces), np.int64, len(pieces)) + 1
         return ids, _refined(ends, self.b_single[ids], self.b_sizes[ids])
 
 
@@ -117,25 +120,35 @@ def _tokenizers(a_path: str, b_path: str) -> Tokenizers:
     return Tokenizers(a_path, b_path)
 
 
-@dataclass
 class Aligned:
-    """What chunks have come to, by place: counts, links as id pairs, and the groups as text."""
-
-    places: dict[bytes, int] = field(default_factory=dict)
-    good: list[bool] = field(default_factory=list)
-    n_a: list[int] = field(default_factory=list)
-    n_b: list[int] = field(default_factory=list)
-    links: list[np.ndarray] = field(default_factory=list)
-    groups: list[str] = field(default_factory=list)
-
-    def add(self, chunk: bytes, good: bool, n_a: int, n_b: int, links: np.ndarray, groups: str) -> None:
-        self.places[chunk] = len(self.good)
-        for values, value in ((self.good, good), (self.n_a, n_a), (self.n_b, n_b), (self.links, links), (self.groups, groups)):
-            values.append(value)
-
-    def clear(self) -> None:
-        for kept in (self.places, self.good, self.n_a, self.n_b, self.links, self.groups):
-            kept.clear()
+    """What chunks have come to, as columns: counts, links as id pairs, and the groups as text."""
+
+    def __init__(self):
+        self.places: dict[bytes, int] = {}
+        self.good, self.uses = np.empty(0, bool), np.empty(0, np.int64)
+        self.n_a, self.n_b = np.empty(0, np.int64), np.empty(0, np.int64)
+        # The links of chunk i follow those of the chunks before it.
+        self.sizes, self.links = np.empty(0, np.int64), np.empty(0, np.int64)
+        self.groups = pa.array([], pa.large_string())
+
+    def add(self, chunks: list[bytes], good: bool, n_a: np.ndarray, n_b: np.ndarray, sizes: np.ndarray, links: np.ndarray, groups: pa.Array) -> None:
+        first = len(self.good)
+        self.places.update(zip(chunks, range(first, first + len(chunks))))
+        self.good = np.append(self.good, np.full(len(chunks), good))
+        self.uses = np.append(self.uses, np.zeros(len(chunks), np.int64))
+        self.n_a, self.n_b = np.append(self.n_a, n_a), np.append(self.n_b, n_b)
+        self.sizes, self.links = np.append(self.sizes, sizes), np.append(self.links, links)
+        self.groups = pa.concat_arrays([self.groups, groups])
+
+    def forget(self) -> None:
+        """Keep what was used more than once."""
+        kept = np.flatnonzero(self.uses > 1)
+        number = np.full(len(self.uses), -1)
+        number[kept] = np.arange(len(kept))
+        self.places = {c: n for c, i in self.places.items() if (n := int(number[i])) >= 0}
+        self.links = self.links[np.repeat(number >= 0, self.sizes)]
+        self.good, self.n_a, self.n_b, self.sizes = (x[kept] for x in (self.good, self.n_a, self.n_b, self.sizes))
+        self.uses, self.groups = np.zeros(len(kept), np.int64), self.groups.take(pa.array(kept))
 
 
 @cache
@@ -143,6 +156,11 @@ def _memory(a_path: str, b_path: str) -> Aligned:
     return Aligned()
 
 
+def _joined(values: pa.Array, bounds: np.ndarray, between: str) -> pa.Array:
+    """Neighbouring texts joined, from one bound to the next."""
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), values), pa.scalar(between, values.type))
+
+
 def _encode(pair: Tokenizers, chunks: list[bytes], known: Aligned) -> None:
     """Align chunks in one call of each tokenizer. If their bytes come out otherwise, halves are tried alone."""
     data = b"".join(chunks)
@@ -150,7 +168,8 @@ def _encode(pair: Tokenizers, chunks: list[bytes], known: Aligned) -> None:
     a, b = pair.a_tokens(text, data), pair.b_tokens(text, data)
     if a is None or b is None:
         if len(chunks) == 1:
-            known.add(chunks[0], False, 0, 0, np.empty(0, np.int64), "")
+            none = np.zeros(1, np.int64)
+            known.add(chunks, False, none, none, none, none[:0], pa.array([""], pa.large_string()))
         else:
             middle = len(chunks) // 2
             _encode(pair, chunks[:middle], known)
@@ -160,17 +179,12 @@ def _encode(pair: Tokenizers, chunks: list[bytes], known: Aligned) -> None:
     # Both run over the same bytes without empty tokens, so ends rise and meet at most once.
     common, a_at, b_at = np.intersect1d(a_ends, b_ends, assume_unique=True, return_indices=True)
     links = (a_ids[a_at] << 32) | b_ids[b_at]
-    a_text, b_text = list(map(str, a_ids.tolist())), list(map(str, b_ids.tolist()))
-    groups, i, j = [], 0, 0
-    for p, q in zip((a_at + 1).tolist(), (b_at + 1).tolist()):
-        groups.append(",".join(a_text[i:p]) + "|" + ",".join(b_text[j:q]))
-        i, j = p, q
+    sides = [_joined(names.take(pa.array(ids)), np.append(0, at + 1), ",") for names, ids, at in ((pair.a_names, a_ids, a_at), (pair.b_names, b_ids, b_at))]
+    groups = pc.binary_join_element_wise(*sides, pa.scalar("|", pa.large_string()))
     ends = np.cumsum([len(c) for c in chunks])
-    cuts = [np.searchsorted(x, ends, side="right").tolist() for x in (common, a_ends, b_ends)]
-    last = (0, 0, 0)
-    for chunk, *now in zip(chunks, *cuts):
-        known.add(chunk, True, now[1] - last[1], now[2] - last[2], links[last[0] : now[0]], ";".join(groups[last[0] : now[0]]))
-        last = now
+    last, a_last, b_last = (np.searchsorted(x, ends, side="right") for x in (common, a_ends, b_ends))
+    sizes, n_a, n_b = (np.diff(x, prepend=0) for x in (last, a_last, b_last))
+    known.add(chunks, True, n_a, n_b, sizes, links, _joined(groups, np.append(0, last), ";"))
 
 
 def chunk_starts(data: np.ndarray) -> np.ndarray:
@@ -217,49 +231,44 @@ def _aligned(batch: pa.RecordBatch, pair: Tokenizers, known: Aligned) -> pa.Reco
     filled = np.flatnonzero(np.diff(ends, prepend=0))
     begins = (ends - [len(r) for r in rows])[filled]
     cuts = chunk_starts(np.frombuffer(whole, np.uint8)) if pair.by_chunk and len(whole) > 2 else np.empty(0, np.int64)
-    cuts = np.union1d(cuts, begins)
+    cuts = np.sort(np.concatenate([cuts, begins]))
+    cuts = cuts[np.diff(cuts, prepend=-1) > 0]
     offsets = pa.array(np.append(cuts, len(whole)).astype(np.int64))
     chunks = pa.Array.from_buffers(pa.large_binary(), len(cuts), [None, offsets.buffers()[1], pa.py_buffer(whole)]).dictionary_encode()
     distinct = chunks.dictionary.to_pylist()
     if len(known.good) + len(distinct) > REMEMBERED:
-        known.clear()
+        known.forget()
     missing = [c for c in distinct if c not in known.places]
     if missing:
         _encode(pair, missing, known)
-    at = [known.places[c] for c in distinct]
-    codes = chunks.indices.to_numpy()
+    codes = np.fromiter(map(known.places.__getitem__, distinct), np.int64, len(distinct))[chunks.indices.to_numpy()]
+    np.add.at(known.uses, codes, 1)
     # Chunks of row k of the filled ones are those from first[k] to first[k + 1].
     first = np.append(np.searchsorted(cuts, begins), len(cuts))
     n_rows = len(rows)
 
-    def summed(values: list[int]) -> np.ndarray:
+    def summed(values: np.ndarray) -> np.ndarray:
         out = np.zeros(n_rows, np.int64)
         if len(filled):
-            out[filled] = np.add.reduceat(np.array([values[i] for i in at], np.int64)[codes], first[:-1])
+            out[filled] = np.add.reduceat(values[codes], first[:-1])
         return out
 
     good = np.zeros(n_rows, bool)
     if len(filled):
-        good[filled] = np.logical_and.reduceat(np.array([known.good[i] for i in at], bool)[codes], first[:-1])
+        good[filled] = np.logical_and.reduceat(known.good[codes], first[:-1])
 
-    joined = pc.binary_join(
-        pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array([known.groups[i] for i in at], pa.string()).take(chunks.indices)), ";"
-    )
-    digests, texts = [""] * n_rows, iter(joined)
-    for k in filled.tolist():
-        groups = next(texts)
+    digests, texts = [""] * n_rows, _joined(known.groups.take(pa.array(codes)), first, ";")
+    for k, groups in zip(filled.tolist(), texts):
         if good[k]:
             digests[k] = hashlib.sha256(groups.as_buffer()).hexdigest()
 
     # The links of a row, each pair once with its count.
-    sizes = np.array([len(known.links[i]) for i in at], np.int64)
-    flat = np.concatenate([known.links[i] for i in at]) if at else np.empty(0, np.int64)
-    begin = np.cumsum(sizes) - sizes
-    each = sizes[codes]
+    begin = np.cumsum(known.sizes) - known.sizes
+    each = known.sizes[codes]
     total = int(each.sum())
     place = np.repeat(begin[codes] - (np.cumsum(each) - each), each) + np.arange(total)
     row = np.repeat(np.repeat(filled, np.diff(first)), each)
-    links = flat[place]
+    links = known.links[place]
     held = good[row]
     row, links = row[held], links[held]
     order = np.lexsort((links, row))
