@@ -167,35 +167,42 @@ distances AS (SELECT a, b, list_last(d) AS apart FROM cells WHERE k + 1 = (lengt
 near AS (SELECT query_id, a AS term, greatest(0, 1 - apart / greatest(1, least(length(a), length(b)))) AS weight
          FROM asked JOIN distances ON text = b WHERE apart <= edits)"""
 
+def _distances(least: str) -> str:
+    """From ``pairs``, those of ``vocabulary`` and ``asked`` that plain letters' own distance leaves, to ``distances``.
+
+    That distance is never above the exact one; it counts the bytes of other letters
+    one by one, so those words get four times the room.
+    """
+    cells = _FUZZY.strip()
+    cells = cells[cells.index("cells AS") : cells.index("near AS")].rstrip().rstrip(",")
+    return f"""pairs AS (SELECT DISTINCT term AS a, word AS b FROM vocabulary, asked WHERE abs(length(term) - length(word)) <= {least}
+          AND damerau_levenshtein(term, word) <= CASE WHEN strlen(term) = length(term) AND strlen(word) = length(word) THEN {least} ELSE 4 * {least} END),
+{cells}"""
+
+
 _PATTERN_BATCH = f"""
 bw AS (SELECT CAST(item_id AS VARCHAR) AS query_id, regexp_extract_all(lower(text), '{SIMPLE_WORD}') AS w FROM benchmark),
-bp AS (SELECT query_id, coalesce(w[2], 'the') AS w1, coalesce(w[3], 'the') AS w2, coalesce(w[4], 'the') AS w3,
-              coalesce(w[5], 'the') AS w4, coalesce(w[6], 'the') AS w5 FROM bw),
-asked AS (SELECT query_id, w3 AS text, 1 AS edits FROM bp),
+bp AS (SELECT query_id, unnest(w) AS word, unnest(range(len(w))) AS clause FROM bw),
+asked AS (SELECT * FROM bp WHERE clause % 5 = 2),
 vocabulary AS (SELECT DISTINCT term FROM df WHERE field = 'title'),
-{_FUZZY.strip()},
-met AS (SELECT query_id, 'fuzzy' AS kind, term, weight FROM near
-  UNION ALL SELECT query_id, 'prefix', term, 1 FROM bp JOIN vocabulary ON starts_with(term, substr(w1, 1, 4))
-  UNION ALL SELECT query_id, 'wildcard', term, 1 FROM bp JOIN vocabulary
-            ON length(term) >= 4 AND starts_with(term, substr(w2, 1, 2)) AND length(term) >= length(substr(w2, 1, 2)) + 2
-            AND ends_with(term, right(w2, 1))
-  UNION ALL SELECT query_id, 'range', term, 1 FROM bp JOIN vocabulary
-            ON term BETWEEN substr(w4, 1, 3) AND substr(w4, 1, 3) || 'c'
-  UNION ALL SELECT query_id, 'regex', term, 1 FROM bp JOIN vocabulary
-            ON regexp_full_match(term, substr(w5, 1, 2) || '(th|er)+')),
-parts AS (SELECT query_id, kind, doc_id, max(weight) AS part FROM met JOIN tf USING (term) WHERE field = 'title' GROUP BY ALL),
+{_distances("1")},
+met AS (SELECT query_id, clause, a AS term, greatest(0, 1 - apart / greatest(1, least(length(a), length(b)))) AS weight
+        FROM asked JOIN distances ON word = b WHERE apart <= 1
+  UNION ALL SELECT query_id, clause, term, 1 FROM bp JOIN vocabulary ON starts_with(term, substr(word, 1, 4)) WHERE clause % 5 = 0
+  UNION ALL SELECT query_id, clause, term, 1 FROM bp JOIN vocabulary
+            ON starts_with(term, substr(word, 1, 2)) AND length(term) >= length(substr(word, 1, 2)) + 2 AND ends_with(term, right(word, 1)) WHERE clause % 5 = 1
+  UNION ALL SELECT query_id, clause, term, 1 FROM bp JOIN vocabulary
+            ON term BETWEEN substr(word, 1, 3) AND substr(word, 1, 3) || 'c' WHERE clause % 5 = 3
+  UNION ALL SELECT query_id, clause, term, 1 FROM bp JOIN vocabulary
+            ON regexp_full_match(term, substr(word, 1, 2) || '(th|er)+') WHERE clause % 5 = 4),
+parts AS (SELECT query_id, clause, doc_id, max(weight) AS part FROM met JOIN tf USING (term) WHERE field = 'title' GROUP BY ALL),
 answer AS (SELECT query_id, doc_id, round(sum(part), 9) AS score FROM parts GROUP BY ALL)"""
 
 _BENCHMARK_VOCABULARY = f"""
 asked AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '{SIMPLE_WORD}')) AS word FROM benchmark),
 vocabulary AS (SELECT term FROM df WHERE field = 'title')"""
 
-# Distances of the pairs that plain letters' own distance leaves, cell by cell; it is
-# never above the exact one, and counts the bytes of other letters one by one.
-_FUZZY_WORDS = f"""{_BENCHMARK_VOCABULARY.strip()},
-pairs AS (SELECT term AS a, word AS b FROM vocabulary, asked WHERE abs(length(term) - length(word)) <= 2 AND damerau_levenshtein(term, word) <=
-          CASE WHEN strlen(term) = length(term) AND strlen(word) = length(word) THEN 2 ELSE 8 END),
-{_FUZZY.strip()[_FUZZY.strip().index("cells AS"):_FUZZY.strip().index("near AS")].rstrip().rstrip(",")}"""
+_FUZZY_WORDS = f"{_BENCHMARK_VOCABULARY.strip()},\n{_distances('2')}"
 
 _THREE_MUSTS = f"""
 bw AS (SELECT DISTINCT CAST(item_id AS VARCHAR) AS query_id, unnest(regexp_extract_all(lower(text), '{SIMPLE_WORD}')) AS term FROM benchmark),
@@ -271,6 +278,28 @@ good AS (SELECT phrase, topic FROM common WHERE CASE
            ELSE 100 - 100.0 * (length(x) + length(y) - 2 * lcs) / (length(x) + length(y)) END >= 79.5)"""
 
 
+def _topic_authors() -> str:
+    """Pairs that share a word, or whose plain distance, never above that of the subsequence, leaves room for a match."""
+    sets = "list_sort(list_distinct(list_filter(string_split({}, ' '), lambda w: w <> '')))"
+    tail = _FUZZY_TOPICS[_FUZZY_TOPICS.index("parts AS") :].replace("phrase, topic", "p, t")
+    topics = _RUNS.replace("regexp_extract_all(title", "regexp_extract_all(text")
+    return f"""WITH {_CORPUS},
+listed AS (SELECT doc_id, unnest({_RUNS}) AS phrase FROM corpus WHERE year BETWEEN 2014 AND 2018),
+phrases AS (SELECT phrase, {sets.format(_PLAIN.format('phrase'))} AS a FROM (SELECT DISTINCT phrase FROM listed)),
+topics AS (SELECT topic, {sets.format(_PLAIN.format('topic'))} AS b FROM (SELECT DISTINCT unnest({topics}) AS topic FROM benchmark)),
+ps AS (SELECT DISTINCT a, array_to_string(a, ' ') AS p FROM phrases WHERE len(a) > 0),
+ts AS (SELECT DISTINCT b, array_to_string(b, ' ') AS t FROM topics WHERE len(b) > 0),
+met AS (SELECT p, t FROM (SELECT p, unnest(a) AS w FROM ps) JOIN (SELECT t, unnest(b) AS w FROM ts) USING (w)
+        UNION SELECT p, t FROM ps, ts WHERE abs(length(p) - length(t)) <= 0.205 * (length(p) + length(t)) + 0.001
+          AND levenshtein(p, t) <= CASE WHEN strlen(p) = length(p) AND strlen(t) = length(t) THEN 0.205 ELSE 0.82 END * (length(p) + length(t)) + 0.001),
+pairs AS (SELECT p, t, a, b FROM met JOIN ps USING (p) JOIN ts USING (t)),
+{tail},
+authors AS (SELECT phrase, author, count(*) AS n FROM (SELECT phrase, unnest(author) AS author FROM listed JOIN corpus USING (doc_id)) GROUP BY ALL)
+SELECT topic, author, CAST(sum(n) AS BIGINT) AS n FROM good
+JOIN (SELECT phrase, array_to_string(a, ' ') AS p FROM phrases) USING (p) JOIN (SELECT topic, array_to_string(b, ' ') AS t FROM topics) USING (t)
+JOIN authors USING (phrase) GROUP BY topic, author"""
+
+
 def _shape(word: str) -> str:
     """V or C for every letter; a y is a vowel after a consonant."""
     shape = f"regexp_replace(regexp_replace(regexp_replace({word}, '[aeiou]', 'V', 'g'), '[^Vy]', 'C', 'g'), '^y', 'C')"
@@ -329,10 +358,9 @@ def _stemmed() -> str:
 
 
 _KNOWN_ITEMS = f"""
-runs AS (SELECT doc_id, unnest({_RUNS}) AS p FROM corpus),
-firsts AS (SELECT CAST(doc_id AS VARCHAR) AS query_id,
-                  regexp_extract_all(lower(max_by(p, {{'n': length(p), 'p': p}})), '{SIMPLE_WORD}') AS w FROM runs GROUP BY doc_id),
-ft AS (SELECT query_id, unnest(w) AS term, unnest(range(len(w))) AS pos FROM firsts),
+asked AS (SELECT DISTINCT unnest({_RUNS}) AS query_id FROM corpus),
+listed_phrases AS (SELECT query_id, regexp_extract_all(lower(query_id), '{SIMPLE_WORD}') AS w FROM asked),
+ft AS (SELECT query_id, unnest(w) AS term, unnest(range(len(w))) AS pos FROM listed_phrases),
 kept AS (SELECT * FROM ft WHERE term NOT IN ({_STOP})),
 clauses AS (SELECT query_id, 0 AS grp, 'must' AS occur, '0' AS clause, 'title' AS field, term,
                    pos - min(pos) OVER (PARTITION BY query_id) AS off,
@@ -454,6 +482,7 @@ FROM (SELECT unnest(c.author) AS author FROM full_matches JOIN corpus c USING (d
 SELECT topic, author, count(*) AS n FROM (
   SELECT g.topic, unnest(c.author) AS author FROM listed l JOIN good g USING (phrase) JOIN corpus c USING (doc_id))
 GROUP BY topic, author""",
+        "topic_authors": _topic_authors(),
         "stemmed_vocabulary": f"""WITH listed AS (SELECT unnest(list_distinct(regexp_extract_all(lower(text), '{SIMPLE_WORD}'))) AS word FROM documents),
 vocabulary AS (SELECT word, count(*) AS df FROM listed GROUP BY word),
 {_stemmed()}

@@ -13,10 +13,11 @@ from litscope.functions.text import SIMPLE_WORD, Analysis, candidate_phrases, wo
 from litscope.operators import clauses as C
 from litscope.operators import phrases as K
 from litscope.operators import postings as P
-from litscope.operators import topics, trends
+from litscope.operators import topic_join, topics, trends
 from litscope.operators.bitmaps import Bitmaps, documents_in, write_bitmaps
 from litscope.operators.bounds import Bounds, write_bounds
 from litscope.operators.patterns import Pattern, pattern_clauses
+from litscope.operators.phrase_batch import phrase_batch
 from litscope.operators.vocabulary import MOST_EDITS, Vocabulary, fuzzy_terms, ranged_terms, shaped_terms, write_vocabulary
 from litscope.plans import search as S
 from litscope.plans import trends as R
@@ -227,14 +228,11 @@ def search_batch_keywords(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def search_known_items(spark: SparkSession, folder: str) -> DataFrame:
-    """As many queries as documents: each one's longest key phrase, searched for."""
-    phrases = candidate_phrases(F.col("title"))
-    longest = F.array_max(F.transform(phrases, lambda p: F.struct(F.length(p).alias("n"), p.alias("text"))))
-    rows = _texts(spark, folder).select(F.col("doc_id").cast("string").alias("query_id"), longest["text"].alias("text"))
-    clauses = rows.where(F.col("text").isNotNull()).withColumns(
-        {"grp": F.lit(C.TITLE), "clause_id": F.lit(0), "field": F.lit("title"), "kind": F.lit("text")}
-    )
-    return _answer(spark, folder, C.clause_table(clauses))
+    """Every key phrase of the documents as a query of its own, searched for in all of them."""
+    texts = _texts(spark, folder)
+    phrases = texts.select(F.explode(candidate_phrases(F.col("title"))).alias("text")).distinct()
+    hits = phrase_batch(texts, phrases.select(F.col("text").alias("query_id"), "text"), PLAIN)
+    return _rounded(S.ranked(hits))
 
 
 def posting_bounds(spark: SparkSession, folder: str) -> DataFrame:
@@ -347,27 +345,18 @@ def search_keyword_and_prefix(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def search_pattern_batch(spark: SparkSession, folder: str) -> DataFrame:
-    """Patterns made of every benchmark text's words, all kinds, any of which may match."""
+    """Patterns made of all words of every benchmark text, the kinds in turn, any of which may match."""
     found = words(F.col("text"), SIMPLE_WORD)
-
-    def word(i: int) -> Column:
-        return F.coalesce(F.get(found, F.lit(i)), F.lit("the"))
-
-    def kind(name: str, text: Column, upper: Column | None = None) -> Column:
-        bound = F.lit(None).cast("string") if upper is None else upper
-        return F.struct(F.lit(name).alias("kind"), text.alias("text"), bound.alias("upper"))
-
-    start = F.substring(word(4), 1, 3)
-    kinds = F.array(
-        kind("prefix", F.substring(word(1), 1, 4)),
-        kind("wildcard", F.concat(F.substring(word(2), 1, 2), F.lit("?*"), F.right(word(2), F.lit(1)))),
-        kind("fuzzy", word(3)),
-        kind("range", start, F.concat(start, F.lit("c"))),
-        kind("regex", F.concat(F.substring(word(5), 1, 2), F.lit("(th|er)+"))),
-    )
-    rows = read_table(spark, folder, "benchmark").select(F.col("item_id").cast("string").alias("query_id"), F.inline(kinds))
-    clauses = rows.withColumns({"field": F.lit("title"), "occur": F.lit("should"), "edits": F.lit(1)})
-    return _answer(spark, folder, C.clause_table(clauses))
+    rows = read_table(spark, folder, "benchmark").select(F.col("item_id").cast("string").alias("query_id"), F.posexplode(found).alias("clause_id", "word"))
+    turn, start = F.col("clause_id") % 5, F.substring("word", 1, 3)
+    shaped = F.concat(F.substring("word", 1, 2), F.lit("?*"), F.right("word", F.lit(1)))
+    kind = F.get(F.array(*(F.lit(k) for k in ("prefix", "wildcard", "fuzzy", "range", "regex"))), turn)
+    text = F.get(F.array(F.substring("word", 1, 4), shaped, F.col("word"), start, F.concat(F.substring("word", 1, 2), F.lit("(th|er)+"))), turn)
+    upper = F.when(kind == "range", F.concat(start, F.lit("c")))
+    clauses = rows.select("query_id", "clause_id", kind.alias("kind"), text.alias("text"), upper.alias("upper"))
+    clauses = clauses.withColumns({"field": F.lit("title"), "occur": F.lit("should"), "edits": F.lit(1)})
+    index, vocabulary = title_index(spark, folder), vocabulary_for(spark, folder)
+    return _rounded(S.search_clauses(index, C.clause_table(clauses), vocabulary=vocabulary))
 
 
 def _scope(spark: SparkSession, folder: str) -> DataFrame:
@@ -446,6 +435,12 @@ def pivot_authors_fuzzy(spark: SparkSession, folder: str) -> DataFrame:
     return topics.pivot_authors(_texts(spark, folder), ["eriner thanea", "heed thhend"], START, END)
 
 
+def topic_authors(spark: SparkSession, folder: str) -> DataFrame:
+    """Every key phrase of the benchmark as a topic, and who writes about it how often."""
+    topics = read_table(spark, folder, "benchmark").select(F.explode(candidate_phrases(F.col("text"))).alias("topic")).distinct()
+    return topic_join.topic_authors(_texts(spark, folder), topics, START, END)
+
+
 def page_key_tokens(spark: SparkSession, folder: str) -> DataFrame:
     pages = spread(read_table(spark, folder, "pages").select("page_id", "url"), "page_id")
     return pages.select("page_id", F.posexplode(words(F.col("url"), SIMPLE_WORD)).alias("pos", "term"))
@@ -529,7 +524,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         search_prefix, search_wildcard, search_regex, search_fuzzy, search_term_range,
         phrases, word_scores, phrase_scores, hotspots_by_year, hotspots_filled, hotspot_evolution, hotspot_series,
         hotspot_table, searched_hotspots, searched_evolution, searched_authors,
-        pivot_authors_exact, pivot_authors_fuzzy, page_key_tokens, stemmed_vocabulary, record_parse,
+        pivot_authors_exact, pivot_authors_fuzzy, topic_authors, page_key_tokens, stemmed_vocabulary, record_parse,
         record_dump_scan, page_entities_decoded,
     )
 }

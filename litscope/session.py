@@ -102,6 +102,18 @@ def scratch(spark: SparkSession):
             place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
+@contextlib.contextmanager
+def rows_at_once(spark: SparkSession, rows: int):
+    """Arrow batches of up to so many rows for what is computed inside, where a row is large."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def local_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
     """A few rows as a local table, which the planner sees in full."""
     kinds = T.DataType.fromDDL(schema)
