@@ -23,7 +23,7 @@ from litscope.session import durable
 from litscope.sources.store import Index
 
 # How frequent a term is to have stored bitmaps.
-LEAST_DF = 512
+LEAST_DF = 256
 # Documents of one bitmap, as Spark's bitmap functions have it.
 RUN = 1 << 15
 

@@ -28,10 +28,10 @@ from litscope.session import durable
 from litscope.sources.store import Index
 
 # Documents of a block, as a power of two, and how frequent a term is to have stored bounds.
-BITS = 7
-LEAST_DF = 512
+BITS = 4
+LEAST_DF = 128
 # Blocks scored first, for each query.
-FIRST = 32
+FIRST = 128
 # Scores are rounded to 9 digits, and added up in any order.
 SLACK = 1e-6
 
