@@ -2,7 +2,7 @@
 
 A posting join reads the documents of each phrase's words; with as many phrases as a
 corpus has, that is every common word again and again. Here each run of words of a
-text is looked up among the phrases instead: one row for each word and phrase size,
+text is looked up among the phrases instead: one row for each word and phrase shape,
 whatever the phrases, and no posting list of a common word at all. If the phrases are
 few, Spark hands them to the tasks and nothing else moves.
 """
@@ -27,7 +27,7 @@ def _hashes(run: Column) -> list[Column]:
 
 
 def asked_phrases(queries: DataFrame, analysis: Analysis, field: str) -> DataFrame:
-    """(query_id, terms, keys): the analysed phrase of each query, and its hashes.
+    """(query_id, run, shape, keys): the analysed phrase of each query, its places, and its hashes.
 
     Queries without a term that counts have no row.
     """
@@ -40,19 +40,23 @@ def asked_phrases(queries: DataFrame, analysis: Analysis, field: str) -> DataFra
     terms = clause_terms(clauses, analysis, 1)
     run = F.transform(F.array_sort(F.collect_list(F.struct("off", "term"))), lambda t: F.struct(t.term.alias("term"), t.off.alias("off")))
     grouped = terms.groupBy("query_id").agg(run.alias("run"))
-    return grouped.select("query_id", "run", F.size("run").alias("size"), *_hashes(F.col("run")))
+    return grouped.select("query_id", "run", F.col("run.off").alias("shape"), *_hashes(F.col("run")))
 
 
-def _runs(terms: Column, size: Column) -> Column:
-    """Every run of ``size`` neighbouring terms, its places counted from its first."""
-    last = F.size(terms) - size + 1
-    places = F.when(last >= 1, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
+def _runs(terms: Column, shape: Column) -> Column:
+    """The terms at the places of ``shape`` from each term on, where there are all of them.
+
+    Between them may stand anything, as a stop word's place in a phrase is open.
+    """
+    span = F.element_at(shape, -1) + 1
+    places = F.when(F.size(terms) > 0, F.sequence(F.lit(1), F.size(terms))).otherwise(F.array().cast("array<int>"))
 
     def run(i: Column) -> Column:
         first = F.get(terms, i - 1).pos
-        return F.transform(F.slice(terms, i, size), lambda t: F.struct(t.term.alias("term"), (t.pos - first).alias("off")))
+        placed = F.transform(F.slice(terms, i, span), lambda t: F.struct(t.term.alias("term"), (t.pos - first).alias("off")))
+        return F.filter(placed, lambda t: F.array_contains(shape, t.off))
 
-    return F.transform(places, run)
+    return F.filter(F.transform(places, run), lambda r: F.size(r) == F.size(shape))
 
 
 def phrase_batch(corpus: DataFrame, queries: DataFrame, analysis: Analysis, field: str = "title") -> DataFrame:
@@ -64,10 +68,11 @@ def phrase_batch(corpus: DataFrame, queries: DataFrame, analysis: Analysis, fiel
     """
     docs = document_terms(corpus, [field], analysis)
     asked = durable(asked_phrases(queries.dropDuplicates(["query_id"]), analysis, field))
-    # A phrase has few words: the sizes there are, not the phrases.
-    sizes = sorted(r["size"] for r in asked.select("size").distinct().collect())
-    keyed = docs.select("doc_id", "length", "terms", F.explode(F.array(*(F.lit(s) for s in sizes)).cast("array<int>")).alias("size"))
-    runs = keyed.select("doc_id", "length", F.explode(_runs(F.col("terms"), F.col("size"))).alias("run"))
+    # The ways in which words and gaps follow each other: a few, however many the phrases.
+    shapes = sorted(r["shape"] for r in asked.select("shape").distinct().collect())
+    listed = F.array(*(F.array(*map(F.lit, shape)) for shape in shapes)).cast("array<array<int>>")
+    keyed = docs.select("doc_id", "length", "terms", F.explode(listed).alias("shape"))
+    runs = keyed.select("doc_id", "length", F.explode(_runs(F.col("terms"), F.col("shape"))).alias("run"))
     runs = runs.select("doc_id", "length", *_hashes(F.col("run")))
     keys = asked.select("query_id", *HASHES)
     found = durable(runs.join(keys, HASHES).groupBy("query_id", "doc_id", "length").agg(F.count("*").alias("tf")))

@@ -300,6 +300,24 @@ JOIN (SELECT phrase, array_to_string(a, ' ') AS p FROM phrases) USING (p) JOIN (
 JOIN authors USING (phrase) GROUP BY topic, author"""
 
 
+def _english_tokens() -> str:
+    """Joining signs between letters, or between digits, are marked first, as this engine's patterns cannot look around."""
+    text = "lower(regexp_replace(text, '([a-z])er ', '\\1er''s ', 'g'))"
+    marks = {sign: chr(0xE000 + i) for i, sign in enumerate("'’.:,;")}
+    for signs, left, right in (("'’.:", r"\p{L}\p{M}", r"\p{L}"), ("'’.,;", r"\p{N}", r"\p{N}")):
+        for sign in signs:
+            # Twice, as a letter can stand between two signs.
+            for _ in range(2):
+                text = f"regexp_replace({text}, '([{left}])[{sign.replace(chr(39), chr(39) * 2)}]([{right}])', '\\1{marks[sign]}\\2', 'g')"
+    back = "w"
+    for sign, mark in marks.items():
+        back = f"replace({back}, '{mark}', '{sign.replace(chr(39), chr(39) * 2)}')"
+    return rf"""WITH marked AS (SELECT doc_id, regexp_extract_all({text}, '[\p{{L}}\p{{M}}\p{{N}}_{''.join(marks.values())}]+') AS w FROM documents),
+listed AS (SELECT doc_id, unnest(w) AS w, CAST(unnest(range(len(w))) AS INTEGER) AS pos FROM marked),
+words AS (SELECT doc_id, pos, regexp_replace({back}, '[''’]s$', '') AS term FROM listed)
+SELECT doc_id, pos, term FROM words WHERE term NOT IN ({_STOP})"""
+
+
 def _shape(word: str) -> str:
     """V or C for every letter; a y is a vowel after a consonant."""
     shape = f"regexp_replace(regexp_replace(regexp_replace({word}, '[aeiou]', 'V', 'g'), '[^Vy]', 'C', 'g'), '^y', 'C')"
@@ -377,6 +395,7 @@ def oracles() -> dict[str, str]:
         "tokens_title": f"{plain} SELECT doc_id, pos, term FROM tok",
         "tokens_simple": f"WITH {_tokens('author', 'key')} SELECT field, doc_id, CAST(pos AS INTEGER) AS pos, term FROM listed",
         "exact_field": f"WITH {_CORPUS} SELECT doc_id, CAST(1 AS DOUBLE) AS score FROM corpus WHERE type = 'article'",
+        "tokens_english": _english_tokens(),
         "postings_title": f"{plain} SELECT term, doc_id, tf, array_to_string(positions, ',') AS positions FROM tf",
         "term_stats": f"{plain} SELECT term, df FROM df",
         "doc_lengths": f"{plain} SELECT doc_id, length FROM dl",
@@ -507,6 +526,11 @@ array_to_string(author, ', ') AS authors, regexp_replace(title, '\\s+', '', 'g')
     merged = _COUNTS.replace("SELECT booktitle AS venue", "SELECT 'src3 src7' AS venue").replace(
         "FROM corpus WHERE", "FROM corpus WHERE booktitle IN ('src3', 'src7') AND"
     )
+    blocked = _COUNTS.replace("text AS title", "concat(text, chr(10), source, ' case study. ', source, ' new venue. ') AS title")
+    sql["hotspots_blocked"] = f"WITH {blocked}, {yearly} {_SHOW} ({_leaders('venue, year', 'y_phrases', 5)})"
+    sql["fresh_dumps"] = f"""WITH {_CORPUS} SELECT key, type, year, regexp_replace(title, '\\s+', '', 'g') AS title FROM corpus WHERE doc_id % 2 = 0"""
+    sql["dump_entities"] = f"""WITH {_CORPUS} SELECT key, CASE WHEN doc_id % 10 > 1 THEN regexp_replace(title, '\\s+', '', 'g') ELSE '' END AS title,
+CASE WHEN doc_id % 10 > 1 THEN '' ELSE 'unknown entity' END AS reason FROM corpus"""
     sql["searched_hotspots"] = f"WITH {merged}, {yearly} {_SHOW} ({_leaders('venue, year', 'y_phrases', 5)})"
     lower = merged.replace("'src3 src7'", "'SRC3 src7'")
     sql["searched_evolution"] = f"""WITH {lower}, {yearly}, {_SPAN}, {overall}, top AS ({top_span}),
@@ -524,4 +548,5 @@ SELECT topic, author, n, CAST(row_number() OVER (ORDER BY n DESC, author) AS INT
     sql["hits_with_records"] = f"""WITH hits AS ({batch}), {_CORPUS}
 SELECT h.query_id, h.rank, h.doc_id, h.score, c.key, c.year, array_to_string(c.author, ', ') AS authors, l.quality, l.toxic
 FROM hits h JOIN corpus c USING (doc_id) LEFT JOIN labels l USING (doc_id)"""
+    sql["hits_as_json"] = sql["hits_with_records"]
     return sql

@@ -23,8 +23,9 @@ from litscope.plans import search as S
 from litscope.plans import trends as R
 from litscope.plans.trends import searched_titles
 from litscope.session import durable, local_table, shared_folder, ship_package
+from litscope.sources.entities import entity_texts
 from litscope.sources.records import judged_records, parsed_records, read_dump, split_records
-from litscope.sources.store import Index, build_index, flat_records
+from litscope.sources.store import Index, build_index, flat_records, write_hits
 from litscope.sources.tables import documents_corpus, read_table, spread
 
 # SQL engines without look-around or a stemmer can follow this chain exactly.
@@ -48,12 +49,17 @@ def index_for(spark: SparkSession, folder: str) -> Index:
 _made: dict[tuple, object] = {}
 
 
+def _own_path(spark: SparkSession, folder: str, kind: str) -> str:
+    """A path in the shared folder for what this application makes of a table folder."""
+    name = folder.strip("/").replace("/", "_").replace(":", "_")
+    return f"{shared_folder(spark)}/litscope-{kind}-{spark.sparkContext.applicationId}/{name}"
+
+
 def _once(spark: SparkSession, folder: str, kind: str, make: Callable[[str], object]):
     """What ``make`` stores at a path of its own in the shared folder, made on first use."""
     key = (spark.sparkContext.applicationId, folder, kind)
     if key not in _made:
-        name = folder.strip("/").replace("/", "_").replace(":", "_")
-        _made[key] = make(f"{shared_folder(spark)}/litscope-{kind}-{key[0]}/{name}")
+        _made[key] = make(_own_path(spark, folder, kind))
     return _made[key]
 
 
@@ -99,6 +105,13 @@ def tokens_title(spark: SparkSession, folder: str) -> DataFrame:
     return P.occurrences(_title_terms(spark, folder)).select("doc_id", "pos", "term")
 
 
+def tokens_english(spark: SparkSession, folder: str) -> DataFrame:
+    """Words with inner apostrophes, dots and separators; possessives are put into the texts, and come off."""
+    owned = F.regexp_replace("title", "([a-z])er ", "$1er's ")
+    terms = P.document_terms(_texts(spark, folder).withColumn("title", owned), ["title"], Analysis(stem=False))
+    return P.occurrences(terms).select("doc_id", "pos", "term")
+
+
 def tokens_simple(spark: SparkSession, folder: str) -> DataFrame:
     """Authors under the chain that keeps stop words and skips stemming."""
     analysis = replace(PLAIN, stem=True, simple_fields=("author", "key"))
@@ -408,6 +421,12 @@ def hotspot_table(spark: SparkSession, folder: str) -> DataFrame:
     return table.withColumnsRenamed({str(y): f"y{y}" for y in range(START, END + 1)})
 
 
+def hotspots_blocked(spark: SparkSession, folder: str) -> DataFrame:
+    """Hotspots of titles that each hold a phrase of the block list and one that is not on it."""
+    held = F.concat("title", F.lit("\n"), "booktitle", F.lit(" case study. "), "booktitle", F.lit(" new venue. "))
+    return _score6(trends.hotspots_by_year(trends.venue_titles(_texts(spark, folder).withColumn("title", held), START, END)))
+
+
 def searched_hotspots(spark: SparkSession, folder: str) -> DataFrame:
     """Hotspots of whatever a venue search finds, as one scope per year."""
     titles = searched_titles(S.Library(index_for(spark, folder)), "src3 src7", START, END)
@@ -489,7 +508,7 @@ def record_dump_scan(spark: SparkSession, folder: str) -> DataFrame:
     )
     found = []
     for name, codec in (("plain", "none"), ("gzip", "gzip")):
-        path = f"{shared_folder(spark)}/litscope-dump-{spark.sparkContext.applicationId}/{folder.strip('/').replace('/', '_').replace(':', '_')}/{name}"
+        path = _own_path(spark, folder, f"dump-{name}")
         rows.select(record.alias("value")).write.mode("overwrite").option("compression", codec).text(path)
         corpus, _ = read_dump(spark, path)
         found.append(flat_records(corpus).select(F.lit(name).alias("file"), "key", "type", "year", "booktitle", "journal",
@@ -497,6 +516,48 @@ def record_dump_scan(spark: SparkSession, folder: str) -> DataFrame:
     return found[0].unionByName(found[1])
 
 
+def dump_entities(spark: SparkSession, folder: str) -> DataFrame:
+    """A dump whose titles use entities of its own document type; records with others are not taken."""
+    kind = (
+        "<!-- <!ENTITY ending 'no'> -->\n<!ENTITY ending \"e&letter; \">\n<!ENTITY ending 'a second one'>\n<!ENTITY letter '&#x72;'>\n"
+        "<!ENTITY % sets SYSTEM 'none.ent'>\n<!ENTITY loop '&pool;'><!ENTITY pool '&loop;'>\n<!ELEMENT title (#PCDATA)>"
+    )
+    local_table(spark, [(kind,)], "value string").coalesce(1).write.mode("overwrite").text(_own_path(spark, folder, "doctype"))
+    title = F.replace(_escaped(F.col("title")), F.lit("er "), F.lit("&ending;"))
+    strange = F.when(F.col("doc_id") % 10 == 0, "&nowhere;").when(F.col("doc_id") % 10 == 1, "&loop;").otherwise("")
+    record = F.concat(
+        F.lit('<article mdate="2020-01-01" key="'), "key", F.lit('">\n<title>'), title, strange, F.lit("</title>\n</article>"),
+    )
+    path = _own_path(spark, folder, "entities")
+    documents_corpus(spark, folder).select(record.alias("value")).write.mode("overwrite").text(path)
+    corpus, rejected = read_dump(spark, path, entities=entity_texts(spark, _own_path(spark, folder, "doctype")))
+    kept = corpus.select("key", F.regexp_replace("title", r"\s+", "").alias("title"), F.lit("").alias("reason"))
+    return kept.unionByName(rejected.select(F.regexp_extract("record", 'key="([^"]*)"', 1).alias("key"), F.lit("").alias("title"), "reason"))
+
+
+def fresh_dumps(spark: SparkSession, folder: str) -> DataFrame:
+    """Of two dumps in a folder, the one that came after the other was read."""
+    rows = documents_corpus(spark, folder).withColumn("later", F.col("doc_id") % 2 == 0)
+    record = F.concat(
+        F.lit('<article mdate="2020-01-01" key="'), "key", F.lit('">\n<title>'), _escaped(F.col("title")), F.lit("</title>\n<year>"),
+        F.col("year").cast("string"), F.lit("</year>\n</article>"),
+    )
+    path = _own_path(spark, folder, "arrivals")
+    rows.where("NOT later").select(record.alias("value")).write.mode("overwrite").text(path)
+    seen = spark.read.text(path).agg(F.max("_metadata.file_modification_time")).first()[0]
+    rows.where("later").select(record.alias("value")).write.mode("append").text(path)
+    corpus, _ = read_dump(spark, path, since=seen)
+    return corpus.select("key", "type", "year", F.regexp_replace("title", r"\s+", "").alias("title"))
+
+
+def hits_as_json(spark: SparkSession, folder: str) -> DataFrame:
+    """Hits with their records as lines of JSON, read back; missing labels are left out of a line."""
+    hits = hits_with_records(spark, folder)
+    path = _own_path(spark, folder, "hits")
+    write_hits(hits, path)
+    return spark.read.schema(hits.schema).json(path)
+
+
 def page_entities_decoded(spark: SparkSession, folder: str) -> DataFrame:
     """Texts of pages that hold named entities, as titles of records."""
     pages = spread(read_table(spark, folder, "pages").select("page_id", "html"), "page_id")
@@ -513,7 +574,7 @@ def page_entities_decoded(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        record_count_by_type, tokens_title, tokens_simple, postings_title, term_stats, doc_lengths, field_stats,
+        record_count_by_type, tokens_title, tokens_english, tokens_simple, postings_title, term_stats, doc_lengths, field_stats,
         year_range, year_single, year_batch, exact_field,
         search_term, search_should, search_must, search_must_not, search_phrase, search_phrase_gap,
         search_phrase_slop, search_boost, search_author_any, search_venue, search_return_all, search_multi,
@@ -523,9 +584,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         search_author_or_venue, search_keyword_and_prefix, search_pattern_batch,
         search_prefix, search_wildcard, search_regex, search_fuzzy, search_term_range,
         phrases, word_scores, phrase_scores, hotspots_by_year, hotspots_filled, hotspot_evolution, hotspot_series,
-        hotspot_table, searched_hotspots, searched_evolution, searched_authors,
+        hotspot_table, hotspots_blocked, searched_hotspots, searched_evolution, searched_authors,
         pivot_authors_exact, pivot_authors_fuzzy, topic_authors, page_key_tokens, stemmed_vocabulary, record_parse,
-        record_dump_scan, page_entities_decoded,
+        record_dump_scan, dump_entities, fresh_dumps, hits_as_json, page_entities_decoded,
     )
 }
 

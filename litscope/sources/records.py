@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from litscope.functions.text import held
 from litscope.schema import FIELDS, LIST_FIELDS, RECORD_KINDS, corpus_schema
 from litscope.session import durable
+from litscope.sources.entities import UNKNOWN, entity_decoder
 
 # Every record carries this attribute first, so splitting there cuts the dump
 # between records. Each chunk starts right after it.
@@ -25,6 +26,8 @@ INLINE_TAGS = ("i", "sub", "sup", "tt", "ref")
 XML_ENTITIES = frozenset({"amp", "lt", "gt", "quot", "apos"})
 
 NAMED_ENTITY = "&([A-Za-z][A-Za-z0-9]*);"
+# An entity of a document type: any XML name but those five.
+ENTITY = r"&(?!(?:amp|lt|gt|quot|apos);)[A-Za-z_:][\w:.-]*;"
 
 BAD_YEAR = "year is not a number"
 
@@ -87,8 +90,14 @@ def _without_markup(text: Column, legacy_text: bool) -> Column:
     return F.regexp_replace(text, rf"</?(?:{tags})\b[^>]*>", "")
 
 
-def parsed_records(chunks: DataFrame, separator: str = SEPARATOR, legacy_text: bool = False) -> DataFrame:
-    """One row per chunk: its kind, the parsed record and the reason to reject it."""
+def parsed_records(
+    chunks: DataFrame, separator: str = SEPARATOR, legacy_text: bool = False, entities: dict[str, str] | None = None
+) -> DataFrame:
+    """One row per chunk: its kind, the parsed record and the reason to reject it.
+
+    ``entities`` are those of the dump's document type (``entities.entity_texts``); a
+    record with any other is rejected. Without them, entities are HTML's.
+    """
     body = rf"(?s)^(.*?)</({_KINDS})>"
     if "place" not in chunks.columns:
         chunks = chunks.withColumn("place", F.monotonically_increasing_id())
@@ -102,16 +111,22 @@ def parsed_records(chunks: DataFrame, separator: str = SEPARATOR, legacy_text: b
     rows = held(rows, "raw", raw)
     named = F.col("raw").rlike(r"&(?!(?:amp|lt|gt|quot|apos);)[A-Za-z][A-Za-z0-9]*;")
     # Python gets the text of rows with a named entity, and nulls for the others.
+    if entities is not None:
+        named = F.col("raw").rlike(ENTITY)
+        rows = held(rows, "filled", F.coalesce(entity_decoder(entities)(F.when(named, F.col("raw"))), F.col("raw")))
+        rows = rows.withColumn("unknown", F.col("filled").rlike(ENTITY))
+        return held(rows, "rec", F.from_xml("filled", _record_schema(), {"mode": "PERMISSIVE"})).drop("raw", "filled")
     decoded = F.coalesce(_decoded(F.when(named, F.col("raw"))), F.col("raw"))
     return held(rows, "rec", F.from_xml(decoded, _record_schema(), {"mode": "PERMISSIVE"})).drop("raw")
 
 
-def _rejection() -> Column:
+def _rejection(unknown: Column) -> Column:
     kinds = rf"<(?:{_KINDS})[\s>]"
     year = F.element_at(F.filter(F.col("rec.year"), lambda v: F.length(v) > 0), -1)
     return (
         F.when(F.col("type") == "", F.lit("no closing tag"))
         .when(F.col("inner").rlike(kinds), F.lit("second record inside"))
+        .when(unknown, F.lit(UNKNOWN))
         .when(F.col("rec").isNull() | F.col("rec._corrupt_record").isNotNull(), F.lit("not well formed"))
         .when(F.col("rec._key").isNull(), F.lit("no key"))
         .when(year.isNotNull() & year.try_cast("int").isNull(), F.lit(BAD_YEAR))
@@ -125,11 +140,12 @@ def read_dump(
     separator: str = SEPARATOR,
     legacy_text: bool = False,
     since: datetime | None = None,
+    entities: dict[str, str] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(corpus, quarantine) of a dump. A record whose year is no number is in both:
     it is kept with a null year and reported. Each of the two parses the dump."""
     chunks = dump_chunks(spark, path, encoding, separator, since)
-    return split_records(judged_records(parsed_records(chunks, separator, legacy_text)))
+    return split_records(judged_records(parsed_records(chunks, separator, legacy_text, entities)))
 
 
 def ingest_dump(
@@ -140,10 +156,11 @@ def ingest_dump(
     separator: str = SEPARATOR,
     legacy_text: bool = False,
     since: datetime | None = None,
+    entities: dict[str, str] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Write ``out/corpus`` and ``out/quarantine``, parsing the dump once."""
     chunks = dump_chunks(spark, path, encoding, separator, since)
-    judged = durable(judged_records(parsed_records(chunks, separator, legacy_text)))
+    judged = durable(judged_records(parsed_records(chunks, separator, legacy_text, entities)))
     for name, rows in zip(("corpus", "quarantine"), split_records(judged)):
         rows.write.mode("overwrite").parquet(f"{out}/{name}")
     return spark.read.parquet(f"{out}/corpus"), spark.read.parquet(f"{out}/quarantine")
@@ -153,7 +170,8 @@ def judged_records(parsed: DataFrame) -> DataFrame:
     """(type, rec, reason, record): the raw text only of what is rejected."""
     # What precedes the first record is no record at all.
     preamble = (F.col("type") == "") & F.col("value").rlike(r"^\s*<")
-    judged = held(parsed.where(~preamble), "reason", _rejection())
+    unknown = F.col("unknown") if "unknown" in parsed.columns else F.lit(False)
+    judged = held(parsed.where(~preamble), "reason", _rejection(unknown))
     return judged.select("place", "type", "rec", "reason", F.when(F.col("reason").isNotNull(), F.col("value")).alias("record"))
 
 

@@ -17,7 +17,7 @@ from litscope.session import get_spark  # noqa: E402
 # Queries whose method has no SQL; tests/llm holds them against brute force.
 NO_SQL = frozenset(
     """op1_pigeonhole_vectors op2_html_layout op4_kernel_language op5_lsh_forest op6_string_tiling
-    op7_kd_sharding op8_edit_counts op9_bootstrapped_pii pipeline""".split()
+    op7_kd_sharding op8_edit_counts op9_bootstrapped_pii op11_span_alignment pipeline""".split()
 )
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from litscope.plans.search import exact_hits
 from litscope.schema import RECORD_KINDS
+from litscope.sources import entities
 from litscope.sources.records import (
     count_by_kind,
     decode_entities,
@@ -158,3 +159,30 @@ def test_one_value_per_field_keeps_the_last(records):
 def test_exact_fields(records):
     assert exact_hits(records[0], "isbn", "978-1").count() == 1
     assert exact_hits(records[0], "volume", "1").count() == 0
+
+
+def test_entities_of_a_document_type(spark, tmp_path):
+    dtd = tmp_path / "own.dtd"
+    dtd.write_text(
+        """<!-- a comment <!ENTITY gone "x"> -->
+<!ENTITY uuml "&#252;"> <!ENTITY Name 'M&uuml;ller'>
+<!ENTITY Name "another"> <!ENTITY % part "skipped"> <!ENTITY far SYSTEM "far.ent">
+<!ENTITY a "&b;"><!ENTITY b "&c;"><!ENTITY c "&a;"><!ENTITY open "&nothing;">
+<!ENTITY less "&#38;#60;"> <!ENTITY x.y-z "dotted &amp; dashed"><!ENTITY big "&#x1D11E;">""",
+        encoding="utf-8",
+    )
+    texts = entities.entity_texts(spark, str(dtd))
+    own = {n: t for n, t in texts.items() if n not in entities.GIVEN}
+    assert own == {"uuml": "ü", "Name": "Müller", "less": "<", "x.y-z": "dotted & dashed", "big": "\U0001d11e"}
+    assert {r["name"] for r in entities.entity_table(spark, str(dtd)).collect()} == set(texts)
+    dump = tmp_path / "dump.xml"
+    titles = ["by &Name; &x.y-z; 1 &less; 2 &amp; &#65;", "&Name;&gone;", "&a;", "plain", "&eacute;"]
+    dump.write_text(
+        "<dblp>\n" + "\n".join(f'<article mdate="2020-01-01" key="k{i}"><title>{t}</title></article>' for i, t in enumerate(titles)) + "\n</dblp>",
+        encoding="utf-8",
+    )
+    corpus, quarantine = read_dump(spark, str(dump), entities=texts)
+    assert {r["key"]: r["title"] for r in corpus.collect()} == {"k0": "by Müller dotted & dashed 1 < 2 & A", "k3": "plain"}
+    assert [r["reason"] for r in quarantine.collect()] == [entities.UNKNOWN] * 3
+    # Without a document type, names are HTML's.
+    assert read_dump(spark, str(dump))[0].where("key = 'k4'").first()["title"] == "é"
