@@ -1,8 +1,10 @@
 """Removing passages that occur more than once, by doubling the length of repeated windows.
 
 A window is a run of adjacent words of one document. Windows of half the asked
-length come first, then the asked length, then twice that, and so on: a window is
-looked at only where the windows it is made of repeat, until none is left.
+length come first, then the asked length and, if that is asked for, twice that, and so
+on: a window is looked at only where the windows it is made of repeat, until none is
+left. What is removed depends on the asked length alone; longer ones only tell how
+far the repeats reach.
 
 At half the length, not every window has to travel. Each window of the full length
 is represented by the least hash among the half windows inside it (its anchor). Equal
@@ -142,18 +144,36 @@ def _level_batch(batch: pa.RecordBatch, found: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([*(batch.column(c) for c in (*KEYS, "copied")), *lists], names=[*KEYS, "copied", "places", "a", "b"])
 
 
-def _repeated(level: DataFrame) -> DataFrame:
-    """(keys, copied, windows) that occur again, one of them in a text that occurs once.
+def _windows(level: DataFrame) -> DataFrame:
+    windows = level.select(*KEYS, "copied", F.explode(F.arrays_zip("places", "a", "b")).alias("w"))
+    return windows.select(*KEYS, "copied", F.col("w.places").alias("place"), F.col("w.a").alias("a"), F.col("w.b").alias("b"))
+
 
-    Counts add up in each task first. The rows of a frequent window meet its one
-    count in a join, which Spark may split.
+def _shared(level: DataFrame) -> DataFrame:
+    """The windows that occur again, one of them in a text that occurs once.
+
+    Counts add up in each task before they move.
+    """
+    counted = _windows(level).groupBy("a", "b").agg(F.sum(F.when(F.col("copied"), 2).otherwise(1)).alias("n"), F.bool_or(~F.col("copied")).alias("open"))
+    shared = durable(counted.where("n > 1 AND open").select("a", "b"))
+    _release(shared)
+    return shared
+
+
+def _repeated_places(level: DataFrame) -> DataFrame:
+    """(keys, places) of windows that occur again, of texts that occur once.
+
+    The rows of a frequent window meet its one count in a join, which Spark may split.
     """
-    windows = level.select(*KEYS, "copied", F.explode(F.arrays_zip("places", "a", "b")).alias("w"))
-    windows = windows.select(*KEYS, "copied", F.col("w.places").alias("place"), F.col("w.a").alias("a"), F.col("w.b").alias("b"))
-    counted = windows.groupBy("a", "b").agg(F.sum(F.when(F.col("copied"), 2).otherwise(1)).alias("n"), F.bool_or(~F.col("copied")).alias("open"))
     with scratch(level.sparkSession):
-        shared = durable(counted.where("n > 1 AND open").select("a", "b"))
-        met = windows.join(shared, ["a", "b"])
+        met = _windows(level).where("NOT copied").select(*KEYS, "place", "a", "b").join(_shared(level), ["a", "b"])
+        return durable(met.groupBy(*KEYS).agg(F.collect_list("place").alias("places")), outlive=True)
+
+
+def _repeated(level: DataFrame) -> DataFrame:
+    """(keys, copied, windows) that occur again, to make longer ones of."""
+    with scratch(level.sparkSession):
+        met = _windows(level).join(_shared(level), ["a", "b"])
         return durable(met.groupBy(*KEYS, "copied").agg(F.collect_list(F.struct("place", "a", "b")).alias("windows")), outlive=True)
 
 
@@ -163,10 +183,11 @@ def _release(df: DataFrame) -> None:
     df.sparkSession._jvm.System.gc()
 
 
-def _repeats(keyed: DataFrame, length: int) -> DataFrame:
+def _repeats(keyed: DataFrame, length: int, beyond: bool) -> DataFrame:
     """(keys, copied, places, longest) of the texts with a window that repeats.
 
-    A text that occurs in several rows repeats whole; it has no places.
+    A text that occurs in several rows repeats whole; it has no places. Without
+    ``beyond``, longest is null.
     """
     anchors = durable(keyed.mapInArrow(_anchor_rows(length), "key_a bigint, key_b bigint, anchors array<bigint>"))
     texts = durable(anchors.groupBy(*KEYS).agg(F.count("*").alias("copies"), F.first("anchors").alias("anchors")))
@@ -181,28 +202,33 @@ def _repeats(keyed: DataFrame, length: int) -> DataFrame:
     chosen = wanted.join(least, KEYS).withColumnsRenamed({k: f"w_{k}" for k in KEYS})
     same = (F.col("key_a") == F.col("w_key_a")) & (F.col("key_b") == F.col("w_key_b")) & F.col("id").eqNullSafe(F.col("least"))
     met = keyed.join(durable(chosen), same).select(*KEYS, "text", "copied", "anchors")
-    level, places, longest, size = durable(met.mapInArrow(_window_rows(length), _LEVEL_SCHEMA)), None, [], length
+    level = durable(met.mapInArrow(_window_rows(length), _LEVEL_SCHEMA))
     _release(level)
-    while not level.isEmpty():
-        found = _repeated(level)
-        if places is None:
-            places = found.where("NOT copied").select(*KEYS, F.col("windows.place").alias("places"))
-        longest.append(found.where("NOT copied").select(*KEYS, F.lit(size).alias("longest")))
-        level = durable(found.select(*KEYS, "copied", "windows").mapInArrow(_longer_rows(size), _LEVEL_SCHEMA))
-        size *= 2
-        _release(level)
     whole = anchors.groupBy(*KEYS).agg(F.count("*").alias("n")).where("n > 1")
     whole = whole.select(*KEYS, F.lit(True).alias("copied"), F.lit(None).cast("array<int>").alias("places"), F.lit(None).cast("int").alias("longest"))
-    if places is None:
-        return whole
-    best = longest[0]
-    for more in longest[1:]:
-        best = best.unionByName(more)
-    best = best.groupBy(*KEYS).agg(F.max("longest").alias("longest"))
-    part = places.join(best, KEYS).select(*KEYS, F.lit(False).alias("copied"), "places", "longest")
+    if beyond:
+        part = _reach(level, length)
+    else:
+        part = _repeated_places(level).select(*KEYS, F.lit(False).alias("copied"), "places", F.lit(None).cast("int").alias("longest"))
     return whole.unionByName(part)
 
 
+def _reach(level: DataFrame, length: int) -> DataFrame:
+    """The same as ``_repeated_places``, with the largest doubling at which a window of the text still repeats."""
+    found, size = _repeated(level), length
+    places = found.where("NOT copied").select(*KEYS, F.col("windows.place").alias("places"))
+    longest = places.select(*KEYS, F.lit(size).alias("longest"))
+    while True:
+        level = durable(found.mapInArrow(_longer_rows(size), _LEVEL_SCHEMA))
+        if level.isEmpty():
+            break
+        found, size = _repeated(level), size * 2
+        longest = longest.unionByName(found.where("NOT copied").select(*KEYS, F.lit(size).alias("longest")))
+        _release(level)
+    longest = longest.groupBy(*KEYS).agg(F.max("longest").alias("longest"))
+    return places.join(longest, KEYS).select(*KEYS, F.lit(False).alias("copied"), "places", "longest")
+
+
 _OUT = pa.schema(
     [
         ("n_words", pa.int64()),
@@ -215,7 +241,7 @@ _OUT = pa.schema(
 _OUT_SCHEMA = "n_words bigint, n_removed bigint, spans array<struct<start:int,end:int>>, longest int, kept string"
 
 
-def _cut(length: int):
+def _cut(length: int, beyond: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
@@ -225,14 +251,14 @@ def _cut(length: int):
                 spans = []
                 if copied.as_py():
                     spans, reach = [(0, n)], length
-                    while reach * 2 <= n:
+                    while beyond and reach * 2 <= n:
                         reach *= 2
                 elif places.is_valid:
                     starts = np.sort(places.values.to_numpy(zero_copy_only=False))
                     cuts = np.flatnonzero(np.diff(starts) > length) + 1
                     first = starts[np.concatenate([[0], cuts]).astype(np.int64)]
                     last = starts[np.concatenate([cuts - 1, [len(starts) - 1]]).astype(np.int64)] + length
-                    spans = list(zip(first.tolist(), last.tolist()))
+                    spans, reach = list(zip(first.tolist(), last.tolist())), max(reach, length)
                 kept, at = [], 0
                 for start, end in spans:
                     kept += words[at:start]
@@ -246,15 +272,17 @@ def _cut(length: int):
     return run
 
 
-def drop_repeats(docs: DataFrame, length: int = 35, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def drop_repeats(
+    docs: DataFrame, length: int = 35, beyond: bool = False, id_column: str = "doc_id", text_column: str = "text"
+) -> DataFrame:
     """(id, n_words, n_removed, spans, longest, kept) for every row of ``docs``.
 
     Words are runs of anything but space and tab to carriage return, as they stand.
     Every word of a window of ``length`` words that also starts elsewhere, in any
     row or further on in the same one, is removed. ``spans`` are the removed runs
     of words (end exclusive), ``kept`` the other words joined by one space, and
-    ``longest`` the largest doubling of ``length`` at which a window still repeats
-    (0: none does).
+    ``longest`` the length of the longest windows found to repeat (0: none does):
+    ``length``, or with ``beyond`` its largest doubling at which one still repeats.
 
     A null text has no words, like an empty one; neither repeats. Rows with equal
     texts repeat each other, whatever their ids: repeated rows, and rows without an
@@ -267,7 +295,8 @@ def drop_repeats(docs: DataFrame, length: int = 35, id_column: str = "doc_id", t
     rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     keyed = rows.select("id", "text", F.xxhash64("text").alias("key_a"), F.xxhash64(F.lit("text"), "text").alias("key_b"))
     with scratch(spark):
-        found = durable(_repeats(keyed.where(F.col("text").isNotNull()), length), outlive=True)
+        found = durable(_repeats(keyed.where(F.col("text").isNotNull()), length, beyond), outlive=True)
+    _release(found)
     marked = keyed.join(found, KEYS, "left").select("id", "text", "copied", "places", "longest")
-    out = marked.mapInArrow(_cut(length), f"id {rows.schema['id'].dataType.simpleString()}, {_OUT_SCHEMA}")
+    out = marked.mapInArrow(_cut(length, beyond), f"id {rows.schema['id'].dataType.simpleString()}, {_OUT_SCHEMA}")
     return out.withColumnRenamed("id", id_column)

@@ -35,10 +35,13 @@ def brute(rows, length):
 
 
 def check(spark, rows, length):
-    found = drop_repeats(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3), length)
-    assert found.columns == ["doc_id", "n_words", "n_removed", "spans", "longest", "kept"]
-    result = [(r[0], r[1], r[2], [tuple(s) for s in r[3]], r[4], r[5]) for r in found.collect()]
-    assert sorted(result, key=repr) == sorted(brute(rows, length), key=repr)
+    expected = brute(rows, length)
+    for beyond in (True, False):
+        found = drop_repeats(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3), length, beyond)
+        assert found.columns == ["doc_id", "n_words", "n_removed", "spans", "longest", "kept"]
+        result = [(r[0], r[1], r[2], [tuple(s) for s in r[3]], r[4], r[5]) for r in found.collect()]
+        reached = [(*r[:4], r[4] if beyond else min(r[4], length), r[5]) for r in expected]
+        assert sorted(result, key=repr) == sorted(reached, key=repr)
 
 
 @pytest.mark.parametrize("length", [2, 3, 5, 8])
