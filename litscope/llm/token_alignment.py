@@ -13,6 +13,8 @@ one call, and remembers it.
 
 from __future__ import annotations
 
+import contextlib
+import gc
 import hashlib
 import os
 from collections.abc import Iterator
@@ -28,7 +30,7 @@ from pyspark.sql import functions as F
 from litscope.session import durable, scratch, ship_package
 
 # Bytes of text that are worked on at once; a longer text is worked on alone.
-SLICE = 4 << 20
+SLICE = 2 << 20
 # Chunks a worker remembers.
 REMEMBERED = 200_000
 # Id pairs that hold at least one in so many of all links are few, and handed to all tasks.
@@ -214,12 +216,26 @@ def _slices(texts: pa.Array) -> Iterator[tuple[int, int]]:
 _ROW = "n_a bigint, n_b bigint, n_groups bigint, groups_sha256 string, links array<bigint>, times array<int>"
 
 
+@contextlib.contextmanager
+def _no_collection():
+    """Millions of short-lived tuples without a cycle among them need no search for cycles."""
+    on = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if on:
+            gc.enable()
+
+
 def _align(a_path: str, b_path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair, known = _tokenizers(a_path, b_path), _memory(a_path, b_path)
         for batch in batches:
             for start, stop in _slices(batch.column("text")):
-                yield _aligned(batch.slice(start, stop - start), pair, known)
+                with _no_collection():
+                    aligned = _aligned(batch.slice(start, stop - start), pair, known)
+                yield aligned
 
     return run
 
