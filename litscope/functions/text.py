@@ -10,13 +10,23 @@ from pyspark.sql import functions as F
 from litscope.functions.stem import stem_terms
 from litscope.functions.words import PHRASE_STOP_WORDS, PUNCTUATION, SEARCH_STOP_WORDS
 
-# Word boundaries close to UAX #29 for alphabetic scripts: letters keep inner
-# apostrophes, dots and colons, digits keep inner separators. The last repeat is
-# possessive, so a chain of any length needs no deep recursion.
+# Word boundaries after UAX #29. Letters keep inner apostrophes, dots and colons, digits
+# keep inner separators; the last repeat is possessive, so a chain of any length needs
+# no deep recursion. An ideograph or a hiragana sign is a word of its own, katakana and
+# scripts without spaces of south-east Asia make runs, and an emoji sequence is a word.
+# Emoji are known by their blocks.
+_KATAKANA = r"\p{IsKatakana}\x{30FC}\x{FF70}\x{FF9E}\x{FF9F}"
+_OTHER = rf"&&[^\p{{IsIdeographic}}\p{{IsHiragana}}{_KATAKANA}\x{{FE0F}}]"
+_LETTER = rf"[\p{{L}}\p{{M}}{_OTHER}]"
+_PART = rf"[\p{{L}}\p{{M}}\p{{N}}_{_OTHER}]"
+_PICTURE = r"[\x{2600}-\x{27BF}\x{1F300}-\x{1F5FF}\x{1F600}-\x{1F6FF}\x{1F900}-\x{1FAFF}]\x{FE0F}?[\x{1F3FB}-\x{1F3FF}]?"
 WORD = (
-    r"[\p{L}\p{M}\p{N}_]+"
-    r"(?:(?:(?<=[\p{L}\p{M}])['’.:](?=\p{L})|(?<=\p{N})['’.,;](?=\p{N}))"
-    r"[\p{L}\p{M}\p{N}_]+)*+"
+    rf"{_PART}+"
+    rf"(?:(?:(?<={_LETTER})['’.:](?=[\p{{L}}{_OTHER}])|(?<=\p{{N}})['’.,;](?=\p{{N}}))"
+    rf"{_PART}+)*+"
+    rf"|[{_KATAKANA}][{_KATAKANA}\p{{M}}]*+"
+    r"|[\p{IsIdeographic}\p{IsHiragana}]\p{M}*+"
+    rf"|[\x{{1F1E6}}-\x{{1F1FF}}]{{2}}|{_PICTURE}(?:\x{{200D}}{_PICTURE})*+"
 )
 # Plain runs of letters and digits, for engines whose regex has no look-around.
 SIMPLE_WORD = r"[\p{L}\p{N}_]+"

@@ -300,11 +300,13 @@ JOIN (SELECT phrase, array_to_string(a, ' ') AS p FROM phrases) USING (p) JOIN (
 JOIN authors USING (phrase) GROUP BY topic, author"""
 
 
-def _english_tokens() -> str:
-    """Joining signs between letters, or between digits, are marked first, as this engine's patterns cannot look around."""
-    text = "lower(regexp_replace(text, '([a-z])er ', '\\1er''s ', 'g'))"
+def _english_tokens(text: str, letters: str = r"\p{L}", others: str = "") -> str:
+    """Joining signs between letters, or between digits, are marked first, as this engine's patterns cannot look around.
+
+    ``others`` are patterns of words without such letters.
+    """
     marks = {sign: chr(0xE000 + i) for i, sign in enumerate("'’.:,;")}
-    for signs, left, right in (("'’.:", r"\p{L}\p{M}", r"\p{L}"), ("'’.,;", r"\p{N}", r"\p{N}")):
+    for signs, left, right in (("'’.:", letters + r"\p{M}", letters), ("'’.,;", r"\p{N}", r"\p{N}")):
         for sign in signs:
             # Twice, as a letter can stand between two signs.
             for _ in range(2):
@@ -312,7 +314,7 @@ def _english_tokens() -> str:
     back = "w"
     for sign, mark in marks.items():
         back = f"replace({back}, '{mark}', '{sign.replace(chr(39), chr(39) * 2)}')"
-    return rf"""WITH marked AS (SELECT doc_id, regexp_extract_all({text}, '[\p{{L}}\p{{M}}\p{{N}}_{''.join(marks.values())}]+') AS w FROM documents),
+    return rf"""WITH marked AS (SELECT doc_id, regexp_extract_all({text}, '[{letters}\p{{M}}\p{{N}}_{''.join(marks.values())}]+{others}') AS w FROM documents),
 listed AS (SELECT doc_id, unnest(w) AS w, CAST(unnest(range(len(w))) AS INTEGER) AS pos FROM marked),
 words AS (SELECT doc_id, pos, regexp_replace({back}, '[''’]s$', '') AS term FROM listed)
 SELECT doc_id, pos, term FROM words WHERE term NOT IN ({_STOP})"""
@@ -395,7 +397,8 @@ def oracles() -> dict[str, str]:
         "tokens_title": f"{plain} SELECT doc_id, pos, term FROM tok",
         "tokens_simple": f"WITH {_tokens('author', 'key')} SELECT field, doc_id, CAST(pos AS INTEGER) AS pos, term FROM listed",
         "exact_field": f"WITH {_CORPUS} SELECT doc_id, CAST(1 AS DOUBLE) AS score FROM corpus WHERE type = 'article'",
-        "tokens_english": _english_tokens(),
+        "tokens_english": _english_tokens("lower(regexp_replace(text, '([a-z])er ', '\\1er''s ', 'g'))"),
+        "tokens_scripts": _english_tokens("translate(lower(text), 'aeo', '漢ひカ')", r"\p{Latin}", r"|\p{Katakana}+|[\p{Han}\p{Hiragana}]"),
         "postings_title": f"{plain} SELECT term, doc_id, tf, array_to_string(positions, ',') AS positions FROM tf",
         "term_stats": f"{plain} SELECT term, df FROM df",
         "doc_lengths": f"{plain} SELECT doc_id, length FROM dl",

@@ -112,6 +112,13 @@ def tokens_english(spark: SparkSession, folder: str) -> DataFrame:
     return P.occurrences(terms).select("doc_id", "pos", "term")
 
 
+def tokens_scripts(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of texts whose vowels are written as ideographs, hiragana and katakana."""
+    mixed = F.translate(F.lower("title"), "aeo", "漢ひカ")
+    terms = P.document_terms(_texts(spark, folder).withColumn("title", mixed), ["title"], Analysis(stem=False))
+    return P.occurrences(terms).select("doc_id", "pos", "term")
+
+
 def tokens_simple(spark: SparkSession, folder: str) -> DataFrame:
     """Authors under the chain that keeps stop words and skips stemming."""
     analysis = replace(PLAIN, stem=True, simple_fields=("author", "key"))
@@ -574,7 +581,7 @@ def page_entities_decoded(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        record_count_by_type, tokens_title, tokens_english, tokens_simple, postings_title, term_stats, doc_lengths, field_stats,
+        record_count_by_type, tokens_title, tokens_english, tokens_scripts, tokens_simple, postings_title, term_stats, doc_lengths, field_stats,
         year_range, year_single, year_batch, exact_field,
         search_term, search_should, search_must, search_must_not, search_phrase, search_phrase_gap,
         search_phrase_slop, search_boost, search_author_any, search_venue, search_return_all, search_multi,

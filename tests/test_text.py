@@ -16,6 +16,13 @@ from litscope.operators import postings as P
         ("a.1 k-means", ["a", "1", "k", "means"]),
         ("conf/aaai/AmirSS15", ["conf", "aaai", "amirss15"]),
         ("1." * 100_000 + "1", ["1." * 100_000 + "1"]),
+        ("東京タワーへ行く", ["東", "京", "タワー", "へ", "行", "く"]),
+        ("ﾃﾚﾋﾞ x東y", ["ﾃﾚﾋﾞ", "x", "東", "y"]),
+        ("한국어 말 ไทยง่าย", ["한국어", "말", "ไทยง่าย"]),
+        ("か\u3099 が.a 漢:b", ["か\u3099", "が", "a", "漢", "b"]),
+        ("\U0001f469\u200d\U0001f4bb ok\U0001f44d\U0001f3fd \U0001f1e9\U0001f1ea\U0001f1eb\U0001f1f7", ["\U0001f469\u200d\U0001f4bb", "ok", "\U0001f44d\U0001f3fd", "\U0001f1e9\U0001f1ea", "\U0001f1eb\U0001f1f7"]),
+        ("na\u0308ive can't 3.14 a_b", ["na\u0308ive", "can't", "3.14", "a_b"]),
+        ("a.b.c. d:e: x..y 1,2,x", ["a.b.c", "d:e", "x", "y", "1,2", "x"]),
     ],
 )
 def test_words(spark, text, expected):
