@@ -63,7 +63,8 @@ def build_index(
     are smaller, and there are no phrases.
     """
     spark = corpus.sparkSession
-    version = f"v-{uuid.uuid4().hex}"
+    # A name that is taken is an error of the first write.
+    version = f"v-{uuid.uuid4().hex[:6]}"
     folder = f"{path}/{version}"
     if keep_corpus:
         # Year order inside each file lets a year range skip row groups.
