@@ -19,11 +19,13 @@ from pyspark.sql import types as T
 
 from litscope.operators.clauses import CLAUSE, PATTERNS, clause_terms, repeated, requirements
 from litscope.operators.matching import _part, document_scores, pruned, term_matches, weighted_terms
-from litscope.session import durable
+from litscope.session import durable, handed_out
 from litscope.sources.store import Index
 
 # How frequent a term is to have stored bitmaps.
 LEAST_DF = 256
+# Frequent terms, each of some 50 bytes, up to which all tasks get them.
+HANDED_OUT = 200_000
 # Documents of one bitmap, as Spark's bitmap functions have it.
 RUN = 1 << 15
 
@@ -43,7 +45,7 @@ def _bitmap() -> Column:
 def term_bitmaps(index: Index, least_df: int = LEAST_DF) -> DataFrame:
     """(field, bucket, term, run, bits) of terms in ``least_df`` documents or more."""
     frequent = index.term_stats.where(F.col("df") >= least_df).select("field", "bucket", "term")
-    rows = index.postings.join(frequent, ["field", "bucket", "term"], "left_semi")
+    rows = index.postings.join(handed_out(frequent, HANDED_OUT), ["field", "bucket", "term"], "left_semi")
     return rows.groupBy("field", "bucket", "term", F.bitmap_bucket_number("doc_id").alias("run")).agg(_bitmap())
 
 

@@ -24,12 +24,16 @@ from pyspark.sql import functions as F
 from litscope.operators.clauses import CLAUSE, PATTERNS, clause_terms, repeated, requirements
 from litscope.operators.matching import K1, B, _part, document_scores, pruned, term_matches, weighted_terms
 from litscope.operators.ranking import top_k
-from litscope.session import durable
+from litscope.session import durable, handed_out
 from litscope.sources.store import Index
 
-# Documents of a block, as a power of two, and how frequent a term is to have stored bounds.
+# Documents of a block, as a power of two. Stored bounds are for terms that are in two
+# documents of a block or more on average, and in so many at least: others have hardly
+# more postings than blocks.
 BITS = 4
 LEAST_DF = 128
+# Frequent terms, each of some 50 bytes, up to which all tasks get them.
+HANDED_OUT = 200_000
 # Blocks scored first, for each query.
 FIRST = 128
 # Scores are rounded to 9 digits, and added up in any order.
@@ -49,27 +53,33 @@ def block_of(doc_id: Column, bits: int) -> Column:
     return F.shiftright(doc_id, bits)
 
 
-def term_bounds(index: Index, bits: int = BITS, least_df: int = LEAST_DF) -> DataFrame:
+def least_frequency(index: Index, bits: int = BITS) -> int:
+    docs = index.field_stats.agg(F.max("docs")).first()[0] or 0
+    return max(LEAST_DF, (2 * docs) >> bits)
+
+
+def term_bounds(index: Index, bits: int, least_df: int) -> DataFrame:
     """(field, bucket, term, block, docs, bound) of terms in ``least_df`` documents or more.
 
     Postings lie in order of term and document, so a task adds up a block before
     anything moves.
     """
     frequent = index.term_stats.where(F.col("df") >= least_df).select("field", "bucket", "term")
-    rows = index.postings.join(frequent, ["field", "bucket", "term"], "left_semi").join(F.broadcast(index.field_stats), "field")
+    rows = index.postings.join(handed_out(frequent, HANDED_OUT), ["field", "bucket", "term"], "left_semi").join(F.broadcast(index.field_stats), "field")
     norm = K1 * (1 - B + B * F.col("length") / F.col("mean_length"))
     rows = rows.withColumn("part", F.col("tf") / (F.col("tf") + norm)).withColumn("block", block_of(F.col("doc_id"), bits))
     return rows.groupBy("field", "bucket", "term", "block").agg(F.count("*").alias("docs"), F.max("part").alias("bound"))
 
 
-def write_bounds(index: Index, path: str, bits: int = BITS, least_df: int = LEAST_DF) -> Bounds:
+def write_bounds(index: Index, path: str, bits: int = BITS, least_df: int | None = None) -> Bounds:
     """Store the bounds like postings: by field and bucket, sorted by term."""
+    least_df = least_frequency(index, bits) if least_df is None else least_df
     rows = term_bounds(index, bits, least_df).hint("rebalance", "field", "bucket").sortWithinPartitions("field", "bucket", "term", "block")
     rows.write.mode("overwrite").partitionBy("field", "bucket").parquet(path)
     return open_bounds(index.spark, path, rows.schema, bits, least_df)
 
 
-def open_bounds(spark: SparkSession, path: str, schema, bits: int = BITS, least_df: int = LEAST_DF) -> Bounds:
+def open_bounds(spark: SparkSession, path: str, schema, bits: int, least_df: int) -> Bounds:
     """``schema`` tells the columns of a table without rows."""
     return Bounds(spark.read.schema(schema).parquet(path), bits, least_df)
 

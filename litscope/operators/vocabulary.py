@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 from litscope.operators.clauses import IDENTITY, PATTERNS
 from litscope.operators.patterns import _wildcard
 from litscope.operators.ranking import top_k
-from litscope.session import durable
+from litscope.session import durable, handed_out
 from litscope.sources.store import Index
 
 # Letters of a term that deletions look at, and the most edits they serve.
@@ -122,12 +122,6 @@ def write_vocabulary(index: Index, path: str, part_terms: int = PART_TERMS, stor
     return Vocabulary(deletions, grams, gram_stats, ordered, durable(points))
 
 
-def _handed(keys: DataFrame) -> DataFrame:
-    """A batch's keys, for a join: handed to all tasks if they are few, else left to Spark."""
-    keys = durable(keys)
-    return F.broadcast(keys) if keys.count() <= HANDED_OUT else keys
-
-
 def osa_distances(left: list[str], right: list[str]) -> np.ndarray:
     """Insertions, deletions, substitutions and swaps of neighbours, no letter edited twice, of many pairs at once."""
     sizes_a, sizes_b = (np.array([len(w) for w in words]) for words in (left, right))
@@ -175,7 +169,7 @@ def fuzzy_terms(vocabulary: Vocabulary, patterns: DataFrame) -> DataFrame:
     asked = patterns.select(*IDENTITY, "text", edits.alias("edits"))
     asked = asked.select("*", F.inline(rests(F.col("text"), F.col("edits")))).withColumnRenamed("gone", "own")
     asked = asked.groupBy(*IDENTITY, "text", "edits", "rest").agg(F.min("own").alias("own"))
-    met = vocabulary.deletions.join(_handed(asked), ["field", "rest"]).where((F.col("gone") <= F.col("edits")) & (F.col("own") <= F.col("edits")))
+    met = vocabulary.deletions.join(handed_out(asked, HANDED_OUT), ["field", "rest"]).where((F.col("gone") <= F.col("edits")) & (F.col("own") <= F.col("edits")))
     near = (F.abs(F.length("term") - F.length("text")) <= F.col("edits")) & (F.levenshtein("term", "text", 2 * MOST_EDITS) >= 0)
     near = near & (F.levenshtein("term", "text", 2 * MOST_EDITS) <= 2 * F.col("edits"))
     pairs = met.where(near).select(*IDENTITY, "bucket", "term", "text", "edits").distinct()
@@ -251,7 +245,8 @@ def shaped_terms(vocabulary: Vocabulary, patterns: DataFrame) -> DataFrame:
     asked = durable(asked.withColumn("grams", F.array_distinct(F.flatten(F.transform("runs", grams_of)))).drop("runs"))
     probes = asked.select(*IDENTITY, F.explode("grams").alias("gram")).join(vocabulary.gram_stats, ["field", "gram"], "left")
     probes = probes.withColumn("terms", F.coalesce("terms", F.lit(0)))
-    probes = _handed(top_k(probes, IDENTITY, [F.col("terms").asc(), F.col("gram").asc()], PROBES).drop("rank", "terms"))
+    probes = top_k(probes, IDENTITY, [F.col("terms").asc(), F.col("gram").asc()], PROBES).drop("rank", "terms")
+    probes = handed_out(probes, HANDED_OUT)
     wanted = asked.select(*IDENTITY, "text", F.least(F.size("grams"), F.lit(PROBES)).alias("wanted"))
     held = vocabulary.grams.join(probes, ["field", "gram"]).groupBy(*IDENTITY, "bucket", "term").agg(F.count("*").alias("held"))
     held = held.join(wanted, IDENTITY).where(F.col("held") == F.col("wanted")).select(*IDENTITY, "bucket", "term", "text")

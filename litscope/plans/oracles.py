@@ -449,7 +449,7 @@ answer AS (SELECT 'q' AS query_id, doc_id, round(weight * freq / (freq + 1.2 * (
         "search_three_musts": _search(_THREE_MUSTS),
         "posting_bounds": f"""{plain} SELECT term, doc_id // 16 AS block, count(*) AS docs,
   round(max(tf / (tf + 1.2 * (1 - 0.75 + 0.75 * length / mean_length))), 6) AS bound
-FROM tf JOIN df USING (field, term) JOIN dl USING (field, doc_id) JOIN fs USING (field) WHERE df >= 128 GROUP BY ALL""",
+FROM tf JOIN df USING (field, term) JOIN dl USING (field, doc_id) JOIN fs USING (field) WHERE df >= greatest(128, docs // 8) GROUP BY ALL""",
         "posting_bitmaps": f"""{plain} SELECT term, CASE WHEN doc_id > 0 THEN 1 + (doc_id - 1) // 32768 ELSE doc_id // 32768 END AS run,
   CAST(count(*) AS INTEGER) AS docs, min(doc_id) AS first, max(doc_id) AS last, CAST(sum(doc_id) AS BIGINT) AS total
 FROM tf JOIN df USING (field, term) WHERE df >= 256 GROUP BY ALL""",

@@ -10,6 +10,7 @@ import uuid
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _ARROW = {"string": pa.string(), "int": pa.int32(), "bigint": pa.int64(), "double": pa.float64()}
@@ -102,6 +103,12 @@ def scratch(spark: SparkSession):
             place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def handed_out(df: DataFrame, most: int) -> DataFrame:
+    """A table for a join: every task gets it if it has up to ``most`` rows, else Spark joins as it sees fit."""
+    df = durable(df)
+    return F.broadcast(df) if df.count() <= most else df
+
+
 @contextlib.contextmanager
 def rows_at_once(spark: SparkSession, rows: int):
     """Arrow batches of up to so many rows for what is computed inside, where a row is large."""
