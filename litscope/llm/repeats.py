@@ -1,10 +1,10 @@
 """Removing passages that occur more than once, by doubling the length of repeated windows.
 
 A window is a run of adjacent words of one document. Windows of half the asked
-length come first, then the asked length and, if that is asked for, twice that, and so
-on: a window is looked at only where the windows it is made of repeat, until none is
-left. What is removed depends on the asked length alone; longer ones only tell how
-far the repeats reach.
+length come first, then the asked length, then twice that, and so on: a window is
+looked at only where the windows it is made of repeat, until none is left. What is
+removed depends on the asked length alone; longer ones tell how far the repeats reach,
+and can be left out.
 
 At half the length, not every window has to travel. Each window of the full length
 is represented by the least hash among the half windows inside it (its anchor). Equal
@@ -273,7 +273,7 @@ def _cut(length: int, beyond: bool):
 
 
 def drop_repeats(
-    docs: DataFrame, length: int = 35, beyond: bool = False, id_column: str = "doc_id", text_column: str = "text"
+    docs: DataFrame, length: int = 35, beyond: bool = True, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
     """(id, n_words, n_removed, spans, longest, kept) for every row of ``docs``.
 
@@ -281,8 +281,8 @@ def drop_repeats(
     Every word of a window of ``length`` words that also starts elsewhere, in any
     row or further on in the same one, is removed. ``spans`` are the removed runs
     of words (end exclusive), ``kept`` the other words joined by one space, and
-    ``longest`` the length of the longest windows found to repeat (0: none does):
-    ``length``, or with ``beyond`` its largest doubling at which one still repeats.
+    ``longest`` the largest doubling of ``length`` at which a window still repeats
+    (0: none does). Without ``beyond`` the search ends at ``length`` itself.
 
     A null text has no words, like an empty one; neither repeats. Rows with equal
     texts repeat each other, whatever their ids: repeated rows, and rows without an
