@@ -109,7 +109,7 @@ def _window_rows(length: int):
                 _, values = _anchors(words, length)
                 places = np.flatnonzero(np.isin(values.view(np.int64), wanted.values.to_numpy(zero_copy_only=False)))
                 found.append((places.astype(np.int32), *(window_hashes(words, length, s)[places].view(np.int64) for s in _STEPS)))
-            yield _level_batch(batch, found)
+            yield _level_batch(batch, [*KEYS, "copied"], found)
 
     return run
 
@@ -130,23 +130,23 @@ def _longer_rows(length: int):
                     rows.append(i)
                     joint = (mix(mix(h.view(np.uint64)[whole] + _LEVEL) * s + h.view(np.uint64)[later[whole]]).view(np.int64) for h, s in zip(hashes, _STEPS))
                     found.append((places[whole], *joint))
-            yield _level_batch(batch.take(pa.array(rows, pa.int64())), found)
+            yield _level_batch(batch.take(pa.array(rows, pa.int64())), ["number", "copied"], found)
 
     return run
 
 
-_LEVEL_SCHEMA = "key_a bigint, key_b bigint, copied boolean, places array<int>, a array<bigint>, b array<bigint>"
+_LISTS = "places array<int>, a array<bigint>, b array<bigint>"
 
 
-def _level_batch(batch: pa.RecordBatch, found: list[tuple]) -> pa.RecordBatch:
+def _level_batch(batch: pa.RecordBatch, kept: list[str], found: list[tuple]) -> pa.RecordBatch:
     kinds = (pa.int32(), pa.int64(), pa.int64())
     lists = [pa.array([f[k] for f in found], pa.list_(kind)) for k, kind in enumerate(kinds)]
-    return pa.RecordBatch.from_arrays([*(batch.column(c) for c in (*KEYS, "copied")), *lists], names=[*KEYS, "copied", "places", "a", "b"])
+    return pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), *lists], names=[*kept, "places", "a", "b"])
 
 
 def _windows(level: DataFrame) -> DataFrame:
-    windows = level.select(*KEYS, "copied", F.explode(F.arrays_zip("places", "a", "b")).alias("w"))
-    return windows.select(*KEYS, "copied", F.col("w.places").alias("place"), F.col("w.a").alias("a"), F.col("w.b").alias("b"))
+    windows = level.select("number", "copied", F.explode(F.arrays_zip("places", "a", "b")).alias("w"))
+    return windows.select("number", "copied", F.col("w.places").alias("place"), F.col("w.a").alias("a"), F.col("w.b").alias("b"))
 
 
 def _shared(level: DataFrame) -> DataFrame:
@@ -161,20 +161,20 @@ def _shared(level: DataFrame) -> DataFrame:
 
 
 def _repeated_places(level: DataFrame) -> DataFrame:
-    """(keys, places) of windows that occur again, of texts that occur once.
+    """(number, places) of windows that occur again, of texts that occur once.
 
     The rows of a frequent window meet its one count in a join, which Spark may split.
     """
     with scratch(level.sparkSession):
-        met = _windows(level).where("NOT copied").select(*KEYS, "place", "a", "b").join(_shared(level), ["a", "b"])
-        return durable(met.groupBy(*KEYS).agg(F.collect_list("place").alias("places")), outlive=True)
+        met = _windows(level).where("NOT copied").select("number", "place", "a", "b").join(_shared(level), ["a", "b"])
+        return durable(met.groupBy("number").agg(F.collect_list("place").alias("places")), outlive=True)
 
 
 def _repeated(level: DataFrame) -> DataFrame:
-    """(keys, copied, windows) that occur again, to make longer ones of."""
+    """(number, copied, windows) that occur again, to make longer ones of."""
     with scratch(level.sparkSession):
         met = _windows(level).join(_shared(level), ["a", "b"])
-        return durable(met.groupBy(*KEYS, "copied").agg(F.collect_list(F.struct("place", "a", "b")).alias("windows")), outlive=True)
+        return durable(met.groupBy("number", "copied").agg(F.collect_list(F.struct("place", "a", "b")).alias("windows")), outlive=True)
 
 
 def _release(df: DataFrame) -> None:
@@ -202,31 +202,30 @@ def _repeats(keyed: DataFrame, length: int, beyond: bool) -> DataFrame:
     chosen = wanted.join(least, KEYS).withColumnsRenamed({k: f"w_{k}" for k in KEYS})
     same = (F.col("key_a") == F.col("w_key_a")) & (F.col("key_b") == F.col("w_key_b")) & F.col("id").eqNullSafe(F.col("least"))
     met = keyed.join(durable(chosen), same).select(*KEYS, "text", "copied", "anchors")
-    level = durable(met.mapInArrow(_window_rows(length), _LEVEL_SCHEMA))
+    level = met.mapInArrow(_window_rows(length), f"key_a bigint, key_b bigint, copied boolean, {_LISTS}")
+    # Windows travel with a number, which is fixed as it is written; it is shorter than the text's keys.
+    level = durable(level.withColumn("number", F.monotonically_increasing_id()))
     _release(level)
     whole = anchors.groupBy(*KEYS).agg(F.count("*").alias("n")).where("n > 1")
     whole = whole.select(*KEYS, F.lit(True).alias("copied"), F.lit(None).cast("array<int>").alias("places"), F.lit(None).cast("int").alias("longest"))
-    if beyond:
-        part = _reach(level, length)
-    else:
-        part = _repeated_places(level).select(*KEYS, F.lit(False).alias("copied"), "places", F.lit(None).cast("int").alias("longest"))
-    return whole.unionByName(part)
+    part = _reach(level, length) if beyond else _repeated_places(level).withColumn("longest", F.lit(None).cast("int"))
+    part = level.select("number", *KEYS).join(part, "number")
+    return whole.unionByName(part.select(*KEYS, F.lit(False).alias("copied"), "places", "longest"))
 
 
 def _reach(level: DataFrame, length: int) -> DataFrame:
     """The same as ``_repeated_places``, with the largest doubling at which a window of the text still repeats."""
     found, size = _repeated(level), length
-    places = found.where("NOT copied").select(*KEYS, F.col("windows.place").alias("places"))
-    longest = places.select(*KEYS, F.lit(size).alias("longest"))
+    places = found.where("NOT copied").select("number", F.col("windows.place").alias("places"))
+    longest = places.select("number", F.lit(size).alias("longest"))
     while True:
-        level = durable(found.mapInArrow(_longer_rows(size), _LEVEL_SCHEMA))
+        level = durable(found.mapInArrow(_longer_rows(size), f"number bigint, copied boolean, {_LISTS}"))
         if level.isEmpty():
             break
         found, size = _repeated(level), size * 2
-        longest = longest.unionByName(found.where("NOT copied").select(*KEYS, F.lit(size).alias("longest")))
+        longest = longest.unionByName(found.where("NOT copied").select("number", F.lit(size).alias("longest")))
         _release(level)
-    longest = longest.groupBy(*KEYS).agg(F.max("longest").alias("longest"))
-    return places.join(longest, KEYS).select(*KEYS, F.lit(False).alias("copied"), "places", "longest")
+    return places.join(longest.groupBy("number").agg(F.max("longest").alias("longest")), "number")
 
 
 _OUT = pa.schema(
