@@ -8,7 +8,8 @@ groups, and the two tokens that end there are linked.
 
 Neither tokenizer joins a letter or sign with a blank after it, so texts are encoded
 as chunks, each a blank with what follows it. A task encodes each chunk once, many in
-one call, and remembers it.
+one call, and remembers it. Chunks with white space at an end, which are the first or
+last of a text, are encoded alone.
 """
 
 from __future__ import annotations
@@ -31,8 +32,10 @@ from litscope.session import durable, scratch, ship_package
 
 # Bytes of text that are worked on at once; a longer text is worked on alone.
 SLICE = 2 << 20
+# Chunks encoded in one call; the tokenizers slow down on more.
+TOGETHER = 1000
 # Chunks a worker remembers.
-REMEMBERED = 200_000
+REMEMBERED = 400_000
 # Id pairs that hold at least one in so many of all links are few, and handed to all tasks.
 FREQUENT = 1 << 17
 
@@ -164,19 +167,45 @@ def _joined(values: pa.Array, bounds: np.ndarray, between: str) -> pa.Array:
 
 
 def _encode(pair: Tokenizers, chunks: list[bytes], known: Aligned) -> None:
-    """Align chunks in one call of each tokenizer. If their bytes come out otherwise, halves are tried alone."""
-    data = b"".join(chunks)
-    text = data.decode("utf-8", "surrogatepass")
-    a, b = pair.a_tokens(text, data), pair.b_tokens(text, data)
-    if a is None or b is None:
-        if len(chunks) == 1:
-            none = np.zeros(1, np.int64)
-            known.add(chunks, False, none, none, none, none[:0], pa.array([""], pa.large_string()))
+    """Align chunks, some in one call of each tokenizer. If their bytes come out otherwise, halves are tried alone."""
+    good, bad = [], []
+
+    def tried(group: list[bytes]) -> None:
+        data = b"".join(group)
+        text = data.decode("utf-8", "surrogatepass")
+        a, b = pair.a_tokens(text, data), pair.b_tokens(text, data)
+        if a is not None and b is not None:
+            good.append((group, a, b))
+        elif len(group) == 1:
+            bad.extend(group)
         else:
-            middle = len(chunks) // 2
-            _encode(pair, chunks[:middle], known)
-            _encode(pair, chunks[middle:], known)
-        return
+            middle = len(group) // 2
+            tried(group[:middle])
+            tried(group[middle:])
+
+    # White space at the end of a text, or at its start, would run into that of the next chunk, or the one before.
+    sizes = np.array([len(c) for c in chunks])
+    ends = np.cumsum(sizes)
+    starts, stops = _signs(np.frombuffer(b"".join(chunks), np.uint8))
+    beside = (starts[ends - sizes + 1] & stops[ends - 1]).tolist()
+    joined = [c for c, one in zip(chunks, beside) if one]
+    for i in range(0, len(joined), TOGETHER):
+        tried(joined[i : i + TOGETHER])
+    for c, one in zip(chunks, beside):
+        if not one:
+            tried([c])
+
+    if bad:
+        none = np.zeros(len(bad), np.int64)
+        known.add(bad, False, none, none, none, none[:0], pa.array([""] * len(bad), pa.large_string()))
+    if good:
+        begins = np.cumsum([0, *(sum(map(len, group)) for group, _, _ in good)])
+        a, b = ([np.concatenate(x) for x in ([g[i][0] for g in good], [g[i][1] + begin for g, begin in zip(good, begins)])] for i in (1, 2))
+        _add(pair, [c for group, _, _ in good for c in group], a, b, known)
+
+
+def _add(pair: Tokenizers, chunks: list[bytes], a: list[np.ndarray], b: list[np.ndarray], known: Aligned) -> None:
+    """Remember what chunks that follow each other come to, by the ids and byte ends of their tokens."""
     (a_ids, a_ends), (b_ids, b_ends) = a, b
     # Both run over the same bytes without empty tokens, so ends rise and meet at most once.
     common, a_at, b_at = np.intersect1d(a_ends, b_ends, assume_unique=True, return_indices=True)
@@ -189,13 +218,19 @@ def _encode(pair: Tokenizers, chunks: list[bytes], known: Aligned) -> None:
     known.add(chunks, True, n_a, n_b, sizes, links, _joined(groups, np.append(0, last), ";"))
 
 
-def chunk_starts(data: np.ndarray) -> np.ndarray:
-    """Where chunks start: at blanks between two signs that are surely no white space."""
+def _signs(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes that start, and those that end, a sign that is surely no white space."""
     sign = (data > 0x20) & (data < 0x7F)
     # Signs of two bytes: no white space has a first byte from C3 on.
     lead = (data >= 0xC3) & (data < 0xE0)
-    starts, ends = sign | lead, sign.copy()
+    ends = sign.copy()
     ends[1:] |= lead[:-1]
+    return sign | lead, ends
+
+
+def chunk_starts(data: np.ndarray) -> np.ndarray:
+    """Where chunks start: at blanks between two signs that are surely no white space."""
+    starts, ends = _signs(data)
     found = np.flatnonzero(data[1:-1] == BLANK) + 1
     return found[ends[found - 1] & starts[found + 1]]
 

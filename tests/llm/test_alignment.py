@@ -129,3 +129,22 @@ def test_cuts_inside_characters(pair):
             assert ends[-1] == len(data) and (ends[1:] > ends[:-1]).all()
         ids, ends = pair.b_tokens(text, data)
         assert [data[s:e] for s, e in zip([0, *ends[:-1]], ends)] == [pair.b_bytes[i] for i in ids]
+
+
+def test_texts_that_end_or_start_in_white_space(spark, pair):
+    """Blanks at the end of a text do not run into those of the next text's start."""
+    ends = ["ends in blanks" + " " * n for n in range(1, 6)] + ["ends in a line \n", "ends in tabs \t\t"]
+    starts = [" " * n + "starts in blanks" for n in range(1, 6)] + ["\n line", " \t tab"]
+    rows = [(i, text) for i, text in enumerate(t for pair_of in zip(ends, starts) for t in pair_of)]
+    check(spark, pair, rows + [(100, "    "), (101, "ﬁ 漢 "), (102, " 漢")])
+
+
+def test_few_chunks_in_a_call(spark, pair, monkeypatch):
+    monkeypatch.setattr(token_alignment, "TOGETHER", 2)
+    known = token_alignment.Aligned()
+    import pyarrow as pa
+
+    texts = ["one two three four five", "a ▁mark and a▁nother mark", "six seven one  ", "  two"]
+    batch = pa.RecordBatch.from_pydict({"id": list(range(4)), "text": texts})
+    digests = [r["groups_sha256"] for r in token_alignment._aligned(batch, pair, known).to_pylist()]
+    assert digests == [r[7] for r in brute(pair, list(enumerate(texts)))]
