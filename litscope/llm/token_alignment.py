@@ -187,7 +187,7 @@ def _encode(pair: Tokenizers, chunks: list[bytes], known: Aligned) -> None:
     sizes = np.array([len(c) for c in chunks])
     ends = np.cumsum(sizes)
     starts, stops = _signs(np.frombuffer(b"".join(chunks), np.uint8))
-    beside = (starts[ends - sizes + 1] & stops[ends - 1]).tolist()
+    beside = (starts[ends - sizes + 1] & stops[ends - 1] & pair.by_chunk).tolist()
     joined = [c for c, one in zip(chunks, beside) if one]
     for i in range(0, len(joined), TOGETHER):
         tried(joined[i : i + TOGETHER])

@@ -2,32 +2,126 @@
 
 A posting join reads the documents of each phrase's words; with as many phrases as a
 corpus has, that is every common word again and again. Here each run of words of a
-text is looked up among the phrases instead: one row for each word and phrase shape,
-whatever the phrases, and no posting list of a common word at all. If the phrases are
-few, Spark hands them to the tasks and nothing else moves.
+text is looked up among the phrases instead, and no posting list of a common word is
+read at all. A text's equal runs are one row before any of them travels, and those that
+no phrase can be are left out where they are read, by bits of the phrases' hashes. What
+is left meets the phrases in one shuffle, in which it is also counted and cut to the
+best; texts of phrases are put to it last.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from litscope.functions.text import Analysis
 from litscope.operators.clauses import clause_terms
 from litscope.operators.matching import K1, SCORE_DIGITS, B
 from litscope.operators.postings import document_terms
-from litscope.session import durable
+from litscope.operators.ranking import top_k
+from litscope.session import durable, rows_at_once
 
 HASHES = ["key_a", "key_b"]
 
+# Bits that tell which hashes may be a phrase's, kept as numbers of 64. With many more
+# phrases than bits they leave less out, and the join decides all the same.
+BITS = 1 << 27
+# Rows of an Arrow batch of hashed texts.
+ROWS = 1000
 
-def _hashes(run: Column) -> list[Column]:
-    """128 bits of the words of a run and the distances between them."""
-    return [F.xxhash64(run).alias("key_a"), F.xxhash64(F.lit("run"), run).alias("key_b")]
+
+RUNS = T.ArrayType(T.StructType([T.StructField("key_a", T.LongType()), T.StructField("key_b", T.LongType()), T.StructField("tf", T.IntegerType())]))
+
+# Words of texts that are worked on at once; a longer text is worked on alone.
+WORDS = 1 << 19
+
+_STEP, _PLACE = np.uint64(0xD6E8FEB86659FD93), np.uint64(0x9E3779B97F4A7C15)
+
+
+def _word_hashes(terms: Column) -> list[Column]:
+    """Two hashes of every word."""
+    return [F.transform(terms, lambda t: F.xxhash64(t.term)), F.transform(terms, lambda t: F.xxhash64(F.lit("run"), t.term))]
+
+
+def _with_word(key: np.ndarray, words: np.ndarray, off: np.ndarray | int) -> np.ndarray:
+    """A run's hash with one more word, so far from its first."""
+    x = key * _STEP + words + (np.asarray(off, np.int64).astype(np.uint64) + np.uint64(1)) * _PLACE
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def _flat(lists: pa.Array, kind: type) -> np.ndarray:
+    return lists.flatten().to_numpy(zero_copy_only=False).astype(kind)
+
+
+@F.arrow_udf(T.StructType([T.StructField("key_a", T.LongType()), T.StructField("key_b", T.LongType())]))
+def _phrase_hashes(hashes_a, hashes_b, offs):
+    """128 bits of the words of each phrase and the distances between them."""
+    off, sizes = _flat(offs, np.int64), pc.list_value_length(offs).to_numpy(zero_copy_only=False).astype(np.int64)
+    begins = np.cumsum(sizes) - sizes
+    keys = []
+    for hashes in (hashes_a, hashes_b):
+        words, key = _flat(hashes, np.uint64), sizes.astype(np.uint64)
+        for j in range(sizes.max(initial=0)):
+            rows = np.flatnonzero(sizes > j)
+            key[rows] = _with_word(key[rows], words[begins[rows] + j], off[begins[rows] + j])
+        keys.append(pa.array(key.view(np.int64)))
+    return pa.StructArray.from_arrays(keys, names=["key_a", "key_b"])
+
+
+def _text_runs(shapes: list[list[int]]):
+    """The distinct runs of a text that have one of the shapes, hashed as phrases are, and how often each occurs.
+
+    A run has a word at each place of the shape; between them may stand anything, as
+    a stop word's place in a phrase is open.
+    """
+
+    def runs_of(hashes_a: pa.Array, hashes_b: pa.Array, places: pa.Array, sizes: np.ndarray) -> tuple[pa.StructArray, np.ndarray]:
+        words = [_flat(h, np.uint64) for h in (hashes_a, hashes_b)]
+        row = np.repeat(np.arange(len(sizes)), sizes)
+        # Rows stand so far apart that no shape reaches the next one.
+        place = _flat(places, np.int64) + row * (1 << 33)
+        found = [(row[:0], *(w[:0] for w in words))]
+        for shape in shapes:
+            first, at = np.arange(len(place)), []
+            for off in shape:
+                here = np.searchsorted(place, place[first] + off)
+                held = here < len(place)
+                held[held] = place[here[held]] == place[first[held]] + off
+                first, at = first[held], [a[held] for a in at] + [here[held]]
+            keys = [np.full(len(first), len(shape), np.uint64) for _ in words]
+            for off, here in zip(shape, at):
+                keys = [_with_word(key, w[here], off) for key, w in zip(keys, words)]
+            found.append((row[first], *keys))
+        row, key_a, key_b = (np.concatenate(x) for x in zip(*found))
+        order = np.lexsort((key_a, row))
+        row, key_a, key_b = row[order], key_a[order], key_b[order]
+        new = np.ones(len(order), bool)
+        new[1:] = (key_a[1:] != key_a[:-1]) | (key_b[1:] != key_b[:-1]) | (row[1:] != row[:-1])
+        heads = np.flatnonzero(new)
+        columns = [key_a[heads].view(np.int64), key_b[heads].view(np.int64), np.diff(np.append(heads, len(order))).astype(np.int32)]
+        structs = pa.StructArray.from_arrays([pa.array(c) for c in columns], names=["key_a", "key_b", "tf"])
+        return structs, np.bincount(row[heads], minlength=len(sizes))
+
+    @F.arrow_udf(RUNS)
+    def run(hashes_a, hashes_b, places):
+        sizes = pc.list_value_length(places).to_numpy(zero_copy_only=False).astype(np.int64)
+        parts = np.cumsum(sizes) // WORDS
+        cuts = np.concatenate([[0], np.flatnonzero(np.diff(parts)) + 1, [len(sizes)]])
+        found = [runs_of(*(x.slice(s, e - s) for x in (hashes_a, hashes_b, places)), sizes[s:e]) for s, e in zip(cuts[:-1], cuts[1:])]
+        offsets = np.append(0, np.cumsum(np.concatenate([n for _, n in found]))).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.concat_arrays([structs for structs, _ in found]))
+
+    return run
 
 
 def asked_phrases(queries: DataFrame, analysis: Analysis, field: str) -> DataFrame:
-    """(query_id, run, shape, keys): the analysed phrase of each query, its places, and its hashes.
+    """(query_id, words, shape, keys): the analysed phrase of each query, its places, and its hashes.
 
     Queries without a term that counts have no row.
     """
@@ -40,49 +134,52 @@ def asked_phrases(queries: DataFrame, analysis: Analysis, field: str) -> DataFra
     terms = clause_terms(clauses, analysis, 1)
     run = F.transform(F.array_sort(F.collect_list(F.struct("off", "term"))), lambda t: F.struct(t.term.alias("term"), t.off.alias("off")))
     grouped = terms.groupBy("query_id").agg(run.alias("run"))
-    return grouped.select("query_id", "run", F.col("run.off").alias("shape"), *_hashes(F.col("run")))
+    keyed = grouped.withColumn("key", _phrase_hashes(*_word_hashes(F.col("run")), F.col("run.off")))
+    return keyed.select("query_id", F.col("run.term").alias("words"), F.col("run.off").alias("shape"), "key.key_a", "key.key_b")
 
 
-def _runs(terms: Column, shape: Column) -> Column:
-    """The terms at the places of ``shape`` from each term on, where there are all of them.
+def _possible(runs: DataFrame, keys: DataFrame) -> DataFrame:
+    """The runs whose hash has its bit set by one of the keys."""
+    place = F.pmod("key_a", F.lit(BITS))
+    number, bit = F.shiftright(place, 6).alias("number"), F.call_function("shiftleft", F.lit(1).cast("bigint"), (place % 64).cast("int"))
+    bits = keys.select(number, bit.alias("bit")).groupBy("number").agg(F.bit_or("bit").alias("bits"))
+    met = runs.withColumns({"number": number, "bit": bit}).join(F.broadcast(bits), "number")
+    return met.where(F.col("bits").bitwiseAND(F.col("bit")) != 0).drop("number", "bit", "bits")
 
-    Between them may stand anything, as a stop word's place in a phrase is open.
-    """
-    span = F.element_at(shape, -1) + 1
-    places = F.when(F.size(terms) > 0, F.sequence(F.lit(1), F.size(terms))).otherwise(F.array().cast("array<int>"))
 
-    def run(i: Column) -> Column:
-        first = F.get(terms, i - 1).pos
-        placed = F.transform(F.slice(terms, i, span), lambda t: F.struct(t.term.alias("term"), (t.pos - first).alias("off")))
-        return F.filter(placed, lambda t: F.array_contains(shape, t.off))
-
-    return F.filter(F.transform(places, run), lambda r: F.size(r) == F.size(shape))
-
-
-def phrase_batch(corpus: DataFrame, queries: DataFrame, analysis: Analysis, field: str = "title") -> DataFrame:
+def phrase_batch(corpus: DataFrame, queries: DataFrame, analysis: Analysis, field: str = "title", k: int | None = None) -> DataFrame:
     """(query_id, doc_id, score) of every document with a query's phrase.
 
+    With ``k``, (query_id, rank, doc_id, score) of each query's best ``k``.
+
     ``queries`` are (query_id, text), one phrase each; a stop word inside keeps its
     place. Scores are those of a search for the phrase alone. Repeated rows of a
     query are one. Texts and statistics are those of ``corpus``, read once.
     """
+    spark = corpus.sparkSession
     docs = document_terms(corpus, [field], analysis)
-    asked = durable(asked_phrases(queries.dropDuplicates(["query_id"]), analysis, field))
+    asked = durable(asked_phrases(queries.dropDuplicates(["query_id"]), analysis, field).where("query_id IS NOT NULL"))
     # The ways in which words and gaps follow each other: a few, however many the phrases.
     shapes = sorted(r["shape"] for r in asked.select("shape").distinct().collect())
-    listed = F.array(*(F.array(*map(F.lit, shape)) for shape in shapes)).cast("array<array<int>>")
-    keyed = docs.select("doc_id", "length", "terms", F.explode(listed).alias("shape"))
-    runs = keyed.select("doc_id", "length", F.explode(_runs(F.col("terms"), F.col("shape"))).alias("run"))
-    runs = runs.select("doc_id", "length", *_hashes(F.col("run")))
-    keys = asked.select("query_id", *HASHES)
-    found = durable(runs.join(keys, HASHES).groupBy("query_id", "doc_id", "length").agg(F.count("*").alias("tf")))
 
     # The rarity of the phrases' words: one count of documents for each.
-    words = durable(asked.select("query_id", F.explode("run").alias("w")).select("query_id", F.col("w.term").alias("term")))
+    words = asked.groupBy(*HASHES).agg(F.first("words").alias("words")).select(*HASHES, F.explode("words").alias("term"))
     df = docs.select(F.explode(F.array_distinct(F.transform("terms", lambda t: t.term))).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
     docs_and_mean = docs.agg(F.count("*").alias("docs"), F.avg("length").alias("mean")).first()
     idf = F.log(1 + (F.lit(docs_and_mean["docs"]) - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    weights = words.join(df, "term").groupBy("query_id").agg(F.sum(idf).alias("weight"))
+    weights = durable(words.join(df, "term").groupBy(*HASHES).agg(F.sum(idf).alias("weight")))
+
+    found = _text_runs(shapes)(*_word_hashes(F.col("terms")), F.col("terms.pos"))
+    runs = docs.select("doc_id", "length", F.inline(found))
+    met = _possible(runs, weights).repartition(*HASHES).join(weights, HASHES)
+    found = met.groupBy(*HASHES, "weight", "doc_id", "length").agg(F.sum("tf").alias("tf"))
     norm = K1 * (1 - B + B * F.col("length") / F.lit(docs_and_mean["mean"] or 1.0))
-    scored = found.join(weights, "query_id").withColumn("score", F.col("weight") * F.col("tf") / (F.col("tf") + norm))
-    return scored.select("query_id", "doc_id", F.round("score", SCORE_DIGITS).alias("score"))
+    score = F.round(F.col("weight") * F.col("tf") / (F.col("tf") + norm), SCORE_DIGITS)
+    scored = found.select(*HASHES, "doc_id", score.alias("score"))
+    columns = ["query_id", "doc_id", "score"]
+    if k is not None:
+        # A phrase's best are the best of every query that asks for it.
+        scored = top_k(scored, HASHES, [F.col("score").desc(), F.col("doc_id").asc()], k)
+        columns.insert(1, "rank")
+    with rows_at_once(spark, ROWS):
+        return durable(scored.join(asked.select("query_id", *HASHES), HASHES).select(*columns))
