@@ -237,19 +237,20 @@ def _runs(kinds, texts):
 def shaped_terms(vocabulary: Vocabulary, patterns: DataFrame) -> DataFrame:
     """(IDENTITY, bucket, term): terms that a wildcard or regex pattern fits.
 
-    A pattern's rarest grams are looked up, and terms that hold all of them are tried.
-    A gram that no term has ends the search. Patterns without a gram meet every
-    part of the ordered dictionary in its own task.
+    Terms are looked up by a pattern's rarest gram, tried on its next rarest ones where
+    they are met, and then by the pattern itself. A gram that no term has ends the search.
+    Patterns without a gram meet every part of the ordered dictionary in its own task.
     """
     asked = patterns.select(*IDENTITY, "text", _runs("kind", "text").alias("runs"))
     asked = durable(asked.withColumn("grams", F.array_distinct(F.flatten(F.transform("runs", grams_of)))).drop("runs"))
     probes = asked.select(*IDENTITY, F.explode("grams").alias("gram")).join(vocabulary.gram_stats, ["field", "gram"], "left")
     probes = probes.withColumn("terms", F.coalesce("terms", F.lit(0)))
-    probes = top_k(probes, IDENTITY, [F.col("terms").asc(), F.col("gram").asc()], PROBES).drop("rank", "terms")
-    probes = handed_out(probes, HANDED_OUT)
-    wanted = asked.select(*IDENTITY, "text", F.least(F.size("grams"), F.lit(PROBES)).alias("wanted"))
-    held = vocabulary.grams.join(probes, ["field", "gram"]).groupBy(*IDENTITY, "bucket", "term").agg(F.count("*").alias("held"))
-    held = held.join(wanted, IDENTITY).where(F.col("held") == F.col("wanted")).select(*IDENTITY, "bucket", "term", "text")
+    probes = top_k(probes, IDENTITY, [F.col("terms").asc(), F.col("gram").asc()], PROBES)
+    probes = probes.groupBy(*IDENTITY).agg(F.min_by("gram", "rank").alias("gram"), F.collect_list("gram").alias("probes"))
+    probes = handed_out(probes.join(asked.select(*IDENTITY, "text"), IDENTITY), HANDED_OUT)
+    marked = F.concat(F.lit(START), "term", F.lit(END))
+    held = vocabulary.grams.join(probes, ["field", "gram"]).where(F.forall("probes", lambda gram: marked.contains(gram)))
+    held = held.select(*IDENTITY, "bucket", "term", "text")
     # Without a gram: one row for each part of the field.
     bare = asked.where(F.size("grams") == 0).select(*IDENTITY, "text").join(vocabulary.points.select("field", "part"), "field")
     every = vocabulary.ordered.join(bare, ["field", "part"]).select(*IDENTITY, "bucket", "term", "text")

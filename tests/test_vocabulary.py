@@ -106,3 +106,13 @@ def test_required_runs():
     assert V.required_runs("xa+b") == ["\x02xa", "b\x03"]
     assert V.required_runs("a(b|c)d") == ["\x02a", "d\x03"]
     assert V.required_runs("a{2}bc") == ["\x02", "bc\x03"]
+
+
+def test_shaped_terms_are_not_gathered(spark, index, terms, tmp_path):
+    """Candidates are tried where they are met: no row for each gram and term travels to be counted."""
+    kept = V.write_vocabulary(index, str(tmp_path / "kept"))
+    patterns = [Pattern("wildcard", "*abc*ca*", "title", "w"), Pattern("regex", "ab.*cab", "title", "r"), Pattern("wildcard", "*abcxyz*", "title", "n")]
+    found = V.shaped_terms(kept, pattern_clauses(spark, patterns))
+    assert "Aggregate" not in found._jdf.queryExecution().optimizedPlan().toString()
+    expected = {("w", t) for t in terms if re.fullmatch(".*abc.*ca.*", t)} | {("r", t) for t in terms if re.fullmatch("ab.*cab", t)}
+    assert {(r["query_id"], r["term"]) for r in found.collect()} == expected and expected
