@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,17 +19,29 @@ POSTINGS = T.ArrayType(
     )
 )
 
+# Terms grouped at once: what a worker holds beside its batch does not grow with the batch.
+AT_ONCE = 500_000
+
 
 @F.arrow_udf(POSTINGS)
-def group_terms(documents):
+def group_terms(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     """array<struct<term, pos>> -> one (term, tf, positions) per distinct term.
 
     A document's own terms never need a shuffle; sorting their dictionary codes
-    per Arrow batch groups all documents of the batch at once.
+    groups many documents of an Arrow batch at once.
     """
-    import numpy as np
-    import pyarrow as pa
+    for documents in batches:
+        ends = documents.offsets.to_numpy()
+        start = 0
+        while start < len(documents):
+            # At least one document, else as many as have up to ``AT_ONCE`` terms.
+            stop = int(np.searchsorted(ends, int(ends[start]) + AT_ONCE, side="right")) - 1
+            stop = min(max(start + 1, stop), len(documents))
+            yield _grouped(documents[start:stop])
+            start = stop
+
 
+def _grouped(documents: pa.Array) -> pa.Array:
     sizes = np.diff(documents.offsets.to_numpy())
     flat = documents.flatten()
     coded = flat.field("term").dictionary_encode()
