@@ -15,18 +15,29 @@ from litscope.functions.words import PHRASE_STOP_WORDS, PUNCTUATION, SEARCH_STOP
 # no deep recursion. An ideograph or a hiragana sign is a word of its own, katakana and
 # scripts without spaces of south-east Asia make runs, and an emoji sequence is a word.
 # Emoji are known by their blocks.
+#
+# Scripts are looked up sign by sign, which is slow. So the first three forms are words
+# that ranges of signs tell, up to a sign that can neither go on nor join; the others
+# find the same words there. White space begins none.
 _KATAKANA = r"\p{IsKatakana}\x{30FC}\x{FF70}\x{FF9E}\x{FF9F}"
 _OTHER = rf"&&[^\p{{IsIdeographic}}\p{{IsHiragana}}{_KATAKANA}\x{{FE0F}}]"
 _LETTER = rf"[\p{{L}}\p{{M}}{_OTHER}]"
 _PART = rf"[\p{{L}}\p{{M}}\p{{N}}_{_OTHER}]"
 _PICTURE = r"[\x{2600}-\x{27BF}\x{1F300}-\x{1F5FF}\x{1F600}-\x{1F6FF}\x{1F900}-\x{1FAFF}]\x{FE0F}?[\x{1F3FB}-\x{1F3FF}]?"
+_SMALL, _IDEOGRAPH, _KANA = r"a-z0-9_", r"\x{4E00}-\x{9FEF}\x{3041}-\x{3096}", r"\x{30A1}-\x{30FA}"
+_ENDS = r"\x{00}-\x{26}\x{28}-\x{2B}\x{2D}\x{2F}\x{3C}-\x{40}\x{5B}-\x{5E}\x{60}\x{7B}-\x{7F}"
 WORD = (
-    rf"{_PART}+"
+    r"(?![\x{00}-\x{20}])(?:"
+    rf"[{_SMALL}]++(?=[{_ENDS}{_IDEOGRAPH}{_KANA}]|\z)"
+    rf"|[{_IDEOGRAPH}](?=[\x{{00}}-\x{{7F}}{_IDEOGRAPH}{_KANA}]|\z)"
+    rf"|[{_KANA}]++(?=[\x{{00}}-\x{{7F}}{_IDEOGRAPH}]|\z)"
+    rf"|{_PART}+"
     rf"(?:(?:(?<={_LETTER})['’.:](?=[\p{{L}}{_OTHER}])|(?<=\p{{N}})['’.,;](?=\p{{N}}))"
     rf"{_PART}+)*+"
     rf"|[{_KATAKANA}][{_KATAKANA}\p{{M}}]*+"
     r"|[\p{IsIdeographic}\p{IsHiragana}]\p{M}*+"
     rf"|[\x{{1F1E6}}-\x{{1F1FF}}]{{2}}|{_PICTURE}(?:\x{{200D}}{_PICTURE})*+"
+    r")"
 )
 # Plain runs of letters and digits, for engines whose regex has no look-around.
 SIMPLE_WORD = r"[\p{L}\p{N}_]+"
@@ -75,22 +86,29 @@ def analyse(df: DataFrame, text: str, analysis: Analysis, field: str = "field")
     distinct words of each Arrow batch.
     """
     simple = F.col(field).isin(list(analysis.simple_fields)) if analysis.simple_fields else F.lit(False)
-    found = words(F.col(text), analysis.word)
-    if analysis.possessive:
-        trimmed = F.transform(found, lambda w: F.regexp_replace(w, POSSESSIVE, ""))
-        found = F.when(simple, found).otherwise(trimmed) if analysis.simple_fields else trimmed
-    out = held(df, "_words", found)
+    out = held(df, "_words", words(F.col(text), analysis.word))
+    # Few words have a possessive, and telling them is quicker than replacing.
+    owns = lambda t: t.contains("'s") | t.contains("’s")
+    trimmed = lambda w: F.when(owns(w), F.regexp_replace(w, POSSESSIVE, "")).otherwise(w)
+    plain = simple | ~owns(F.lower(F.col(text))) if analysis.possessive else F.lit(True)
+    common = list(analysis.stop_words)
     if analysis.stem:
+        if analysis.possessive:
+            bare = F.when(plain, F.col("_words")).otherwise(F.transform("_words", trimmed))
+            out = held(out, "_bare", bare).drop("_words").withColumnRenamed("_bare", "_words")
         out = held(out, "_stems", F.when(simple, F.col("_words")).otherwise(stem_terms("_words")))
         placed = F.transform(
             "_words",
             lambda w, i: F.struct(F.get("_stems", i).alias("term"), i.alias("pos"), w.alias("word")),
         )
+        kept = F.filter(placed, lambda t: simple | ~t.word.isin(common))
+        terms = F.transform(kept, lambda t: F.struct(t.term.alias("term"), t.pos.alias("pos")))
+        out = held(out, "terms", terms).drop("_stems")
     else:
-        placed = F.transform("_words", lambda w, i: F.struct(w.alias("term"), i.alias("pos"), w.alias("word")))
-    kept = F.filter(placed, lambda t: simple | ~t.word.isin(list(analysis.stop_words)))
-    terms = F.transform(kept, lambda t: F.struct(t.term.alias("term"), t.pos.alias("pos")))
-    return held(out, "terms", terms).drop("_words", "_stems")
+        placed = F.when(plain, F.transform("_words", lambda w, i: F.struct(w.alias("term"), i.alias("pos"))))
+        placed = placed.otherwise(F.transform("_words", lambda w, i: F.struct(trimmed(w).alias("term"), i.alias("pos"))))
+        out = held(out, "terms", F.filter(placed, lambda t: simple | ~t.term.isin(common)))
+    return out.drop("_words")
 
 
 def candidate_phrases(text: Column, min_words: int = MIN_WORDS, max_words: int = MAX_WORDS) -> Column:

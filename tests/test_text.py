@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from litscope.functions.stem import porter
-from litscope.functions.text import WORD, Analysis, analyse, candidate_phrases, words
+from litscope.functions.text import _PART, WORD, Analysis, analyse, candidate_phrases, words
 from litscope.operators import postings as P
 
 
@@ -105,3 +105,46 @@ def test_postings_equal_a_plain_group_by(spark):
 def test_candidate_phrases(spark, text, expected):
     got = spark.range(1).select(candidate_phrases(F.lit(text))).first()[0]
     assert got == expected
+
+
+def test_terms_are_made_in_few_passes(spark):
+    """A text takes one pass over its words, as it has a possessive or not, and one over its stop words."""
+    rows = [("title", "the cat's paws and Ann's ta'sk"), ("title", "of plain words"), ("title", "漢'タ’s x’s's"), ("title", None)]
+    df = analyse(spark.createDataFrame(rows, "field string, text string"), "text", Analysis(stem=False))
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("transform(") == 2 and plan.count("Generate explode") == 2
+    found = {r.text: r.terms and [(t.term, t.pos) for t in r.terms] for r in df.collect()}
+    assert found == {
+        rows[0][1]: [("cat", 1), ("paws", 2), ("ann", 4), ("ta'sk", 5)],
+        rows[1][1]: [("plain", 1), ("words", 2)],
+        rows[2][1]: [("漢", 0), ("タ", 1), ("s", 2), ("x’s", 3)],
+        None: None,
+    }
+
+
+def test_quick_forms_of_words_change_no_word(spark):
+    """The forms for ranges of signs find what the general ones find, whatever stands beside them."""
+    general = "(?:" + WORD[WORD.index(_PART + "+") :]
+    signs = list("az9_ '’.,:é\u0301漢\u9ff0かカー\u3099ﾞไ가\u200d\ufe0f") + ["\U0001f44d", "\U0001f1e9"]
+    texts = [a + b + c for a in signs for b in signs for c in signs]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    both = df.select("t", words(F.col("t"), WORD).alias("quick"), words(F.col("t"), general).alias("slow"))
+    assert general != WORD and both.where("quick <> slow").count() == 0
+
+
+def test_grouping_holds_few_terms_at_once(monkeypatch):
+    """A batch of many documents is grouped piece by piece, and each piece handed on."""
+    import pyarrow as pa
+
+    from litscope.functions import grouping
+
+    monkeypatch.setattr(grouping, "AT_ONCE", 4)
+    texts = [["b", "a", "b"], [], ["c"], None, ["d"] * 9, ["a", "b"], ["b"]]
+    kind = pa.list_(pa.struct([("term", pa.string()), ("pos", pa.int32())]))
+    rows = [None if t is None else [{"term": w, "pos": i} for i, w in enumerate(t)] for t in texts]
+    for cut in (0, 2):
+        pieces = list(grouping.group_terms.func(iter([pa.array(rows, kind)[cut:]])))
+        assert len(pieces) > 2 and sum(map(len, pieces)) == len(rows) - cut
+        found = [[(p["term"], p["tf"], p["positions"]) for p in row or []] for piece in pieces for row in piece.to_pylist()]
+        expected = [[(w, t.count(w), [i for i, x in enumerate(t) if x == w]) for w in dict.fromkeys(t or [])] for t in texts]
+        assert list(map(sorted, found)) == list(map(sorted, expected[cut:]))
