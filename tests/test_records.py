@@ -186,3 +186,22 @@ def test_entities_of_a_document_type(spark, tmp_path):
     assert [r["reason"] for r in quarantine.collect()] == [entities.UNKNOWN] * 3
     # Without a document type, names are HTML's.
     assert read_dump(spark, str(dump))[0].where("key = 'k4'").first()["title"] == "é"
+
+
+def test_long_texts_of_pages_are_tried_once(spark):
+    """Texts that hold an entity are found, and a long one without takes time by its length, not its square."""
+    import time
+
+    from pyspark.sql import functions as F
+
+    from litscope.plans.registered import ENTITY_TEXT
+
+    plain = "[^<>]*&(?:middot|copy);[^<>]*"
+    pages = ["a&copy;b<i>c &middot; &copy;</i>&copy;", "&copy", "<&middot;>&copy;>x&copy; &copy", "x &amp; y", "", None, "\n&copy;\n<"]
+    df = spark.createDataFrame([(p,) for p in pages], "html string")
+    found = df.select(*(F.regexp_extract_all("html", F.lit(p), F.lit(0)) for p in (ENTITY_TEXT, plain))).collect()
+    assert all(new == old for new, old in found) and found[0][0] == ["a&copy;b", "c &middot; &copy;", "&copy;"]
+    start = time.time()
+    long = spark.range(1).select(F.concat(F.repeat(F.lit("word & "), 60_000), F.lit("<b>&copy;")).alias("html"))
+    long = long.select(F.regexp_extract_all("html", F.lit(ENTITY_TEXT), F.lit(0)).alias("t"))
+    assert long.first()["t"] == ["&copy;"] and time.time() - start < 30
