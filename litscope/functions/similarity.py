@@ -33,13 +33,26 @@ def _common_subsequence(a: str, b: str) -> int:
     return len(a) - row.bit_count()
 
 
+def word_set(text: str) -> frozenset[str]:
+    return frozenset(normalised(text).split())
+
+
 def token_set_ratio(left: str | None, right: str | None) -> int:
     """Best ratio between shared words, and shared words plus either remainder."""
     if left is None or right is None:
         return 0
-    a, b = set(normalised(left).split()), set(normalised(right).split())
+    return set_ratio(word_set(left), word_set(right))
+
+
+def set_ratio(a: frozenset[str], b: frozenset[str], least: int = 0) -> int:
+    """``token_set_ratio`` of two word sets; 0 may stand for a ratio under ``least``."""
     if not a or not b:
         return 0
+    if least and a.isdisjoint(b):
+        # Without a shared word, letters that one side has more than the other are all apart.
+        len_a, len_b = sum(map(len, a)) + len(a) - 1, sum(map(len, b)) + len(b) - 1
+        if round(100 - 100 * abs(len_a - len_b) / (len_a + len_b)) < least:
+            return 0
     shared = " ".join(sorted(a & b))
     only_a, only_b = " ".join(sorted(a - b)), " ".join(sorted(b - a))
     if shared and (not only_a or not only_b):
@@ -61,12 +74,14 @@ def topic_matcher(topics: list[str], threshold: int = MATCH_THRESHOLD):
     task, so a frequent phrase is compared once.
     """
     known: dict[str, list[int]] = {}
+    sets = [word_set(t) if t is not None else frozenset() for t in topics]
 
     def matches(phrase: str) -> list[int]:
         if phrase not in known:
             if len(known) >= REMEMBERED:
                 known.clear()
-            known[phrase] = [i for i, t in enumerate(topics) if token_set_ratio(phrase, t) >= threshold]
+            found = word_set(phrase) if phrase is not None else frozenset()
+            known[phrase] = [i for i, t in enumerate(sets) if set_ratio(found, t, threshold) >= threshold]
         return known[phrase]
 
     @F.arrow_udf(T.ArrayType(T.ArrayType(T.IntegerType())))

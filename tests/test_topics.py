@@ -80,3 +80,23 @@ def test_many_topics_and_a_narrowed_corpus(spark):
 def test_titles_of_a_venue_search(library):
     rows = searched_titles(library, "AAAI", 2014).collect()
     assert [(r.venue, r.year, r.title) for r in rows] == [("AAAI", 2015, "Internet of things")]
+
+
+def test_topics_are_normalised_once(monkeypatch):
+    """A phrase is cut into words once for all topics, a topic once for all phrases."""
+    import pyarrow as pa
+
+    from litscope.functions import similarity
+
+    seen = []
+    plain = similarity.normalised
+    monkeypatch.setattr(similarity, "normalised", lambda text: seen.append(text) or plain(text))
+    topics = ["graph learning", "deep nets", "é", "a"]
+    phrases = ["graph learning", "learned graphs", "é", "deep net", "something of quite another length", "graph", "learnin graphs", None]
+    for least in (0, 1, 50, 80, 100):
+        match = similarity.topic_matcher(topics, least)
+        seen.clear()
+        found = match.func(pa.array([phrases, None, phrases[::-1]])).to_pylist()
+        assert sorted(seen) == sorted(p for p in phrases if p)
+        expected = [[i for i, t in enumerate(topics) if token_set_ratio(p, t) >= least] for p in phrases]
+        assert found == [expected, None, expected[::-1]]
