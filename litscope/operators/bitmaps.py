@@ -1,7 +1,8 @@
 """Documents that hold all required words, by bitmaps of documents.
 
 A frequent term's documents are bitmaps, one for each run of 2^15 document ids: one
-bit instead of a posting. Where a query requires several words, the bitmaps of its
+bit instead of a posting. A run that holds few of them is a list of places in it, two
+bytes for each, as long as that is shorter: most terms are rare in most runs. Where a query requires several words, the bitmaps of its
 rarest one choose the runs, those of the others are intersected with them, and only
 the postings of documents that are left are scored. Rare terms have no stored
 bitmaps; theirs are made from their few postings.
@@ -9,6 +10,7 @@ bitmaps; theirs are made from their few postings.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -28,6 +30,8 @@ LEAST_DF = 256
 HANDED_OUT = 200_000
 # Documents of one bitmap, as Spark's bitmap functions have it.
 RUN = 1 << 15
+# Bytes of a bitmap. What is shorter is a list of places.
+WIDTH = RUN // 8
 
 
 @dataclass(frozen=True)
@@ -42,11 +46,67 @@ def _bitmap() -> Column:
     return F.bitmap_construct_agg(F.bitmap_bit_position("doc_id")).alias("bits")
 
 
+def _gathered(rows: DataFrame) -> DataFrame:
+    """(field, bucket, term, run, places) of adjacent rows with (field, bucket, term, run, place).
+
+    Postings lie in order of term and document, so nothing is sorted or hashed, and a
+    task holds one Arrow batch. A run of a term may come in several rows.
+    """
+    key = ["field", "bucket", "term", "run"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            turns = np.zeros(batch.num_rows - 1, bool)
+            for name in key:
+                column = batch.column(name)
+                values = (column.dictionary_encode().indices if pa.types.is_string(column.type) else column).to_numpy()
+                turns |= values[1:] != values[:-1]
+            starts = np.append(0, np.flatnonzero(turns) + 1)
+            places = batch.column("place").to_numpy().astype("<u2")
+            bounds = (np.append(starts, len(places)) * places.itemsize).astype(np.int32)
+            held = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(places)])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c).take(pa.array(starts)) for c in key), held], names=[*key, "places"])
+
+    return rows.mapInArrow(run, "field string, bucket int, term string, run bigint, places binary")
+
+
+@F.arrow_udf(T.BinaryType())
+def _packed(pieces):
+    """Lists of places of one run, as one list or bitmap, whichever is shorter."""
+    found = []
+    for parts in pieces.to_pylist():
+        places = np.unique(np.frombuffer(b"".join(parts), "<u2"))
+        found.append(places.tobytes() if places.nbytes < WIDTH else _bits_of(places))
+    return pa.array(found, pa.binary())
+
+
+def _bits_of(places: np.ndarray) -> bytes:
+    bits = np.zeros(RUN, bool)
+    bits[places] = True
+    return np.packbits(bits, bitorder="little").tobytes()
+
+
+def _places_of(held: bytes) -> np.ndarray:
+    if len(held) < WIDTH:
+        return np.frombuffer(held, "<u2").astype(np.int64)
+    return np.flatnonzero(np.unpackbits(np.frombuffer(held, np.uint8), bitorder="little"))
+
+
+@F.arrow_udf(T.BinaryType())
+def _unpacked(bits):
+    """Bitmaps, of lists of places as well."""
+    return pa.array([h if len(h) == WIDTH else _bits_of(_places_of(h)) for h in bits.to_pylist()], pa.binary())
+
+
 def term_bitmaps(index: Index, least_df: int = LEAST_DF) -> DataFrame:
     """(field, bucket, term, run, bits) of terms in ``least_df`` documents or more."""
     frequent = index.term_stats.where(F.col("df") >= least_df).select("field", "bucket", "term")
-    rows = index.postings.join(handed_out(frequent, HANDED_OUT), ["field", "bucket", "term"], "left_semi")
-    return rows.groupBy("field", "bucket", "term", F.bitmap_bucket_number("doc_id").alias("run")).agg(_bitmap())
+    rows = index.postings.where("doc_id IS NOT NULL").join(handed_out(frequent, HANDED_OUT), ["field", "bucket", "term"], "left_semi")
+    run, place = F.bitmap_bucket_number("doc_id").alias("run"), F.bitmap_bit_position("doc_id").alias("place")
+    pieces = _gathered(rows.select("field", F.col("bucket").cast("int").alias("bucket"), "term", run, place))
+    return pieces.groupBy("field", "bucket", "term", "run").agg(F.collect_list("places").alias("pieces")).withColumn("bits", _packed("pieces")).drop("pieces")
 
 
 def write_bitmaps(index: Index, path: str, least_df: int = LEAST_DF) -> Bitmaps:
@@ -60,8 +120,8 @@ def write_bitmaps(index: Index, path: str, least_df: int = LEAST_DF) -> Bitmaps:
 def documents_in(run, bits):
     """The document ids of a bitmap: ids from 1 on count up from their run, others down."""
     found = []
-    for number, held in zip(run.to_pylist(), bits):
-        places = np.flatnonzero(np.unpackbits(np.frombuffer(held.as_buffer(), np.uint8), bitorder="little"))
+    for number, held in zip(run.to_pylist(), bits.to_pylist()):
+        places = _places_of(held)
         found.append((number - 1) * RUN + places + 1 if number > 0 else number * RUN - places)
     return pa.array(found, pa.list_(pa.int64()))
 
@@ -89,7 +149,7 @@ def required_documents(index: Index, bitmaps: Bitmaps, weighted: DataFrame, term
     lead_rare = made.join(rarest, [*CLAUSE, "df"], "left_semi").select("query_id", "run")
     lead_known = known.join(rarest, [*CLAUSE, "df"], "left_semi").select("query_id", "run")
     runs = durable(lead_rare.unionByName(lead_known).distinct())
-    rows = known.unionByName(made).join(runs, ["query_id", "run"], "left_semi")
+    rows = known.unionByName(made).join(runs, ["query_id", "run"], "left_semi").withColumn("bits", _unpacked("bits"))
     met = rows.groupBy("query_id", "needed", "run").agg(F.bitmap_and_agg("bits").alias("bits"), F.count("*").alias("n"))
     met = met.where((F.col("n") == F.col("needed")) & (F.bitmap_count("bits") > 0))
     return met.select("query_id", F.explode(documents_in("run", "bits")).alias("doc_id"))
