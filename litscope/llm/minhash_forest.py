@@ -11,10 +11,10 @@ agree, and the longer their common prefix, the closer they stand.
    group of thousands of variants so yields a few candidates for each, not pairs.
 2. Links confirmed on full sets give components.
 3. Regions of all orders that still hold different components give the pairs
-   across those components. How much a text can share with another component is
-   bounded by what it shares with the region's most copied text and with the
-   others around that one; where that is too little for a link, it is left out, and
-   so are pairs of which either has too little. What remains is compared.
+   across those components. Two texts share what both share with the region's most
+   copied text, and some of what that one lacks. Pairs are looked up by the latter,
+   and those that need none of it by their sizes, so that a group of thousands of
+   variants is not held against itself. What is found is compared.
 
 So every pair that shares a region is compared, or in one component, or cannot
 link. Two sets of similarity s share no region with probability
@@ -27,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from litscope.llm.components import components
@@ -156,45 +156,68 @@ def _reaches(shared: Column, one: Column, other: Column, percent: int) -> Column
 
 
 def _across(places: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different components in one region that may link.
+    """Pairs of different components near one hub that may link.
 
     ``places`` has region, hub, entity and component, and ``sets`` the shingles. What
-    a text shares with one of another component in its region it shares with the
-    hub, or it is one of its extra shingles that another component near that hub
-    has too. Their number, the cover, bounds the intersection.
+    two texts share they share with the hub, or it is among the extra shingles that
+    the hub lacks. So either both share an extra, and more of them the further one
+    is from the hub: an equality join on extras, rare ones first, of which each text
+    lists as many as leave out too few to link. Or what they share with the hub is
+    enough for their sizes, which for a text that is not linked to the hub asks for
+    one that is smaller than the hub: an equality join on these sizes.
     """
-    near = places.select("entity", "hub", "component").distinct()
-    pairs = near.where("entity <> hub")
+    near = durable(places.select("entity", "hub", "component").distinct())
+    home = near.where("entity = hub").select("hub", F.col("component").alias("home"))
+    # The hub itself has met all of its region.
+    rows = near.where("entity <> hub").join(home, "hub").withColumn("home", F.col("component") == F.col("home"))
     for c in ("entity", "hub"):
-        pairs = pairs.join(sets.select(F.col("id").alias(c), F.col("shingles").alias(f"s_{c}")), c)
-    pairs = durable(
-        pairs.select(
+        rows = rows.join(sets.select(F.col("id").alias(c), F.col("shingles").alias(f"s_{c}")), c)
+    rows = durable(
+        rows.select(
             "entity",
             "hub",
             "component",
+            "home",
             F.size("s_entity").alias("n"),
             F.size(F.array_intersect("s_entity", "s_hub")).alias("shared"),
             F.array_except("s_entity", "s_hub").alias("extras"),
         )
     )
-    extras = pairs.select("entity", "hub", "component", F.explode("extras").alias("shingle"))
-    several = extras.groupBy("hub", "shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
-    common = extras.join(durable(several.select("hub", "shingle")), ["hub", "shingle"], "left_semi")
-    common = common.groupBy("entity", "hub").agg(F.count("*").alias("common"))
-    cover = F.col("shared") + F.coalesce("common", F.lit(0))
-    known = pairs.join(common, ["entity", "hub"], "left").select("entity", "hub", "n", cover.alias("cover"))
-    own = sets.join(near.where("entity = hub").select(F.col("hub").alias("id")), "id")
-    own = own.select(F.col("id").alias("entity"), F.col("id").alias("hub"), F.size("shingles").alias("n"), F.size("shingles").cast("bigint").alias("cover"))
-    places = durable(places.join(durable(known.unionByName(own)), ["entity", "hub"]).drop("hub"))
-    least = places.groupBy("region").agg(F.min("n").alias("least"))
-    places = durable(places.join(least, "region").where(_reaches(F.col("cover"), F.col("n"), F.col("least"), percent)).drop("least"))
-    parts = places.select("region", "component").distinct()
-    met = parts.join(parts.select("region", F.col("component").alias("other")), "region").where("component < other")
-    one = places.select("region", "component", *(F.col(c).alias(f"{c}_a") for c in ("entity", "n", "cover")))
-    two = places.select("region", F.col("component").alias("other"), *(F.col(c).alias(f"{c}_b") for c in ("entity", "n", "cover")))
-    may = _reaches(F.least("cover_a", "cover_b"), F.col("n_a"), F.col("n_b"), percent)
-    pairs = met.join(one, ["region", "component"]).join(two, ["region", "other"]).where(may)
-    return _pairs(pairs.select(F.col("entity_a").alias("a"), F.col("entity_b").alias("b")))
+    extras = rows.select("entity", "hub", "component", F.explode("extras").alias("shingle"))
+    several = extras.groupBy("hub", "shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("held"))
+    several = durable(several.where("lo <> hi").select("hub", "shingle", "held"))
+    extras = durable(extras.drop("component").join(several, ["hub", "shingle"]))
+    common = extras.groupBy("entity", "hub").agg(F.count("*").alias("common"))
+    least = rows.groupBy("hub").agg(F.min("n").alias("least"))
+    known = rows.drop("extras").join(common, ["entity", "hub"], "left").join(least, "hub").fillna(0, ["common"])
+    # So many extras has any text that links with this one in common with it.
+    known = known.withColumn("needs", F.ceil(percent * (F.col("n") + F.col("least")) / (100 + percent)) - F.col("shared"))
+    known = durable(known.where("needs <= common"))
+
+    def side(df: DataFrame, by: list[str], c: str) -> DataFrame:
+        return df.select(*by, *(F.col(x).alias(f"{x}_{c}") for x in ("entity", "component", "n", "shared", "common")))
+
+    def may(extra: Column) -> Column:
+        enough = _reaches(F.least("shared_a", "shared_b") + extra, F.col("n_a"), F.col("n_b"), percent)
+        return enough & (F.col("component_a") != F.col("component_b"))
+
+    rarest = Window.partitionBy("hub", "entity").orderBy("held", "shingle")
+    listed = extras.join(known, ["entity", "hub"]).withColumn("place", F.row_number().over(rarest))
+    listed = durable(listed.where(F.col("place") <= F.col("common") - F.greatest("needs", F.lit(1)) + 1))
+    key = ["hub", "shingle"]
+    pairs = side(listed, key, "a").join(side(listed, key, "b"), key)
+    pairs = pairs.where(may(F.least("common_a", "common_b")) & (F.col("entity_a") < F.col("entity_b")))
+    found = _pairs(pairs.select(F.col("entity_a").alias("a"), F.col("entity_b").alias("b")))
+
+    # Sizes of texts that may link with a text of another component than the hub's by what both share with the hub.
+    most = F.floor((100 + percent) * F.col("shared") / percent) - F.col("n")
+    first = F.greatest(F.col("least").cast("bigint"), F.ceil(percent * F.col("n") / 100))
+    close = known.where("needs <= 0")
+    outer = close.where(~F.col("home")).withColumns({"first": first, "most": most}).where("first <= most")
+    outer = outer.withColumn("size", F.explode(F.sequence("first", "most")))
+    key = ["hub", "size"]
+    pairs = side(outer, key, "a").join(side(close.withColumn("size", F.col("n").cast("bigint")), key, "b"), key).where(may(F.lit(0)))
+    return found.unionByName(_pairs(pairs.select(F.col("entity_a").alias("a"), F.col("entity_b").alias("b")))).distinct()
 
 
 def near_duplicates(

@@ -6,7 +6,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 
-from litscope.llm.minhash_forest import near_duplicates
+from litscope.llm.minhash_forest import _across, near_duplicates
 from litscope.llm.shingles import shingle_set, word_hashes
 
 LOWER = str.maketrans({chr(i): chr(i + 32) for i in range(65, 91)})
@@ -100,3 +100,40 @@ def test_hashed_words():
     same = [[a == b for b in words(text)] for a in words(text)]
     assert (np.equal.outer(hashes, hashes) == np.array(same)).all()
     assert len(shingle_set(text, 2)) == len(shingles(text, 2))
+
+
+def test_rows_of_a_group_follow_its_size(spark):
+    """Variants that each share an extra with two others only are not all held against each other."""
+    count, hub = 120, set(range(100))
+    sets = {0: hub}
+    for i in range(count):
+        # 14 of the hub's shingles are missing, 14 are extra: under 0.8 to the hub, and near enough by what is extra somewhere.
+        gone = {(7 * i + 3 * k) % 100 for k in range(14)}
+        shared = {1000 + 20 * i + k for k in range(7)} | {1000 + 20 * ((i + 1) % count) + k for k in range(7)}
+        sets[i + 1] = (hub - gone) | shared
+    sets[count + 1] = set(sets[1]) - {1000}
+    frame = spark.createDataFrame([(i, sorted(s)) for i, s in sets.items()], "id bigint, shingles array<bigint>")
+    places = spark.createDataFrame([(r, 0, i, i) for i in sets for r in (1, 2)], "region bigint, hub bigint, entity bigint, component bigint")
+    found = {(r["a"], r["b"]) for r in _across(places, frame, 80).collect()}
+    linked = {(a, b) for a in sets for b in sets if 0 < a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
+    assert linked and linked <= found
+    assert len(found) < 6 * count
+
+
+def test_variants_smaller_than_the_hub(spark):
+    """Links that need no shingle beside the hub's, between texts that are not linked to it."""
+    pick = random.Random(3)
+    sets = {0: set(range(200))}
+    for i in range(1, 90):
+        kept = set(range(pick.choice([0, 0, 20, 40]), pick.choice([150, 155, 160, 200])))
+        gone = set(pick.sample(sorted(kept), pick.choice([0, 2, 6, 12])))
+        sets[i] = (kept - gone) | {1000 + pick.randrange(60) for _ in range(pick.choice([0, 0, 3, 8]))}
+    frame = spark.createDataFrame([(i, sorted(s)) for i, s in sets.items()], "id bigint, shingles array<bigint>")
+    near = {i for i, s in sets.items() if 100 * len(s & sets[0]) >= 80 * len(s | sets[0])}
+    parts = {i: 0 if i in near else i for i in sets}
+    places = spark.createDataFrame([(1, 0, i, c) for i, c in parts.items()], "region bigint, hub bigint, entity bigint, component bigint")
+    found = {(r["a"], r["b"]) for r in _across(places, frame, 80).collect()}
+    linked = {
+        (a, b) for a in sets for b in sets if a < b and parts[a] != parts[b] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])
+    }
+    assert linked and linked <= found
