@@ -152,6 +152,17 @@ def clause_terms(clauses: DataFrame, analysis: Analysis, buckets: int, strict_ga
     )
 
 
+def pattern_rows(clauses: DataFrame) -> DataFrame:
+    """Pattern clauses among the clause terms: one row each, without a term, so that a required one stays required."""
+    return clauses.where(F.col("kind").isin(*PATTERNS)).select(
+        *IDENTITY, F.lit(0).alias("sub"), "occur",
+        F.lit(0).alias("bucket"), F.lit(None).cast("string").alias("term"),
+        F.lit(0).alias("off"), F.lit(1).alias("size"), "boost", F.lit(0).alias("slop"),
+        "year_from", "year_to",
+        F.lit(True).alias("constant"),
+    )
+
+
 def empty_clauses(clauses: DataFrame, analysis: Analysis) -> DataFrame:
     """Clauses that analysis leaves without any term; searches ignore them."""
     rows = analyse(clauses, "text", analysis)

@@ -7,10 +7,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from litscope.operators.clauses import CLAUSE, PATTERNS, clause_terms, group_bit, repeated, requirements
+from litscope.operators.clauses import CLAUSE, IDENTITY, PATTERNS, clause_table, clause_terms, group_bit, pattern_rows, repeated, requirements
 from litscope.operators.patterns import pattern_terms
 from litscope.operators.vocabulary import Vocabulary, dictionary_terms
-from litscope.session import durable
+from litscope.session import durable, handed_out
 from litscope.sources.store import Index
 
 # Term saturation and length normalisation of the ranking.
@@ -19,6 +19,11 @@ K1, B = 1.2, 0.75
 # Scores are rounded so that the order of additions cannot change a rank.
 SCORE_DIGITS = 9
 
+# What a pattern's hits depend on; clauses that share it are one pattern.
+PATTERN = ["field", "kind", "text", "upper", "edits", "year_from", "year_to"]
+# Rows of a batch's patterns, each of some 100 bytes, up to which all tasks get them.
+HANDED_OUT = 200_000
+
 
 def pruned(table: DataFrame, terms: DataFrame) -> DataFrame:
     """Limit an index table to the partitions asked for, and to the span of the terms.
@@ -80,11 +85,57 @@ def single_hits(index: Index, weighted: DataFrame) -> DataFrame:
     return rows.select("query_id", "doc_id", "grp", "occur", _part(F.col("tf")).alias("part"))
 
 
-def constant_hits(index: Index, weighted: DataFrame) -> DataFrame:
-    """Clauses that stand for many terms: a document counts once per clause, by its best term."""
-    rows = term_matches(index, weighted.where("constant"))
-    best = rows.groupBy(*CLAUSE, "doc_id", "occur").agg(F.max("weight").alias("part"))
-    return best.select("query_id", "doc_id", "grp", "occur", "part")
+def own_patterns(terms: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Clause terms of constant score as ``constant_hits`` takes them: each clause is a pattern of its own."""
+    roles = [*CLAUSE, "occur", "year_from", "year_to"]
+    clauses = durable(terms.where("constant").select(*roles).distinct().withColumn("pattern", F.monotonically_increasing_id()))
+    found = terms.where(F.col("constant") & F.col("term").isNotNull()).join(clauses.select(*CLAUSE, "pattern"), CLAUSE)
+    return found.select("pattern", "field", "bucket", "term", F.col("boost").alias("factor")), clauses.withColumn("boost", F.lit(1.0))
+
+
+def shared_patterns(index: Index, clauses: DataFrame, vocabulary: Vocabulary | None) -> tuple[DataFrame, DataFrame]:
+    """(pattern, field, bucket, term, factor) of the distinct patterns, and the clauses with the pattern of each.
+
+    However many clauses ask for it, a pattern is looked up once.
+    """
+    clauses = clauses.where(F.col("kind").isin(*PATTERNS))
+    distinct = durable(clauses.select(*PATTERN).distinct().withColumn("pattern", F.monotonically_increasing_id()))
+    asked = clause_table(distinct.withColumn("query_id", F.col("pattern").cast("string")))
+    terms = dictionary_terms(vocabulary, asked) if vocabulary else pattern_terms(index, asked)
+    found = terms.where(F.col("term").isNotNull()).select(F.col("query_id").cast("long").alias("pattern"), "field", "bucket", "term", F.col("boost").alias("factor"))
+    numbered = distinct.withColumnsRenamed({c: f"_{c}" for c in PATTERN})
+    same = F.lit(True)
+    for c in PATTERN:
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    return found, clauses.join(numbered, same).select(*IDENTITY, "occur", "boost", "year_from", "year_to", "pattern")
+
+
+def constant_hits(index: Index, found: DataFrame, asked: DataFrame) -> DataFrame:
+    """Clauses that stand for many terms: a document counts once per clause, by its best term.
+
+    ``found`` are (pattern, field, bucket, term, factor), ``asked`` clauses with their
+    pattern. Terms that meet the same patterns are one set, and postings travel
+    once, by document, as the number of their set. There they become the patterns that the
+    document meets, and last the clauses of these: however many clauses a term
+    meets, no row of a clause travels before it is added up. ``n`` counts clauses.
+    """
+    spans = asked.select("pattern", "year_from", "year_to").distinct()
+    found = found.join(spans, "pattern").select("field", "bucket", "term", F.struct("pattern", "factor", "year_from", "year_to").alias("p"))
+    met = durable(found.groupBy("field", "bucket", "term").agg(F.array_sort(F.collect_list("p")).alias("patterns")))
+    sets = durable(met.select("patterns").distinct().withColumn("set", F.monotonically_increasing_id()))
+    terms = durable(met.join(sets, "patterns").select("field", "bucket", "term", "set"))
+    sets = handed_out(sets.select("set", F.inline("patterns")), HANDED_OUT)
+    up, down = F.greatest("boost", F.lit(0.0)), F.least("boost", F.lit(0.0))
+    asked = asked.groupBy("pattern", "query_id", "grp", "occur").agg(F.sum(up).alias("up"), F.sum(down).alias("down"), F.count("*").alias("n"))
+    asked = handed_out(asked, HANDED_OUT)
+
+    rows = pruned(index.postings, terms).join(terms, ["field", "bucket", "term"]).select("doc_id", "year", "set")
+    rows = rows.repartition("doc_id").join(sets, "set")
+    rows = rows.where(F.col("year_from").isNull() | F.col("year").between(F.col("year_from"), F.coalesce("year_to", "year_from")))
+    best = rows.groupBy("doc_id", "pattern").agg(F.max("factor").alias("most"), F.min("factor").alias("least"))
+    # A boost below zero makes the least factor the best.
+    part = F.col("up") * F.col("most") + F.col("down") * F.col("least")
+    return best.join(asked, "pattern").select("query_id", "doc_id", "grp", "occur", part.alias("part"), "n")
 
 
 def phrase_hits(index: Index, weighted: DataFrame, sloppy: bool = False) -> DataFrame:
@@ -149,13 +200,17 @@ def _sloppy_frequency(rows: DataFrame, clause: list[str]) -> DataFrame:
 
 
 def document_scores(hits: DataFrame, needs: DataFrame) -> DataFrame:
-    """(query_id, doc_id, score) of documents that meet all roles of a query."""
+    """(query_id, doc_id, score) of documents that meet all roles of a query.
+
+    A hit stands for ``n`` clauses if it says so, else for one.
+    """
+    n = F.col("n") if "n" in hits.columns else F.lit(1)
     excluded, optional = F.col("occur") == "must_not", F.col("occur") == "should"
     flagged = hits.select(
         "query_id",
         "doc_id",
         F.when(excluded, 0.0).otherwise(F.col("part")).alias("part"),
-        (F.col("occur") == "must").cast("int").alias("met"),
+        F.when(F.col("occur") == "must", n).otherwise(0).alias("met"),
         F.when(optional, group_bit(F.col("grp"))).otherwise(F.lit(0).cast("long")).alias("seen"),
         excluded.alias("barred"),
     )
@@ -175,21 +230,27 @@ def document_scores(hits: DataFrame, needs: DataFrame) -> DataFrame:
     return joined.select("query_id", "doc_id", F.round(score, SCORE_DIGITS).alias("score"))
 
 
-def search(index: Index, terms: DataFrame, sloppy: bool = False) -> DataFrame:
-    """All hits of all queries: (query_id, doc_id, score)."""
+def search(index: Index, terms: DataFrame, sloppy: bool = False, patterned: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
+    """All hits of all queries: (query_id, doc_id, score).
+
+    ``terms`` has a row for each pattern clause too; ``patterned`` are the patterns and their
+    clauses, as ``constant_hits`` takes them, and else come from ``terms``.
+    """
     terms = durable(terms)
     weighted = durable(weighted_terms(index, terms))
     alone, constant = F.col("size") == 1, F.col("constant")
     has = weighted.agg(
         *(F.coalesce(F.bool_or(c), F.lit(False)).alias(n) for n, c in (("phrase", ~alone & ~constant), ("pattern", constant), ("single", alone & ~constant)))
     ).first()
+    if patterned is None and has["pattern"]:
+        patterned = own_patterns(terms)
     parts = []
     if has["phrase"]:
-        parts.append(phrase_hits(index, weighted, sloppy))
-    if has["pattern"]:
-        parts.append(constant_hits(index, weighted))
+        parts.append(phrase_hits(index, weighted, sloppy).withColumn("n", F.lit(1).cast("long")))
+    if patterned is not None:
+        parts.append(constant_hits(index, *patterned))
     if not parts or has["single"]:
-        parts.append(single_hits(index, weighted))
+        parts.append(single_hits(index, weighted).withColumn("n", F.lit(1).cast("long")))
     hits = parts[0]
     for more in parts[1:]:
         hits = hits.unionByName(more)
@@ -208,7 +269,8 @@ def answer_clauses(
     if twice:
         raise ValueError(f"two clauses share {twice[0].asDict()}: give them clause_ids of their own")
     terms = clause_terms(clauses, index.analysis, index.buckets, strict_gaps)
+    patterned = None
     if not clauses.where(F.col("kind").isin(*PATTERNS)).isEmpty():
-        found = dictionary_terms(vocabulary, clauses) if vocabulary else pattern_terms(index, clauses)
-        terms = terms.unionByName(found)
-    return search(index, terms, sloppy)
+        patterned = shared_patterns(index, clauses, vocabulary)
+        terms = terms.unionByName(pattern_rows(clauses))
+    return search(index, terms, sloppy, patterned)
