@@ -23,6 +23,8 @@ SCORE_DIGITS = 9
 PATTERN = ["field", "kind", "text", "upper", "edits", "year_from", "year_to"]
 # Rows of a batch's patterns, each of some 100 bytes, up to which all tasks get them.
 HANDED_OUT = 200_000
+# Bits that tell which (clause, document) pairs may hold a phrase, kept as numbers of 64.
+BITS = 1 << 27
 
 
 def pruned(table: DataFrame, terms: DataFrame) -> DataFrame:
@@ -138,26 +140,42 @@ def constant_hits(index: Index, found: DataFrame, asked: DataFrame) -> DataFrame
     return best.join(asked, "pattern").select("query_id", "doc_id", "grp", "occur", part.alias("part"), "n")
 
 
+def _maybe(rows: DataFrame, keys: DataFrame, by: list[str]) -> DataFrame:
+    """The rows whose hash has its bit set by one of the keys: none of theirs is left out, and few others stay."""
+    place = F.pmod(F.xxhash64(*by), F.lit(BITS))
+    number, bit = F.shiftright(place, 6), F.call_function("shiftleft", F.lit(1).cast("long"), (place % 64).cast("int"))
+    bits = keys.select(number.alias("number"), bit.alias("bit")).groupBy("number").agg(F.bit_or("bit").alias("bits"))
+    met = rows.withColumns({"number": number, "bit": bit}).join(F.broadcast(bits), "number")
+    return met.where(F.col("bits").bitwiseAND(F.col("bit")) != 0).drop("number", "bit", "bits")
+
+
 def phrase_hits(index: Index, weighted: DataFrame, sloppy: bool = False) -> DataFrame:
     """Exact phrases: all terms stand at the same start position plus offset.
 
     Only documents with the phrase's rarest term can hold it, so those are found
-    first and the long postings of its common terms are cut down to them before
-    positions are listed. Start positions of a (query, document) pair then meet in
-    one shuffle, which the next two groupings share.
+    first and the long postings of its common terms are cut down to them where they
+    are read, by bits of their hashes, and then for certain. What a clause is known by
+    does not travel, only its number; positions of a (clause, document) pair meet in one
+    shuffle, which the next groupings share.
     """
     phrases = weighted.where((F.col("size") > 1) & ~F.col("constant"))
-    rarest = phrases.where("lead")
-    leads = durable(term_matches(index, rarest).select(*CLAUSE, "doc_id"))
-    rows = term_matches(index, phrases).join(leads, [*CLAUSE, "doc_id"], "left_semi")
-    clause = [*CLAUSE, "doc_id", "occur", "size", "constant", "weight", "norm"]
-    rows = rows.select(*clause, "off", "slop", F.explode("positions").alias("pos"))
-    rows = rows.repartition("query_id", "doc_id").withColumn("start", F.col("pos") - F.col("off"))
+    roles = ["query_id", "grp", "occur", "size", "slop", "constant", "weight"]
+    clauses = phrases.select(*CLAUSE, *(c for c in roles if c not in CLAUSE)).distinct()
+    clauses = durable(clauses.withColumn("clause", F.monotonically_increasing_id()))
+    phrases = durable(phrases.join(clauses.select(*CLAUSE, "clause"), CLAUSE))
+    clauses = handed_out(clauses.select("clause", *roles), HANDED_OUT)
+    pair = ["clause", "doc_id"]
+    leads = durable(term_matches(index, phrases.where("lead")).where(F.col("doc_id").isNotNull()).select(*pair))
+    rows = _maybe(term_matches(index, phrases).select(*pair, "off", "norm", "positions"), leads, pair)
+    # A semi-join would be moved in front of the bits.
+    rows = rows.join(leads.distinct(), pair).select(*pair, "off", "norm", F.explode("positions").alias("pos"))
+    rows = rows.withColumn("start", F.col("pos") - F.col("off"))
+    known = [*pair, *roles, "norm"]
     if sloppy:
-        hits = _sloppy_frequency(rows, clause)
+        hits = _sloppy_frequency(rows.join(clauses, "clause"), [c for c in known if c != "slop"])
     else:
-        starts = rows.groupBy(*clause, "start").agg(F.count("*").alias("n")).where(F.col("n") == F.col("size"))
-        hits = starts.groupBy(*clause).agg(F.count("*").alias("freq"))
+        starts = rows.groupBy(*pair, "norm", "start").agg(F.count("*").alias("n")).join(clauses, "clause").where(F.col("n") == F.col("size"))
+        hits = starts.groupBy(*known).agg(F.count("*").alias("freq"))
     return hits.select("query_id", "doc_id", "grp", "occur", _part(F.col("freq")).alias("part"))
 
 

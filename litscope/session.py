@@ -103,6 +103,18 @@ def scratch(spark: SparkSession):
             place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
+@contextlib.contextmanager
+def shuffles_dropped(spark: SparkSession):
+    """Of what is written inside, each write's shuffle files go when it ends, not at some later collection."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def handed_out(df: DataFrame, most: int) -> DataFrame:
     """A table for a join: every task gets it if it has up to ``most`` rows, else Spark joins as it sees fit."""
     df = durable(df)

@@ -19,11 +19,14 @@ from pyspark.sql import functions as F
 from litscope.functions.text import Analysis
 from litscope.operators import postings as P
 from litscope.schema import DEFAULT_FIELDS, LIST_FIELDS
-from litscope.session import durable, scratch
+from litscope.session import durable, scratch, shuffles_dropped
 
 # A term bucket holds the terms of about this many words.
 BUCKET_TOKENS = 20_000_000
 MIN_BUCKETS = 8
+# Postings of more than so many words are laid out in passes of some buckets each, up to
+# so many: the shuffle of a pass goes before the next, which is most of a build's disk.
+PASS_TOKENS, MAX_PASSES = 5_000_000, 4
 
 POINTERS = "_versions"
 
@@ -126,17 +129,23 @@ def drop_versions(spark: SparkSession, path: str, keep: int = 2, abandoned_hours
 def _write_tables(spark: SparkSession, doc_postings: DataFrame, path: str, buckets: int | None) -> int:
     """Write statistics and postings; returns the number of term buckets."""
     P.field_stats(doc_postings).coalesce(1).write.parquet(f"{path}/field_stats")
+    # One row per field.
+    tokens = spark.read.parquet(f"{path}/field_stats").agg(F.sum("tokens")).first()[0] or 0
     if buckets is None:
-        # One row per field.
-        tokens = spark.read.parquet(f"{path}/field_stats").agg(F.sum("tokens")).first()[0] or 0
         buckets = max(MIN_BUCKETS, tokens // BUCKET_TOKENS)
-    for name, rows, order in (
-        ("postings", P.postings(doc_postings), ["field", "bucket", "term", "doc_id"]),
-        ("term_stats", P.term_stats(doc_postings), ["field", "bucket", "term"]),
-    ):
-        rows = rows.withColumn("bucket", P.term_bucket("term", buckets))
-        rows = rows.hint("rebalance", "field", "bucket").sortWithinPartitions(*order)
-        rows.write.partitionBy("field", "bucket").parquet(f"{path}/{name}")
+    passes = min(buckets, MAX_PASSES, 1 + tokens // PASS_TOKENS)
+    tables = (
+        ("postings", P.postings(doc_postings), ["field", "bucket", "term", "doc_id"], passes),
+        ("term_stats", P.term_stats(doc_postings), ["field", "bucket", "term"], 1),
+    )
+    with shuffles_dropped(spark):
+        for name, rows, order, times in tables:
+            rows = rows.withColumn("bucket", P.term_bucket("term", buckets))
+            for i in range(times):
+                part = rows if times == 1 else rows.where(F.col("bucket") % times == i)
+                part = part.hint("rebalance", "field", "bucket").sortWithinPartitions(*order)
+                writer = part.write.option("compression", "zstd").mode("append" if i else "error")
+                writer.partitionBy("field", "bucket").parquet(f"{path}/{name}")
     return buckets
 
 
