@@ -3,8 +3,8 @@
 A posting join reads the documents of each phrase's words; with as many phrases as a
 corpus has, that is every common word again and again. Here each run of words of a
 text is looked up among the phrases instead, and no posting list of a common word is
-read at all. A text's equal runs are one row before any of them travels, and those that
-no phrase can be are left out where they are read, by bits of the phrases' hashes. What
+read at all. Texts are analysed once. Runs that no phrase can be are left out as soon as they are
+hashed, by bits of the phrases' hashes, and of the rest a text's equal runs are one row. What
 is left meets the phrases in one shuffle, in which it is also counted and cut to the
 best; texts of phrases are put to it last.
 """
@@ -18,18 +18,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from litscope.functions.text import Analysis
-from litscope.operators.clauses import clause_terms
+from litscope.functions.text import Analysis, analyse, held
 from litscope.operators.matching import K1, SCORE_DIGITS, B
 from litscope.operators.postings import document_terms
 from litscope.operators.ranking import top_k
-from litscope.session import durable, rows_at_once
+from litscope.session import durable, rows_at_once, shuffles_dropped
 
 HASHES = ["key_a", "key_b"]
 
-# Bits that tell which hashes may be a phrase's, kept as numbers of 64. With many more
-# phrases than bits they leave less out, and the join decides all the same.
-BITS = 1 << 27
+# Bits that tell which hashes may be a phrase's, kept as numbers of 64: so many, or with
+# many phrases as many as leave few others, up to a size that every worker has room for.
+# With more phrases than that they leave less out, and the join decides all the same.
+BITS, MOST_BITS, BITS_PER_PHRASE = 1 << 27, 1 << 30, 12
+# Numbers of 64 bits that the driver takes over at once.
+AT_ONCE = 1 << 21
 # Rows of an Arrow batch of hashed texts.
 ROWS = 1000
 
@@ -74,11 +76,55 @@ def _phrase_hashes(hashes_a, hashes_b, offs):
     return pa.StructArray.from_arrays(keys, names=["key_a", "key_b"])
 
 
-def _text_runs(shapes: list[list[int]]):
+def _places(key: np.ndarray, size: int) -> list[np.ndarray]:
+    """Three bits of a hash, of ``size`` that are a power of two."""
+    last = np.uint64(size - 1)
+    mixed = (key ^ (key >> np.uint64(29))) * _STEP
+    return [key & last, (key >> np.uint64(30)) & last, (mixed >> np.uint64(32)) & last]
+
+
+def _bit_places(size: int):
+    """A phrase's bits, as numbers of 64 and one bit of each."""
+
+    @F.arrow_udf(T.ArrayType(T.StructType([T.StructField("number", T.IntegerType()), T.StructField("bit", T.LongType())])))
+    def places(keys):
+        place = np.stack(_places(keys.to_numpy(zero_copy_only=False).view(np.uint64), size), axis=1).ravel()
+        number, bit = (place >> np.uint64(6)).astype(np.int32), (np.uint64(1) << (place & np.uint64(63))).view(np.int64)
+        structs = pa.StructArray.from_arrays([pa.array(number), pa.array(bit)], names=["number", "bit"])
+        return pa.ListArray.from_arrays(pa.array(np.arange(len(keys) + 1, dtype=np.int32) * 3), structs)
+
+    return places
+
+
+def phrase_bits(keys: DataFrame) -> np.ndarray:
+    """The bits of all phrases, as numbers of 64."""
+    size = BITS
+    while size < min(MOST_BITS, BITS_PER_PHRASE * keys.count()):
+        size *= 2
+    set_bits = keys.select(F.inline(_bit_places(size)("key_a"))).groupBy("number").agg(F.bit_or("bit").alias("bits"))
+    set_bits = durable(set_bits)
+    bits = np.zeros(size // 64, np.uint64)
+    for start in range(0, len(bits), AT_ONCE):
+        part = set_bits.where(F.col("number").between(start, start + AT_ONCE - 1)).toArrow()
+        bits[part["number"].to_numpy()] = part["bits"].to_numpy().view(np.uint64)
+    return bits
+
+
+def _held(key: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """The places of the hashes whose bits are all set."""
+    left = np.arange(len(key))
+    for j in range(3):
+        place = _places(key[left], 64 * len(bits))[j]
+        left = left[(bits[place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1) != 0]
+    return left
+
+
+def _text_runs(shapes: list[list[int]], bits=None):
     """The distinct runs of a text that have one of the shapes, hashed as phrases are, and how often each occurs.
 
     A run has a word at each place of the shape; between them may stand anything, as
-    a stop word's place in a phrase is open.
+    a stop word's place in a phrase is open. With ``bits``, a broadcast of
+    ``phrase_bits``, runs that no phrase can be are left out.
     """
 
     def runs_of(hashes_a: pa.Array, hashes_b: pa.Array, places: pa.Array, sizes: np.ndarray) -> tuple[pa.StructArray, np.ndarray]:
@@ -94,9 +140,15 @@ def _text_runs(shapes: list[list[int]]):
                 held = here < len(place)
                 held[held] = place[here[held]] == place[first[held]] + off
                 first, at = first[held], [a[held] for a in at] + [here[held]]
-            keys = [np.full(len(first), len(shape), np.uint64) for _ in words]
-            for off, here in zip(shape, at):
-                keys = [_with_word(key, w[here], off) for key, w in zip(keys, words)]
+            keys = []
+            for w in words:
+                key = np.full(len(first), len(shape), np.uint64)
+                for off, here in zip(shape, at):
+                    key = _with_word(key, w[here], off)
+                keys.append(key)
+                if bits is not None and len(keys) == 1:
+                    left = _held(key, bits.value)
+                    keys, first, at = [key[left]], first[left], [a[left] for a in at]
             found.append((row[first], *keys))
         row, key_a, key_b = (np.concatenate(x) for x in zip(*found))
         order = np.lexsort((key_a, row))
@@ -123,19 +175,12 @@ def _text_runs(shapes: list[list[int]]):
 def asked_phrases(queries: DataFrame, analysis: Analysis, field: str) -> DataFrame:
     """(query_id, words, shape, keys): the analysed phrase of each query, its places, and its hashes.
 
-    Queries without a term that counts have no row.
+    Queries without a term that counts have no row. Stays within the row.
     """
-    clauses = queries.select("query_id", "text").withColumns(
-        {
-            "grp": F.lit(0), "clause_id": F.lit(0), "field": F.lit(field), "kind": F.lit("text"), "occur": F.lit("must"),
-            "boost": F.lit(1.0), "slop": F.lit(0), "year_from": F.lit(None).cast("int"), "year_to": F.lit(None).cast("int"),
-        }
-    )
-    terms = clause_terms(clauses, analysis, 1)
-    run = F.transform(F.array_sort(F.collect_list(F.struct("off", "term"))), lambda t: F.struct(t.term.alias("term"), t.off.alias("off")))
-    grouped = terms.groupBy("query_id").agg(run.alias("run"))
-    keyed = grouped.withColumn("key", _phrase_hashes(*_word_hashes(F.col("run")), F.col("run.off")))
-    return keyed.select("query_id", F.col("run.term").alias("words"), F.col("run.off").alias("shape"), "key.key_a", "key.key_b")
+    rows = analyse(queries.select("query_id", "text", F.lit(field).alias("field")), "text", analysis).where(F.size("terms") > 0)
+    shape = F.transform("terms", lambda t: t.pos - F.get("terms", F.lit(0)).pos)
+    keyed = held(rows.withColumn("shape", shape), "key", _phrase_hashes(*_word_hashes(F.col("terms")), F.col("shape")))
+    return keyed.select("query_id", F.col("terms.term").alias("words"), "shape", "key.key_a", "key.key_b")
 
 
 def _possible(runs: DataFrame, keys: DataFrame) -> DataFrame:
@@ -147,39 +192,49 @@ def _possible(runs: DataFrame, keys: DataFrame) -> DataFrame:
     return met.where(F.col("bits").bitwiseAND(F.col("bit")) != 0).drop("number", "bit", "bits")
 
 
-def phrase_batch(corpus: DataFrame, queries: DataFrame, analysis: Analysis, field: str = "title", k: int | None = None) -> DataFrame:
+def phrase_batch(
+    corpus: DataFrame, queries: DataFrame, analysis: Analysis, field: str = "title", k: int | None = None, distinct: bool = False
+) -> DataFrame:
     """(query_id, doc_id, score) of every document with a query's phrase.
 
     With ``k``, (query_id, rank, doc_id, score) of each query's best ``k``.
 
     ``queries`` are (query_id, text), one phrase each; a stop word inside keeps its
     place. Scores are those of a search for the phrase alone. Repeated rows of a
-    query are one. Texts and statistics are those of ``corpus``, read once.
+    query are one; ``distinct`` says that there are none. Texts and statistics are
+    those of ``corpus``, read once.
     """
     spark = corpus.sparkSession
-    docs = document_terms(corpus, [field], analysis)
-    asked = durable(asked_phrases(queries.dropDuplicates(["query_id"]), analysis, field).where("query_id IS NOT NULL"))
-    # The ways in which words and gaps follow each other: a few, however many the phrases.
-    shapes = sorted(r["shape"] for r in asked.select("shape").distinct().collect())
-
-    # The rarity of the phrases' words: one count of documents for each.
-    words = asked.groupBy(*HASHES).agg(F.first("words").alias("words")).select(*HASHES, F.explode("words").alias("term"))
-    df = docs.select(F.explode(F.array_distinct(F.transform("terms", lambda t: t.term))).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
-    docs_and_mean = docs.agg(F.count("*").alias("docs"), F.avg("length").alias("mean")).first()
-    idf = F.log(1 + (F.lit(docs_and_mean["docs"]) - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    weights = durable(words.join(df, "term").groupBy(*HASHES).agg(F.sum(idf).alias("weight")))
-
-    found = _text_runs(shapes)(*_word_hashes(F.col("terms")), F.col("terms.pos"))
-    runs = docs.select("doc_id", "length", F.inline(found))
-    met = _possible(runs, weights).repartition(*HASHES).join(weights, HASHES)
-    found = met.groupBy(*HASHES, "weight", "doc_id", "length").agg(F.sum("tf").alias("tf"))
-    norm = K1 * (1 - B + B * F.col("length") / F.lit(docs_and_mean["mean"] or 1.0))
-    score = F.round(F.col("weight") * F.col("tf") / (F.col("tf") + norm), SCORE_DIGITS)
-    scored = found.select(*HASHES, "doc_id", score.alias("score"))
-    columns = ["query_id", "doc_id", "score"]
-    if k is not None:
-        # A phrase's best are the best of every query that asks for it.
-        scored = top_k(scored, HASHES, [F.col("score").desc(), F.col("doc_id").asc()], k)
-        columns.insert(1, "rank")
-    with rows_at_once(spark, ROWS):
-        return durable(scored.join(asked.select("query_id", *HASHES), HASHES).select(*columns))
+    with shuffles_dropped(spark):
+        docs = durable(document_terms(corpus, [field], analysis).select("doc_id", "length", "terms"))
+        queries = queries if distinct else queries.dropDuplicates(["query_id"])
+        asked = durable(asked_phrases(queries.where("query_id IS NOT NULL"), analysis, field))
+        # The ways in which words and gaps follow each other: a few, however many the phrases.
+        shapes = sorted(r["shape"] for r in asked.select("shape").distinct().collect())
+
+        # The rarity of the phrases' words: one count of documents for each.
+        words = asked.withColumn("row", F.monotonically_increasing_id()).select(*HASHES, "row", F.explode("words").alias("term"))
+        df = docs.select(F.explode(F.array_distinct(F.col("terms.term"))).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
+        docs_and_mean = docs.agg(F.count("*").alias("docs"), F.avg("length").alias("mean")).first()
+        idf = F.log(1 + (F.lit(docs_and_mean["docs"]) - F.col("df") + 0.5) / (F.col("df") + 0.5))
+        # One row for each word and each phrase: looked up by hashing, their many uses need no sort.
+        rated = words.join(df.hint("shuffle_hash"), "term").select(*HASHES, "row", idf.alias("idf")).repartition(*HASHES)
+        # Queries that ask for one phrase have equal sums.
+        weights = rated.groupBy(*HASHES, "row").agg(F.sum("idf").alias("weight")).groupBy(*HASHES).agg(F.max("weight").alias("weight"))
+        weights = durable(weights)
+
+        bits = spark.sparkContext.broadcast(phrase_bits(weights))
+        found = _text_runs(shapes, bits)(*_word_hashes(F.col("terms")), F.col("terms.pos"))
+        runs = docs.select("doc_id", "length", F.inline(found))
+        met = runs.repartition(*HASHES).join(weights.hint("shuffle_hash"), HASHES)
+        found = met.groupBy(*HASHES, "weight", "doc_id", "length").agg(F.sum("tf").alias("tf"))
+        norm = K1 * (1 - B + B * F.col("length") / F.lit(docs_and_mean["mean"] or 1.0))
+        score = F.round(F.col("weight") * F.col("tf") / (F.col("tf") + norm), SCORE_DIGITS)
+        scored = found.select(*HASHES, "doc_id", score.alias("score"))
+        columns = ["query_id", "doc_id", "score"]
+        if k is not None:
+            # A phrase's best are the best of every query that asks for it.
+            scored = top_k(scored, HASHES, [F.col("score").desc(), F.col("doc_id").asc()], k)
+            columns.insert(1, "rank")
+        with rows_at_once(spark, ROWS):
+            return durable(scored.join(asked.select("query_id", *HASHES), HASHES).select(*columns))

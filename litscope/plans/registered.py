@@ -254,7 +254,7 @@ def search_known_items(spark: SparkSession, folder: str) -> DataFrame:
     """Every key phrase of the documents as a query of its own, searched for in all of them."""
     texts = _texts(spark, folder)
     phrases = texts.select(F.explode(candidate_phrases(F.col("title"))).alias("text")).distinct()
-    hits = phrase_batch(texts, phrases.select(F.col("text").alias("query_id"), "text"), PLAIN, k=S.DEFAULT_TOP_K)
+    hits = phrase_batch(texts, phrases.select(F.col("text").alias("query_id"), "text"), PLAIN, k=S.DEFAULT_TOP_K, distinct=True)
     return _rounded(hits)
 
 
