@@ -120,11 +120,12 @@ def candidate_phrases(text: Column, min_words: int = MIN_WORDS, max_words: int =
     ignored = list(PHRASE_STOP_WORDS + PUNCTUATION)
     tokens = F.regexp_extract_all(text, F.lit(PHRASE_TOKEN), F.lit(0))
     # No token holds white space, so a line break can stand for "run ends here".
-    marked = F.transform(tokens, lambda t: F.when(F.lower(t).isin(ignored), F.lit("\n")).otherwise(F.lower(t)))
+    marked = F.transform(F.transform(tokens, F.lower), lambda t: F.when(t.isin(ignored), F.lit("\n")).otherwise(t))
     runs = F.transform(F.split(F.array_join(marked, " "), "\n"), lambda r: F.trim(r))
     return F.filter(
         runs,
-        lambda r: (F.length(r) > 0) & F.size(F.split(r, " ")).between(min_words, max_words),
+        # Of a span, the size would be counted for each end.
+        lambda r: (F.length(r) > 0) & F.size(F.split(r, " ")).isin(list(range(min_words, max_words + 1))),
     )
 
 

@@ -227,7 +227,10 @@ def phrase_batch(
         found = _text_runs(shapes, bits)(*_word_hashes(F.col("terms")), F.col("terms.pos"))
         runs = docs.select("doc_id", "length", F.inline(found))
         met = runs.repartition(*HASHES).join(weights.hint("shuffle_hash"), HASHES)
-        found = met.groupBy(*HASHES, "weight", "doc_id", "length").agg(F.sum("tf").alias("tf"))
+        found = met
+        if not docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").isEmpty():
+            # Rows that share an id are one document; else a text's equal runs are one row already.
+            found = met.groupBy(*HASHES, "weight", "doc_id", "length").agg(F.sum("tf").alias("tf"))
         norm = K1 * (1 - B + B * F.col("length") / F.lit(docs_and_mean["mean"] or 1.0))
         score = F.round(F.col("weight") * F.col("tf") / (F.col("tf") + norm), SCORE_DIGITS)
         scored = found.select(*HASHES, "doc_id", score.alias("score"))
